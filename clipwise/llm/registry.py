@@ -6,11 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, url_rules
+from . import decontaminate, mixing, topk, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_rules.op1_url_filters,
+    "op3_exact_topk": topk.op3_exact_topk,
     "op5_source_mix": mixing.op5_source_mix,
+    "op9_warc": warc.op9_warc,
+    "op10_decontamination": decontaminate.op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_source_mix": mixing.OP5_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_topk": topk.OP3_SQL,
+    "op5_source_mix": mixing.OP5_SQL,
+    "op9_warc": warc.OP9_SQL,
+    "op10_decontamination": decontaminate.OP10_SQL,
+}
