@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, pii, topk, toxicity, url_rules, warc
+from . import decontaminate, lm, mixing, pii, topk, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_rules.op1_url_filters,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mix": mixing.op5_source_mix,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_pii": pii.op7_pii,
+    "op8_lm_scores": lm.op8_lm_scores,
     "op9_warc": warc.op9_warc,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
