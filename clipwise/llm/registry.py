@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lm, mixing, pii, topk, toxicity, url_rules, warc
+from . import decontaminate, jaccard, lm, mixing, pii, topk, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_rules.op1_url_filters,
     "op3_exact_topk": topk.op3_exact_topk,
+    "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_source_mix": mixing.op5_source_mix,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_pii": pii.op7_pii,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_topk": topk.OP3_SQL,
+    "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_source_mix": mixing.OP5_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
