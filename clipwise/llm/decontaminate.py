@@ -22,18 +22,19 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def windows(benchmark: DataFrame, length: int) -> DataFrame:
-    """item_id, w (the window's words joined by spaces) and len, one row for each item and window."""
+    """item_id, w (the window's words joined by spaces), wid (its hash) and len, for each item and window."""
     listed = benchmark.select("item_id", words(F.col("text")).alias("ws")).where("size(ws) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.size("ws") - length + 1, F.lit(1)))
     return (
         listed.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("ws", i, F.lit(length)))).alias("ws"))
         .select("item_id", F.array_join("ws", " ").alias("w"), F.size("ws").alias("len"))
+        .withColumn("wid", F.xxhash64("w"))
         .distinct()
     )
 
 
 def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_rows: int = 200_000) -> DataFrame:
-    """_key, w, len, start (from 0) and gap: where the two rarest terms of a window stand as they should.
+    """_key, wid, len, start (from 0) and gap: where the two rarest terms of a window stand as they should.
 
     ``docs`` has ``_key`` and ``text``. The length of every test term's postings list is counted
     over all documents. Postings (term, document, position) are stored for the two rarest terms
@@ -41,8 +42,8 @@ def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_row
     window and intersected; ``gap`` is how far the shifted positions differ, at most ``slop``. A window
     with a term that no document has can't occur and is left out.
     """
-    each = wins.select("w", "len").distinct()
-    terms = each.select("w", "len", F.posexplode(F.split("w", " ")).alias("off", "term"))
+    each = wins.select("wid", "w", "len").distinct()
+    terms = each.select("wid", "len", F.posexplode(F.split("w", " ")).alias("off", "term"))
     texts = docs.select("_key", words(F.col("text")).alias("ws"))
     vocabulary = materialize(terms.select("term").distinct(), "test-terms")
     lengths = (
@@ -51,12 +52,12 @@ def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_row
         .groupBy("term")
         .agg(F.count("*").alias("n"))
     )
-    ordered = terms.join(materialize(lengths, "list-lengths"), "term", "left").groupBy("w", "len").agg(
+    ordered = terms.join(materialize(lengths, "list-lengths"), "term", "left").groupBy("wid", "len").agg(
         F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "term"))).alias("t")
     )
     anchored = materialize(
         ordered.where(F.col("t")[0]["n"] > 0).select(
-            "w", "len", F.col("t")[0].alias("t1"), F.get("t", F.lit(1)).alias("t2")
+            "wid", "len", F.col("t")[0].alias("t1"), F.get("t", F.lit(1)).alias("t2")
         ),
         "windows",
     )
@@ -67,23 +68,23 @@ def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_row
     )
 
     def shifted(t: str) -> DataFrame:
-        by = _small(anchored.where(f"{t} is not null").select("w", "len", f"{t}.term", f"{t}.off"), broadcast_rows)
-        return postings.join(by, "term").select("_key", "w", "len", (F.col("pos") - F.col("off")).alias(f"start_{t}"))
+        by = _small(anchored.where(f"{t} is not null").select("wid", "len", f"{t}.term", f"{t}.off"), broadcast_rows)
+        return postings.join(by, "term").select("_key", "wid", "len", (F.col("pos") - F.col("off")).alias(f"start_{t}"))
 
     first, second = shifted("t1"), shifted("t2").drop("len")
     if slop:
         width = slop + 1
         first = first.withColumn("_b", F.floor(F.col("start_t1") / width))
         near = F.explode(F.array(*[F.floor(F.col("start_t2") / width) + i for i in (-1, 0, 1)]))
-        pairs = first.join(second.withColumn("_b", near), ["_key", "w", "_b"]).where(
+        pairs = first.join(second.withColumn("_b", near), ["_key", "wid", "_b"]).where(
             F.abs(F.col("start_t1") - F.col("start_t2")) <= slop
         )
     else:
-        pairs = first.join(second.withColumn("start_t1", F.col("start_t2")), ["_key", "w", "start_t1"])
+        pairs = first.join(second.withColumn("start_t1", F.col("start_t2")), ["_key", "wid", "start_t1"])
     alone = shifted("t1").where("len = 1").withColumn("gap", F.lit(0))
     both = pairs.withColumn("gap", F.abs(F.col("start_t1") - F.col("start_t2")))
-    cols = ["_key", "w", "len", F.col("start_t1").alias("start"), "gap"]
-    return both.select(*cols).union(alone.select(*cols)).groupBy("_key", "w", "len", "start").agg(F.min("gap").alias("gap"))
+    cols = ["_key", "wid", "len", F.col("start_t1").alias("start"), "gap"]
+    return both.select(*cols).union(alone.select(*cols)).groupBy("_key", "wid", "len", "start").agg(F.min("gap").alias("gap"))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, length: int = 10, slop: int = 0) -> DataFrame:
@@ -100,9 +101,9 @@ def find(docs: DataFrame, benchmark: DataFrame, *, length: int = 10, slop: int =
     """
     added = ("n_words", "n_hit", "items", "near_items", "contaminated")
     keep = [c for c in docs.columns if c not in added]
-    keyed = docs.select(*keep).withColumn("_key", F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"), 256))
+    keyed = docs.select(*keep).withColumn("_key", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))))
     wins = materialize(windows(benchmark.where("item_id is not null"), length), "benchmark")
-    found = candidates(keyed.select("_key", "text"), wins, slop=slop)
+    found = candidates(keyed.select("_key", "text"), wins, slop=slop).join(wins.select("wid", "w").distinct(), "wid")
     per_doc = found.groupBy("_key").agg(F.collect_list(F.struct("start", "len", "w", "gap")).alias("_c"))
     read = keyed.join(per_doc, "_key", "left").withColumn("_ws", words(F.col("text")))
     same = lambda c: (c["start"] >= 0) & (F.array_join(F.slice(F.col("_ws"), F.greatest(c["start"], F.lit(0)) + 1, c["len"]), " ") == c["w"])
