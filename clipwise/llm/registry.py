@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, lm, mixing, pii, topk, toxicity, url_rules, warc
+from . import decontaminate, jaccard, licenses, lm, mixing, pii, topk, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_rules.op1_url_filters,
+    "op2_license_scan": licenses.op2_license_scan,
     "op3_exact_topk": topk.op3_exact_topk,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_source_mix": mixing.op5_source_mix,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": licenses.OP2_SQL,
     "op3_exact_topk": topk.OP3_SQL,
     "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op5_source_mix": mixing.OP5_SQL,
