@@ -84,9 +84,9 @@ class Model:
     """Words and word beginnings of the insult class with their weights, and a logistic fit."""
 
     insults: dict[str, float]
-    coef: np.ndarray = field(default_factory=lambda: np.array([-3.0, 0.8, 0.2, 0.5, 0.1, 0.0]))
-    center: np.ndarray = field(default_factory=lambda: np.zeros(5))
-    scale: np.ndarray = field(default_factory=lambda: np.ones(5))
+    coef: np.ndarray = field(default_factory=lambda: np.array([-3.0, 0.8, 0.2, 0.5, 0.1]))
+    center: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(4))
 
 
 class Scorer:
@@ -112,7 +112,7 @@ class Scorer:
         return kind
 
     def features(self, text: str | None) -> list[float]:
-        """Sum and maximum of the clause scores, matches, matches for 100 words, and words."""
+        """Sum and maximum of the clause scores, log of the matches, and matches for 100 words; all 0 without a match."""
         tokens = TOKEN.findall((text or "").lower())
         get, new = self.classes.get, self._class
         codes = bytes([c if (c := get(t)) is not None else new(t) for t in tokens])
@@ -132,7 +132,7 @@ class Scorer:
                     total += score
                     most = max(most, score)
                 a += len(part) + 1
-        return [total, most, math.log1p(hits), 100 * hits / (words + 20), math.log1p(words)]
+        return [total, most, math.log1p(hits), 100 * hits / (words + 20)]
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         m = self.model
