@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clipwise.plans import measures, texts, timelines  # noqa: F401  each registers its queries
+from clipwise.plans import measures, signals, texts, timelines  # noqa: F401  each registers its queries
 from clipwise.plans.base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

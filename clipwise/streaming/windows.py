@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def as_utc(ts: Column) -> Column:
+    """The instant that a timestamp without zone names in UTC, as watermarks need one."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts))
+
+
+def as_local(ts: Column) -> Column:
+    """The inverse of ``as_utc``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
 
 def windowed_counts(events: DataFrame, width: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Counts and sums by window and event type; the same on a batch and on a stream.
 
-    ``ts`` may be without time zone; it is read in the session's zone. On a stream, rows later than ``delay`` are dropped.
+    On a stream, a window is emitted once no row can come that is at most ``delay`` late, and later rows are dropped.
     """
-    stamped = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    stamped = events.withColumn("ts", as_utc(F.col("ts")))
     if events.isStreaming:
         stamped = stamped.withWatermark("ts", delay)
     counts = stamped.groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-    return counts.select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    return counts.select(as_local(F.col("window.start")).alias("start"), "event_type", "n", "total")
 
 
-def stream_to_table(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, width: str = "1 day") -> DataFrame:
-    """Reads what has arrived under ``source``, appends closed windows to ``out`` and returns the table.
+def stream_to_table(spark: SparkSession, source: str, out: str, checkpoint: str, *, schema: str = EVENTS, names: str = "*.parquet", width: str = "1 day") -> DataFrame:
+    """Takes what has arrived under ``source``, appends closed windows to ``out`` and returns that table.
 
-    The checkpoint makes reruns take only new files.
+    The checkpoint makes a rerun take only new files, and a lost executor costs no result.
     """
-    stream = spark.readStream.schema(schema).parquet(source)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(source)
     query = (
         windowed_counts(stream, width)
         .writeStream.outputMode("append")
