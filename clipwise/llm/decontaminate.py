@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, materialize, table
@@ -87,61 +89,75 @@ def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_row
     return both.select(*cols).union(alone.select(*cols)).groupBy("_key", "wid", "len", "start").agg(F.min("gap").alias("gap"))
 
 
-def find(docs: DataFrame, benchmark: DataFrame, *, length: int = 10, slop: int = 0) -> DataFrame:
+def find(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    length: int = 10,
+    slop: int = 0,
+    keep: Sequence[str] | None = None,
+    broadcast_rows: int = 100_000,
+) -> DataFrame:
     """Every document's row with ``n_words``, ``n_hit``, ``items``, ``near_items`` and ``contaminated``.
 
     A window is ``length`` consecutive words of an item; an item with fewer words, but not none, is
     one window. ``n_hit`` counts the document's words inside exact occurrences of a window,
     ``items`` are the sorted ids, as strings, of items with such windows. With ``slop`` > 0 ``near_items`` are
     those of which the two rarest terms of a window stand within ``slop`` words of their distance.
+    ``keep`` names the columns of ``docs`` to return, all by default.
 
-    Candidates come from the index; each is verified against the words of the document. Rows meet by
-    id and content of the text, so repeated rows get equal results. Null texts have no words,
-    empty tables give no matches, null item ids take no part, and columns named like an output are replaced.
+    Candidates come from the index; each is verified against the words of its document. Only texts with
+    candidates are shuffled, as long as their keys (16 bytes each) are few enough to be broadcast; beyond
+    ``broadcast_rows`` both sides are shuffled. Rows meet by id and content of the text, so repeated rows
+    get equal results. Null texts have no words, empty tables give no matches, null item ids
+    take no part, and columns named like an output are replaced.
     """
     added = ("n_words", "n_hit", "items", "near_items", "contaminated")
-    keep = [c for c in docs.columns if c not in added]
-    keyed = docs.select(*keep).withColumn("_key", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))))
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text")))
+    keyed = docs.withColumn("_key", key)
     wins = materialize(windows(benchmark.where("item_id is not null"), length), "benchmark")
     found = candidates(keyed.select("_key", "text"), wins, slop=slop).join(wins.select("wid", "w").distinct(), "wid")
-    per_doc = found.groupBy("_key").agg(F.collect_list(F.struct("start", "len", "w", "gap")).alias("_c"))
-    read = keyed.join(per_doc, "_key", "left").withColumn("_ws", words(F.col("text")))
+    per_doc = materialize(found.groupBy("_key").agg(F.collect_list(F.struct("start", "len", "w", "gap")).alias("_c")), "candidates")
+    texts = keyed.select("_key", "text").join(_small(per_doc.select("_key"), broadcast_rows), "_key", "left_semi")
+    read = texts.join(per_doc, "_key").select("_key", "_c", words(F.col("text")).alias("_ws"))
     same = lambda c: (c["start"] >= 0) & (F.array_join(F.slice(F.col("_ws"), F.greatest(c["start"], F.lit(0)) + 1, c["len"]), " ") == c["w"])
-    read = read.withColumn("n_words", F.size("_ws").cast("long")).withColumn("_hits", F.filter("_c", same))
     spans = F.transform("_hits", lambda c: F.sequence(c["start"], c["start"] + c["len"] - 1))
     near = F.transform("_c", lambda c: c["w"]) if slop else F.array().cast("array<string>")
-    read = materialize(
-        read.select(
-            *keep,
+    verified = materialize(
+        read.select("_key", "_c", F.filter("_c", same).alias("_hits"))
+        .select(
             "_key",
-            "n_words",
-            F.coalesce(F.size(F.array_distinct(F.flatten(spans))), F.lit(0)).cast("long").alias("n_hit"),
+            F.size(F.array_distinct(F.flatten(spans))).cast("long").alias("n_hit"),
             F.array_distinct(F.transform("_hits", lambda c: c["w"])).alias("_w"),
             F.array_distinct(near).alias("_near"),
-        ),
+        )
+        .dropDuplicates(["_key"]),
         "hits",
     )
 
     def items(column: str, name: str) -> DataFrame:
-        pairs = read.select("_key", F.explode(column).alias("w")).join(wins, "w").select("_key", F.col("item_id").cast("string").alias("i")).distinct()
+        pairs = verified.select("_key", F.explode(column).alias("w")).join(wins, "w").select("_key", F.col("item_id").cast("string").alias("i")).distinct()
         return pairs.groupBy("_key").agg(F.array_sort(F.collect_list("i")).alias(name))
 
     none = F.array().cast("array<string>")
-    out = read.join(items("_w", "items"), "_key", "left")
-    out = out.join(items("_near", "near_items"), "_key", "left") if slop else out.withColumn("near_items", none)
-    return out.select(
+    hits = verified.select("_key", "n_hit").join(items("_w", "items"), "_key", "left")
+    hits = hits.join(items("_near", "near_items"), "_key", "left") if slop else hits.withColumn("near_items", none)
+    hits = materialize(hits.where("n_hit > 0 or near_items is not null and size(near_items) > 0"), "found")
+    rows = keyed.select(*keep, "_key", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    return rows.join(_small(hits, broadcast_rows), "_key", "left").select(
         *keep,
         "n_words",
-        "n_hit",
+        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", none).alias("items"),
         F.coalesce("near_items", none).alias("near_items"),
-        (F.col("n_hit") > 0).alias("contaminated"),
+        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    found = find(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), keep=("doc_id",))
     return found.select(
         "doc_id",
         "n_words",
