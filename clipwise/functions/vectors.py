@@ -28,15 +28,20 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.greatest(norm(a), F.lit(1e-12)) * F.greatest(norm(b), F.lit(1e-12)))
 
 
-def centroid(df: DataFrame, vector: str, *keys: str) -> DataFrame:
-    """Mean vector of each group, scaled to length 1, as ``centroid``.
+def mean(df: DataFrame, vector: str, *keys: str) -> DataFrame:
+    """Mean vector of each group as ``mean``.
 
     Components are averaged by place, partially before the shuffle: a group's rows never meet in one task.
     """
     each = df.select(*keys, F.posexplode(doubles(F.col(vector))).alias("_at", "_x"))
     means = each.groupBy(*keys, "_at").agg(F.avg("_x").alias("_x"))
-    whole = means.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda s: s["_x"]).alias("_v"))
-    return whole.select(*keys, unit(F.col("_v")).alias("centroid"))
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda s: s["_x"])
+    return means.groupBy(*keys).agg(whole.alias("mean"))
+
+
+def centroid(df: DataFrame, vector: str, *keys: str) -> DataFrame:
+    """Mean vector of each group, scaled to length 1, as ``centroid``."""
+    return mean(df, vector, *keys).select(*keys, unit(F.col("mean")).alias("centroid"))
 
 
 def loudness_gain(rms: Column, peak: Column, target: Column, guard: float = 0.99) -> Column:

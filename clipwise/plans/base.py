@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hinted(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most so many rows, else without."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 #: ``events`` as turns: the user is the lecture, the event type the speaker, times are hours.
 TURNS_SQL = """turns AS (
   SELECT event_id AS id, user_id AS lecture, event_type AS speaker,

@@ -9,7 +9,7 @@ from clipwise.functions import text as T
 from clipwise.functions import vectors as V
 from clipwise.operators import experiments, gates, review, sampling
 
-from .base import query, table
+from .base import hinted, query, table
 
 _VEC = "v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"
 _CENTROID = f"""{_VEC},
@@ -22,18 +22,11 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", "label", V.doubles(F.col("embedding")).alias("x"))
 
 
-def _against(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector's cosine with the centroid of each label; centroids are as few as labels."""
-    vectors = _vectors(spark, sf_dir)
-    each = V.centroid(vectors, "x", "label").select(F.col("label").alias("speaker"), "centroid")
-    return vectors.crossJoin(F.broadcast(each)).select("vec_id", "label", "speaker", V.cosine(F.col("x"), F.col("centroid")).alias("cos"))
-
-
 @query("centroid_cosine", f"WITH {_CENTROID} SELECT vec_id, label, round(cos, 6) AS cos FROM k WHERE label = speaker")
 def centroid_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)
     own = V.centroid(vectors, "x", "label")
-    return vectors.join(F.broadcast(own), "label").select("vec_id", "label", F.round(V.cosine(F.col("x"), F.col("centroid")), 6).alias("cos"))
+    return vectors.join(hinted(own), "label").select("vec_id", "label", F.round(V.cosine(F.col("x"), F.col("centroid")), 6).alias("cos"))
 
 
 @query(
@@ -44,8 +37,15 @@ w AS (SELECT label, max(CASE WHEN n = 1 THEN speaker END) AS winner, max(CASE WH
 SELECT label, winner, round(c1, 6) AS cos, round(c1 - coalesce(c2, 0), 6) AS margin, array_to_string(list_filter([CASE WHEN c1 < 0.4 THEN 'low_cosine' END, CASE WHEN c1 - coalesce(c2, 0) < 0.1 THEN 'low_margin' END, CASE WHEN winner <> label THEN 'cosine!=label' END], lambda x: x IS NOT NULL), ';') AS flags FROM w""",
 )
 def cluster_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each cluster the best matching centroid by mean cosine, the margin to the next one, and flags."""
-    means = _against(spark, sf_dir).groupBy("label", "speaker").agg(F.avg("cos").alias("cos"))
+    """For each cluster the best matching centroid by mean cosine, the margin to the next one, and flags.
+
+    The mean cosine of a cluster's vectors with a centroid is that of the mean of their unit vectors, so
+    the vectors are aggregated once, and only clusters meet centroids: a table of labels by labels.
+    """
+    vectors = _vectors(spark, sf_dir)
+    centroids = V.centroid(vectors, "x", "label").select(F.col("label").alias("speaker"), "centroid")
+    own = V.mean(vectors.withColumn("u", V.unit(F.col("x"))), "u", "label")
+    means = experiments.job_matrix(own, centroids).select("label", "speaker", V.dot(F.col("mean"), F.col("centroid")).alias("cos"))
     ranked = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("cos", (-F.col("speaker")).alias("neg"))), False).alias("r"))
     c1, c2 = F.col("r")[0]["cos"], F.coalesce(F.get("r", F.lit(1))["cos"], F.lit(0.0))
     winner = -F.col("r")[0]["neg"]
@@ -60,11 +60,12 @@ s AS (SELECT q.vec_id, v.vec_id AS neighbour, list_inner_product(q.x, v.x) / (sq
 SELECT vec_id, arg_max(neighbour, row(round(cos, 9), -neighbour)) AS neighbour, round(max(cos), 6) AS cos FROM s GROUP BY vec_id""",
 )
 def nearest_neighbour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest other vector of every vector whose id is divisible by 20; the query set meets all rows in blocks."""
+    """The nearest other vector of every vector whose id is divisible by 20; the query set meets all rows in blocks of about 500."""
     v = _vectors(spark, sf_dir).withColumn("u", V.unit(F.col("x"))).select("vec_id", "u")
     asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), F.col("u").alias("qu"))
-    blocks = asked.groupBy(F.pmod(F.xxhash64("q"), F.lit(8)).alias("block")).agg(F.collect_list(F.struct("q", "qu")).alias("qs"))
-    dealt = v.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(7).cast("bigint"))))
+    n = max(1, -(-asked.count() // 500))
+    blocks = asked.groupBy(F.pmod(F.xxhash64("q"), F.lit(n)).alias("block")).agg(F.collect_list(F.struct("q", "qu")).alias("qs"))
+    dealt = v.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
     pairs = dealt.join(blocks, "block").select(F.explode("qs").alias("s"), "vec_id", "u").where(F.col("s.q") != F.col("vec_id"))
     cos = V.dot(F.col("s.qu"), F.col("u"))
     best = pairs.select(F.col("s.q").alias("q"), "vec_id", cos.alias("cos")).groupBy("q").agg(F.max(F.struct(F.round("cos", 9).alias("r"), (-F.col("vec_id")).alias("neg"), "cos")).alias("b"))
@@ -325,7 +326,7 @@ def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("crosstab", """SELECT n_name, count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS automobile, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS building, round(avg(c_acctbal), 4) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
 def crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    joined = table(spark, sf_dir, "customer").join(hinted(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.groupBy("n_name").agg(F.count_if(F.col("c_mktsegment") == "AUTOMOBILE").alias("automobile"), F.count_if(F.col("c_mktsegment") == "BUILDING").alias("building"), F.round(F.avg("c_acctbal"), 4).alias("balance"))
 
 
@@ -337,5 +338,5 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("seed_collections", "SELECT r_name, string_agg(n_name, ';' ORDER BY n_name) AS nations, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def seed_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = table(spark, sf_dir, "nation").join(hinted(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     return joined.groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ";").alias("nations"), F.count("*").alias("n"))
