@@ -311,3 +311,20 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFra
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=90)
+
+
+OP4_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE
+    WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.c = e.x),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
