@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -113,6 +114,71 @@ class Bands:
         return np.concatenate(out) if out else np.zeros(0, U)
 
 
+CELLS, SLICES = 22, 64  # bits of a hash by which shingles share a counter; slices in which counters are added up
+
+
+def cell_ranks(docs: DataFrame, width: int) -> np.ndarray:
+    """A sketch of frequencies: for each of 2**22 cells of the hash how often shingles fall in it, as a logarithm.
+
+    Every document counts. A task adds up its counters and sends them in slices, packed; each slice is
+    summed as the packs come, so a task holds one array however many there are. The driver gets 16 MB, executors 4 MB.
+    """
+    cells, size = 1 << CELLS, (1 << CELLS) // SLICES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = Hashes(), np.zeros(cells, np.int64)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            if held:
+                counts[:] += np.bincount((np.concatenate(held) >> U(64 - CELLS)).astype(np.int64), minlength=cells)
+                held.clear()
+
+        for batch in batches:
+            for text in batch.column("text"):
+                held.append(shingles(text.as_py(), width, hashes))
+                if len(held) >= 4000:
+                    add()
+        add()
+        for i in range(SLICES):
+            own = counts[i * size : (i + 1) * size]
+            if own.any():
+                large = np.flatnonzero(own > 254)
+                rest = np.stack([large, own[large]]).tobytes()
+                packed = zlib.compress(np.minimum(own, 254 * (own <= 254)).astype(np.uint8).tobytes(), 1)
+                yield pa.record_batch([pa.array([i], pa.int32()), pa.array([packed]), pa.array([rest])], ["slice", "small", "large"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, small, large in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = sums.setdefault(i, np.zeros(size, np.int64))
+                own += np.frombuffer(zlib.decompress(small), np.uint8)
+                at, n = np.frombuffer(large, np.int64).reshape(2, -1)
+                own[at] += n
+        for i, own in sums.items():
+            yield pa.record_batch([pa.array([i], pa.int32()), pa.array([np.minimum(own, 2**32 - 1).astype(np.uint32).tobytes()])], ["slice", "n"])
+
+    packs = docs.select("text").mapInArrow(count, "slice int, small binary, large binary")
+    out = np.zeros(cells, np.uint32)
+    for r in packs.repartition("slice").mapInArrow(total, "slice int, n binary").collect():
+        out[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["n"], np.uint32)
+    return np.minimum(255, 8 * np.log2(out + 1.0)).astype(np.uint8)
+
+
+def prefix(h: np.ndarray, percent: int, ranks: np.ndarray) -> np.ndarray:
+    """The elements of a set that come first in a fixed order, one more than a linked set may lack.
+
+    Two sets that link share one of them, whatever the order. It goes by the ranks of cells, so
+    that shingles of passages that many documents share come last, then by hash.
+    """
+    n = len(h)
+    if not n:
+        return h
+    order = np.argsort(ranks[(h >> U(64 - CELLS)).astype(np.int64)], kind="stable")
+    return mix(h[order[: n - (percent * n + 99) // 100 + 1]])
+
+
 def linked(a: int, b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
@@ -204,13 +270,18 @@ def representative_links(
 ) -> DataFrame:
     """Links a, b between documents with different sets; see ``components``."""
     bands = Bands(percent)
+    # Under 85 % parts would hold but two or three elements each, which unrelated sets share too often.
+    shared = docs.sparkSession.sparkContext.broadcast(cell_ranks(docs, width)) if percent < 85 else None
+
+    def signatures(h: np.ndarray) -> np.ndarray:
+        return bands.signatures(h) if shared is None else prefix(h, percent, shared.value)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for a in range(0, len(ids), 500):
-                sigs = [bands.signatures(shingles(t.as_py(), width, hashes)) for t in batch.column("text")[a : a + 500]]
+                sigs = [signatures(shingles(t.as_py(), width, hashes)) for t in batch.column("text")[a : a + 500]]
                 nodes = np.repeat(ids[a : a + 500], list(map(len, sigs)))
                 yield pa.record_batch([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(nodes)], ["sig", "node"])
 
@@ -279,8 +350,9 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFra
     64-bit hashes. ``component_id`` is the smallest id that links lead to.
 
     Documents with equal sets are one class, and only its smallest id goes on. Representatives
-    are cut into parts by the band of their sizes (see ``Bands``); any two that link share a part. Each
-    part's first representative is paired with the others, as a star, and the components
+    are cut into parts by the band of their sizes (see ``Bands``), or under 85 % give their rarest elements (see
+    ``prefix``); any two that link share a signature. Each
+    signature's first representative is paired with the others, as a star, and the components
     of these pairs are clusters, outside of which nothing can link. A cluster that fits one task is a tile, a larger one
     is cut into pairs of slices by fine size bands and a hash, and within each tile all pairs that bitmaps can't rule
     out are compared. So large groups of near copies are spread over tasks, and compared no more once connected.
