@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -166,17 +168,29 @@ def cell_ranks(docs: DataFrame, width: int) -> np.ndarray:
     return np.minimum(255, 8 * np.log2(out + 1.0)).astype(np.uint8)
 
 
+@lru_cache(maxsize=8)
+def size_bands(percent: int) -> list[int]:
+    """Least sizes of bands: two sets that link lie in the same band or in neighbours."""
+    lows = [1]
+    while lows[-1] < 1 << 40:
+        lows.append(-(-lows[-1] * 100 // percent))
+    return lows
+
+
 def prefix(h: np.ndarray, percent: int, ranks: np.ndarray) -> np.ndarray:
-    """The elements of a set that come first in a fixed order, one more than a linked set may lack.
+    """Signatures from the elements of a set that come first in a fixed order, one more than a linked set may lack.
 
-    Two sets that link share one of them, whatever the order. It goes by the ranks of cells, so
-    that shingles of passages that many documents share come last, then by hash.
+    Two sets that link share one of these elements, whatever the order. It goes by the ranks of cells, so
+    that shingles of passages that many documents share come last, then by hash. A signature is an element
+    with the set's size band or the next one, so sets whose sizes rule out a link don't meet.
     """
     n = len(h)
     if not n:
         return h
     order = np.argsort(ranks[(h >> U(64 - CELLS)).astype(np.int64)], kind="stable")
-    return mix(h[order[: n - (percent * n + 99) // 100 + 1]])
+    first = mix(h[order[: n - (percent * n + 99) // 100 + 1]])
+    band = bisect_right(size_bands(percent), n)
+    return np.concatenate([mix(first ^ U(band)), mix(first ^ U(band + 1))])
 
 
 def linked(a: int, b: int, common: int, percent: int) -> bool:
