@@ -112,7 +112,7 @@ class Settings:
 
     head: int = 1000
     rest: int = 256
-    block_bytes: int = 24 << 20
+    block_bytes: int = 12 << 20
 
 
 def _pair_counts(head: dict[bytes, int], rest: int):
