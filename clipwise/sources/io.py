@@ -58,7 +58,7 @@ def from_name(name: Column, pattern: str, groups: dict[str, str]) -> list[Column
 
 
 def list_files(spark: SparkSession, path: str, pattern: str, groups: dict[str, str]) -> DataFrame:
-    """Files whose names match, with the parts of their names; contents aren't read."""
+    """Files whose names match, with the parts of their names; contents aren't read. Spark lists no empty files."""
     files = spark.read.format("binaryFile").load(path).select("path")
     name = F.element_at(F.split("path", "/"), -1)
     return files.where(name.rlike(pattern)).select("path", *from_name(name, pattern, groups))

@@ -212,7 +212,7 @@ def test_sources_round_trip(spark, tmp_path):
     assert io.read_json_array(spark, str(tmp_path / "seg.json"), io.SEGMENTS).first().dur == 1.5
     assert io.read_words(spark, str(tmp_path / "absent")).count() == 0
     for name in ("c150__s1__s2.wav", "other.wav"):
-        (tmp_path / name).write_bytes(b"")
+        (tmp_path / name).write_bytes(b"RIFF")
     found = io.list_files(spark, str(tmp_path / "*.wav"), r"^c(\d+)__(\w+?)__s(\d+)\.wav$", {"ckpt": "int", "sent": "string", "seed": "int"}).collect()
     assert [(r.ckpt, r.sent, r.seed) for r in found] == [(150, "s1", 2)]
     (tmp_path / "root" / "lec").mkdir(parents=True)
