@@ -1,4 +1,8 @@
-"""Language-model scoring: exact unigram counts, and a log-bilinear model fitted by noise-contrastive estimation."""
+"""Language-model scoring: exact unigram counts, and a log-bilinear model fitted by noise-contrastive estimation.
+
+Classes of words have factors that are fitted on the driver; on top of them every word with enough training tokens
+has its own, fitted by blocks of the vocabulary from its own pairs.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,11 +113,15 @@ def fit_nce(pairs: np.ndarray, dim: int = 32, noise: float = 25.0, steps: int =
 @dataclass
 class Settings:
     """``head`` words are classes of their own and ``rest`` classes hold the others, so what is
-    gathered on the driver and sent to executors is bounded by the square of their sum."""
+    gathered on the driver and sent to executors is bounded by the square of their sum. Other words that
+    occur ``least`` times in training have factors of their own, in a table that grows with the input."""
 
     head: int = 1000
     rest: int = 256
     block_bytes: int = 12 << 20
+    least: int = 10
+    dim: int = 16
+    prior: float = 4.0
 
 
 def _pair_counts(head: dict[bytes, int], rest: int):
@@ -147,6 +156,142 @@ def _pair_counts(head: dict[bytes, int], rest: int):
     return run
 
 
+def directions(vectors: np.ndarray, weights: np.ndarray, dim: int) -> np.ndarray:
+    """The ``dim`` directions in which the classes' vectors differ most, each with mean 0 and variance 1 by ``weights``."""
+    w = weights / weights.sum()
+    x = vectors - w @ vectors
+    values, axes = np.linalg.eigh((x * w[:, None]).T @ x)
+    at = np.argsort(-values)[:dim]
+    out = np.zeros((len(x), dim), np.float32)
+    out[:, : len(at)] = x @ axes[:, at] / np.sqrt(np.maximum(values[at], 1e-6))
+    return np.clip(out, -4, 4)
+
+
+def tilt(data: np.ndarray, base: np.ndarray, basis: np.ndarray, prior: float, noise: float = 25.0, steps: int = 8) -> np.ndarray:
+    """Factors f, a row for each row of counts, so that p(class) ~ base(class) exp(f . basis[class]), in steps of 1/32.
+
+    Noise-contrastive estimation with ``base`` as the noise, of which the expectation is taken; ``prior`` is the weight
+    of a normal prior at 0. Each step divides by the curvature at 0.
+    """
+    total = data.sum(axis=1, keepdims=True)
+    curve, axes = np.linalg.eigh((basis * base[:, None]).T @ basis)
+    turned = (basis @ axes).astype(np.float32)
+    scale = (0.7 / (total * np.maximum(curve, 0) + prior)).astype(np.float32)
+    f = np.zeros((len(data), basis.shape[1]), np.float32)
+    drawn = noise * total * base[None].astype(np.float32)
+    for _ in range(steps):
+        odds = np.exp(np.clip(f @ turned.T, -8, 8))
+        g = data - (data + drawn) * (odds / (odds + noise))
+        f = np.clip(f + scale * (g @ turned - prior * f), -4, 4)
+    return np.clip(np.rint(f @ axes.T * 32), -127, 127).astype(np.int8)
+
+
+def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
+    """For words outside the head: the classes that follow and precede their tokens, packed by bucket (class and part).
+
+    A word is named by its 64-bit hash, the same as Spark's ``xxhash64``.
+    """
+    first, end = len(head), len(head) + rest
+    kind = np.uint16 if end < 1 << 16 else np.uint32
+
+    def pack(ws: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ks = list(map(key, ws))
+        cls = np.array([head.get(k, -1) for k in ks] + [end], np.int64)
+        rare = np.flatnonzero(cls < 0)
+        if not len(rare):
+            return
+        cls[rare] = [first + suffix_class(ks[i], rest) for i in rare]
+        named = np.array([xxhash.xxh64_intdigest(ks[i], 42) for i in rare], np.uint64)
+        bucket = (cls[rare] - first) * parts + (named % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((named, bucket))
+        named, bucket = named[order], bucket[order]
+        rank = np.full(len(cls), -1, np.int64)
+        rank[rare[order]] = np.arange(len(rare))
+        at, c = rank[ids], cls[ids].astype(kind)
+        pos = np.flatnonzero(at >= 0)
+        pos = pos[np.argsort(at[pos], kind="stable")]
+        sizes = np.bincount(at[pos], minlength=len(rare)).astype(np.uint32)
+        after, before, ends = c[pos + 1], c[pos - 1], np.append(0, np.cumsum(sizes, dtype=np.int64))
+        cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        rows = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            t = slice(ends[a], ends[b])
+            rows.append((int(bucket[a]), int(b - a), zlib.compress(b"".join(x.tobytes() for x in (named[a:b], sizes[a:b], after[t], before[t])), 1)))
+        yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["bucket", "words", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held, size = {}, [np.array([-1])], 0
+        for batch in batches:
+            for text in batch.column("text"):
+                ws = words(text.as_py())
+                held.append(np.fromiter((seen.setdefault(w, len(seen)) for w in ws), np.int64, len(ws)))
+                held.append(np.array([-1]))
+                size += len(ws)
+                if size > 2_000_000:
+                    yield from pack(list(seen), np.concatenate(held))
+                    seen, held, size = {}, [np.array([-1])], 0
+        yield from pack(list(seen), np.concatenate(held))
+
+    return run, kind
+
+
+def word_factors(texts: DataFrame, head: dict[bytes, int], size: np.ndarray, model: LogBilinear, pairs: np.ndarray, parts: int, settings: Settings) -> DataFrame:
+    """name (hash of the word) and f of every word outside the head with ``least`` training tokens: its factors as a
+    context and as a target (a byte each) and the log of its normaliser as a context (a float). Rows without a name
+    have a class and ``z``, by which the class's words of that row change the sum over the class after each class.
+
+    Every token of ``texts`` counts. Words meet by bucket, whose number follows the input.
+    """
+    rest, first = settings.rest, len(head)
+    run, kind = _word_pairs(head, rest, parts)
+    table_ = model.log10_table()
+    targets, contexts = directions(model.target, model.unigram, settings.dim), directions(model.context, pairs.sum(axis=1) + 1.0, settings.dim)
+    sent = texts.sparkSession.sparkContext.broadcast((10.0 ** table_.astype(np.float64), targets, contexts, pairs.astype(np.float32), size))
+    n, least, prior = len(table_), settings.least, settings.prior
+
+    def fit(group: pa.Table) -> pa.Table:
+        probability, follow, precede, counted, sizes_ = sent.value
+        label = group["bucket"][0].as_py() // parts
+        got: list[list[np.ndarray]] = [[], [], [], []]
+        for m, packed in zip(group["words"].to_pylist(), group["packed"], strict=True):
+            raw = zlib.decompress(packed.as_py())
+            tokens = (len(raw) - 12 * m) // (2 * kind().itemsize)
+            got[0].append(np.frombuffer(raw, np.uint64, m))
+            got[1].append(np.frombuffer(raw, np.uint32, m, 8 * m))
+            got[2].append(np.frombuffer(raw, kind, tokens, 12 * m))
+            got[3].append(np.frombuffer(raw, kind, tokens, 12 * m + tokens * kind().itemsize))
+        named, ns, after, before = map(np.concatenate, got)
+        distinct, which = np.unique(named, return_inverse=True)
+        count = np.bincount(which, weights=ns).astype(np.int64)
+        often = np.flatnonzero(count >= least)
+        if not len(often):
+            return pa.table({"name": pa.array([], pa.int64()), "f": pa.array([], pa.binary()), "class": pa.array([], pa.int32()), "z": pa.array([], pa.list_(pa.float64()))})
+        index = np.full(len(distinct), -1)
+        index[often] = np.arange(len(often))
+        of = np.repeat(index[which], ns)
+        order = np.argsort(of, kind="stable")[int((of < 0).sum()) :]
+        of, after, before = of[order], after[order].astype(np.int64), before[order].astype(np.int64)
+        base = probability[first + label]
+        came = counted[:, first + label].astype(np.float64)
+        came /= came.sum()
+        fs, z = [], np.zeros(n)
+        for a in range(0, len(often), 1000):
+            b = min(a + 1000, len(often))
+            t = slice(*np.searchsorted(of, [a, b]))
+            dense = lambda c, t=t, a=a, b=b: np.bincount((of[t] - a) * n + c[t], minlength=(b - a) * n).reshape(b - a, n).astype(np.float32)
+            u, d = tilt(dense(after), base, follow, prior), tilt(dense(before), came, precede, prior)
+            log_z = np.log(np.exp(u / np.float32(32) @ follow.T) @ base).astype(np.float32)
+            share = (count[often[a:b]] + 1) / sizes_[label]
+            z += share @ np.expm1((d / np.float32(32) @ precede.T).astype(np.float64))
+            fs += [x.tobytes() + y.tobytes() + w.tobytes() for x, y, w in zip(u, d, log_z, strict=True)]
+        names = [*distinct[often].view(np.int64).tolist(), None]
+        rows = len(names)
+        return pa.table({"name": pa.array(names, pa.int64()), "f": pa.array([*fs, None], pa.binary()), "class": pa.array([None] * (rows - 1) + [label], pa.int32()), "z": pa.array([None] * (rows - 1) + [z.tolist()], pa.list_(pa.float64()))})
+
+    packed = texts.select("text").mapInArrow(run, "bucket int, words int, packed binary")
+    return materialize(packed.groupBy("bucket").applyInArrow(fit, "name long, f binary, class int, z array<double>"), "word-factors")
+
+
 def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
     """Every row with ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -160,7 +305,10 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     The model predicts a class from the one before it (the end of a text stands before the first word).
     Pair counts of classes are gathered from all training rows. Within a rest class a word has
     probability (c + 1) / (C + V + 1), where C counts the class's tokens, V its words, and one share
-    is left for all words not seen. Probabilities add up to 1 over classes and within them.
+    is left for all words not seen. Words of the rest classes with ``least`` training tokens have factors of their own
+    (``word_factors``): as a context one tilts the probabilities of the classes that follow, as a target its share within its
+    class by the class before it. Both are normalised, so probabilities add up to 1 over classes and within
+    them. Factors are written as a table, and a block gets those of its own words.
 
     A null or empty text is one end token. Null ids belong to training. Repeated rows are counted and scored each. An
     empty table gives no rows; without training rows every count is 0.
@@ -208,10 +356,20 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     got = found.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(n * n)
     pairs[got["pair"].to_numpy()] = got["n"].to_numpy()
-    shared = spark.sparkContext.broadcast((fit_nce(pairs.reshape(n, n)).log10_table(), head, size))
+    pairs = pairs.reshape(n, n)
+    model = fit_nce(pairs)
+    factors = word_factors(rows.where(~F.col("held_out")), head, size, model, pairs, math.ceil(blocks / settings.rest), settings)
+    changed = factors.where("name is null").select("class", F.posexplode("z").alias("after", "z")).groupBy("class", "after").agg(F.sum("z").alias("z")).toArrow()
+    sums = np.ones((n, settings.rest))
+    sums[changed["after"].to_numpy(), changed["class"].to_numpy()] += changed["z"].to_numpy()
+    by_pair = model.log10_table()
+    by_pair[:, len(head) : n - 1] -= np.log10(sums).astype(np.float32)
+    dim = settings.dim
+    basis = directions(model.target, model.unigram, dim), directions(model.context, pairs.sum(axis=1) + 1.0, dim)
+    shared = spark.sparkContext.broadcast((by_pair, head, size, *basis))
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        table_, head_, size_ = shared.value
+        table_, head_, size_, follow, precede = shared.value
         end = len(table_) - 1
         cs = np.append(known["c"].to_numpy(), ends) if known.num_rows else np.array([ends])
         ks = known["word"].to_pylist()
@@ -220,6 +378,13 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
         cls = np.fromiter((head_[k] if k in head_ else first + zlib.crc32(k[-3:]) % len(size_) for k in ks), np.int64, len(ks))
         within = np.where(cls < first, 0.0, np.log10((cs[:-1] + 1) / size_[np.maximum(cls - first, 0)]))
         cls, within = np.append(cls, end), np.append(within, 0.0)
+        # The factors of row 0 are those of words that have none.
+        f = known["f"].combine_chunks() if known.num_rows else pa.array([], pa.binary())
+        own_f = np.append(np.asarray(f.is_valid()), False)
+        slot = np.where(own_f, np.cumsum(own_f), 0)
+        raw = np.frombuffer(b"".join(f.drop_null().to_pylist()), np.int8).reshape(-1, 2 * dim + 4)
+        raw = np.concatenate([np.zeros((1, 2 * dim + 4), np.int8), raw])
+        log_z = np.ascontiguousarray(raw[:, 2 * dim :]).view(np.float32)[:, 0]
         base = np.log10((cs + 1) / (tokens + types + 1))
         out: list[list] = [[], [], [], []]
         for text in block["text"]:
@@ -230,16 +395,21 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
             i[:-1] = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
             i[-1] = len(cs) - 1
             c = cls[i]
+            before, g = np.concatenate([[end], c[:-1]]), slot[i]
+            h = np.append(0, g[:-1])
+            tilted = np.einsum("ij,ij->", raw[h, :dim] / np.float32(32), follow[c]) + np.einsum("ij,ij->", raw[g, dim : 2 * dim] / np.float32(32), precede[before]) - log_z[h].sum(dtype=np.float64)
             out[0].append(len(i))
             out[1].append(int((cs[i] > 0).sum()))
             out[2].append(float(base[i].sum()))
-            out[3].append(float(table_[np.concatenate([[end], c[:-1]]), c].sum(dtype=np.float64) + within[i].sum()))
+            out[3].append(float(table_[before, c].sum(dtype=np.float64) + within[i].sum() + tilted / math.log(10)))
         cols = {"n_tokens": pa.array(out[0], pa.int64()), "n_known": pa.array(out[1], pa.int64()), "train_tokens": pa.array([tokens] * len(out[0]), pa.int64()), "base_score": out[2], "score": out[3]}
         return pa.table({"doc_id": block["doc_id"], "held_out": block["held_out"], **cols})
 
     kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = f"doc_id {kind['doc_id']}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    own = listed.select("block", "word").join(counts, "word").select("block", "word", "c")
+    named = factors.where("name is not null").select("name", "f")
+    fitted = seen.where(F.col("c") >= settings.least).withColumn("name", F.xxhash64("word")).join(named, "name").select("word", "f")
+    own = listed.select("block", "word").join(counts, "word").join(fitted, "word", "left").select("block", "word", "c", "f")
     return blocked.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(score, schema)
 
 
