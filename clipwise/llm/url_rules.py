@@ -60,8 +60,7 @@ def mine(labelled: DataFrame, min_support: float, min_confidence: float) -> Data
     """Rules from ``tokens`` to ``label``, mined by FP-growth over all labelled rows.
 
     Returns antecedent, verdict, confidence, lift, support and ``token``, the rule's rarest token,
-    by which it is indexed. An itemset must hold in ``min_support`` of the rows, so there are at most
-    (tokens of a url) / min_support frequent tokens, whatever the number of rows.
+    by which it is indexed. An itemset must hold in ``min_support`` of the rows.
     """
     items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("y:"), "label"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
@@ -89,7 +88,7 @@ def judge(
     labels: DataFrame,
     *,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    min_support: float = 0.002,
+    min_support: float = 0.0,
     min_confidence: float = 0.5,
     min_rows: int = 20,
     default: str = "allow",
@@ -99,7 +98,8 @@ def judge(
     ``rules`` are a parameter of a few entries; the longest that fits decides. Where none
     fits, the mined rule of highest lift decides (ties: confidence, support, then the antecedent), and
     without any, ``default``. ``mined`` is that rule's antecedent, else null. A rule must hold in
-    ``min_support`` of the labelled rows and in ``min_rows`` of them, so few labels give no rules.
+    ``min_rows`` labelled rows, so few labels give no rules and more rows take none away. ``min_support``, a share
+    of the labelled rows, is a further threshold for those who want one.
 
     ``labels`` (page_id, label) hold "block" or "allow" for some pages. Mined rules are matched by
     an inverted index: every rule is listed under its rarest token, the distinct token sets are
@@ -121,7 +121,7 @@ def judge(
     if n < min_rows:
         found = split.withColumn("_best", F.lit(None).cast("struct<verdict:string,antecedent:array<string>>"))
     else:
-        index = mine(labelled, max(min_support, min_rows / n), min_confidence)
+        index = mine(labelled, max(min_support, (min_rows - 0.5) / n), min_confidence)  # FPGrowth rounds up to rows
         sets = split.where(F.col("_fit").isNull()).select("_tokens").distinct()
         hits = (
             sets.withColumn("token", F.explode("_tokens"))

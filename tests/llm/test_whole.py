@@ -2,7 +2,7 @@
 
 import random
 
-from clipwise.llm import lm
+from clipwise.llm import lm, url_rules
 from pyspark.sql import functions as F
 
 
@@ -25,3 +25,11 @@ def test_lm_factors_grow_with_the_input(spark, monkeypatch):
         docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + k) % words}q" for k in range(words))) for i in range(20)], "doc_id long, text string")
         lm.score_texts(docs, F.lit(False), lm.Settings(head=10, rest=8)).count()
     assert [f.where("name is not null").count() for f in made] == [90, 390]
+
+
+def test_url_rules_stay_as_the_table_grows(spark):
+    for others in (100, 12_000):
+        urls = [f"http://rare.org/pills/{i}" for i in range(20)] + [f"http://good.org/news/{i}" for i in range(others)]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        labels = pages.select("page_id", F.when(F.col("page_id") < 20, "block").otherwise("allow").alias("label"))
+        assert url_rules.judge(pages, labels).where("verdict = 'block'").count() == 20
