@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import table
+from .common import materialize, table
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -81,15 +81,17 @@ GRAMMAR = (
 
 @dataclass
 class Model:
-    """Words and word beginnings of the insult class with their weights, and a logistic fit."""
+    """Words and word beginnings of the insult class with their weights, and a logistic fit over clause scores."""
 
     insults: dict[str, float]
-    coef: np.ndarray = field(default_factory=lambda: np.array([-3.0, 0.8, 0.2, 0.5, 0.1]))
-    center: np.ndarray = field(default_factory=lambda: np.zeros(4))
-    scale: np.ndarray = field(default_factory=lambda: np.ones(4))
+    coef: np.ndarray = field(default_factory=lambda: np.array([-3.0, 1.0, 0.5, 2.0]))
+    center: np.ndarray = field(default_factory=lambda: np.zeros(3))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(3))
 
 
 class Scorer:
+    """Runs the grammar over texts. Known tokens are held, and forgotten between texts once they are ``cache`` many."""
+
     def __init__(self, model: Model, cache: int = 300_000) -> None:
         self.model, self.limit = model, cache
         self.table = GRAMMAR.table()
@@ -100,8 +102,6 @@ class Scorer:
         self.weights: dict[str, float] = {}
 
     def _class(self, token: str) -> int:
-        if len(self.classes) > self.limit:
-            self.classes.clear()
         kind = END if token in ENDS else self.fixed.get(token, OTHER)
         if kind == OTHER:
             for n in range(min(self.longest, len(token)), self.shortest - 1, -1):
@@ -111,28 +111,38 @@ class Scorer:
         self.classes[token] = kind
         return kind
 
-    def features(self, text: str | None) -> list[float]:
-        """Sum and maximum of the clause scores, log of the matches, and matches for 100 words; all 0 without a match."""
+    def clauses(self, text: str | None) -> tuple[list[float], int]:
+        """What the composed transducer gives each clause that it matches (one with an insult, or a threat to a target), and how many clauses there are."""
+        if len(self.classes) > self.limit:
+            self.classes.clear()
+            self.weights.clear()
         tokens = TOKEN.findall((text or "").lower())
         get, new = self.classes.get, self._class
         codes = bytes([c if (c := get(t)) is not None else new(t) for t in tokens])
-        words = len(codes) - codes.count(END)
-        total = most = hits = 0.0
+        out: list[float] = []
+        count = a = 0
         if INSULT in codes or THREAT in codes:
-            a = 0
             for part in codes.split(bytes([END])):
+                count += bool(part)
                 if INSULT in part or THREAT in part:
                     state, score = 0, 0.0
                     for i, c in enumerate(part, a):
                         state, scale, bonus = self.table[state][c]
                         if c == INSULT:
                             score += scale * self.weights[tokens[i]]
-                            hits += 1
                         score += bonus
-                    total += score
-                    most = max(most, score)
+                    if score > 0:
+                        out.append(score)
                 a += len(part) + 1
-        return [total, most, math.log1p(hits), 100 * hits / (words + 20)]
+        return out, count
+
+    def features(self, text: str | None) -> list[float]:
+        """The log of the clause scores' sum, the best one, and the share of clauses that match, beside 10 that don't; all 0 without a match.
+
+        Nothing but matched clauses enters: a word counts only by what the grammar makes of its clause.
+        """
+        found, count = self.clauses(text)
+        return [math.log1p(sum(found)), max(found, default=0.0), len(found) / (count + 10)]
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         m = self.model
@@ -140,69 +150,66 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _stem_counts(least: int, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, words = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
-        total = {0: 0, 1: 0}
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own: Counter = Counter()
-                found = Counter(t for t in TOKEN.findall((text or "").lower()) if t not in ENDS)
-                for word, n in found.items():
-                    for i in range(least, min(longest, len(word)) + 1):
-                        own[word[:i]] += n
-                docs[toxic].update(own.keys())
-                words[toxic].update({k: min(n, 5) for k, n in own.items()})
-                total[toxic] += found.total()
-        stems = [*(docs[0].keys() | docs[1].keys()), ""]
-        docs[0][""], docs[1][""], words[0][""], words[1][""] = 0, 0, total[0], total[1]
-        for a in range(0, len(stems), 50_000):
-            part = stems[a : a + 50_000]
-            cols = [part, *([x[s] for s in part] for x in (docs[1], docs[0], words[1], words[0]))]
-            yield pa.record_batch(cols, ["stem", "toxic_docs", "clean_docs", "toxic_words", "clean_words"])
-
-    return count
-
-
-def learn_insults(labelled: DataFrame, *, least: int = 3, longest: int = 10, min_docs: int = 3, min_gain: float = 20.0, most: int = 400) -> dict[str, float]:
+def stems(word: str, least: int = 3, longest: int = 10) -> list[str]:
+    """A word's beginnings of ``least`` to ``longest`` characters, and the word itself, however long."""
+    out = [word[:i] for i in range(least, min(longest, len(word)) + 1)]
+    return out if len(word) <= longest else [*out, word]
+
+
+def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per stem the documents that have it and the sum of log2(1 + its occurrences in one), by label; the empty stem has the totals."""
+    docs, seen = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
+    for batch in batches:
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            own: Counter = Counter()
+            for word, n in Counter(t for t in TOKEN.findall((text or "").lower()) if t not in ENDS).items():
+                seen[toxic][""] += math.log2(1 + n)
+                for s in stems(word):
+                    own[s] += n
+            docs[toxic].update(own.keys())
+            for s, n in own.items():
+                seen[toxic][s] += math.log2(1 + n)
+    every = list(seen[0].keys() | seen[1].keys())
+    for a in range(0, len(every), 50_000):
+        part = every[a : a + 50_000]
+        cols = [[x[s] for s in part] for x in (docs[1], docs[0])] + [[float(x[s]) for s in part] for x in (seen[1], seen[0])]
+        yield pa.record_batch([part, *cols], ["stem", "toxic_docs", "clean_docs", "toxic", "clean"])
+
+
+def learn_insults(labelled: DataFrame, *, min_docs: int = 3, min_gain: float = 20.0, min_lift: float = 2.5) -> dict[str, float]:
     """Word beginnings that mark toxic rows, with log ratios of their rates as weights.
 
-    ``labelled`` has text and toxic (0 or 1). A stem is kept for the G-statistic of its occurrences (at most 5 of a
-    document count), best first, unless it begins or is begun by one that is kept already; of equal ones the longest
-    stays. Returns at most ``most`` stems, so the lexicon that is sent to the executors is bounded.
+    ``labelled`` has text and toxic (0 or 1). A stem is kept for the G-statistic of its occurrences (log2(1 + n) for
+    n in one document), best first, unless it begins or is begun by one that is kept already; of equal ones the longest
+    stays. All that reach ``min_gain`` are kept; as the labelled rows are bounded (see ``fit``), so are the stems.
     """
-    schema = "stem string, toxic_docs long, clean_docs long, toxic_words long, clean_words long"
-    counted = labelled.mapInArrow(_stem_counts(least, longest), schema).groupBy("stem").agg(
-        *[F.sum(c).alias(c) for c in ("toxic_docs", "clean_docs", "toxic_words", "clean_words")]
-    )
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return {}
+    schema = "stem string, toxic_docs long, clean_docs long, toxic double, clean double"
+    counted = labelled.mapInArrow(_stem_counts, schema).groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("toxic_docs", "clean_docs", "toxic", "clean")])
+    counted = materialize(counted.where(f"toxic_docs >= {min_docs} or stem = ''"), "stems")
     totals = counted.where("stem = ''").first()
-    t1, t0 = float(totals["toxic_words"] + 1), float(totals["clean_words"] + 1)
-    a, b = F.col("toxic_words").cast("double"), F.col("clean_words").cast("double")
-    part = lambda k, share: F.when(k > 0, k * F.log(k / ((a + b) * share))).otherwise(0.0)
-    gain = 2 * (part(a, t1 / (t1 + t0)) + part(b, t0 / (t1 + t0)))
-    good = (F.col("toxic_docs") >= min_docs) & (F.col("toxic_docs") * n0 > F.col("clean_docs") * n1 * 2.5)
+    t1, t0 = (totals["toxic"] + 1, totals["clean"] + 1) if totals else (1.0, 1.0)
+    part = lambda k, share: F.when(k > 0, k * F.log(k / ((F.col("toxic") + F.col("clean")) * share))).otherwise(0.0)
+    good = (F.col("toxic_docs") * n0 > F.col("clean_docs") * n1 * min_lift)
     rows = (
         counted.where((F.col("stem") != "") & good)
-        .withColumn("gain", gain)
+        .withColumn("gain", F.round(2 * (part(F.col("toxic"), t1 / (t1 + t0)) + part(F.col("clean"), t0 / (t1 + t0))), 6))
         .where(F.col("gain") >= min_gain)
         .orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem")
-        .limit(10 * most)
         .collect()
     )
     kept: dict[str, float] = {}
     begun: set[str] = set()  # proper beginnings of those kept
     for r in rows:
         s = r["stem"]
-        if s in begun or any(s[:i] in kept for i in range(least, len(s))):
+        begins = stems(s)[:-1]
+        if s in begun or any(x in kept for x in begins):
             continue
-        kept[s] = math.log((r["toxic_words"] + 0.5) / (totals["toxic_words"] + 1)) - math.log((r["clean_words"] + 0.5) / (totals["clean_words"] + 1))
-        begun.update(s[:i] for i in range(least, len(s)))
-        if len(kept) == most:
-            break
+        kept[s] = math.log((r["toxic"] + 0.5) / t1) - math.log((r["clean"] + 0.5) / t0)
+        begun.update(begins)
     return kept
 
 
@@ -232,7 +239,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, seed:
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     share = min(1.0, max_labelled / max(1, known.count()))
     picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    labelled = docs.join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    tasks = docs.sparkSession.sparkContext.defaultParallelism
+    labelled = materialize(docs.join(F.broadcast(picked), "doc_id").select("text", "toxic").repartition(tasks), "labelled")
     model = Model({w: SEED_WEIGHT for w in SEEDS[INSULT].split()})
     model.insults |= learn_insults(labelled)
 
@@ -253,8 +261,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, seed:
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Adds ``score`` (0 to 1) to every row; only the text counts, all of it.
 
-    A null text is an empty one, and gets the model's score for no words. Rows are kept
-    as they are, repeated ones too; a column named ``score`` is replaced.
+    A null text is an empty one, and gets the model's score for no matched clause, as do all texts without one. Rows are kept
+    as they are, repeated ones too; an empty table gives no rows; a column named ``score`` is replaced. Time and memory are
+    linear in a text.
     """
     docs = docs.drop("score")
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
