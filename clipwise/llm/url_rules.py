@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, materialize, table
 
 #: Fixed values of the contract: (verdict, host, path).
 RULES = (
@@ -56,30 +57,54 @@ def url_tokens(host: Column, path: Column, query: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(hosts, paths, F.transform(keys, lambda x: F.concat(F.lit("q:"), x)))))
 
 
-def mine(labelled: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
-    """Rules from ``tokens`` to ``label``, mined by FP-growth over all labelled rows.
+def classes_of(labelled: DataFrame, min_rows: int) -> DataFrame:
+    """token, class, freq: tokens of ``min_rows`` labelled rows, those that stand in the same rows under one class.
 
-    Returns antecedent, verdict, confidence, lift, support and ``token``, the rule's rarest token,
-    by which it is indexed. An itemset must hold in ``min_support`` of the rows.
+    FP-growth would list every subset of such tokens with the same support and confidence, 2**k itemsets for k tokens; as
+    one item they give one. A url has a class if it has any of its tokens, which is what the single-token rules among
+    those subsets say, so no rule is lost. Row sets are compared by their size and two 64-bit sums of row hashes.
     """
-    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("y:"), "label"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    rules = model.associationRules.where(
-        F.col("consequent")[0].startswith("y:") & ~F.exists("antecedent", lambda x: x.startswith("y:"))
-    ).select(
+    row = F.xxhash64("page_id", "tokens")
+    each = labelled.select(row.alias("h"), F.explode("tokens").alias("token"))
+    told = each.groupBy("token").agg(F.count("*").alias("freq"), F.bit_xor("h").alias("x"), F.sum(F.shiftrightunsigned("h", 24)).alias("s"))
+    told = told.where(F.col("freq") >= min_rows)
+    first = told.groupBy("freq", "x", "s").agg(F.min("token").alias("class"))
+    return told.join(first, ["freq", "x", "s"]).select("token", "class", "freq")
+
+
+def mine(labelled: DataFrame, classes: DataFrame, min_rows: float, min_confidence: float = 0.0, alpha: float = 0.05) -> DataFrame:
+    """Rules from sets of token classes to ``label``, mined by FP-growth over all labelled rows.
+
+    ``labelled`` has page_id, tokens and label. Returns antecedent, verdict, confidence, lift, rows (that the antecedent and
+    the verdict share), z and ``class``, the rule's rarest one, by which it is indexed. A rule must hold in ``min_rows`` rows,
+    and its confidence must lie above its label's share of all rows by more than chance: z, by how many standard
+    deviations it does, must pass the normal quantile of ``alpha`` over the number of candidate rules (Bonferroni).
+    So a rare label gets rules as soon as its rate rises, and labels that have nothing to do with urls get none.
+    """
+    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n = sum(counts.values())
+    each = labelled.select("page_id", "tokens", "label", F.explode("tokens").alias("token")).join(classes.select("token", "class"), "token")
+    items = each.groupBy("page_id", "tokens", "label").agg(F.collect_set("class").alias("items"))
+    items = items.select(F.concat("items", F.array(F.concat(F.lit("y:"), "label"))).alias("items"))
+    items = materialize(items, "url-items")
+    model = FPGrowth(itemsCol="items", minSupport=min((min_rows - 0.5) / n, 1.0), minConfidence=min_confidence).fit(items)
+    rules = model.associationRules.where(F.col("consequent")[0].startswith("y:") & ~F.exists("antecedent", lambda x: x.startswith("y:")))
+    base = F.element_at(F.create_map(*[F.lit(x) for y, k in counts.items() for x in (y, k / n)]), F.col("verdict"))
+    shown = F.round(F.col("support") * n).cast("long")
+    rules = rules.select(
         F.array_sort("antecedent").alias("antecedent"),
-        F.substring(F.col("consequent")[0], 3, 99).alias("verdict"),
+        F.expr("substring(consequent[0], 3)").alias("verdict"),
         "confidence",
         "lift",
-        "support",
-    )
-    each = rules.withColumn("token", F.explode("antecedent")).join(single, "token")
+        shown.alias("rows"),
+    ).withColumn("z", F.try_divide(F.col("confidence") - base, F.sqrt(base * (1 - base) / (F.col("rows") / F.col("confidence")))))
+    rules = materialize(rules, "url-rules")
+    least = NormalDist().inv_cdf(1 - alpha / max(1, rules.count()))
+    single = classes.groupBy("class").agg(F.first("freq").alias("freq"))
+    each = rules.where(F.col("z") >= least).withColumn("class", F.explode("antecedent")).join(single, "class")
     return each.groupBy("antecedent", "verdict").agg(
-        F.first("confidence").alias("confidence"),
-        F.first("lift").alias("lift"),
-        F.first("support").alias("support"),
-        F.min_by("token", F.struct("freq", "token")).alias("token"),
+        *[F.first(c).alias(c) for c in ("confidence", "lift", "rows", "z")],
+        F.min_by("class", F.struct("freq", "class")).alias("class"),
     )
 
 
@@ -88,26 +113,28 @@ def judge(
     labels: DataFrame,
     *,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    min_support: float = 0.0,
-    min_confidence: float = 0.5,
+    min_confidence: float = 0.0,
     min_rows: int = 20,
+    alpha: float = 0.05,
     default: str = "allow",
+    broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Adds ``host``, ``path``, ``rule``, ``verdict`` and ``mined`` to every row of ``pages``.
 
     ``rules`` are a parameter of a few entries; the longest that fits decides. Where none
-    fits, the mined rule of highest lift decides (ties: confidence, support, then the antecedent), and
-    without any, ``default``. ``mined`` is that rule's antecedent, else null. A rule must hold in
-    ``min_rows`` labelled rows, so few labels give no rules and more rows take none away. ``min_support``, a share
-    of the labelled rows, is a further threshold for those who want one.
+    fits, the most significant mined rule that matches decides (highest z; ties: confidence, rows, verdict, then the
+    antecedent), and without any, ``default``. ``mined`` is that rule's antecedent, else null. See ``mine`` for the pruning by
+    ``min_rows``, ``min_confidence`` and ``alpha``: evidence is counted in rows, so more rows take no rule away.
 
-    ``labels`` (page_id, label) hold "block" or "allow" for some pages. Mined rules are matched by
-    an inverted index: every rule is listed under its rarest token, the distinct token sets are
-    exploded and joined with it, and the other tokens of a rule are tested in place. Urls with the same
-    tokens are judged once, so a host with a third of all rows costs no more than another.
+    ``labels`` (page_id, label) hold "block" or "allow" for some pages; null labels are left out. Mined rules are matched by
+    an inverted index: every rule is listed under its rarest token class, the distinct token sets are
+    exploded and joined with it, and the other classes of a rule are tested in place. Urls with the same
+    tokens are judged once; pages meet the written verdicts by broadcast if these are few, else by a join of two plain
+    shuffles, whose hot keys AQE splits.
 
     A null url, or one without ``://``, has no tokens and gets the default; empty tables and
-    tables without labels work. Columns named like an output are replaced; rows keep their number.
+    tables without labels work. Columns named like an output are replaced; rows, repeated ones too, keep their number. The
+    cost of a url is linear in its length but for the rules that its tokens match.
     """
     added = ("host", "path", "rule", "verdict", "mined")
     host, path, query = parts(F.col("url"))
@@ -115,22 +142,26 @@ def judge(
     split = split.withColumn("_fit", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn(
         "_tokens", url_tokens(F.col("host"), F.col("path"), F.col("_query"))
     )
-    labelled = split.join(labels.select("page_id", "label"), "page_id").select(F.col("_tokens").alias("tokens"), "label")
+    labelled = materialize(
+        split.select("page_id", F.col("_tokens").alias("tokens")).join(labels.where("label is not null").select("page_id", "label"), "page_id"), "url-labels"
+    )
     keep = [c for c in pages.columns if c not in added]
-    n = labelled.count()
-    if n < min_rows:
+    if labelled.isEmpty():
         found = split.withColumn("_best", F.lit(None).cast("struct<verdict:string,antecedent:array<string>>"))
     else:
-        index = mine(labelled, max(min_support, (min_rows - 0.5) / n), min_confidence)  # FPGrowth rounds up to rows
+        classes = materialize(classes_of(labelled, min_rows), "url-classes")
+        index = mine(labelled, classes, min_rows, min_confidence, alpha)
         sets = split.where(F.col("_fit").isNull()).select("_tokens").distinct()
+        sets = sets.withColumn("token", F.explode("_tokens")).join(classes.select("token", "class"), "token")
+        sets = sets.groupBy("_tokens").agg(F.collect_set("class").alias("_classes"))
         hits = (
-            sets.withColumn("token", F.explode("_tokens"))
-            .join(index, "token")
-            .where(F.size(F.array_except("antecedent", "_tokens")) == 0)
+            sets.withColumn("class", F.explode("_classes"))
+            .join(index, "class")
+            .where(F.size(F.array_except("antecedent", "_classes")) == 0)
         )
-        order = F.struct("lift", "confidence", "support", "antecedent")
-        best = hits.groupBy("_tokens").agg(F.max_by(F.struct("verdict", "antecedent"), order).alias("_best"))
-        found = split.join(best, "_tokens", "left")
+        order = F.struct("z", "confidence", "rows", "verdict", "antecedent")
+        best = materialize(hits.groupBy("_tokens").agg(F.max_by(F.struct("verdict", "antecedent"), order).alias("_best")), "url-verdicts")
+        found = split.join(F.broadcast(best) if best.count() <= broadcast_rows else best, "_tokens", "left")
     return found.select(
         *keep,
         "host",
