@@ -131,33 +131,100 @@ it costs $45.00 plus 8% tax
 http://example.com/a/12345?id=678 is the link
 the 3rd and the 22nd were best
 0 1 2 3 4 5 6 7 8 9 10
+reach me at {email:jane (at) example (dot) com} any day
+write {email:bob (at) mail.example.org} to join
+it is {email:k.lee [at] example [dot] net} , she says
+ask {email:ana [at] correo.example.es} for more
+send to {email:tom at example dot com} before noon
+mail {email:rita dot b at example dot org} please
+contact {email:lars(at)example.com} or come by
+der kontakt ist {email:uwe (at) beispiel (punkt) de} heute
+escribe a {email:eva (arroba) ejemplo (punto) es} hoy
+mail {email:jo_7 (at) mail2 (dot) example (dot) com} now
+we met at the station and left
+look at the dot on the map
+a dot at the end of line 3
+she was at home (at last) with us
+stay at example street 12 until may
+put the dot com bubble behind you
+meet me at noon , dot the i
+an error [at line 12] was raised
+pay by {card:4111.1111.1111.1111} at once
+card {card:4012/8888/8888/1881} was used
+visa {card:5500_0000_0000_0004} is blocked
+amex {card:3782.822463.10005} has expired
+nummer {card:4532.0151.1283.0366} gesperrt
+the sum 4111.1111.1111.1112 is wrong
+part 1234.5678.9012.3456 is out of stock
+file 2019_0412_1530_0001 was lost
+call {phone:212-555-0147} after nine
+desk {phone:(212) 555-0147} is open
+ring {phone:020 7946 0958} please
+tel {phone:030/901820} im haus
+telefon {phone:0171 2345678} ab acht
+phone {phone:0049 30 901820} office
+call {phone:555-0147} now
+cell {phone:415.555.2671} only
+fax {phone:089 / 636 480} works
+tel {phone:01 70 18 99 00} le matin
+llame {phone:912 345 678} hoy
+number {phone:415-555-2671} or come
+the score was 212-555 at the end
+in 2019 7946 people came
+from 10 to 20 , 30 at most
+rooms 020 and 7946 are free
+size 30/90 fits best
+dates 01.05.2019 and 03/04/2021 are free
+it was 1984-12-31 or 31-12-1984
+ratio 16/9 or 4/3 , not 21/9
+ids 4021-77 and 99-1203 are old
+between 100-200 and 300-400 units
+route 66 and 101 , exit 25
+the years 2001 2002 2003 2004 were dry
 """
 
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _MARK = re.compile(r"\{(\w+):([^}]*)\}")
 _WORD = re.compile(r"\S+")
 _EDGE = re.compile(r"^[^\w+(]+|[^\w)]+$")
+#: Words that stand for @ and . in a mail address that is spelled out.
+_AT, _DOT = frozenset(("at", "arroba", "chez")), frozenset(("dot", "punto", "punkt", "point"))
 _OF = str.maketrans({**{c: "9" for c in "0123456789"}, **{chr(c): "x" for c in range(97, 123)}, **{chr(c): "X" for c in range(65, 91)}})
 _RUN = re.compile(r"(.)\1+")
 
 
-@lru_cache(maxsize=100_000)
-def shape(word: str) -> str:
-    """Letters x or X, digits 9, other letters x, other marks as they are; runs once."""
+_ALTERNATE = re.compile(r"(?:9x){2,}|(?:x9){2,}|(?:9X){2,}|(?:X9){2,}")
+
+
+def _shape(word: str) -> str:
+    if (bare := word.lower().strip("()[]{}")) in _AT or bare in _DOT:
+        return ("AT" if bare in _AT else "DOT") + ("()" if bare != word.lower() else "")
     s = "".join(c if c < "\x80" else "x" if c.isalnum() else "#" for c in word.translate(_OF))
-    return _RUN.sub(r"\1", s)[:24]
+    return _ALTERNATE.sub(lambda m: m[0][:2], _RUN.sub(r"\1", s))
+
+
+_kept_shape = lru_cache(maxsize=100_000)(_shape)
+
+
+def shape(word: str) -> str:
+    """Letters x or X, digits 9, other letters x, other marks as they are; runs once, and so letters that alternate with digits.
+
+    Words for @ and . in spelled-out addresses are shapes of their own, AT and DOT, with () in brackets.
+    """
+    return _kept_shape(word) if len(word) <= 64 else _shape(word)
 
 
 def _one(word: str) -> list[str]:
     digits = _digits(word)
     s = shape(word)
-    out = [f"s={s}", f"n={min(len(digits), 20)}", f"k={'9' in s}{'x' in s.lower()}"]
+    groups = "-".join(str(len(g)) for g in re.findall("[0-9]+", word)) if len(word) <= 64 else "long"
+    out = [f"s={s}", f"n={len(digits)}", f"k={'9' in s}{'x' in s.lower()}", f"g={s}|{groups}", f"z={s}|{word[:1] == '0'}"]
     if "@" in word:
         user, _, host = word.partition("@")
         out.append(f"at={bool(user)}{bool(re.fullmatch(r'[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+', host))}")
     if s == "9.9.9.9":
         out.append(f"ip={all(len(p) <= 3 and int(p) <= 255 for p in word.split('.'))}")
-    if 12 <= len(digits) <= 19 and set(s) <= set("9-"):
+    if 12 <= len(digits) <= 19 and set(s) <= set("9-./_"):
         out.append(f"luhn={luhn(digits)}")
     return out
 
@@ -166,7 +233,7 @@ def features(words: list[str]) -> list[list[str]]:
     """Shape features of each word, and the shapes around it."""
     own = [_one(w) for w in words]
     shapes = ["<", *(shape(w) for w in words), ">"]
-    digits = ["", *(str(min(5, sum(c.isdigit() for c in w))) for w in words), ""]
+    digits = ["", *(str(len(_digits(w))) for w in words), ""]
     return [
         [*f, f"p={shapes[i]}", f"q={shapes[i + 2]}", f"ps={shapes[i]}|{shapes[i + 1]}", f"sq={shapes[i + 1]}|{shapes[i + 2]}", f"dq={digits[i + 1]}|{digits[i + 2]}|{shapes[i + 1]}"]
         for i, f in enumerate(own)
@@ -282,12 +349,12 @@ def trained() -> CRF:
     return CRF().train(examples())
 
 
-_SPECIAL = re.compile(r"[0-9@]")
-AROUND = 3
+_SPECIAL = re.compile(r"[0-9@]|[(\[{](?:at|arroba|chez|dot|punto|punkt|point)[)\]}]|(?<!\S)dot(?!\S)", re.I)
+AROUND = 5
 
 
 def _windows(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of words (start, end without outer marks) around words with a digit or an @.
+    """Runs of words (start, end without outer marks) around words with a digit, an @ or a word for @ or a dot.
 
     Elsewhere every word is a plain one, whose best tag is O whatever stands AROUND words away.
     """
@@ -357,15 +424,13 @@ def all_spans(texts: list[str], model: CRF) -> list[tuple[list[Span], list[Span]
     return out
 
 
+_SPELLED = re.compile(r"\S\s*(?:@|[(\[{](?:at|arroba|chez)[)\]}]|\s(?:at|arroba|chez)\s)\s*\S.*?(?:\.|[(\[{](?:dot|punto|punkt|point)[)\]}]|\s(?:dot|punto|punkt|point)\s)\s*\S", re.I | re.S)
+
+
 def _plausible(s: str, kind: int) -> bool:
-    """What a span of the kind must have at least; the model decides among those that do."""
-    digits = _digits(s)
-    return (
-        "@" in s[1:-1] and "." in s.partition("@")[2],
-        s.count(".") == 3 and len(digits) >= 4,
-        12 <= len(digits) <= 19 and luhn(digits),
-        7 <= len(digits) <= 15 and s[0] in "+(",
-    )[kind]
+    """Whether a span could be of its kind at all: a mail address has an @ and a dot or words for them, others enough digits."""
+    digits = len(_digits(s))
+    return (bool(_SPELLED.search(s)), s.count(".") >= 3 and digits >= 4, 12 <= digits <= 19, 7 <= digits <= 15)[kind]
 
 
 SPAN_TYPE = ArrayType(StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())]))
@@ -375,8 +440,10 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``base`` and ``spans``, arrays of (kind, start, end), to every row.
 
     Offsets count code points, ends are exclusive, order is by start, then kind. ``base`` are the patterns'
-    spans; ``spans`` are those and what the model adds. Whole texts are read, in one pass and without a shuffle;
-    every step is linear in the text. A null text is an empty one. Columns named ``base`` or ``spans`` are replaced.
+    spans; ``spans`` are those and what the model adds: spelled-out mail addresses, local phone numbers, cards grouped by other
+    marks. Whole texts are read, in one pass and without a shuffle; every step is linear in the text, also of a very long one.
+    A null text is an empty one and has no spans. Repeated rows get equal results each, an empty table gives no rows.
+    Columns named ``base`` or ``spans`` are replaced.
     """
     docs = docs.drop("base", "spans")
     schema = StructType([*docs.schema.fields, StructField("base", SPAN_TYPE), StructField("spans", SPAN_TYPE)])
@@ -395,7 +462,11 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Every row with its spans replaced by their kind in brackets; overlapping spans become one. Null stays null."""
+    """Every row with its spans replaced by their kind in brackets; overlapping spans become one.
+
+    Null stays null, empty stays empty, repeated rows are changed alike, an empty table gives no rows; whole texts are read,
+    and the other columns, whatever their names, stay as they are.
+    """
     model = trained()
     schema = docs.schema
 
