@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -23,14 +24,28 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's scratch tables, in the one that ``spark.checkpoint.dir`` names and all executors share.
 
-    The session names it in ``spark.checkpoint.dir``; only where that is unset, as in tests, a
-    folder of our own is used.
+    Only in local mode, where one machine is all there is, a folder of our own stands in for an unset one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/clipwise-checkpoints"
-    return f"{root.rstrip('/')}/clipwise/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"{tempfile.gettempdir()}/clipwise-checkpoints"
+    return f"{root.rstrip('/')}/clipwise/{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path for a scratch table. Results read from these, so they stay until ``drop_scratch``."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Deletes this application's scratch tables; for the end of a run, when all results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -62,15 +77,24 @@ def grouped_batches(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+def _lowest(df: DataFrame, column: Column, write: bool) -> DataFrame:
+    """a and m, the least of ``column``, for every node a of ``df``."""
+    low = df.groupBy("a").agg(column.alias("m"))
+    return materialize(low, "lowest") if write else low
+
+
+def connected_components(edges: DataFrame, name: str = "components", *, split_edges: int = 10_000) -> DataFrame:
     """Components of an undirected graph by alternating large-star and small-star rounds.
 
     ``edges`` has two long columns ``a`` and ``b``; repeated edges, loops and edges in either
     direction are allowed, rows with a null are ignored. Returns ``node`` and ``component`` (the
     component's smallest node) for every node that has an edge. Each round is two
     aggregations over the edges and is written to the shared folder, so nothing is gathered on
-    the driver and a lost executor costs one round. Hot nodes are pre-aggregated before the
-    shuffle.
+    the driver and a lost executor costs one round.
+
+    Hot nodes are pre-aggregated before the shuffle. Edges then meet their node's minimum; from ``split_edges`` edges on the
+    minima are written first, so that the join is one of two plain shuffles, whose hot keys AQE splits (a join in the stage
+    of the aggregation isn't split).
     """
     edges = materialize(
         edges.where("a is not null and b is not null and a <> b")
@@ -78,11 +102,12 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         .distinct(),
         name,
     )
-    before = None
-    while True:
+    before, n = None, edges.count()
+    while n:
+        write = n >= split_edges
         # Large star: every larger neighbour of a node points to its smallest neighbour.
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = _lowest(both, F.least(F.min("b"), F.col("a")), write)
         large = (
             both.join(low, "a")
             .where("b > a")
@@ -90,8 +115,9 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             .where("a <> b")
             .distinct()
         )
+        large = materialize(large, "large-star") if write else large
         # Small star: a node and its smaller neighbours point to the smallest of them.
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = _lowest(large, F.min("b"), write)
         small = (
             large.join(low, "a")
             .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
@@ -100,10 +126,10 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             .distinct()
         )
         edges = materialize(small, name)
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
+        n, total = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if (n, total) == before:
             break
-        before = now
+        before = n, total
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -328,7 +328,8 @@ def representative_links(
         F.coalesce(F.max(F.when(F.col("of") < F.col("band"), F.col("slices"))), F.lit(0)).alias("below"),
         F.coalesce(F.max(F.when(F.col("of") > F.col("band"), F.col("slices"))), F.lit(0)).alias("above"),
     )
-    plan = sized.join(near, ["cluster", "band"], "left").fillna(0, ["below", "above"])
+    # Written, so that sets meet their cluster's plan in a join of two plain shuffles, which AQE splits where a cluster is hot.
+    plan = materialize(sized.join(near, ["cluster", "band"], "left").fillna(0, ["below", "above"]), "tile-plan")
     mine = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
     key = lambda *c: F.xxhash64("cluster", *c)
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
