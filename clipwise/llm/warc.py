@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table
+from .common import materialize, scratch, table
 
 #: Fixed values of the WARC 1.1 and base32 formats.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -28,41 +29,82 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*five), HEX32, BASE32)
 
 
-def resolve(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Adds payload, payload_bytes, payload_digest, record_type and refers_to to every page.
+def _rows(pages: DataFrame) -> DataFrame:
+    return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumns(
+        {"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))}
+    )
+
+
+KEYS = ["payload_digest", "payload_bytes"]
+HEAD = [*KEYS, "page_id", "url", "record_type", "refers_to", "refers_url", "copy"]
+
+
+def _who() -> Column:
+    """What orders records of equal payloads: page_id, null last, then the url."""
+    return F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.col("url").isNull().alias("bare"), "url")
+
+
+def resolve(pages: DataFrame, min_bytes: int = 0, *, broadcast_rows: int = 200_000) -> DataFrame:
+    """One record per page: HEAD's columns, and the payload of responses (null for revisits).
 
     Of rows with equal payloads of at least ``min_bytes`` the one with the smallest page_id (null
-    last; among repeated ids the first read) is the response and the others revisit it. Only
-    digests are aggregated, partially before the shuffle; pages then meet the table
-    of one row per digest, so a payload that a third of the rows share is an ordinary skewed join.
-    A null html is an empty payload.
+    last, then the smallest url) is the response and the others revisit it; smaller ones are all responses. A null html is an
+    empty payload.
+
+    Only headers are shuffled: digest, size, page_id and url, rows that repeat all four as one with a count. Their first is
+    found by digest, with partial aggregation. A revisit is written from its header alone. Payloads stay where they were
+    read: digests that occur more than once are broadcast to them if they are at most ``broadcast_rows`` (about 150
+    bytes each), else both are shuffled by digest, and what isn't its digest's first is dropped. Headers and
+    firsts are written tables, so that both joins are of plain shuffles, whose hot digests AQE splits. Where
+    the first itself is repeated, one of its equal rows is kept, by an aggregation of those rows.
     """
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumns(
-        {
-            "payload_bytes": F.octet_length("payload").cast("long"),
-            "payload_digest": base32_sha1(F.col("payload")),
-            "_row": F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.monotonically_increasing_id().alias("at")),
-        }
-    )
-    keys = ["payload_digest", "payload_bytes"]
-    firsts = rows.groupBy(*keys).agg(F.min("_row").alias("_first"))
-    revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("_row").eqNullSafe(F.col("_first"))
-    return rows.join(firsts, keys).select(
+    rows = _rows(pages)
+    large = F.col("payload_bytes") >= min_bytes
+    heads = materialize(rows.where(large).groupBy(*KEYS, "page_id", "url").agg(F.count("*").alias("n")), "warc-headers")
+    firsts = heads.groupBy(*KEYS).agg(F.min(_who()).alias("_first"), F.min_by("n", _who()).alias("_same"), F.sum("n").alias("_all"))
+    firsts = materialize(firsts.where("_all > 1").drop("_all"), "warc-firsts")
+    n, most = firsts.agg(F.count("*"), F.max("_same")).first()
+    few = F.broadcast(firsts) if n <= broadcast_rows else firsts
+    first = _who().eqNullSafe(F.col("_first"))
+    if n:
+        revisits = heads.join(few, KEYS).withColumn("_left", F.col("n") - first.cast("long")).where("_left > 0")
+        revisits = revisits.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "_left").cast("array<string>"))).select(
+            *KEYS,
+            "page_id",
+            "url",
+            F.lit("revisit").alias("record_type"),
+            F.col("_first.page_id").alias("refers_to"),
+            F.col("_first.url").alias("refers_url"),
+            "copy",
+            F.lit(None).cast("string").alias("payload"),
+        )
+    kept = rows.join(few, KEYS, "left").where(F.col("_first").isNull() | first)
+    if (most or 1) > 1:
+        kept = kept.where("_same is null or _same = 1").unionByName(kept.where("_same > 1").dropDuplicates(KEYS))
+    responses = kept.select(
+        *KEYS,
         "page_id",
         "url",
+        F.lit("response").alias("record_type"),
+        F.lit(None).cast(pages.schema["page_id"].dataType).alias("refers_to"),
+        F.lit(None).cast("string").alias("refers_url"),
+        F.when(large, "0").otherwise(F.expr("uuid()")).alias("copy"),  # small rows may be equal, and nothing refers to them
         "payload",
-        *keys,
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_first.page_id")).alias("refers_to"),
     )
+    return responses.unionByName(revisits) if n else responses
+
 
+def _record_id(page: str, url: str, copy: Column) -> Column:
+    named = F.coalesce(F.col(page).cast("string"), F.lit("null")), F.md5(F.coalesce(url, F.lit("")))
+    return F.concat(F.lit("<urn:x-page:"), named[0], F.lit(":"), named[1], F.when(F.col(url).isNull(), "-").otherwise(":"), copy, F.lit(">"))
 
-def _record_id(c: Column) -> Column:
-    return F.concat(F.lit("<urn:x-page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
+
+def _line(c: str) -> Column:
+    return F.regexp_replace(c, r"[\r\n]", " ")
 
 
 def record(date: str = DATE) -> Column:
-    """The text of a record of ``resolve``'s rows, without the two line ends that close it."""
+    """The text of a record of ``resolve``'s rows, with the two line ends that close it."""
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.col("payload_bytes").cast("string"),
@@ -74,42 +116,61 @@ def record(date: str = DATE) -> Column:
         "\r\n",
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), "record_type"),
-        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"))),
+        F.concat(F.lit("WARC-Record-ID: "), _record_id("page_id", "url", F.col("copy"))),
         F.lit(f"WARC-Date: {date}"),
-        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]", " ")),
+        F.concat(F.lit("WARC-Target-URI: "), _line("url")),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), "payload_digest"),
         F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("refers_to")))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id("refers_to", "refers_url", F.lit("0")))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To-Target-URI: "), _line("refers_url"))),
+        F.when(revisit, F.lit(f"WARC-Refers-To-Date: {date}")),
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), length.cast("string")),
     )
-    return F.concat(head, F.lit("\r\n\r\n"), http, F.when(revisit, "").otherwise(F.col("payload")))
+    return F.concat(head, F.lit("\r\n\r\n"), http, F.when(revisit, "").otherwise(F.col("payload")), F.lit("\r\n\r\n"))
 
 
-def write_archives(resolved: DataFrame, path: str, records_per_file: int = 10_000) -> None:
-    """Writes gzipped archives. Executors write through Spark, so ``path`` may be any store.
+#: A gzip member of nothing, in Latin-1: the separator that Spark puts after each chunk of an archive, which readers skip.
+NOTHING = gzip.compress(b"", mtime=0).decode("latin-1")
 
-    Spark's line separator is the end of a WARC record, so a file is its records and nothing else.
-    """
-    resolved.select(record().alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option(
-        "maxRecordsPerFile", records_per_file
-    ).text(path)
 
+def write_archives(resolved: DataFrame, path: str, *, file_bytes: int = 64 << 20, chunk_bytes: int = 8 << 20) -> None:
+    """Writes archives of a gzip member for each record, so any record can be read from its offset alone.
 
-def records(archive: bytes, step: int = 1 << 16) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of every record of a gzipped archive, holding one record at a time."""
+    Members are put together in chunks of at most ``chunk_bytes`` (or one record, if that is larger), and a file is closed
+    when it has ``file_bytes`` of chunks. A task holds one chunk and one batch of records. Executors write through Spark,
+    so ``path`` may be any store.
+    """
+
+    def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                member = gzip.compress(value.as_buffer(), 6, mtime=0)
+                if held and size + len(member) > chunk_bytes:
+                    yield pa.record_batch([pa.array([b"".join(held)], pa.binary())], ["value"])
+                    held, size = [], 0
+                held.append(member)
+                size += len(member)
+        if held:
+            yield pa.record_batch([pa.array([b"".join(held)], pa.binary())], ["value"])
+
+    chunks = resolved.select(record().alias("value")).mapInArrow(zipped, "value binary").select(F.col("value").cast("string"))
+    chunks.write.option("lineSep", NOTHING).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", max(1, file_bytes // chunk_bytes)).text(path)
+
+
+def records(archive: bytes, step: int = 1 << 14) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and block of every record of a gzipped archive, of one member or many, holding one record at a time."""
     unzip, held, at = zlib.decompressobj(31), bytearray(), 0
 
     def more() -> bool:
         nonlocal unzip, at
         if unzip.eof:
-            rest = unzip.unused_data
             unzip = zlib.decompressobj(31)
-            held.extend(unzip.decompress(rest))
-        elif at < len(archive):
-            held.extend(unzip.decompress(archive[at : at + step]))
-            at += step
-        return not (at >= len(archive) and (unzip.eof and not unzip.unused_data))
+        part = archive[at : at + step]
+        held.extend(unzip.decompress(part))
+        at += len(part) - len(unzip.unused_data)
+        return at < len(archive)
 
     going = bool(archive)
     while True:
@@ -130,7 +191,7 @@ def records(archive: bytes, step: int = 1 << 16) -> Iterator[tuple[dict[str, str
 
 
 def _page(urn: str | None) -> int | None:
-    found = (urn or "").removeprefix("<urn:x-page:").removesuffix(">")
+    found = (urn or "").removeprefix("<urn:x-page:").partition(":")[0].partition(">")[0]
     return int(found) if found not in ("", "null") else None
 
 
@@ -172,7 +233,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def deduplicate(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
     """Writes the pages' deduplicated archives to ``path`` and reads them back.
 
-    An empty table writes no records and gives an empty result; other columns of ``pages`` aren't archived.
+    ``pages`` has page_id, url and html; other columns, whatever their names, aren't archived. Null ids and urls are kept as
+    such, repeated rows are a record each, very long payloads are written whole (an archive holds one at least, and is read
+    as one file, so a payload must stay below 2 GB). An empty table writes no records and gives an empty result.
     """
     write_archives(resolve(pages, min_bytes), path)
     return read_archives(pages.sparkSession, path)
