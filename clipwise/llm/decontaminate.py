@@ -38,18 +38,18 @@ def windows(benchmark: DataFrame, length: int) -> DataFrame:
 def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_rows: int = 200_000) -> DataFrame:
     """_key, wid, len, start (from 0) and gap: where the two rarest terms of a window stand as they should.
 
-    ``docs`` has ``_key`` and ``text``. The length of every test term's postings list is counted
-    over all documents. Postings (term, document, position) are stored for the two rarest terms
+    ``docs`` has ``_key`` and ``ws``, the words. The length of every test term's postings list is counted
+    over all documents, repeated rows each. Postings (term, document, position) are stored for the two rarest terms
     of each window, written as a table. Both lists are shifted by the term's offset in the
     window and intersected; ``gap`` is how far the shifted positions differ, at most ``slop``. A window
-    with a term that no document has can't occur and is left out.
+    with a term that no document has can't occur and is left out. Rows that repeat a key give one posting, not one each, so
+    that lists of k equal rows don't meet in k * k pairs; they are combined before the shuffle.
     """
     each = wins.select("wid", "w", "len").distinct()
     terms = each.select("wid", "len", F.posexplode(F.split("w", " ")).alias("off", "term"))
-    texts = docs.select("_key", words(F.col("text")).alias("ws"))
     vocabulary = materialize(terms.select("term").distinct(), "test-terms")
     lengths = (
-        texts.select(F.explode("ws").alias("term"))
+        docs.select(F.explode("ws").alias("term"))
         .join(_small(vocabulary, broadcast_rows), "term")
         .groupBy("term")
         .agg(F.count("*").alias("n"))
@@ -65,7 +65,7 @@ def candidates(docs: DataFrame, wins: DataFrame, *, slop: int = 0, broadcast_row
     )
     anchors = anchored.select(F.explode(F.array_compact(F.array("t1.term", "t2.term"))).alias("term")).distinct()
     postings = materialize(
-        texts.select("_key", F.posexplode("ws").alias("pos", "term")).join(_small(anchors, broadcast_rows), "term"),
+        docs.select("_key", F.posexplode("ws").alias("pos", "term")).join(_small(anchors, broadcast_rows), "term").distinct(),
         "postings",
     )
 
@@ -106,21 +106,24 @@ def find(
     those of which the two rarest terms of a window stand within ``slop`` words of their distance.
     ``keep`` names the columns of ``docs`` to return, all by default.
 
-    Candidates come from the index; each is verified against the words of its document. Only texts with
+    Texts are split into words once, into a written table, from which the counts, the postings and the verification read. Candidates
+    come from the index; each is verified against the words of its document. Only words of documents with
     candidates are shuffled, as long as their keys (16 bytes each) are few enough to be broadcast; beyond
     ``broadcast_rows`` both sides are shuffled. Rows meet by id and content of the text, so repeated rows
-    get equal results. Null texts have no words, empty tables give no matches, null item ids
-    take no part, and columns named like an output are replaced.
+    get equal results and are verified once. Null texts have no words, very long ones are read whole, empty tables give no
+    matches, null item ids take no part, and columns named like an output are replaced.
     """
     added = ("n_words", "n_hit", "items", "near_items", "contaminated")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text")))
     keyed = docs.withColumn("_key", key)
+    split = keyed.select("_key", words(F.col("text")).alias("ws"), *([] if "text" in keep else [F.struct(*keep).alias("_kept")]))
+    split = materialize(split, "words")
     wins = materialize(windows(benchmark.where("item_id is not null"), length), "benchmark")
-    found = candidates(keyed.select("_key", "text"), wins, slop=slop).join(wins.select("wid", "w").distinct(), "wid")
+    found = candidates(split.select("_key", "ws"), wins, slop=slop).join(wins.select("wid", "w").distinct(), "wid")
     per_doc = materialize(found.groupBy("_key").agg(F.collect_list(F.struct("start", "len", "w", "gap")).alias("_c")), "candidates")
-    texts = keyed.select("_key", "text").join(_small(per_doc.select("_key"), broadcast_rows), "_key", "left_semi")
-    read = texts.join(per_doc, "_key").select("_key", "_c", words(F.col("text")).alias("_ws"))
+    texts = split.select("_key", F.col("ws").alias("_ws")).join(_small(per_doc.select("_key"), broadcast_rows), "_key", "left_semi")
+    read = texts.dropDuplicates(["_key"]).join(per_doc, "_key").select("_key", "_c", "_ws")
     same = lambda c: (c["start"] >= 0) & (F.array_join(F.slice(F.col("_ws"), F.greatest(c["start"], F.lit(0)) + 1, c["len"]), " ") == c["w"])
     spans = F.transform("_hits", lambda c: F.sequence(c["start"], c["start"] + c["len"] - 1))
     near = F.transform("_c", lambda c: c["w"]) if slop else F.array().cast("array<string>")
@@ -131,8 +134,7 @@ def find(
             F.size(F.array_distinct(F.flatten(spans))).cast("long").alias("n_hit"),
             F.array_distinct(F.transform("_hits", lambda c: c["w"])).alias("_w"),
             F.array_distinct(near).alias("_near"),
-        )
-        .dropDuplicates(["_key"]),
+        ),
         "hits",
     )
 
@@ -144,7 +146,10 @@ def find(
     hits = verified.select("_key", "n_hit").join(items("_w", "items"), "_key", "left")
     hits = hits.join(items("_near", "near_items"), "_key", "left") if slop else hits.withColumn("near_items", none)
     hits = materialize(hits.where("n_hit > 0 or near_items is not null and size(near_items) > 0"), "found")
-    rows = keyed.select(*keep, "_key", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    if "text" in keep:
+        rows = keyed.select(*keep, "_key", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    else:
+        rows = split.select(*[F.col("_kept").getField(c).alias(c) for c in keep], "_key", F.size("ws").cast("long").alias("n_words"))
     return rows.join(_small(hits, broadcast_rows), "_key", "left").select(
         *keep,
         "n_words",
