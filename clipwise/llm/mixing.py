@@ -61,7 +61,7 @@ def mix(
     """Adds ``size``, ``source_size``, ``target`` and ``copies`` to every document.
 
     Each document of a source is expected ``target / source_size`` times. Within the source the
-    expected copies are summed in the order of (bit length of the size, md5 of seed and id), one
+    expected copies are summed in the order of (bit length of the size, md5 of seed, id and text), one
     offset drawn from the seed is added, and a document is emitted once for every integer that its
     own share of the sum crosses. The order spreads the picks evenly over sizes, so the words
     taken come near the target. The same input and seed always give the same copies.
@@ -72,12 +72,12 @@ def mix(
     the row count, and the result doesn't depend on it.
 
     Nulls: a null text has size 0 and may be emitted, taking no words; null sources are one source,
-    the last; a null id is a value like others. Repeated rows are ranked one by one. An empty
-    table gives an empty table. Columns of ``docs`` named like an output are replaced.
+    the last; a null id is a value like others, and rows that share an id lie in buckets by their texts. Rows that repeat
+    both are ranked one by one. Very long texts count whole. An empty table gives an empty table. Columns of ``docs`` named like an output are replaced.
     """
     added = ("size", "source_size", "target", "copies")
     digits = min(5, max(1, math.ceil(math.log(max(1, docs.count() / rows_per_chunk), 16)) + 1))
-    doc_hash = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    doc_hash = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.md5("text"), F.lit("null"))))
     sized = (
         docs.drop(*added)
         .withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
@@ -123,7 +123,7 @@ OP5_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
          coalesce('s:' || source, 'n') AS src,
-         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(md5(text), 'null')) AS h
   FROM documents),
 s AS (SELECT src, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY src),
 w AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight,

@@ -24,7 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scan": licenses.OP2_SQL,
     "op3_exact_topk": topk.OP3_SQL,
-    "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
     "op4_ngram_jaccard": jaccard.OP4_SQL,
     "op5_source_mix": mixing.OP5_SQL,
     "op9_warc": warc.OP9_SQL,
