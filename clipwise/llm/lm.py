@@ -173,17 +173,29 @@ def tilt(data: np.ndarray, base: np.ndarray, basis: np.ndarray, prior: float, no
     Noise-contrastive estimation with ``base`` as the noise, of which the expectation is taken; ``prior`` is the weight
     of a normal prior at 0. Each step divides by the curvature at 0.
     """
-    total = data.sum(axis=1, keepdims=True)
     curve, axes = np.linalg.eigh((basis * base[:, None]).T @ basis)
     turned = (basis @ axes).astype(np.float32)
-    scale = (0.7 / (total * np.maximum(curve, 0) + prior)).astype(np.float32)
-    f = np.zeros((len(data), basis.shape[1]), np.float32)
-    drawn = noise * total * base[None].astype(np.float32)
-    for _ in range(steps):
-        odds = np.exp(np.clip(f @ turned.T, -8, 8))
-        g = data - (data + drawn) * (odds / (odds + noise))
-        f = np.clip(f + scale * (g @ turned - prior * f), -4, 4)
-    return np.clip(np.rint(f @ axes.T * 32), -127, 127).astype(np.int8)
+    across = np.ascontiguousarray(turned.T)
+    base = base.astype(np.float32)
+    out = np.empty((len(data), basis.shape[1]), np.int8)
+    for a in range(0, len(data), 256):  # so many rows stay in the processor's cache over the steps
+        part = data[a : a + 256]
+        total = part.sum(axis=1, keepdims=True)
+        weight = part + noise * total * base
+        came = part @ turned
+        scale = (0.7 / (total * np.maximum(curve, 0) + prior)).astype(np.float32)
+        f = np.zeros(came.shape, np.float32)
+        for _ in range(steps):
+            p = f @ across
+            np.clip(p, -8, 8, out=p)
+            np.negative(p, out=p)
+            np.exp(p, out=p)
+            p *= noise
+            p += 1
+            np.divide(weight, p, out=p)
+            f = np.clip(f + scale * (came - p @ turned - prior * f), -4, 4)
+        out[a : a + 256] = np.clip(np.rint(f @ axes.T * 32), -127, 127)
+    return out
 
 
 def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
@@ -298,7 +310,7 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     ``docs`` has ``doc_id`` and ``text``; rows for which ``held`` is true are scored but not learned from.
 
     Unigram counts are exact and cover all training rows. Documents are dealt to blocks of about
-    ``block_bytes`` by a hash; a block counts its words, counts are added up by word, and each
+    ``block_bytes`` by a hash, fewer bytes where that would leave cores idle; a block counts its words, counts are added up by word, and each
     block gets back the counts of its own words alone. So a task holds one block's texts and
     vocabulary, however large the whole vocabulary, and no vocabulary is broadcast.
 
@@ -310,13 +322,14 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     class by the class before it. Both are normalised, so probabilities add up to 1 over classes and within
     them. Factors are written as a table, and a block gets those of its own words.
 
-    A null or empty text is one end token. Null ids belong to training. Repeated rows are counted and scored each. An
+    A null or empty text is one end token. Null ids belong to training. Repeated rows are counted and scored each; those that
+    share id and text lie in one block. Very long texts are read whole, each by one task. Other columns take no part. An
     empty table gives no rows; without training rows every count is 0.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held_out"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = math.ceil((total + 1) / settings.block_bytes)
+    blocks = max(math.ceil((total + 1) / settings.block_bytes), min(spark.sparkContext.defaultParallelism, math.ceil((total + 1) / (1 << 20))))
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def count(block: pa.Table) -> pa.Table:
@@ -386,23 +399,43 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
         raw = np.concatenate([np.zeros((1, 2 * dim + 4), np.int8), raw])
         log_z = np.ascontiguousarray(raw[:, 2 * dim :]).view(np.float32)[:, 0]
         base = np.log10((cs + 1) / (tokens + types + 1))
-        out: list[list] = [[], [], [], []]
+        last = len(cs) - 1
+        out: list[list[np.ndarray]] = [[], [], [], []]
+        held: list[np.ndarray] = []
+        size = 0
+
+        def add() -> None:
+            """Scores the texts held, whose tokens stand one after the other."""
+            nonlocal held, size
+            i = np.concatenate(held)
+            starts = np.append(0, np.flatnonzero(i == last)[:-1] + 1)
+            c, g = cls[i], slot[i]
+            before, h = np.append(end, c[:-1]), np.append(0, g[:-1])
+            each = table_[before, c] + within[i]
+            tilted = -log_z[h].astype(np.float64)
+            for j in range(0, len(i), 1 << 16):
+                t = slice(j, j + (1 << 16))
+                tilted[t] += np.einsum("ij,ij->i", raw[h[t], :dim].astype(np.float32), follow[c[t]]) / 32
+                tilted[t] += np.einsum("ij,ij->i", raw[g[t], dim : 2 * dim].astype(np.float32), precede[before[t]]) / 32
+            each = each + tilted / math.log(10)
+            out[0].append(np.diff(np.append(starts, len(i))))
+            for to, values in zip(out[1:], ((cs[i] > 0).astype(np.int64), base[i], each), strict=True):
+                to.append(np.add.reduceat(values, starts))
+            held, size = [], 0
+
         for text in block["text"]:
             ws = words(text.as_py())
             if ws and max(map(len, ws)) > LONGEST:
                 ws = list(map(key, ws))
-            i = np.empty(len(ws) + 1, np.int64)
-            i[:-1] = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
-            i[-1] = len(cs) - 1
-            c = cls[i]
-            before, g = np.concatenate([[end], c[:-1]]), slot[i]
-            h = np.append(0, g[:-1])
-            tilted = np.einsum("ij,ij->", raw[h, :dim] / np.float32(32), follow[c]) + np.einsum("ij,ij->", raw[g, dim : 2 * dim] / np.float32(32), precede[before]) - log_z[h].sum(dtype=np.float64)
-            out[0].append(len(i))
-            out[1].append(int((cs[i] > 0).sum()))
-            out[2].append(float(base[i].sum()))
-            out[3].append(float(table_[before, c].sum(dtype=np.float64) + within[i].sum() + tilted / math.log(10)))
-        cols = {"n_tokens": pa.array(out[0], pa.int64()), "n_known": pa.array(out[1], pa.int64()), "train_tokens": pa.array([tokens] * len(out[0]), pa.int64()), "base_score": out[2], "score": out[3]}
+            i = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
+            held.append(np.append(i, last))
+            size += len(held[-1])
+            if size > 500_000:
+                add()
+        if held:
+            add()
+        out = [np.concatenate(x) for x in out]
+        cols = {"n_tokens": out[0], "n_known": out[1], "train_tokens": np.full(len(out[0]), tokens, np.int64), "base_score": out[2], "score": out[3]}
         return pa.table({"doc_id": block["doc_id"], "held_out": block["held_out"], **cols})
 
     kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
