@@ -46,10 +46,10 @@ def dtw(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     n, m = cost.shape
     total = np.full((n + 1, m + 1), np.inf)
     total[0, 0] = 0
-    for i in range(1, n + 1):
-        up = np.minimum(total[i - 1, 1:], total[i - 1, :-1])
-        for j in range(1, m + 1):
-            total[i, j] = cost[i - 1, j - 1] + min(up[j - 1], total[i, j - 1])
+    for d in range(2, n + m + 1):  # an anti-diagonal at a time: its cells depend on the two before it
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        total[i, j] = cost[i - 1, j - 1] + np.minimum(np.minimum(total[i - 1, j], total[i - 1, j - 1]), total[i, j - 1])
     path, i, j = [], n, m
     while i and j:
         path.append((i - 1, j - 1))

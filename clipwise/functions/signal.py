@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, FloatType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType
 
 from .edits import dtw
 
@@ -32,6 +32,16 @@ def decode(data: bytes, rate: int = RATE) -> np.ndarray:
     return resample(y, own, rate)
 
 
+def decode_range(data: bytes, start: float, end: float, rate: int = RATE) -> np.ndarray:
+    """The samples between two times of a 16-bit PCM WAV file; only that part of it is decoded."""
+    with wave.open(io.BytesIO(data)) as w:
+        own, channels = w.getframerate(), w.getnchannels()
+        first, last = max(0, int(start * own)), min(w.getnframes(), int(end * own))
+        w.setpos(min(first, w.getnframes()))
+        y = np.frombuffer(w.readframes(max(0, last - first)), "<i2").astype(np.float32) / 32768
+    return resample(y.reshape(-1, channels).mean(axis=1), own, rate)
+
+
 def resample(y: np.ndarray, own: int, rate: int) -> np.ndarray:
     """Linear interpolation in the ratio reduced by its greatest common divisor."""
     if own == rate or not len(y):
@@ -78,6 +88,19 @@ def trim_tail(y: np.ndarray, rate: int = RATE, threshold: float = -40.0, keep: f
     return y[: loud[-1] + 1 + int(keep * rate)] if len(loud) else y
 
 
+def trim_ends(y: np.ndarray, rate: int = RATE, threshold: float = -40.0, keep: float = 0.1) -> np.ndarray:
+    """Cuts silence from both ends but for ``keep`` seconds; a clip without sound stays as it is."""
+    peak = np.abs(y).max(initial=0)
+    loud = np.flatnonzero(np.abs(y) > peak * 10 ** (threshold / 20))
+    pad = int(keep * rate)
+    return y[max(0, loud[0] - pad) : loud[-1] + 1 + pad] if len(loud) else y
+
+
+def cut(y: np.ndarray, start: float, end: float, rate: int = RATE) -> np.ndarray:
+    """The samples between two times, untrimmed."""
+    return y[max(0, int(start * rate)) : max(0, int(end * rate))]
+
+
 def normalise(y: np.ndarray, to: float = 0.95) -> np.ndarray:
     peak = np.abs(y).max(initial=0)
     return y if peak <= 1e-6 else y * (to / peak)
@@ -96,6 +119,27 @@ def spectrum_db(y: np.ndarray, size: int = 1024, hop: int = 256, top: float = 80
     return 20 * np.log10(np.maximum(s, 1e-10) / max(float(s.max(initial=0)), 1e-10))
 
 
+def wideband(y: np.ndarray, rate: int = RATE) -> np.ndarray:
+    """Spectrogram of 5 ms windows, up to 5 kHz: formants."""
+    return spectrum_db(y, int(0.005 * rate), int(0.001 * rate), 5000.0, rate)
+
+
+def narrowband(y: np.ndarray, rate: int = RATE) -> np.ndarray:
+    """Spectrogram of 64 ms windows, up to 8 kHz: harmonics."""
+    return spectrum_db(y, 1024, 256, 8000.0, rate)
+
+
+def pooled_spectrum(clips: list[np.ndarray], grid: np.ndarray, size: int = 1024, rate: int = RATE) -> np.ndarray:
+    """Mean spectrum in dB of several clips on a grid of frequencies: over frames, then over clips, then 0 at its peak."""
+    f = np.fft.rfftfreq(size, 1 / rate)
+    means = []
+    for y in clips:
+        s = np.abs(np.fft.rfft(frames(y, size, size // 4) * np.hanning(size), axis=1)) ** 2
+        means.append(np.interp(grid, f, 10 * np.log10(np.maximum(s.mean(axis=0), 1e-12))))
+    pooled = np.mean(means, axis=0)
+    return pooled - pooled.max()
+
+
 def mel_filters(n: int, size: int, rate: int = RATE) -> np.ndarray:
     mel = lambda f: 2595 * np.log10(1 + f / 700)
     points = 700 * (10 ** (np.linspace(0, mel(rate / 2), n + 2) / 2595) - 1)
@@ -149,6 +193,17 @@ def wav_samples(data: pd.Series) -> pd.Series:
     return data.map(lambda b: None if b is None else decode(b))
 
 
+@pandas_udf(BinaryType())
+def wav_bytes(samples: pd.Series) -> pd.Series:
+    """A 16-bit WAV file of each row's samples."""
+    return samples.map(lambda y: None if y is None else encode(np.asarray(y, np.float32)))
+
+
+def write_clips(clips: DataFrame, path: str, name: str = "name", samples: str = "samples") -> None:
+    """Clips as a table of names and WAV files; what was there before goes, so that no stale clip stays."""
+    clips.select(name, wav_bytes(samples).alias("wav")).write.mode("overwrite").parquet(path)
+
+
 @pandas_udf(DoubleType())
 def wav_duration(data: pd.Series) -> pd.Series:
     """Seconds, from the header alone."""

@@ -19,8 +19,13 @@ ASCII_OF = {
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+#: The same characters, for functions that take a list of them.
+BLANKS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space at both ends; linear, whatever runs of blanks there are inside."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def transliterate(c: Column) -> Column:
@@ -67,6 +72,23 @@ def pattern_ratio(c: Column, token: str, marked: str) -> Column:
     return F.coalesce(F.try_divide(F.size(F.regexp_extract_all(c, F.lit(marked), F.lit(0))), n), F.lit(0.0))
 
 
+def diacritic_ratio(c: Column) -> Column:
+    """Words with a transliteration's diacritics or an apostrophe inside, for each word, whatever the case."""
+    letters = "".join(k for k, v in ASCII_OF.items() if v and k.isalpha()).lower()
+    found = F.regexp_extract_all(F.lower(c), F.lit(f"[a-z{letters}'’]+"), F.lit(0))
+    marked = F.filter(found, lambda w: w.rlike(f"[{letters}]|[a-z]['’][a-z]"))
+    return F.coalesce(F.try_divide(F.size(marked), F.size(found)), F.lit(0.0))
+
+
+def is_ascii(c: Column) -> Column:
+    return c.rlike(r"^[\x00-\x7F]*$")
+
+
+def without_words(c: Column, words: list[str]) -> Column:
+    """A text's words without the given ones, compared as whole words in lower case."""
+    return F.array_join(F.filter(F.split(strip(c), SPACE + "+"), lambda w: ~F.lower(w).isin(words)), " ")
+
+
 def ends_sentence(c: Column) -> Column:
     return c.rlike(r"[.?!]\s*$")
 
@@ -83,15 +105,39 @@ def stem(c: Column) -> Column:
     return F.regexp_replace(basename(c), r"\.[^.]+$", "")
 
 
+#: Named entities of HTML that transcripts use, the ampersand last.
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"),
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&deg;", "°"), ("&frac12;", "½"),
+    ("&agrave;", "à"), ("&aacute;", "á"), ("&acirc;", "â"), ("&auml;", "ä"), ("&ccedil;", "ç"), ("&egrave;", "è"), ("&eacute;", "é"), ("&ecirc;", "ê"), ("&iacute;", "í"), ("&ntilde;", "ñ"),
+    ("&oacute;", "ó"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&uacute;", "ú"), ("&szlig;", "ß"), ("&amp;", "&"),
+)
+
+
+def character(code: Column) -> Column:
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _numeric(c: Column, pattern: str, base: int) -> Column:
+    def put(text: Column, mark: Column) -> Column:
+        code = F.conv(F.regexp_extract(mark, pattern, 1), base, 10).cast("bigint")
+        good = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(good, F.replace(text, mark, character(code))).otherwise(text)
+
+    return F.aggregate(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))), c, put)
+
+
 def unescape(c: Column) -> Column:
-    """The named entities that matter in transcripts, and the ampersand last."""
-    for k, v in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    """Numeric entities of both notations, then the named ones of ``ENTITIES``; texts without an ampersand are left alone."""
+    out = _numeric(_numeric(c, r"&#([0-9]{1,7});", 10), r"&#[xX]([0-9A-Fa-f]{1,6});", 16)
+    for k, v in ENTITIES:
+        out = F.replace(out, F.lit(k), F.lit(v))
+    return F.when(c.contains("&"), out).otherwise(c)
 
 
 def strip_tags(c: Column, label: str = "") -> Column:
-    """Line breaks for ``<br>``, no other tags, entities resolved, a speaker label dropped, single blanks."""
+    """Fixed patterns of the format. Line breaks for ``<br>``, no other tags, entities resolved, a speaker label dropped, single blanks."""
     c = F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), "<[^>]+>", "")
     c = unescape(c)
     c = F.replace(c, F.lit(label), F.lit("")) if label else c

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +56,41 @@ def loudness_gain(rms: Column, peak: Column, target: Column, guard: float = 0.99
 
 def semitones(a: Column, b: Column) -> Column:
     return 12 * F.log2(a / b)
+
+
+def latent_score(a: Column, b: Column, bias_a: Column, bias_b: Column) -> Column:
+    """Dot product of two factors and both biases."""
+    return dot(a, b) + bias_a + bias_b
+
+
+def principal(df: DataFrame, vector: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and the ``k`` main axes (rows) of all vectors; each axis's largest component is positive.
+
+    Tasks add up their moments, which are summed in groups of rows of the matrix; the driver gets one matrix of the vectors'
+    length squared, whatever their number.
+    """
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array(batch.column(0).to_pylist(), np.float64)
+                x = np.hstack([np.ones((len(x), 1)), x])
+                total = x.T @ x + (0 if total is None else total)
+        if total is not None:
+            yield pa.record_batch([pa.array(np.arange(len(total))), pa.array(list(total), pa.list_(pa.float64()))], ["i", "row"])
+
+    rows = df.where(F.col(vector).isNotNull()).select(doubles(F.col(vector)).alias("v")).mapInArrow(moments, "i bigint, row array<double>")
+    each = rows.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
+    got = each.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", "x"))).alias("row")).orderBy("i").collect()
+    m = np.array([[c["x"] for c in r["row"]] for r in got])
+    n, mean_ = m[0, 0], m[0, 1:] / m[0, 0]
+    values, axes = np.linalg.eigh(m[1:, 1:] / n - np.outer(mean_, mean_))
+    out = axes[:, np.argsort(-values)[:k]].T
+    return mean_, out * np.sign(out[np.arange(len(out)), np.abs(out).argmax(axis=1)])[:, None]
+
+
+def projected(df: DataFrame, vector: str, mean_: np.ndarray, axes: np.ndarray, name: str = "projection") -> DataFrame:
+    """Adds the vector's coordinates on the axes."""
+    centred = F.zip_with(doubles(F.col(vector)), F.lit(mean_.tolist()), lambda x, y: x - y)
+    return df.withColumn("_c", centred).withColumn(name, F.array(*[dot(F.col("_c"), F.lit(a.tolist())) for a in axes])).drop("_c")

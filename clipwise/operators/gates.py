@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Gates over a report's metrics (dur, align_min, align_mean, cer_core, sanskrit_load as ``load``, lead, trail).
+from clipwise.functions import text as T
+
+#: Gates over a report's metrics (dur, align_min, align_mean, cer_core, sanskrit_load as ``load``, lead, trail).
 BATTERY = {
     "AUTO-KEEP": "cer_core <= 0.80 AND align_min >= -45.0 AND abs(load) <= 0.40 AND dur BETWEEN 4.0 AND 20.0",
     "STRICT": "cer_core <= 0.70 AND align_min >= -40.0 AND abs(load) <= 0.30 AND dur BETWEEN 4.0 AND 18.0",
@@ -106,3 +110,127 @@ def projection(kept: Column, total: Column, wanted: int) -> Column:
     """Struct of the share kept, and the rows needed to keep ``wanted``."""
     share = kept / total
     return F.struct(share.alias("share"), F.ceil(F.lit(wanted) / share).alias("needed"))
+
+
+#: The production gate's bounds.
+PRODUCTION = {"min_align": -1e9, "max_lead": 0.7, "max_trail": 1.0, "max_cer_core": 0.85}
+
+
+def production_reasons(bounds: Mapping[str, float] = PRODUCTION) -> Column:
+    """Why a clip fails: ``missing_wav`` alone if it has no audio, else each bound that it breaks, with its value.
+
+    Columns: has_wav, align_min, lead and trail (null for silence throughout), cer_core (null if not measured).
+    """
+    rules = T.reasons(
+        (F.col("align_min") < bounds["min_align"], T.with_value("low_align", F.col("align_min"))),
+        (F.col("lead").isNull(), F.lit("all_silence")),
+        (F.col("lead") > bounds["max_lead"], T.with_value("lead_sil", F.col("lead"))),
+        (F.col("trail") > bounds["max_trail"], T.with_value("trail_sil", F.col("trail"))),
+        (F.col("cer_core") > bounds["max_cer_core"], T.with_value("high_cer_core", F.col("cer_core"))),
+    )
+    return F.when(~F.coalesce(F.col("has_wav"), F.lit(False)), F.array(F.lit("missing_wav"))).otherwise(rules)
+
+
+def borderline() -> Column:
+    """Which conditions of the AUTO-KEEP gate a clip breaks, with their values."""
+    return T.reasons(
+        (F.col("cer_core") > 0.80, F.format_string("cer_core=%.2f", "cer_core")),
+        (F.col("align_min") < -45.0, F.format_string("align_min=%.1f", "align_min")),
+        (F.abs("load") > 0.40, F.format_string("sload=%.2f", "load")),
+        (~F.col("dur").between(4.0, 20.0), F.format_string("dur=%.1f", "dur")),
+    )
+
+
+def confusion_ids(df: DataFrame, gates: Mapping[str, str], key: str, cut: str = "is_cut") -> DataFrame:
+    """gate, kind (leak: a cut that is kept; suspect: a keep that is dropped) and key, a row each.
+
+    Rows, not lists: a gate may leak any number of them.
+    """
+    keep = lambda g: F.coalesce(F.expr(g), F.lit(False))
+    kinds = [
+        F.when(keep(g) & F.col(cut), F.struct(F.lit(n).alias("gate"), F.lit("leak").alias("kind"))).when(
+            ~keep(g) & ~F.col(cut), F.struct(F.lit(n).alias("gate"), F.lit("suspect").alias("kind"))
+        )
+        for n, g in gates.items()
+    ]
+    return df.select(key, F.explode(F.array_compact(F.array(*kinds))).alias("g")).select("g.*", key)
+
+
+#: The shares at which candidate thresholds are taken.
+SHARES = (0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
+
+
+def candidates(df: DataFrame, metrics: list[str], shares: tuple[float, ...] = SHARES, cut: str = "is_cut") -> DataFrame:
+    """metric and threshold: distinct floor percentiles of each metric, rounded to 4 places."""
+    long = unpivoted(df, metrics, cut)
+    wide = floor_percentile(long, "x", shares, "metric")
+    each = F.explode(F.array(*[c for c in wide.columns if c != "metric"])).alias("x")
+    return wide.select("metric", each).select("metric", F.round("x", 4).alias("threshold")).distinct()
+
+
+def atoms(df: DataFrame, metrics: list[str], least: int = 3, most: int = 70, cut: str = "is_cut") -> DataFrame:
+    """Candidate thresholds in both directions that catch ``least`` cuts and flag at most ``most`` keeps.
+
+    metric, direction, threshold, caught, flagged. Rows are counted by value first, and the counts meet the few
+    thresholds of their metric, which are broadcast: 15 a metric at most.
+    """
+    values = unpivoted(df, metrics, cut).groupBy("metric", "x").agg(F.count_if(cut).alias("cuts"), F.count_if(~F.col(cut)).alias("keeps"))
+    sides = F.explode(F.array(F.lit(">="), F.lit("<="))).alias("direction")
+    rules = candidates(df, metrics, cut=cut).select("metric", "threshold", sides)
+    met = values.join(F.broadcast(rules), "metric")
+    hit = F.when(F.col("direction") == ">=", F.col("x") >= F.col("threshold")).otherwise(F.col("x") <= F.col("threshold"))
+    sums = met.groupBy("metric", "direction", "threshold").agg(
+        F.sum(F.when(hit, F.col("cuts")).otherwise(0)).alias("caught"), F.sum(F.when(hit, F.col("keeps")).otherwise(0)).alias("flagged")
+    )
+    return sums.where((F.col("caught") >= least) & (F.col("flagged") <= most))
+
+
+def top_atoms(found: DataFrame, n: int = 40) -> DataFrame:
+    """The ``n`` atoms with the most cuts caught less keeps flagged; ties by metric, direction and threshold."""
+    net = found.withColumn("net", F.col("caught") - F.col("flagged"))
+    return net.orderBy(F.desc("net"), "metric", "direction", "threshold").limit(n)
+
+
+def best_or(df: DataFrame, found: DataFrame, cut: str = "is_cut", pool: int = 40) -> DataFrame:
+    """The best single atom, and the best OR of two and of three of the ``pool`` top ones: size, rule, caught, flagged.
+
+    More cuts caught wins, then fewer keeps flagged, then the rule's text. Pairs of one metric and direction are skipped. The
+    pool is collected, as a few rules are what combinations are made of; rows are then counted once by which atoms they match.
+    """
+    text = lambda r: f"{r['metric']} {r['direction']} {r['threshold']:.4f}"
+    singles = found.select(F.lit(1).alias("size"), F.format_string("%s %s %.4f", "metric", "direction", "threshold").alias("rule"), "caught", "flagged")
+    best = singles.orderBy(F.desc("caught"), "flagged", "rule").limit(1)
+    rules = sorted(top_atoms(found, pool).collect(), key=text)
+    n = len(rules)
+    combos = [(i, j) for i in range(n) for j in range(i + 1, n) if (rules[i]["metric"], rules[i]["direction"]) != (rules[j]["metric"], rules[j]["direction"])]
+    combos += [(i, j, k) for i in range(n) for j in range(i + 1, n) for k in range(j + 1, n)]
+    if not combos:
+        return best
+    hit = lambda r: F.coalesce(F.expr(f"{r['metric']} {r['direction']} {r['threshold']!r}D"), F.lit(False))
+    bits = F.lit(0).cast("bigint")
+    for i, r in enumerate(rules):
+        bits = bits + F.when(hit(r), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    patterns = df.select(F.col(cut).alias("_cut"), bits.alias("m")).groupBy("m").agg(F.count_if("_cut").alias("cuts"), F.count_if(~F.col("_cut")).alias("keeps"))
+    masks = np.array([sum(1 << i for i in c) for c in combos], np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caught, flagged = np.zeros(len(masks), np.int64), np.zeros(len(masks), np.int64)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1000):
+                m, cuts, keeps = (c.to_numpy() for c in batch.slice(a, 1000).columns)
+                matched = (m[:, None] & masks[None]) != 0
+                caught += cuts @ matched
+                flagged += keeps @ matched
+        yield pa.record_batch([pa.array(np.arange(len(masks))), pa.array(caught), pa.array(flagged)], ["i", "caught", "flagged"])
+
+    sums = patterns.mapInArrow(count, "i bigint, caught bigint, flagged bigint").groupBy("i").agg(F.sum("caught").alias("caught"), F.sum("flagged").alias("flagged"))
+    named = [(i, len(c), " OR ".join(text(rules[j]) for j in c)) for i, c in enumerate(combos)]
+    sums = sums.join(df.sparkSession.createDataFrame(named, "i bigint, size int, rule string"), "i").select("size", "rule", "caught", "flagged")
+    order = Window.partitionBy("size").orderBy(F.desc("caught"), "flagged", "rule")
+    return best.union(sums.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n"))
+
+
+def suspects(df: DataFrame, metric: str, thresholds: list[float], cut: str = "is_cut") -> DataFrame:
+    """For each threshold how many keeps and cuts lie at or below it."""
+    each = df.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds]))).where(F.col(metric) <= F.col("threshold"))
+    return each.groupBy("threshold").agg(F.count_if(~F.col(cut)).alias("suspects"), F.count_if(cut).alias("caught"))

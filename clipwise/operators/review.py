@@ -48,3 +48,28 @@ def abx(df: DataFrame, *keys: str, chance: float = 0.65) -> DataFrame:
     """Share of right answers without abstentions (null), and whether it is no better than chance."""
     rate = F.avg(F.col("correct").cast("int"))
     return df.groupBy(*keys).agg(rate.alias("accuracy"), F.count("correct").alias("n_answered"), F.coalesce(rate < chance, F.lit(True)).alias("at_chance"))
+
+
+def tag_counts(df: DataFrame, tags: str, *keys: str) -> DataFrame:
+    """How often each tag of an array was given, a row each."""
+    return df.select(*keys, F.explode(tags).alias("tag")).groupBy(*keys, "tag").agg(F.count("*").alias("n"))
+
+
+def preferences(df: DataFrame, *keys: str) -> DataFrame:
+    """Counts of ear's choices and of their agreement with a metric, and whether the attention check was passed.
+
+    ``picked`` is A, B, same or null, ``a`` and ``b`` say what stood on each side, ``favoured`` what the metric prefers (or tie),
+    ``attention`` marks the pair of identical sides. A tie counts as scored, but agrees with nothing.
+    """
+    real = ~F.col("attention")
+    ear = F.when(F.col("picked") == "A", F.col("a")).when(F.col("picked") == "B", F.col("b")).otherwise("same")
+    chosen = real & F.coalesce(F.col("picked") != "same", F.lit(False))
+    return df.withColumn("_ear", ear).groupBy(*keys).agg(
+        F.count_if(real & (F.col("_ear") == "orig")).alias("ear_orig"),
+        F.count_if(real & (F.col("_ear") == "dn")).alias("ear_dn"),
+        F.count_if(real & (F.col("_ear") == "same")).alias("same"),
+        F.count_if(real & (F.col("favoured") == "orig")).alias("metric_orig"),
+        F.count_if(chosen).alias("scored"),
+        F.count_if(chosen & (F.col("_ear") == F.col("favoured"))).alias("agreed"),
+        F.max(F.when(F.col("attention"), F.coalesce(F.col("picked") == "same", F.lit(False)))).alias("attentive"),
+    )

@@ -63,3 +63,32 @@ def evenly(df: DataFrame, k: int, *order: str, keys: tuple[str, ...] = ()) -> Da
     ranked = df.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
     picks = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * (F.col("_n") - 1) / max(1, k - 1)))
     return ranked.where(F.array_contains(picks, F.col("_i").cast("bigint"))).drop("_i", "_n")
+
+
+def explicit_split(df: DataFrame, group: str, held: DataFrame) -> DataFrame:
+    """Adds ``split``: ``val`` for the groups that ``held`` names, else ``train``."""
+    named = held.select(group).distinct().withColumn("_val", F.lit(True))
+    return df.join(named, group, "left").withColumn("split", F.when(F.col("_val"), "val").otherwise("train")).drop("_val")
+
+
+def flipped(seed: str, *keys: Column) -> Column:
+    """A fair coin for each key."""
+    return fraction(seed, *keys) < 0.5
+
+
+def opaque(df: DataFrame, key: str, seed: str, prefix: str = "c", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``opaque``: the prefix and the key's place in hash order, with two digits or more."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(hashed(seed, *map(F.col, (*keys, key))), key))
+    return df.withColumn("opaque", F.format_string(f"{prefix}%02d", place))
+
+
+def capped(df: DataFrame, key: str, most: int, seed: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """At most ``most`` rows of each group, the first in hash order."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(hashed(seed, *map(F.col, (*keys, key))), key))
+    return df.withColumn("_n", place).where(F.col("_n") <= most).drop("_n")
+
+
+def with_attention(pairs: DataFrame, key: str, a: str, b: str, seed: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The pairs, and for each group one more whose two sides are the first of a pair picked by hash; ``attention`` marks it."""
+    picked = capped(pairs, key, 1, seed, keys).withColumn(b, F.col(a))
+    return pairs.withColumn("attention", F.lit(False)).unionByName(picked.withColumn("attention", F.lit(True)))

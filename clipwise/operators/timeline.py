@@ -157,3 +157,87 @@ def octave_fix(f: Column, middle: Column, low: float = 75.0, above: float = 1.6)
     """Halves a pitch while it is above ``above`` times the median and its half is at least ``low``."""
     k = F.greatest(F.lit(0), F.least(F.ceil(F.log2(f / (middle * above))), F.floor(F.log2(f / low))))
     return f / F.pow(F.lit(2.0), k)
+
+
+def pad_runs(words: DataFrame, clips: DataFrame, intervals: DataFrame, lead: float = 0.15, tail: float = 0.15) -> DataFrame:
+    """Clips of a run's words with ``cut_start`` and ``cut_end``, ``n`` words and the least and mean ``score`` of them.
+
+    ``words`` has lecture, run, id, start, end and score, ``clips`` first and last, places in the run from 0. Pads reach
+    neither the word before nor the one after; a run's first clip starts at most a second early, and no clip ends after the
+    target's interval around its last word. Words meet their run's clips, so no run is compared with another.
+    """
+    keys = ("lecture", "run")
+    order = Window.partitionBy(*keys).orderBy("start", "end", "id")
+    near = words.select(*keys, "start", "end", "score", (F.row_number().over(order) - 1).alias("i"), F.lag("end").over(order).alias("_before"), F.lead("start").over(order).alias("_after"))
+    met = near.join(clips.select(*keys, "first", "last"), list(keys)).where(F.col("i").between(F.col("first"), F.col("last")))
+    at = lambda place, c: F.max(F.when(F.col("i") == F.col(place), F.col(c)))
+    cut = met.groupBy(*keys, "first", "last").agg(
+        at("first", "start").alias("start"), at("last", "end").alias("end"), at("first", "_before").alias("_before"), at("last", "_after").alias("_after"),
+        F.count("*").alias("n"), F.min("score").alias("align_min"), F.avg("score").alias("align_mean"),
+    )
+    ends = end_asof(cut.withColumn("id", F.xxhash64("run", "first")).withColumn("t", F.col("end")), intervals)
+    before = F.coalesce("_before", F.greatest(F.lit(0.0), F.col("start") - 1))
+    padded = F.col("end") + F.least(F.lit(tail), F.greatest(F.lit(0.0), F.coalesce("_after", F.col("end") + 1) - F.col("end")))
+    return ends.withColumn("cut_start", F.greatest(F.col("start") - lead, before, F.lit(0.0))).withColumn("cut_end", F.least(padded, F.col("iv_end"))).drop("_before", "_after", "id", "t", "iv_end")
+
+
+#: A line that names its speaker.
+HEADER = r"^\s*([A-Za-z][A-Za-z .]{1,30}):\s*(.*)$"
+
+
+def target_lines(lines: DataFrame, target: str, *order: str, keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
+    """The target speaker's lines, from ``line``: all up to the first header; a header's own line gives what follows its colon.
+
+    A header that matches ``target`` opens the speaker's turn, any other closes it.
+    """
+    line = F.col("line")
+    header = line.rlike(HEADER)
+    flagged = lines.withColumn("_own", F.when(header, line.rlike(target))).withColumn("_header", header)
+    flagged = flagged.withColumn("_own", F.coalesce(forward_fill(flagged, "_own", *order, keys=keys), F.lit(True)))
+    text = F.when(F.col("_header"), F.regexp_extract(line, HEADER, 2)).otherwise(line)
+    return flagged.where("_own").withColumn("line", text).drop("_own", "_header")
+
+
+def stable(df: DataFrame, bounds: dict[str, float], *order: str, reach: int = 3, least: int = 5, keys: tuple[str, ...] = ("lecture",)) -> Column:
+    """Whether ``least`` frames around a row are measured, and each track's population deviation there is under its bound."""
+    around = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-reach, reach)
+    ok = F.lit(True)
+    for track, bound in bounds.items():
+        ok = ok & (F.count(track).over(around) >= least) & (F.stddev_pop(track).over(around) < bound)
+    return F.coalesce(ok, F.lit(False))
+
+
+def frame_energy(df: DataFrame, value: str, size: int, hop: int, *order: str, keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
+    """``db`` of every ``hop``-th window of ``size`` samples (from its first one on), below the group's loudest window."""
+    group = Window.partitionBy(*keys)
+    ahead = group.orderBy(*order).rowsBetween(0, size - 1)
+    e = df.withColumn("_e", F.sqrt(F.avg(F.col(value) * F.col(value)).over(ahead))).withColumn("_i", F.row_number().over(group.orderBy(*order)) - 1)
+    e = e.where(F.col("_i") % hop == 0).withColumn("_top", F.max("_e").over(group))
+    return e.withColumn("frame", F.floor(F.col("_i") / hop)).withColumn("db", F.try_divide(F.col("_e"), F.col("_top"))).withColumn("db", 20 * F.log10(F.greatest("db", F.lit(1e-10)))).drop("_e", "_i", "_top")
+
+
+def trailing_trim(df: DataFrame, value: str, keep: int, *order: str, threshold: float = -40.0, keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
+    """Samples up to ``keep`` after the last one above the peak's share."""
+    group = Window.partitionBy(*keys)
+    ranked = df.withColumn("_i", F.row_number().over(group.orderBy(*order))).withColumn("_p", F.max(F.abs(value)).over(group))
+    loud = F.when(F.abs(value) > F.col("_p") * 10 ** (threshold / 20), F.col("_i"))
+    last = F.coalesce(F.max(loud).over(group), F.max("_i").over(group))
+    return ranked.withColumn("_last", last).where(F.col("_i") <= F.col("_last") + keep).drop("_i", "_p", "_last")
+
+
+def interpolated(grid: DataFrame, points: DataFrame, x: str, y: str, keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
+    """``y`` at every x of a grid, on the line between the points around it; constant beyond the first and last.
+
+    One sort of grid and points together: each grid row sees the last point before and the first one after it.
+    """
+    both = grid.select(*keys, x, F.lit(None).cast("double").alias("_y"), F.lit(1).alias("_g")).unionByName(
+        points.select(*keys, x, F.col(y).cast("double").alias("_y"), F.lit(0).alias("_g"))
+    )
+    order = Window.partitionBy(*keys).orderBy(x, "_g")
+    point = F.when(F.col("_y").isNotNull(), F.struct(F.col(x).alias("x"), F.col("_y").alias("y")))
+    both = both.withColumn("_a", F.last(point, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_b", F.first(point, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)))
+    a, b = F.col("_a"), F.col("_b")
+    line = a["y"] + (b["y"] - a["y"]) * F.try_divide(F.col(x) - a["x"], b["x"] - a["x"])
+    value = F.when(a.isNull(), b["y"]).when(b.isNull() | (a["x"] == b["x"]), a["y"]).otherwise(line)
+    return both.where("_g = 1").select(*keys, x, value.alias(y))

@@ -134,7 +134,7 @@ def line_lint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_strip_tags(x: str) -> str:
     x = f"regexp_replace(regexp_replace({x}, '(?i)<br\\s*/?>', chr(10), 'g'), '<[^>]+>', '', 'g')"
-    for k, v in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    for k, v in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         x = f"replace({x}, '{k}', '{v}')"
     return sql_strip(f"regexp_replace({x}, '[ \\t]+', ' ', 'g')")
 
@@ -212,27 +212,49 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("ref")).join(rows, "item_id")
 
 
-_FOLD = "regexp_replace(regexp_replace(lower(regexp_replace({x}, '[^\\x00-\\x7F]', '', 'g')), '[[:punct:]]', '', 'g'), '\\s+', ' ', 'g')"
+#: DuckDB's levenshtein counts bytes, so its SQL maps the letters that lower-cased texts have beyond ASCII to free ASCII characters.
+_BEYOND, _FREE = "àâäáãåæçéèêëíìîïñóòôöõøœßúùûüÿ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&"
+_NORM = "translate(trim(regexp_replace(regexp_replace(lower({x}), '\\p{{P}}', '', 'g'), '\\s+', ' ', 'g')), '" + _BEYOND + "', '" + _FREE + "')"
 
 
-@query(
-    "cer_pairs",
-    f"""WITH p AS (SELECT a.item_id, trim({_FOLD.format(x='a.text')}) AS r, trim({_FOLD.format(x='b.text')}) AS h FROM benchmark a JOIN benchmark b ON a.item_id = b.item_id + 1)
-SELECT item_id, round(CASE WHEN r = '' THEN 0.0 WHEN h = '' THEN 1.0 ELSE levenshtein(r, h) / CAST(length(r) AS DOUBLE) END, 6) AS cer FROM p""",
-)
+def _sql_cer(r: str, h: str) -> str:
+    a, b = _NORM.format(x=r), _NORM.format(x=h)
+    return f"CASE WHEN {sql_strip(r)} = '' THEN 0.0 WHEN {sql_strip(h)} = '' THEN 1.0 WHEN {a} = '' THEN 0.0 ELSE levenshtein({a}, {b}) / CAST(length({a}) AS DOUBLE) END"
+
+
+_PAIRS_SQL = "p AS (SELECT a.item_id, a.text AS r, b.text AS h FROM benchmark a JOIN benchmark b ON a.item_id = b.item_id + 1)"
+
+
+@query("cer_pairs", f"WITH {_PAIRS_SQL} SELECT item_id, round({_sql_cer('r', 'h')}, 6) AS cer FROM p")
 def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fold = lambda c: F.regexp_replace(c, r"[^\x00-\x7F]", "")
-    return _pairs(spark, sf_dir).select("item_id", F.round(T.cer(fold(F.col("ref")), fold(F.col("hyp"))), 6).alias("cer"))
+    return _pairs(spark, sf_dir).select("item_id", F.round(T.cer(F.col("ref"), F.col("hyp")), 6).alias("cer"))
 
 
-@query("wer_pairs")
+@query(
+    "wer_pairs",
+    f"""WITH RECURSIVE {_PAIRS_SQL},
+s AS (SELECT item_id, list_filter(regexp_split_to_array(regexp_replace(lower(r), '[^\\p{{L}}\\p{{N}}_\\s'']', '', 'g'), '\\s+'), lambda x: x <> '') AS r,
+             list_filter(regexp_split_to_array(regexp_replace(lower(h), '[^\\p{{L}}\\p{{N}}_\\s'']', '', 'g'), '\\s+'), lambda x: x <> '') AS h FROM p),
+d AS (SELECT item_id, CAST(0 AS BIGINT) AS i, range(0, len(h) + 1) AS line FROM s
+  UNION ALL
+  SELECT item_id, i, list_transform(range(0, len(best)), lambda j: j + list_min(list_transform(range(0, j + 1), lambda k: best[k + 1] - k)))
+  FROM (SELECT d.item_id, d.i + 1 AS i, list_transform(range(0, len(d.line)), lambda j: CASE WHEN j = 0 THEN d.i + 1 ELSE least(d.line[j + 1] + 1, d.line[j] + CASE WHEN s.r[d.i + 1] = s.h[j] THEN 0 ELSE 1 END) END) AS best
+        FROM d JOIN s ON s.item_id = d.item_id WHERE d.i < len(s.r)))
+SELECT s.item_id, round(CASE WHEN len(s.r) = 0 OR len(s.h) = 0 THEN 1.0 ELSE d.line[len(s.h) + 1] / CAST(len(s.r) AS DOUBLE) END, 6) AS wer FROM s JOIN d ON d.item_id = s.item_id AND d.i = len(s.r)""",
+)
 def wer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clipwise.functions.edits import wer
 
     return _pairs(spark, sf_dir).select("item_id", F.round(wer(F.col("ref"), F.col("hyp")), 6).alias("wer"))
 
 
-@query("core_error_rates")
+@query(
+    "core_error_rates",
+    f"""WITH {_PAIRS_SQL}, b AS (SELECT *, array_to_string(list_filter(regexp_extract_all(lower(r), '[a-z'']+'), lambda x: x IN ({_LIST})), ' ') AS rc,
+  array_to_string(list_filter(regexp_extract_all(lower(h), '[a-z'']+'), lambda x: x IN ({_LIST})), ' ') AS hc FROM p),
+e AS (SELECT item_id, {sql_strip('h')} = '' AS blank, {_sql_cer('r', 'h')} AS raw, CASE WHEN rc <> '' THEN {_sql_cer('rc', 'hc')} END AS core FROM b)
+SELECT item_id, round(CASE WHEN blank THEN 1.0 ELSE raw END, 6) AS cer_raw, round(CASE WHEN blank THEN 1.0 ELSE core END, 6) AS cer_core, round(CASE WHEN blank THEN 0.0 ELSE raw - core END, 6) AS load FROM e""",
+)
 def core_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = T.error_rates(F.col("ref"), F.col("hyp"), LEXICON)
     return _pairs(spark, sf_dir).select("item_id", rates.alias("e")).select("item_id", *[F.round(f"e.{c}", 6).alias(c) for c in ("cer_raw", "cer_core", "load")])

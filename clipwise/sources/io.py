@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,14 +44,44 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where("trim(value) <> '' AND NOT ltrim(value) LIKE '#%'")
 
 
+def _absent(e: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(e)
+
+
 def read_words(spark: SparkSession, path: str) -> DataFrame:
     """Distinct words; a missing file is an empty list."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
         return spark.range(0).select(F.lit("").alias("word"))
-    words = spark.read.text(path).select(F.explode(F.split(F.trim("value"), r"\s+")).alias("word"))
-    return words.where("word <> ''").distinct()
+    return lines.select(F.explode(F.split(F.trim("value"), r"\s+")).alias("word")).where("word <> ''").distinct()
+
+
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], *, refresh: bool = False) -> DataFrame:
+    """The table at ``path``; it is made and written first where it is absent, or to be made anew."""
+    if not refresh:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if not _absent(e):
+                raise
+    df = make()
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def converted(spark: SparkSession, rows: DataFrame, path: str, key: str, convert: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The table at ``path`` after appending the conversion of those rows whose key it lacks."""
+    try:
+        todo = rows.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+    except AnalysisException as e:
+        if not _absent(e):
+            raise
+        todo = rows
+    convert(todo).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def from_name(name: Column, pattern: str, groups: dict[str, str]) -> list[Column]:
@@ -58,14 +91,18 @@ def from_name(name: Column, pattern: str, groups: dict[str, str]) -> list[Column
 
 
 def list_files(spark: SparkSession, path: str, pattern: str, groups: dict[str, str]) -> DataFrame:
-    """Files whose names match, with the parts of their names; contents aren't read. Spark lists no empty files."""
-    files = spark.read.format("binaryFile").load(path).select("path")
+    """Files whose names match, empty ones too, with the parts of their names; contents aren't read.
+
+    Names come from Spark's own listing, which the driver holds for any read of files.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()
+    files = spark.createDataFrame([(f,) for f in sorted(found)], "path string")
     name = F.element_at(F.split("path", "/"), -1)
     return files.where(name.rlike(pattern)).select("path", *from_name(name, pattern, groups))
 
 
 def manifests(spark: SparkSession, root: str, schema: str = MANIFEST) -> DataFrame:
-    """Manifests of all lectures under a root, each row with its lecture, the folder's name."""
+    """Manifests of all lectures under a root, each row with its lecture, the folder's name; an error if there are none."""
     df = spark.read.schema(schema).json(f"{root}/*/train.jsonl")
     return df.withColumn("lecture", F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
 
@@ -82,6 +119,21 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.withColumns(clean).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
 
 
+def write_lines(df: DataFrame, path: str, column: str = "value") -> None:
+    """A line for each row; line ends inside become blanks."""
+    df.select(F.regexp_replace(column, r"[\r\n]+", " ").alias("value")).write.mode("overwrite").text(path)
+
+
+def tsv_lines(df: DataFrame, *columns: str) -> Column:
+    """A row as tab-separated text, tabs inside as blanks and nulls empty."""
+    return F.concat_ws("\t", *[F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "\t", " ") for c in columns])
+
+
+def subset_yaml(template: str, sizes: list[int]) -> dict[int, str]:
+    """A training configuration for each subset size: the template with ``{n}`` filled in."""
+    return {n: template.replace("{n}", str(n)) for n in sizes}
+
+
 def json_array(df: DataFrame, *order: str) -> DataFrame:
     """One row with the table as a JSON array: for exports that a reviewer loads, not for whole corpora."""
     rows = F.array_sort(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order])))

@@ -30,6 +30,24 @@ def windowed_counts(events: DataFrame, width: str = "1 day", delay: str = "1 hou
     return counts.select(as_local(F.col("window.start")).alias("start"), "event_type", "n", "total")
 
 
+def sessions(events: DataFrame, gap: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """Sessions by user: start, end of the last event, events and their sum; an event within ``gap`` of the one before joins it."""
+    stamped = events.withColumn("ts", as_utc(F.col("ts")))
+    if events.isStreaming:
+        stamped = stamped.withWatermark("ts", delay)
+    grouped = stamped.groupBy("user_id", F.session_window("ts", gap)).agg(F.max("ts").alias("last"), F.count("*").alias("n"), F.sum("value").alias("total"))
+    return grouped.select("user_id", as_local(F.col("session_window.start")).alias("start"), as_local(F.col("last")).alias("last"), "n", "total")
+
+
+def sliding_levels(events: DataFrame, width: str = "2 days", step: str = "1 day", delay: str = "1 hour") -> DataFrame:
+    """Root mean square of values in windows that overlap."""
+    stamped = events.withColumn("ts", as_utc(F.col("ts")))
+    if events.isStreaming:
+        stamped = stamped.withWatermark("ts", delay)
+    grouped = stamped.groupBy(F.window("ts", width, step), "event_type").agg(F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("level"), F.count("*").alias("n"))
+    return grouped.select(as_local(F.col("window.start")).alias("start"), "event_type", "level", "n")
+
+
 def stream_to_table(spark: SparkSession, source: str, out: str, checkpoint: str, *, schema: str = EVENTS, names: str = "*.parquet", width: str = "1 day") -> DataFrame:
     """Takes what has arrived under ``source``, appends closed windows to ``out`` and returns that table.
 
