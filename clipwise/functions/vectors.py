@@ -94,3 +94,39 @@ def projected(df: DataFrame, vector: str, mean_: np.ndarray, axes: np.ndarray, n
     """Adds the vector's coordinates on the axes."""
     centred = F.zip_with(doubles(F.col(vector)), F.lit(mean_.tolist()), lambda x, y: x - y)
     return df.withColumn("_c", centred).withColumn(name, F.array(*[dot(F.col("_c"), F.lit(a.tolist())) for a in axes])).drop("_c")
+
+
+def nearest(rows: DataFrame, asked: DataFrame, key: str, vector: str, *, block: int = 2048, shard: int = 20_000) -> DataFrame:
+    """query, neighbour and cos: for each row of ``asked`` the other row with the highest cosine (9 places; ties: the smaller key).
+
+    Rows are dealt to shards and queries to blocks by a hash; each pair meets in one task, as a matrix product of at most
+    about ``shard`` by ``block`` rows, and gives one row a query. Null vectors take no part; all have the same length.
+    """
+    shards, blocks = max(1, -(-rows.count() // shard)), max(1, -(-asked.count() // block))
+    side = lambda df, own, n, other, m: df.where(F.col(vector).isNotNull()).select(
+        F.col(key).alias("id"), unit(doubles(F.col(vector))).alias("u"), F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other)
+    )
+    left = side(rows, "s", shards, "b", blocks)
+    right = side(asked, "b", blocks, "s", shards).select(*left.columns)
+
+    def meet(a: pa.Table, q: pa.Table) -> pa.Table:
+        if not a.num_rows or not q.num_rows:
+            return pa.table({"query": pa.array([], pa.int64()), "neighbour": pa.array([], pa.int64()), "r": pa.array([], pa.float64()), "cos": pa.array([], pa.float64())})
+        matrix = lambda t: t["u"].combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+        ids, names, m = a["id"].to_numpy(), q["id"].to_numpy(), matrix(a)
+        order = np.argsort(ids, kind="stable")
+        ids, m = ids[order], m[order]
+        out: list[list[np.ndarray]] = [[], [], []]
+        for i in range(0, len(names), 256):
+            cos = matrix(q.slice(i, 256)) @ m.T
+            cos[names[i : i + 256, None] == ids[None]] = -np.inf
+            best = np.round(cos, 9).argmax(axis=1)  # the first of equal ones has the smallest id
+            top = cos[np.arange(len(best)), best]
+            for to, x in zip(out, (names[i : i + 256], ids[best], top), strict=True):
+                to.append(x[np.isfinite(top)])
+        query, neighbour, top = map(np.concatenate, out)
+        return pa.table({"query": query, "neighbour": neighbour, "r": np.round(top, 9), "cos": top})
+
+    hits = left.groupBy("s", "b").cogroup(right.groupBy("s", "b")).applyInArrow(meet, "query bigint, neighbour bigint, r double, cos double")
+    best = hits.groupBy("query").agg(F.max(F.struct("r", (-F.col("neighbour")).alias("neg"), "cos")).alias("b"))
+    return best.select("query", (-F.col("b.neg")).alias("neighbour"), F.col("b.cos").alias("cos"))

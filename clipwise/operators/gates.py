@@ -28,16 +28,56 @@ def reason_histogram(df: DataFrame, reasons: str = "reasons") -> DataFrame:
     return each.groupBy(F.substring_index("r", "(", 1).alias("reason")).agg(F.count("*").alias("n"))
 
 
+def _running(counts: DataFrame, group: tuple[str, ...], x: str, sums: list[str], parts: int) -> DataFrame:
+    """``counts`` (one row for each group and value) with ``up_<c>``: the sum of c over values up to the row's own, and ``all_<c>``.
+
+    A prefix sum in two levels: rows are range-partitioned by group and value, so that no task holds more than its range, and
+    each range of a group gets the totals of the ranges before it, from a table of one row a range. The ranges are kept
+    (``persist``), as both uses must see the same ones; a lost one is computed again from the same shuffle.
+    """
+    ranged = counts.repartitionByRange(parts, *group, x).withColumn("_r", F.spark_partition_id())
+    ranged = ranged.persist()
+    totals = ranged.groupBy(*group, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    before = Window.partitionBy(*group).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    starts = totals.select(*group, "_r", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in sums], *[F.sum(f"_t_{c}").over(whole).alias(f"all_{c}") for c in sums])
+    within = Window.partitionBy(*group, "_r").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    own = ranged.select("*", *[F.sum(c).over(within).alias(f"_o_{c}") for c in sums])
+    joined = own.join(starts, [*group, "_r"])
+    return joined.select(*counts.columns, *[f"all_{c}" for c in sums], *[(F.col(f"_b_{c}") + F.col(f"_o_{c}")).alias(f"up_{c}") for c in sums])
+
+
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def floor_percentile(df: DataFrame, column: str, shares: tuple[float, ...], *keys: str) -> DataFrame:
     """For each share p the value at place min(n - 1, int(p * n)) of the sorted column.
 
-    A rank per group instead of one collected array: a large group is sorted with spilling.
+    Values are counted first, and the counts summed up over ranges of values, so a class with most of the rows is
+    spread over tasks; a value stands at all places between the counts before it and up to it.
     """
-    rows = df.where(F.col(column).isNotNull())
-    group = Window.partitionBy(*keys)
-    ranked = rows.withColumn("_i", F.row_number().over(group.orderBy(column)) - 1).withColumn("_n", F.count("*").over(group))
-    wanted = [F.max(F.when(F.col("_i") == F.least(F.col("_n") - 1, F.floor(F.lit(p) * F.col("_n"))), F.col(column))).alias(f"p{round(p * 100)}") for p in shares]
-    return ranked.groupBy(*keys).agg(*wanted)
+    return _placed_percentiles(df, column, {f"p{round(p * 100)}": p for p in shares}, keys, linear=False)
+
+
+def linear_percentile(df: DataFrame, column: str, shares: dict[str, float], *keys: str) -> DataFrame:
+    """For each named share p the value at place p * (n - 1), between two values on the line between them; spread like the above."""
+    return _placed_percentiles(df, column, shares, keys, linear=True)
+
+
+def _placed_percentiles(df: DataFrame, column: str, shares: dict[str, float], keys: tuple[str, ...], linear: bool) -> DataFrame:
+    values = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_x")).agg(F.count("*").alias("_n"))
+    ranked = _running(values, keys, "_x", ["_n"], _parts(df))
+    last, n = F.col("up__n") - 1, F.col("all__n")
+    holds = lambda place: (place <= last) & (place > last - F.col("_n"))
+    value = lambda place: F.max(F.when(holds(place), F.col("_x")))
+    out = []
+    for name, p in shares.items():
+        at = F.lit(float(p)) * (n - 1) if linear else F.least(n - 1, F.floor(F.lit(float(p)) * n))
+        low = value(F.floor(at))
+        share = F.max(at - F.floor(at))
+        out.append((low + (value(F.ceil(at)) - low) * share if linear else low).alias(name))
+    return ranked.groupBy(*keys).agg(*out)
 
 
 def unpivoted(df: DataFrame, metrics: list[str], cut: str = "is_cut") -> DataFrame:
@@ -47,20 +87,26 @@ def unpivoted(df: DataFrame, metrics: list[str], cut: str = "is_cut") -> DataFra
 def threshold_sweep(df: DataFrame, metrics: list[str], cut: str = "is_cut") -> DataFrame:
     """metric, direction, threshold, caught and flagged for every observed value, in both directions.
 
-    Running counts over the distinct values of a metric, instead of a comparison of all rows with all thresholds.
+    Running counts over the distinct values of a metric, instead of a comparison of all rows with all thresholds; a metric with
+    very many values is spread over ranges of them.
     """
     values = unpivoted(df, metrics, cut).groupBy("metric", "x").agg(F.count_if(cut).alias("cuts"), F.count_if(~F.col(cut)).alias("keeps"))
-    up = Window.partitionBy("metric").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy("metric").orderBy("x").rowsBetween(0, Window.unboundedFollowing)
-    side = lambda name, w: values.select("metric", F.lit(name).alias("direction"), F.col("x").alias("threshold"), F.sum("cuts").over(w).alias("caught"), F.sum("keeps").over(w).alias("flagged"))
-    return side(">=", down).union(side("<=", up))
+    up = _running(values, ("metric",), "x", ["cuts", "keeps"], _parts(df))
+    down = lambda c: F.col(f"all_{c}") - F.col(f"up_{c}") + F.col(c)
+    sides = F.array(
+        F.struct(F.lit(">=").alias("direction"), down("cuts").alias("caught"), down("keeps").alias("flagged")),
+        F.struct(F.lit("<=").alias("direction"), F.col("up_cuts").alias("caught"), F.col("up_keeps").alias("flagged")),
+    )
+    return up.select("metric", F.col("x").alias("threshold"), F.explode(sides).alias("s")).select("metric", "s.direction", "threshold", "s.caught", "s.flagged")
 
 
 def best_gates(sweep: DataFrame) -> DataFrame:
     """The gate of each metric with the most cuts caught less keeps flagged; ties: caught, direction, threshold."""
     net = sweep.withColumn("net", F.col("caught") - F.col("flagged"))
-    order = Window.partitionBy("metric").orderBy(F.desc("net"), F.desc("caught"), "direction", "threshold")
-    return net.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    best = F.max(F.struct("net", "caught", F.when(F.col("direction") == "<=", 1).otherwise(0).alias("d"), (-F.col("threshold")).alias("t"))).alias("b")
+    one = net.groupBy("metric").agg(best)
+    direction = F.when(F.col("b.d") == 1, "<=").otherwise(">=")
+    return one.select("metric", direction.alias("direction"), (-F.col("b.t")).alias("threshold"), F.col("b.caught").alias("caught"), (F.col("b.caught") - F.col("b.net")).alias("flagged"), F.col("b.net").alias("net"))
 
 
 def or_pairs(df: DataFrame, atoms: Mapping[str, str], cut: str = "is_cut") -> DataFrame:

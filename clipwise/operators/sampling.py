@@ -6,6 +6,8 @@ share is wanted, the hash itself decides and nothing is sorted.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,20 +33,43 @@ def group_split(df: DataFrame, group: str, held: int, seed: str) -> DataFrame:
     return df.join(ranked, group).withColumn("split", F.when(F.col("_n") <= k, "val").otherwise("train")).drop("_n", "_g")
 
 
+def _buckets(df: DataFrame, rows: int = 100_000) -> int:
+    """Digits of a hash by which a group is cut into buckets of about ``rows`` rows."""
+    return max(1, math.ceil(math.log(max(1.0, df.count() / rows), 16)))
+
+
+def hash_placed(df: DataFrame, key: str, group: str, seed: str, name: str = "place", count: str = "_n") -> DataFrame:
+    """Adds the row's place, from 1, in its group's hash order, and the group's count.
+
+    A rank in two levels: groups are cut into buckets by the first digits of the hash, rows are ranked within a bucket and
+    buckets by a running count, so that no group is sorted in one task.
+    """
+    digits = _buckets(df)
+    keyed = df.withColumn("_h", hashed(seed, F.col(key))).withColumn("_b", F.substring("_h", 1, digits))
+    sizes = keyed.groupBy(group, "_b").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col(group).alias("_g"), F.col("_b").alias("_b2"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s"), F.sum("_c").over(Window.partitionBy(group)).alias(count))
+    own = keyed.withColumn("_k", F.row_number().over(Window.partitionBy(group, "_b").orderBy("_h", key)))
+    met = own.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_b2")))
+    return met.select(*df.columns, (F.col("_s") + F.col("_k")).alias(name), count)
+
+
 def inject_references(df: DataFrame, key: str, group: str, share: float, seed: str) -> DataFrame:
-    """Adds ``ref`` to round(share * n) rows of each group: another row of it, the next in a second hash order."""
-    first, second = Window.partitionBy(group).orderBy(hashed(seed, F.col(key)), key), Window.partitionBy(group).orderBy(hashed(f"{seed}/ref", F.col(key)), key)
-    n = F.count("*").over(Window.partitionBy(group))
-    after = F.coalesce(F.lead(key).over(second), F.first(key).over(second.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    chosen = (F.row_number().over(first) <= F.round(n * share)) & (n > 1)
-    return df.withColumn("ref", F.when(chosen, after))
+    """Adds ``ref`` to round(share * n) rows of each group: another row of it, the next in a second hash order.
+
+    The next one is found by a join on place + 1, the last one's next being the first.
+    """
+    placed = hash_placed(hash_placed(df, key, group, seed, "_a"), key, group, f"{seed}/ref", "_p", "_m")
+    after = placed.select(F.col(group).alias("_g"), F.col(key).alias("_after"), F.when(F.col("_p") == 1, F.col("_m")).otherwise(F.col("_p") - 1).alias("_q"))
+    met = placed.join(after, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_p") == F.col("_q")))
+    chosen = (F.col("_a") <= F.round(F.col("_n") * share)) & (F.col("_n") > 1)
+    return met.select(*df.columns, F.when(chosen, F.col("_after")).alias("ref"))
 
 
 def nested(df: DataFrame, key: str, group: str, sizes: list[int], seed: str) -> DataFrame:
     """Rows of each group in hash order, with ``place`` and ``subset``, the smallest size that holds the row, else null."""
-    place = F.row_number().over(Window.partitionBy(group).orderBy(hashed(seed, F.col(key)), key))
     subset = F.coalesce(*[F.when(F.col("place") <= s, s) for s in sorted(sizes)])
-    return df.withColumn("place", place).withColumn("subset", subset)
+    return hash_placed(df, key, group, seed).drop("_n").withColumn("place", F.col("place").cast("int")).withColumn("subset", subset)
 
 
 def slots(df: DataFrame, test: str, item: str, seed: str) -> DataFrame:

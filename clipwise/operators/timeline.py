@@ -73,7 +73,11 @@ def forward_fill(df: DataFrame, column: str, *order: str, keys: tuple[str, ...]
 
 
 def _fold(df: DataFrame, step: Column, keys: tuple[str, ...], fields: tuple[str, ...]) -> DataFrame:
-    """Applies a fold over each group's rows in order; a group is one lecture or run, and fits a task."""
+    """Applies a fold over each group's rows in order; a group is one lecture or run, and fits a task.
+
+    The fold's state holds what it has put out so far and is copied at each step that adds to it, so cost grows with the
+    square of a group's output: thousands of clips a lecture are well within it, a whole corpus as one group isn't.
+    """
     rows = F.array_sort(F.collect_list(F.struct(*fields)))
     return df.groupBy(*keys).agg(rows.alias("_rows")).select(*keys, F.explode(step).alias("c")).select(*keys, "c.*")
 

@@ -60,16 +60,10 @@ s AS (SELECT q.vec_id, v.vec_id AS neighbour, list_inner_product(q.x, v.x) / (sq
 SELECT vec_id, arg_max(neighbour, row(round(cos, 9), -neighbour)) AS neighbour, round(max(cos), 6) AS cos FROM s GROUP BY vec_id""",
 )
 def nearest_neighbour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nearest other vector of every vector whose id is divisible by 20; the query set meets all rows in blocks of about 500."""
-    v = _vectors(spark, sf_dir).withColumn("u", V.unit(F.col("x"))).select("vec_id", "u")
-    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), F.col("u").alias("qu"))
-    n = max(1, -(-asked.count() // 500))
-    blocks = asked.groupBy(F.pmod(F.xxhash64("q"), F.lit(n)).alias("block")).agg(F.collect_list(F.struct("q", "qu")).alias("qs"))
-    dealt = v.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-    pairs = dealt.join(blocks, "block").select(F.explode("qs").alias("s"), "vec_id", "u").where(F.col("s.q") != F.col("vec_id"))
-    cos = V.dot(F.col("s.qu"), F.col("u"))
-    best = pairs.select(F.col("s.q").alias("q"), "vec_id", cos.alias("cos")).groupBy("q").agg(F.max(F.struct(F.round("cos", 9).alias("r"), (-F.col("vec_id")).alias("neg"), "cos")).alias("b"))
-    return best.select(F.col("q").alias("vec_id"), (-F.col("b.neg")).alias("neighbour"), F.round("b.cos", 6).alias("cos"))
+    """The nearest other vector of every vector whose id is divisible by 20, over all rows."""
+    v = _vectors(spark, sf_dir).select("vec_id", "x")
+    found = V.nearest(v, v.where("vec_id % 20 = 0"), "vec_id", "x")
+    return found.select(F.col("query").alias("vec_id"), "neighbour", F.round("cos", 6).alias("cos"))
 
 
 _LABELLED = """l AS (SELECT d.doc_id, d.source, d.lang, CAST(d.n_chars AS DOUBLE) AS chars, CAST(length(d.text) AS DOUBLE) AS n, CAST(len(regexp_extract_all(d.text, '[.?!]')) AS DOUBLE) AS stops,
@@ -100,7 +94,8 @@ SELECT is_cut, round(quantile_cont(n, 0.1), 6) AS lin10, round(median(n), 6) AS
 )
 def metric_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = _labelled(spark, sf_dir)
-    linear = l.groupBy("is_cut").agg(F.round(F.percentile("n", 0.1), 6).alias("lin10"), F.round(F.median("n"), 6).alias("mid"), F.round(F.percentile("n", 0.9), 6).alias("lin90"))
+    linear = gates.linear_percentile(l, "n", {"lin10": 0.1, "mid": 0.5, "lin90": 0.9}, "is_cut")
+    linear = linear.withColumns({c: F.round(c, 6) for c in ("lin10", "mid", "lin90")})
     return linear.join(gates.floor_percentile(l, "n", (0.1, 0.5), "is_cut"), "is_cut")
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwise.functions.signal import clip_features
 from clipwise.streaming.windows import stream_to_table
 
-from .base import query, table
+from .base import query, scratch, table
 
 
 @query(
@@ -31,6 +29,6 @@ WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOU
 )
 def windowed_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The closed windows of a stream over the table's files."""
-    root = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/clipwise-checkpoints').rstrip('/')}/clipwise/stream-{uuid.uuid4().hex}"
+    root = scratch(spark, "stream")
     out = stream_to_table(spark, sf_dir, f"{root}/out", f"{root}/state", names="events.parquet")
     return out.withColumn("total", F.round("total", 4))

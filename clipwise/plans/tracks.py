@@ -11,7 +11,7 @@ from clipwise.operators import experiments, selection, timeline
 from clipwise.sources.io import tsv_lines
 from clipwise.streaming.windows import sessions, sliding_levels
 
-from .base import TURNS_SQL, hinted, query, table, turns
+from .base import TURNS_SQL, hinted, query, scratch, table, turns
 from .reports import _GATED, CLIPS_SQL, clips, report
 from .texts import LEXICON
 from .timelines import _SIGNAL, TARGET, _merged, _merged_sql, _signal
@@ -358,12 +358,7 @@ def words_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("named_columns", "SELECT n_nationkey AS a, n_name AS b, n_regionkey AS c FROM nation")
 def named_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Separated text without a header, read with names and types: the table is written as lines of it first."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch(spark, "named")
     lines = table(spark, sf_dir, "nation").select(F.concat_ws("|", "n_nationkey", "n_name", "n_regionkey").alias("value"))
-    if root is None:
-        return lines.select(F.from_csv("value", "a int, b string, c int", {"sep": "|"}).alias("r")).select("r.*")
-    path = f"{root.rstrip('/')}/clipwise/named-{uuid.uuid4().hex}"
     lines.write.text(path)
     return spark.read.schema("a int, b string, c int").option("sep", "|").csv(path)
