@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import connected_components, grouped_batches, materialize, table
@@ -197,9 +197,11 @@ def linked(a: int, b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
 
-def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: bool = False) -> list[tuple[int, int]]:
+def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: bool = False, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links between the sets of one tile; only as many as join its components, unless ``every``.
 
+    ``known`` names the component of each set as far as it is known; sets that share one aren't compared.
+
     Sets in order of size meet those that aren't too large. Bits of a hashed bitmap
     that one set has and the other lacks each stand for an element that isn't shared, which bounds the overlap from above; the
     pairs that pass are intersected exactly.
@@ -216,6 +218,9 @@ def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: boo
         maps[i, (s & U(bits - 1)).astype(np.int64)] = 1
     maps = np.packbits(maps, axis=1).view(U)
     root = list(range(m))
+    if known is not None:
+        _, first, which = np.unique(known[order], return_index=True, return_inverse=True)
+        root = first[which].tolist()
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -316,13 +321,71 @@ def representative_links(
     sets = _meet(docs.select("doc_id", "text"), nodes, "inner").mapInArrow(load, "cluster long, node long, n long, set binary")
     sets = materialize(sets, "sets")
 
-    # A cluster that fits is one tile. Of a larger one, a tile is a pair of slices of like sizes.
+    if every:
+        return _compare(_dealt(sets, percent, tile_docs, tile_shingles), percent, True)
+    found = materialize(_compare(_dealt(sets, percent, tile_docs, tile_shingles, own=True), percent), "tile-links")
+    large = sets.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    large = materialize(large.where(~_fits(tile_docs, tile_shingles)).select("cluster"), "large-clusters")
+    if large.isEmpty():
+        return found
+
+    # Large clusters: slices are joined by the smallest set of each of their components, and what is left in different
+    # components meets by signature. Near copies are one component by then, and unrelated sets share few signatures.
+    rows = sets.join(large, "cluster", "left_semi")
+    inner = materialize(found.join(rows.select(F.col("node").alias("a")), "a", "left_semi"), "slice-links")
+    first = _components_of(rows, inner)
+    between = materialize(_compare(_dealt(first.where("node = comp").drop("comp"), percent, tile_docs, tile_shingles), percent), "slice-joins")
+    inner = inner.union(between)
+    second = _components_of(rows, inner)
+    open_ = second.groupBy("cluster").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("cluster")
+    rest = materialize(second.join(materialize(open_, "open-clusters"), "cluster", "left_semi"), "open-sets")
+
+    def resign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                sigs = [signatures(np.frombuffer(s.as_buffer(), U)) for s in part.column("set")]
+                at = np.repeat(np.arange(len(sigs)), list(map(len, sigs)))
+                cols = [pa.array(np.concatenate(sigs).view(np.int64)), *(part.column(c).take(pa.array(at)) for c in ("node", "comp", "n"))]
+                yield pa.record_batch(cols, ["sig", "node", "comp", "n"])
+
+    signed = materialize(rest.mapInArrow(resign, "sig long, node long, comp long, n long"), "open-signatures")
+    groups = signed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    groups = materialize(groups.where("low <> high").select("sig", _slices(tile_docs, tile_shingles).alias("slices")), "open-groups")
+    mine = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda s: F.xxhash64("sig", F.least(s, F.col("mine")), F.greatest(s, F.col("mine"))))
+    tiles = signed.select("sig", "node").join(groups, "sig").withColumn("mine", mine).select("node", F.explode(pairs).alias("tile"))
+    met = materialize(tiles, "open-tiles").join(rest.select("node", "comp", "set"), "node")
+    return found.union(between).union(_compare(met.select("tile", "node", "comp", "set"), percent))
+
+
+def _fits(tile_docs: int, tile_shingles: int) -> Column:
+    return (F.col("docs") <= tile_docs) & (F.col("shingles") <= tile_shingles)
+
+
+def _slices(tile_docs: int, tile_shingles: int) -> Column:
+    """In how many slices a group is cut, two of which make a tile; one if it fits."""
+    cut = F.greatest(F.ceil(F.col("docs") / (tile_docs // 2)), F.ceil(F.col("shingles") / (tile_shingles // 2))).cast("int")
+    return F.when(_fits(tile_docs, tile_shingles), 1).otherwise(cut)
+
+
+def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with ``comp``, the component of each node by the links, its own if it has none."""
+    found = connected_components(links, "cluster-components")
+    return rows.join(found.select("node", "component"), "node", "left").select(*rows.columns, F.coalesce("component", "node").alias("comp"))
+
+
+def _dealt(sets: DataFrame, percent: int, tile_docs: int, tile_shingles: int, own: bool = False) -> DataFrame:
+    """tile, node and set: a cluster that fits is one tile; of a larger one, a tile is a pair of slices of like sizes.
+
+    Slices go by fine size bands and a hash, and bands that may link meet; with ``own`` each slice is a tile of its own.
+    """
     fine = math.log(100 / percent)
     banded = sets.withColumn("band", F.floor(F.log("n") / fine).cast("int"))
     counts = banded.groupBy("cluster", "band").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
-    whole = counts.groupBy("cluster").agg(((F.sum("docs") <= tile_docs) & (F.sum("shingles") <= tile_shingles)).alias("fits"))
-    slices = F.greatest(F.ceil(F.col("docs") / (tile_docs // 2)), F.ceil(F.col("shingles") / (tile_shingles // 2))).cast("int")
-    sized = counts.join(whole, "cluster").select("cluster", "band", "fits", slices.alias("slices"))
+    whole = counts.groupBy("cluster").agg(F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles")).select("cluster", _fits(tile_docs, tile_shingles).alias("fits"))
+    cut = F.greatest(F.ceil(F.col("docs") / (tile_docs // 2)), F.ceil(F.col("shingles") / (tile_shingles // 2))).cast("int")
+    sized = counts.join(whole, "cluster").select("cluster", "band", "fits", cut.alias("slices"))
     near = sized.select("cluster", F.explode(F.array(F.col("band") - 1, F.col("band") + 1)).alias("band"), "slices", F.col("band").alias("of"))
     near = near.groupBy("cluster", "band").agg(
         F.coalesce(F.max(F.when(F.col("of") < F.col("band"), F.col("slices"))), F.lit(0)).alias("below"),
@@ -333,19 +396,27 @@ def representative_links(
     mine = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
     key = lambda *c: F.xxhash64("cluster", *c)
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    tiles = F.when(F.col("fits"), F.array(key())).otherwise(
-        F.concat(
+    if own:
+        parts = F.array(key(F.col("band"), F.col("mine")))
+    else:
+        parts = F.concat(
             F.transform(upto(F.col("slices")), lambda s: key(F.col("band"), F.col("band"), F.least(s, F.col("mine")), F.greatest(s, F.col("mine")))),
             F.transform(upto(F.col("above")), lambda s: key(F.col("band"), F.col("band") + 1, F.col("mine"), s)),
             F.transform(upto(F.col("below")), lambda s: key(F.col("band") - 1, F.col("band"), s, F.col("mine"))),
         )
-    )
-    dealt = banded.join(plan, ["cluster", "band"]).withColumn("mine", mine).select(F.explode(tiles).alias("tile"), "node", "set")
+    tiles = F.when(F.col("fits"), F.array(key())).otherwise(parts)
+    return banded.join(plan, ["cluster", "band"]).withColumn("mine", mine).select(F.explode(tiles).alias("tile"), "node", "set")
+
+
+def _compare(dealt: DataFrame, percent: int, every: bool = False) -> DataFrame:
+    """Links a, b of all tiles; ``dealt`` has tile, node, set and, as far as components are known, comp."""
+    named = "comp" in dealt.columns
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in grouped_batches(batches, "tile"):
             if tile.num_rows > 1:
-                found = tile_links(tile["node"].to_numpy(), [np.frombuffer(s.as_buffer(), U) for s in tile["set"]], percent, every)
+                sets = [np.frombuffer(s.as_buffer(), U) for s in tile["set"]]
+                found = tile_links(tile["node"].to_numpy(), sets, percent, every, tile["comp"].to_numpy() if named else None)
                 if found:
                     a, b = zip(*found, strict=True)
                     yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -368,9 +439,11 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFra
     are cut into parts by the band of their sizes (see ``Bands``), or under 85 % give their rarest elements (see
     ``prefix``); any two that link share a signature. Each
     signature's first representative is paired with the others, as a star, and the components
-    of these pairs are clusters, outside of which nothing can link. A cluster that fits one task is a tile, a larger one
-    is cut into pairs of slices by fine size bands and a hash, and within each tile all pairs that bitmaps can't rule
-    out are compared. So large groups of near copies are spread over tasks, and compared no more once connected.
+    of these pairs are clusters, outside of which nothing can link. A cluster that fits one task is a tile, within which all
+    pairs that bitmaps can't rule out are compared. A larger one is cut into slices, by fine size bands and a hash; then one set
+    of each slice's components meets the others' ones; then sets of components that are still apart meet by the signatures that
+    they share. So a large group of near copies costs its slices and their representatives, not the square of its size,
+    and sets that only share a cluster with it meet it by what they have in common.
 
     A null text is empty, and an empty one links with nothing. A null id links with nothing, its component is
     null. Rows that repeat an id are one node with the links of each. An empty table gives no rows.

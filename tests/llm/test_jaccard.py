@@ -92,3 +92,58 @@ def test_bands_lose_no_pair():
                 common = len(np.intersect1d(a, b))
                 if len(b) and len(b) != common and J.linked(len(a), len(b), common, percent):
                     assert np.intersect1d(bands.signatures(a), bands.signatures(b)).size
+
+
+def test_large_clusters_in_rounds(spark, monkeypatch):
+    """With tiles of a few sets every cluster is a large one; components must be those of brute force."""
+    real = J.representative_links
+    monkeypatch.setattr(J, "representative_links", lambda d, w, p, **k: real(d, w, p, tile_docs=4, tile_shingles=1500))
+    rnd = random.Random(11)
+    rows, n = [], 0
+    for _ in range(5):
+        base = [f"v{rnd.randrange(3000)}" for _ in range(rnd.choice([30, 80, 120]))]
+        ws = list(base)
+        for _ in range(26):
+            rows.append((n, " ".join(ws)))
+            n += 1
+            ws = list(ws if rnd.random() < 0.7 else base)
+            for _ in range(rnd.choice([1, 1, 2, 6])):
+                ws[rnd.randrange(len(ws))] = f"x{rnd.randrange(3000)}"
+    for width, percent in ((3, 90), (5, 80)):
+        assert got(spark, rows, width, percent) == brute(rows, width, percent)
+
+
+def test_hot_keys_are_split(spark):
+    """The joins of a star round and of sets with their plan are of plain shuffles, which AQE splits."""
+    from clipwise.llm.common import connected_components
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    plans = []
+    from clipwise.llm import common
+
+    real = common.materialize
+
+    def noted(df, name):
+        out = real(df, name)
+        if name == "large-star":
+            df.foreachPartition(lambda rows: None)
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = spark.range(1, 40_000).selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE 0 END AS a", "id + 1 AS b")
+        common.materialize = noted
+        found = {r.component for r in connected_components(edges, split_edges=0).select("component").distinct().collect()}
+    finally:
+        common.materialize = real
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert 0 in found and any("skew=true" in p for p in plans)
