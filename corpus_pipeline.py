@@ -18,6 +18,10 @@ def _without(docs: DataFrame, ids: DataFrame, key: str = "doc_id", rows: int = 5
     return docs.join(F.broadcast(ids) if ids.count() <= rows else ids, key, "left_anti")
 
 
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def _packed(docs: DataFrame, *own: str) -> DataFrame:
     """``own`` columns and, as one struct, all others, so that none of these can clash with an operator's."""
     return docs.select(*own, F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in own]).alias("_rest"))
@@ -49,7 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     repeated = materialize(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():
         grouped = jaccard.components(docs.select("doc_id", "text"))
-        return _without(docs, grouped.where("component_id <> doc_id").select("doc_id").distinct()).select(*docs.columns)
+        return _without(docs, grouped.where("component_id <> doc_id").select("doc_id").distinct()).select(*_all(docs))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(F.lit(True).alias("_"), *others)
     few = F.broadcast(repeated) if repeated.count() <= 500_000 else repeated
@@ -82,7 +86,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Null texts stay null (as does their count) and empty ones empty; repeated rows change alike, very long texts are read
     whole; other columns stay as they are, and an empty table gives no rows.
     """
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    redacted = pii.redact(_packed(docs, "text")).withColumn("n_chars", F.length("text").cast("long"))
+    return redacted.select(*_unpacked(docs.columns, "text", "n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
