@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, table
 
+CHUNK = 1_500_000  # tokens that a task holds at a time
 LONGEST = 32  # bytes of a word that stand for themselves; a longer one is counted by its sha256
 
 
@@ -135,17 +136,18 @@ def _pair_counts(head: dict[bytes, int], rest: int):
             nonlocal held, size
             if held:
                 c = np.concatenate(held)
-                counts[:] += np.bincount(c[:-1] * n + c[1:], minlength=n * n) if len(c) > 1 else 0
+                counts[:] += np.bincount(c[:-1].astype(np.int64) * n + c[1:], minlength=n * n) if len(c) > 1 else 0
                 held, size = [c[-1:]], 0  # documents are chained: each ends in the class that begins the next
 
-        held.append(np.array([end]))
+        stop = np.array([end], np.int32)
+        held.append(stop)
         for batch in batches:
             for text in batch.column("text"):
                 ws = words(text.as_py())
-                held.append(np.fromiter(map(classes.__getitem__, ws), np.int64, len(ws)))
-                held.append(np.array([end]))
+                held.append(np.fromiter(map(classes.__getitem__, ws), np.int32, len(ws)))
+                held.append(stop)
                 size += len(ws)
-                if size > 2_000_000:
+                if size > CHUNK:
                     add()
         add()
         pairs = np.flatnonzero(counts)
@@ -208,7 +210,7 @@ def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
 
     def pack(ws: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         ks = list(map(key, ws))
-        cls = np.array([head.get(k, -1) for k in ks] + [end], np.int64)
+        cls = np.array([head.get(k, -1) for k in ks] + [end], np.int32)
         rare = np.flatnonzero(cls < 0)
         if not len(rare):
             return
@@ -217,8 +219,8 @@ def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
         bucket = (cls[rare] - first) * parts + (named % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((named, bucket))
         named, bucket = named[order], bucket[order]
-        rank = np.full(len(cls), -1, np.int64)
-        rank[rare[order]] = np.arange(len(rare))
+        rank = np.full(len(cls), -1, np.int32)
+        rank[rare[order]] = np.arange(len(rare), dtype=np.int32)
         at, c = rank[ids], cls[ids].astype(kind)
         pos = np.flatnonzero(at >= 0)
         pos = pos[np.argsort(at[pos], kind="stable")]
@@ -232,16 +234,17 @@ def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
         yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["bucket", "words", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, size = {}, [np.array([-1])], 0
+        stop = np.array([-1], np.int32)
+        seen, held, size = {}, [stop], 0
         for batch in batches:
             for text in batch.column("text"):
                 ws = words(text.as_py())
-                held.append(np.fromiter((seen.setdefault(w, len(seen)) for w in ws), np.int64, len(ws)))
-                held.append(np.array([-1]))
+                held.append(np.fromiter((seen.setdefault(w, len(seen)) for w in ws), np.int32, len(ws)))
+                held.append(stop)
                 size += len(ws)
-                if size > 2_000_000:
+                if size > CHUNK:
                     yield from pack(list(seen), np.concatenate(held))
-                    seen, held, size = {}, [np.array([-1])], 0
+                    seen, held, size = {}, [stop], 0
         yield from pack(list(seen), np.concatenate(held))
 
     return run, kind
@@ -388,15 +391,20 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
         ks = known["word"].to_pylist()
         at = {k: i for i, k in enumerate(ks)}
         first = len(head_)
-        cls = np.fromiter((head_[k] if k in head_ else first + zlib.crc32(k[-3:]) % len(size_) for k in ks), np.int64, len(ks))
+        cls = np.fromiter((head_[k] if k in head_ else first + zlib.crc32(k[-3:]) % len(size_) for k in ks), np.int32, len(ks))
         within = np.where(cls < first, 0.0, np.log10((cs[:-1] + 1) / size_[np.maximum(cls - first, 0)]))
         cls, within = np.append(cls, end), np.append(within, 0.0)
         # The factors of row 0 are those of words that have none.
-        f = known["f"].combine_chunks() if known.num_rows else pa.array([], pa.binary())
-        own_f = np.append(np.asarray(f.is_valid()), False)
-        slot = np.where(own_f, np.cumsum(own_f), 0)
-        raw = np.frombuffer(b"".join(f.drop_null().to_pylist()), np.int8).reshape(-1, 2 * dim + 4)
-        raw = np.concatenate([np.zeros((1, 2 * dim + 4), np.int8), raw])
+        own_f = np.append(known["f"].is_valid().to_numpy(), False)
+        slot = np.where(own_f, np.cumsum(own_f), 0).astype(np.int32)
+        fs = [np.zeros((1, 2 * dim + 4), np.int8)]
+        for f in known["f"].chunks:
+            f = f.drop_null()
+            if len(f):
+                at_ = np.frombuffer(f.buffers()[1], np.int32)[f.offset : f.offset + len(f) + 1]
+                fs.append(np.frombuffer(f.buffers()[2], np.int8)[at_[0] : at_[-1]].reshape(-1, 2 * dim + 4))
+        raw = np.concatenate(fs)
+        del fs, ks, known
         log_z = np.ascontiguousarray(raw[:, 2 * dim :]).view(np.float32)[:, 0]
         base = np.log10((cs + 1) / (tokens + types + 1))
         last = len(cs) - 1
@@ -430,7 +438,7 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
             i = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
             held.append(np.append(i, last))
             size += len(held[-1])
-            if size > 500_000:
+            if size > 200_000:
                 add()
         if held:
             add()
