@@ -38,22 +38,34 @@ def suffix_class(word_key: bytes, classes: int) -> int:
     return zlib.crc32(word_key[-3:]) % classes
 
 
+def name(word_key: bytes) -> int:
+    """The 64-bit hash by which a word travels; that two words of n share one has a chance of about n * n / 2**65."""
+    return xxhash.xxh3_64_intdigest(word_key)
+
+
+class Ids(dict):
+    """Numbers of words in the order in which they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = len(self)
+        return out
+
+
 class Classes(dict):
-    """Class of a word: its rank among the head words, else one of ``rest`` by its last three bytes.
+    """Class of a word: its rank among the head words (by name), else one of ``rest`` by its last three bytes.
 
     Filled as words come, and emptied when it has grown to ``limit`` words.
     """
 
-    def __init__(self, head: dict[bytes, int], rest: int, limit: int = 400_000) -> None:
-        super().__init__(head)
+    def __init__(self, head: dict[int, int], rest: int, limit: int = 400_000) -> None:
+        super().__init__()
         self.head, self.rest, self.limit = head, rest, limit
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.limit:
             self.clear()
-            self.update(self.head)
         k = key(word)
-        self[word] = out = self.head.get(k, len(self.head) + suffix_class(k, self.rest))
+        self[word] = out = self.head.get(name(k), len(self.head) + suffix_class(k, self.rest))
         return out
 
 
@@ -125,7 +137,7 @@ class Settings:
     prior: float = 4.0
 
 
-def _pair_counts(head: dict[bytes, int], rest: int):
+def _pair_counts(head: dict[int, int], rest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(head, rest)
         n = len(head) + rest + 1
@@ -200,22 +212,23 @@ def tilt(data: np.ndarray, base: np.ndarray, basis: np.ndarray, prior: float, no
     return out
 
 
-def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
+def _word_pairs(head: dict[int, int], rest: int, parts: int):
     """For words outside the head: the classes that follow and precede their tokens, packed by bucket (class and part).
 
-    A word is named by its 64-bit hash, the same as Spark's ``xxhash64``.
+    A word goes by its name.
     """
     first, end = len(head), len(head) + rest
     kind = np.uint16 if end < 1 << 16 else np.uint32
 
     def pack(ws: list[bytes], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         ks = list(map(key, ws))
-        cls = np.array([head.get(k, -1) for k in ks] + [end], np.int32)
+        names = list(map(name, ks))
+        cls = np.array([head.get(k, -1) for k in names] + [end], np.int32)
         rare = np.flatnonzero(cls < 0)
         if not len(rare):
             return
         cls[rare] = [first + suffix_class(ks[i], rest) for i in rare]
-        named = np.array([xxhash.xxh64_intdigest(ks[i], 42) for i in rare], np.uint64)
+        named = np.array([names[i] for i in rare], np.uint64)
         bucket = (cls[rare] - first) * parts + (named % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((named, bucket))
         named, bucket = named[order], bucket[order]
@@ -235,22 +248,22 @@ def _word_pairs(head: dict[bytes, int], rest: int, parts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stop = np.array([-1], np.int32)
-        seen, held, size = {}, [stop], 0
+        seen, held, size = Ids(), [stop], 0
         for batch in batches:
             for text in batch.column("text"):
                 ws = words(text.as_py())
-                held.append(np.fromiter((seen.setdefault(w, len(seen)) for w in ws), np.int32, len(ws)))
+                held.append(np.fromiter(map(seen.__getitem__, ws), np.int32, len(ws)))
                 held.append(stop)
                 size += len(ws)
                 if size > CHUNK:
                     yield from pack(list(seen), np.concatenate(held))
-                    seen, held, size = {}, [stop], 0
+                    seen, held, size = Ids(), [stop], 0
         yield from pack(list(seen), np.concatenate(held))
 
     return run, kind
 
 
-def word_factors(texts: DataFrame, head: dict[bytes, int], size: np.ndarray, model: LogBilinear, pairs: np.ndarray, parts: int, settings: Settings) -> DataFrame:
+def word_factors(texts: DataFrame, head: dict[int, int], size: np.ndarray, model: LogBilinear, pairs: np.ndarray, parts: int, settings: Settings) -> DataFrame:
     """name (hash of the word) and f of every word outside the head with ``least`` training tokens: its factors as a
     context and as a target (a byte each) and the log of its normaliser as a context (a float). Rows without a name
     have a class and ``z``, by which the class's words of that row change the sum over the class after each class.
@@ -314,7 +327,7 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
 
     Unigram counts are exact and cover all training rows. Documents are dealt to blocks of about
     ``block_bytes`` by a hash, fewer bytes where that would leave cores idle; a block counts its words, counts are added up by word, and each
-    block gets back the counts of its own words alone. So a task holds one block's texts and
+    block gets back the counts of its own words alone, by name: words themselves never leave their block. So a task holds one block's texts and
     vocabulary, however large the whole vocabulary, and no vocabulary is broadcast.
 
     The model predicts a class from the one before it (the end of a text stands before the first word).
@@ -343,29 +356,26 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
             others.update(ws) if out.as_py() else trained.update(ws)
         others -= trained.keys()
         ks = [key(w) for w in trained] + [key(w) for w in others]
+        names = np.array(list(map(name, ks)), np.uint64).view(np.int64)
+        classes = np.array([suffix_class(k, settings.rest) for k in ks], np.int32)
         ns = np.concatenate([np.fromiter(trained.values(), np.int64, len(trained)), np.zeros(len(others), np.int64)])
         number = block["block"][0].as_py()
-        return pa.table({"word": pa.array(ks, pa.binary()), "block": pa.array(np.full(len(ks), number, np.int32)), "n": ns})
+        return pa.table({"name": names, "class": classes, "block": pa.array(np.full(len(ks), number, np.int32)), "n": ns})
 
-    listed = materialize(blocked.groupBy("block").applyInArrow(count, "word binary, block int, n long"), "block-words")
-    counts = materialize(listed.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
+    listed = materialize(blocked.groupBy("block").applyInArrow(count, "name long, class int, block int, n long"), "block-words")
+    counts = materialize(listed.groupBy("name").agg(F.sum("n").alias("c"), F.first("class").alias("class")), "word-counts")
     seen = counts.where("c > 0")
     ends = rows.where(~F.col("held_out")).count()
-    top = seen.orderBy(F.desc("c"), "word").limit(settings.head).collect()
-    head = {bytes(r["word"]): i for i, r in enumerate(top)}
-    by_class = (
-        seen.withColumn("class", F.pmod(F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")), F.lit(settings.rest)).cast("int"))
-        .groupBy("class")
-        .agg(F.sum("c").alias("c"), F.count("*").alias("v"))
-        .collect()
-    )
+    top = seen.orderBy(F.desc("c"), "name").limit(settings.head).collect()
+    head = {r["name"] % (1 << 64): i for i, r in enumerate(top)}
+    by_class = seen.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
     n_words, n_types = sum(r["c"] for r in by_class), sum(r["v"] for r in by_class)
     tokens, types = n_words + ends, n_types + (ends > 0)
     size = np.ones(settings.rest)  # C + V + 1 of each rest class, without head words
     for r in by_class:
         size[r["class"]] += r["c"] + r["v"]
     for r in top:
-        size[suffix_class(bytes(r["word"]), settings.rest)] -= r["c"] + 1
+        size[r["class"]] -= r["c"] + 1
 
     n = len(head) + settings.rest + 1
     found = rows.where(~F.col("held_out")).select("text").mapInArrow(_pair_counts(head, settings.rest), "pair long, n long")
@@ -386,71 +396,66 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
         table_, head_, size_, follow, precede = shared.value
-        end = len(table_) - 1
-        cs = np.append(known["c"].to_numpy(), ends) if known.num_rows else np.array([ends])
-        ks = known["word"].to_pylist()
-        at = {k: i for i, k in enumerate(ks)}
-        first = len(head_)
-        cls = np.fromiter((head_[k] if k in head_ else first + zlib.crc32(k[-3:]) % len(size_) for k in ks), np.int32, len(ks))
-        within = np.where(cls < first, 0.0, np.log10((cs[:-1] + 1) / size_[np.maximum(cls - first, 0)]))
-        cls, within = np.append(cls, end), np.append(within, 0.0)
-        # The factors of row 0 are those of words that have none.
-        own_f = np.append(known["f"].is_valid().to_numpy(), False)
-        slot = np.where(own_f, np.cumsum(own_f), 0).astype(np.int32)
+        end, first = len(table_) - 1, len(head_)
+        # Tokens as numbers of the block's words, each text closed by -1.
+        ids, held, ends_at = Ids(), [], []
+        total_, stop = 0, np.array([-1], np.int32)
+        for text in block["text"]:
+            ws = words(text.as_py())
+            held += [np.fromiter(map(ids.__getitem__, ws), np.int32, len(ws)), stop]
+            total_ += len(ws) + 1
+            ends_at.append(total_)
+        i, ends_at = np.concatenate(held), np.array(ends_at)
+        ks = list(map(key, ids))
+        del ids, held
+        names = np.array(list(map(name, ks)), np.uint64)
+        rank = map(head_.get, names.tolist())
+        cls = np.fromiter((c if c is not None else first + suffix_class(k, len(size_)) for c, k in zip(rank, ks, strict=True)), np.int32, len(ks))
+        del ks
+        # Rows of the join, in the words' order; the last place is the end's. The factors of row 0 are those of words that have none.
+        given = known["name"].to_numpy().view(np.uint64) if known.num_rows else names[:0]
+        order = np.argsort(given)
+        at = order[np.searchsorted(given[order], names)]
+        cs = np.append(known["c"].to_numpy()[at], ends) if len(at) else np.array([ends])
+        own_f = known["f"].is_valid().to_numpy() if known.num_rows else np.zeros(0, bool)
+        slot = np.append(np.where(own_f, np.cumsum(own_f), 0).astype(np.int32)[at], 0) if len(at) else np.zeros(1, np.int32)
         fs = [np.zeros((1, 2 * dim + 4), np.int8)]
         for f in known["f"].chunks:
             f = f.drop_null()
             if len(f):
-                at_ = np.frombuffer(f.buffers()[1], np.int32)[f.offset : f.offset + len(f) + 1]
-                fs.append(np.frombuffer(f.buffers()[2], np.int8)[at_[0] : at_[-1]].reshape(-1, 2 * dim + 4))
+                where = np.frombuffer(f.buffers()[1], np.int32)[f.offset : f.offset + len(f) + 1]
+                fs.append(np.frombuffer(f.buffers()[2], np.int8)[where[0] : where[-1]].reshape(-1, 2 * dim + 4))
         raw = np.concatenate(fs)
-        del fs, ks, known
+        del fs, known, names, order, at
         log_z = np.ascontiguousarray(raw[:, 2 * dim :]).view(np.float32)[:, 0]
+        within = np.append(np.where(cls < first, 0.0, np.log10((cs[:-1] + 1) / size_[np.maximum(cls - first, 0)])), 0.0)
+        cls = np.append(cls, np.int32(end))
         base = np.log10((cs + 1) / (tokens + types + 1))
-        last = len(cs) - 1
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        held: list[np.ndarray] = []
-        size = 0
-
-        def add() -> None:
-            """Scores the texts held, whose tokens stand one after the other."""
-            nonlocal held, size
-            i = np.concatenate(held)
-            starts = np.append(0, np.flatnonzero(i == last)[:-1] + 1)
-            c, g = cls[i], slot[i]
-            before, h = np.append(end, c[:-1]), np.append(0, g[:-1])
-            each = table_[before, c] + within[i]
-            tilted = -log_z[h].astype(np.float64)
-            for j in range(0, len(i), 1 << 16):
-                t = slice(j, j + (1 << 16))
-                tilted[t] += np.einsum("ij,ij->i", raw[h[t], :dim].astype(np.float32), follow[c[t]]) / 32
-                tilted[t] += np.einsum("ij,ij->i", raw[g[t], dim : 2 * dim].astype(np.float32), precede[before[t]]) / 32
-            each = each + tilted / math.log(10)
-            out[0].append(np.diff(np.append(starts, len(i))))
-            for to, values in zip(out[1:], ((cs[i] > 0).astype(np.int64), base[i], each), strict=True):
-                to.append(np.add.reduceat(values, starts))
-            held, size = [], 0
-
-        for text in block["text"]:
-            ws = words(text.as_py())
-            if ws and max(map(len, ws)) > LONGEST:
-                ws = list(map(key, ws))
-            i = np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
-            held.append(np.append(i, last))
-            size += len(held[-1])
-            if size > 200_000:
-                add()
-        if held:
-            add()
-        out = [np.concatenate(x) for x in out]
+        starts = np.append(0, ends_at[:-1])
+        out: list[list[np.ndarray]] = [[], [], []]
+        d = 0
+        while d < len(starts):  # some texts at a time, of some 200,000 tokens together
+            d0, d = d, max(d + 1, int(np.searchsorted(ends_at, starts[d] + 200_000, "right")))
+            low, high = starts[d0], ends_at[d - 1]
+            each = np.empty(high - low)
+            for a in range(low, high, 1 << 16):
+                b = min(high, a + (1 << 16))
+                own, before_ = i[a:b], np.append(i[a - 1] if a else -1, i[a : b - 1])
+                c, c0, h = cls[own], cls[before_], slot[before_]
+                tilted = np.einsum("ij,ij->i", raw[h, :dim].astype(np.float32), follow[c])
+                tilted += np.einsum("ij,ij->i", raw[slot[own], dim : 2 * dim].astype(np.float32), precede[c0])
+                each[a - low : b - low] = table_[c0, c] + within[own] + (tilted / 32 - log_z[h].astype(np.float64)) / math.log(10)
+            cuts, own = starts[d0:d] - low, i[low:high]
+            for to, values in zip(out, ((cs[own] > 0).astype(np.int64), base[own], each), strict=True):
+                to.append(np.add.reduceat(values, cuts))
+        out = [np.diff(np.append(0, ends_at)), *map(np.concatenate, out)]
         cols = {"n_tokens": out[0], "n_known": out[1], "train_tokens": np.full(len(out[0]), tokens, np.int64), "base_score": out[2], "score": out[3]}
         return pa.table({"doc_id": block["doc_id"], "held_out": block["held_out"], **cols})
 
     kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = f"doc_id {kind['doc_id']}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     named = factors.where("name is not null").select("name", "f")
-    fitted = seen.where(F.col("c") >= settings.least).withColumn("name", F.xxhash64("word")).join(named, "name").select("word", "f")
-    own = listed.select("block", "word").join(counts, "word").join(fitted, "word", "left").select("block", "word", "c", "f")
+    own = listed.select("block", "name").join(counts.select("name", "c").join(named, "name", "left"), "name").select("block", "name", "c", "f")
     return blocked.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(score, schema)
 
 
