@@ -236,15 +236,16 @@ def _word_pairs(head: dict[int, int], rest: int, parts: int):
         rank[rare[order]] = np.arange(len(rare), dtype=np.int32)
         at, c = rank[ids], cls[ids].astype(kind)
         pos = np.flatnonzero(at >= 0)
-        pos = pos[np.argsort(at[pos], kind="stable")]
+        pos = np.sort(at[pos].astype(np.int64) << 32 | pos) & 0xFFFFFFFF  # by word, then by place
         sizes = np.bincount(at[pos], minlength=len(rare)).astype(np.uint32)
         after, before, ends = c[pos + 1], c[pos - 1], np.append(0, np.cumsum(sizes, dtype=np.int64))
         cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
         rows = []
         for a, b in zip(cuts, cuts[1:], strict=False):
             t = slice(ends[a], ends[b])
-            rows.append((int(bucket[a]), int(b - a), zlib.compress(b"".join(x.tobytes() for x in (named[a:b], sizes[a:b], after[t], before[t])), 1)))
-        yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["bucket", "words", "packed"])
+            raw = b"".join(x.tobytes() for x in (named[a:b], sizes[a:b], after[t], before[t]))
+            rows.append((int(bucket[a]), int(b - a), len(raw), pa.compress(raw, "zstd", asbytes=True)))
+        yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["bucket", "words", "bytes", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stop = np.array([-1], np.int32)
@@ -281,8 +282,8 @@ def word_factors(texts: DataFrame, head: dict[int, int], size: np.ndarray, model
         probability, follow, precede, counted, sizes_ = sent.value
         label = group["bucket"][0].as_py() // parts
         got: list[list[np.ndarray]] = [[], [], [], []]
-        for m, packed in zip(group["words"].to_pylist(), group["packed"], strict=True):
-            raw = zlib.decompress(packed.as_py())
+        for m, size, packed in zip(group["words"].to_pylist(), group["bytes"].to_pylist(), group["packed"], strict=True):
+            raw = pa.decompress(packed.as_buffer(), size, "zstd", asbytes=True)
             tokens = (len(raw) - 12 * m) // (2 * kind().itemsize)
             got[0].append(np.frombuffer(raw, np.uint64, m))
             got[1].append(np.frombuffer(raw, np.uint32, m, 8 * m))
@@ -316,7 +317,7 @@ def word_factors(texts: DataFrame, head: dict[int, int], size: np.ndarray, model
         rows = len(names)
         return pa.table({"name": pa.array(names, pa.int64()), "f": pa.array([*fs, None], pa.binary()), "class": pa.array([None] * (rows - 1) + [label], pa.int32()), "z": pa.array([None] * (rows - 1) + [z.tolist()], pa.list_(pa.float64()))})
 
-    packed = texts.select("text").mapInArrow(run, "bucket int, words int, packed binary")
+    packed = texts.select("text").mapInArrow(run, "bucket int, words int, bytes int, packed binary")
     return materialize(packed.groupBy("bucket").applyInArrow(fit, "name long, f binary, class int, z array<double>"), "word-factors")
 
 
@@ -442,9 +443,12 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
                 b = min(high, a + (1 << 16))
                 own, before_ = i[a:b], np.append(i[a - 1] if a else -1, i[a : b - 1])
                 c, c0, h = cls[own], cls[before_], slot[before_]
-                tilted = np.einsum("ij,ij->i", raw[h, :dim].astype(np.float32), follow[c])
-                tilted += np.einsum("ij,ij->i", raw[slot[own], dim : 2 * dim].astype(np.float32), precede[c0])
-                each[a - low : b - low] = table_[c0, c] + within[own] + (tilted / 32 - log_z[h].astype(np.float64)) / math.log(10)
+                tilted, g = -log_z[h].astype(np.float64), slot[own]
+                if len(at_h := np.flatnonzero(h)):
+                    tilted[at_h] += np.einsum("ij,ij->i", raw[h[at_h], :dim].astype(np.float32), follow[c[at_h]]) / 32
+                if len(at_g := np.flatnonzero(g)):
+                    tilted[at_g] += np.einsum("ij,ij->i", raw[g[at_g], dim : 2 * dim].astype(np.float32), precede[c0[at_g]]) / 32
+                each[a - low : b - low] = table_[c0, c] + within[own] + tilted / math.log(10)
             cuts, own = starts[d0:d] - low, i[low:high]
             for to, values in zip(out, ((cs[own] > 0).astype(np.int64), base[own], each), strict=True):
                 to.append(np.add.reduceat(values, cuts))
