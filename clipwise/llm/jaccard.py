@@ -350,8 +350,18 @@ def representative_links(
                 yield pa.record_batch(cols, ["sig", "node", "comp", "n"])
 
     signed = materialize(rest.mapInArrow(resign, "sig long, node long, comp long, n long"), "open-signatures")
-    groups = signed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("docs"), F.sum("n").alias("shingles"))
-    groups = materialize(groups.where("low <> high").select("sig", _slices(tile_docs, tile_shingles).alias("slices")), "open-groups")
+    members = F.struct(F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("node"), 24)).alias("s"))
+    groups = signed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("docs"), F.sum("n").alias("shingles"), members.alias("members"))
+    # The shingles of one passage are shared by the same sets: of groups with equal members one is compared.
+    groups = groups.where("low <> high").groupBy("members").agg(F.min("sig").alias("sig"), F.first("docs").alias("docs"), F.first("shingles").alias("shingles"))
+    groups = materialize(groups.select("sig", "shingles", _slices(tile_docs, tile_shingles).alias("slices")), "open-groups")
+
+    # Pairs of slices of whole clusters find the same; whichever copies fewer shingles is done.
+    by_group = groups.agg(F.sum(F.col("shingles") * F.col("slices"))).first()[0] or 0
+    whole = rest.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    by_slice = whole.agg(F.sum(F.col("shingles") * _slices(tile_docs, tile_shingles))).first()[0] or 0
+    if by_slice < by_group:
+        return found.union(between).union(_compare(_dealt(rest, percent, tile_docs, tile_shingles), percent))
     mine = F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda s: F.xxhash64("sig", F.least(s, F.col("mine")), F.greatest(s, F.col("mine"))))
     tiles = signed.select("sig", "node").join(groups, "sig").withColumn("mine", mine).select("node", F.explode(pairs).alias("tile"))
@@ -376,7 +386,7 @@ def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _dealt(sets: DataFrame, percent: int, tile_docs: int, tile_shingles: int, own: bool = False) -> DataFrame:
-    """tile, node and set: a cluster that fits is one tile; of a larger one, a tile is a pair of slices of like sizes.
+    """tile, node, comp (if given) and set: a cluster that fits is one tile; of a larger one, a tile is a pair of slices of like sizes.
 
     Slices go by fine size bands and a hash, and bands that may link meet; with ``own`` each slice is a tile of its own.
     """
@@ -405,7 +415,8 @@ def _dealt(sets: DataFrame, percent: int, tile_docs: int, tile_shingles: int, ow
             F.transform(upto(F.col("below")), lambda s: key(F.col("band") - 1, F.col("band"), s, F.col("mine"))),
         )
     tiles = F.when(F.col("fits"), F.array(key())).otherwise(parts)
-    return banded.join(plan, ["cluster", "band"]).withColumn("mine", mine).select(F.explode(tiles).alias("tile"), "node", "set")
+    also = [c for c in ("comp",) if c in sets.columns]
+    return banded.join(plan, ["cluster", "band"]).withColumn("mine", mine).select(F.explode(tiles).alias("tile"), "node", *also, "set")
 
 
 def _compare(dealt: DataFrame, percent: int, every: bool = False) -> DataFrame:
@@ -442,7 +453,7 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFra
     of these pairs are clusters, outside of which nothing can link. A cluster that fits one task is a tile, within which all
     pairs that bitmaps can't rule out are compared. A larger one is cut into slices, by fine size bands and a hash; then one set
     of each slice's components meets the others' ones; then sets of components that are still apart meet by the signatures that
-    they share. So a large group of near copies costs its slices and their representatives, not the square of its size,
+    they share, or in pairs of slices if that copies less. So a large group of near copies costs its slices and their representatives, not the square of its size,
     and sets that only share a cluster with it meet it by what they have in common.
 
     A null text is empty, and an empty one links with nothing. A null id links with nothing, its component is

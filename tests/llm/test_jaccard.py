@@ -109,8 +109,12 @@ def test_large_clusters_in_rounds(spark, monkeypatch):
             ws = list(ws if rnd.random() < 0.7 else base)
             for _ in range(rnd.choice([1, 1, 2, 6])):
                 ws[rnd.randrange(len(ws))] = f"x{rnd.randrange(3000)}"
-    for width, percent in ((3, 90), (5, 80)):
-        assert got(spark, rows, width, percent) == brute(rows, width, percent)
+    want = {(w, p): brute(rows, w, p) for w, p in ((3, 90), (5, 80))}
+    for (width, percent), w in want.items():
+        assert got(spark, rows, width, percent) == w
+    monkeypatch.setattr(J, "representative_links", lambda d, w, p, **k: real(d, w, p, tile_docs=24, tile_shingles=3000))
+    for (width, percent), w in want.items():
+        assert got(spark, rows, width, percent) == w
 
 
 def test_hot_keys_are_split(spark):
