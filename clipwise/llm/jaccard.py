@@ -31,7 +31,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Hashes(dict):
     """64-bit hashes of words, filled as they come and emptied at ``limit``."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 150_000) -> None:
         super().__init__()
         self.limit = limit
 
@@ -122,28 +122,35 @@ CELLS, SLICES = 22, 64  # bits of a hash by which shingles share a counter; slic
 def cell_ranks(docs: DataFrame, width: int) -> np.ndarray:
     """A sketch of frequencies: for each of 2**22 cells of the hash how often shingles fall in it, as a logarithm.
 
-    Every document counts. A task adds up its counters and sends them in slices, packed; each slice is
+    Every document counts, up to 2**32 - 1 times a cell in a task. A task adds up its counters and sends them in slices, packed; each slice is
     summed as the packs come, so a task holds one array however many there are. The driver gets 16 MB, executors 4 MB.
     """
     cells, size = 1 << CELLS, (1 << CELLS) // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = Hashes(), np.zeros(cells, np.int64)
+        hashes, counts = Hashes(), np.zeros((16, cells // 16), np.uint32)
         held: list[np.ndarray] = []
+        many = 0
 
         def add() -> None:
             if held:
-                counts[:] += np.bincount((np.concatenate(held) >> U(64 - CELLS)).astype(np.int64), minlength=cells)
+                at = np.sort((np.concatenate(held) >> U(64 - CELLS)).astype(np.int32))
                 held.clear()
+                for i, part in enumerate(np.split(at, np.searchsorted(at, np.arange(1, 16) * (cells // 16)))):
+                    if len(part):
+                        counts[i] += np.bincount(part - i * (cells // 16), minlength=cells // 16).astype(np.uint32)
 
         for batch in batches:
             for text in batch.column("text"):
                 held.append(shingles(text.as_py(), width, hashes))
-                if len(held) >= 4000:
+                many += len(held[-1])
+                if many >= 500_000:
                     add()
+                    many = 0
         add()
+        every = counts.reshape(-1)
         for i in range(SLICES):
-            own = counts[i * size : (i + 1) * size]
+            own = every[i * size : (i + 1) * size].astype(np.int64)
             if own.any():
                 large = np.flatnonzero(own > 254)
                 rest = np.stack([large, own[large]]).tobytes()
@@ -270,10 +277,12 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            sets = [shingles(t.as_py(), width, hashes) for t in batch.column("text")]
-            fps = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            cols = [batch.column("doc_id"), pa.array(list(map(len, sets)), pa.int64()), pa.array(fps, pa.binary())]
-            yield pa.record_batch(cols, ["doc_id", "n_shingles", "fp"])
+            sizes, fps = [], []
+            for t in batch.column("text"):
+                s = shingles(t.as_py(), width, hashes)
+                sizes.append(len(s))
+                fps.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+            yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary())], ["doc_id", "n_shingles", "fp"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp binary")
 
