@@ -97,6 +97,7 @@ def find(
     slop: int = 0,
     keep: Sequence[str] | None = None,
     broadcast_rows: int = 100_000,
+    write_words: bool = True,
 ) -> DataFrame:
     """Every document's row with ``n_words``, ``n_hit``, ``items``, ``near_items`` and ``contaminated``.
 
@@ -106,7 +107,8 @@ def find(
     those of which the two rarest terms of a window stand within ``slop`` words of their distance.
     ``keep`` names the columns of ``docs`` to return, all by default.
 
-    Texts are split into words once, into a written table, from which the counts, the postings and the verification read. Candidates
+    Texts are split into words once, into a written table, from which the counts, the postings and the verification read; without
+    ``write_words`` each of these splits them again, which costs time and spares the table's disk (about the texts' size). Candidates
     come from the index; each is verified against the words of its document. Only words of documents with
     candidates are shuffled, as long as their keys (16 bytes each) are few enough to be broadcast; beyond
     ``broadcast_rows`` both sides are shuffled. Rows meet by id and content of the text, so repeated rows
@@ -118,7 +120,7 @@ def find(
     key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text")))
     keyed = docs.withColumn("_key", key)
     split = keyed.select("_key", words(F.col("text")).alias("ws"), *([] if "text" in keep else [F.struct(*keep).alias("_kept")]))
-    split = materialize(split, "words")
+    split = materialize(split, "words") if write_words else split
     wins = materialize(windows(benchmark.where("item_id is not null"), length), "benchmark")
     found = candidates(split.select("_key", "ws"), wins, slop=slop).join(wins.select("wid", "w").distinct(), "wid")
     per_doc = materialize(found.groupBy("_key").agg(F.collect_list(F.struct("start", "len", "w", "gap")).alias("_c")), "candidates")
