@@ -76,7 +76,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     own = ("doc_id", "text")
-    found = decontaminate.find(_packed(docs, *own), items)
+    found = decontaminate.find(_packed(docs, *own), items, write_words=False)
     return found.where(~F.col("contaminated")).select(*_unpacked(docs.columns, *own))
 
 
