@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -287,16 +287,8 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp binary")
 
 
-def representative_links(
-    docs: DataFrame,
-    width: int,
-    percent: int,
-    *,
-    every: bool = False,
-    tile_docs: int = 1024,
-    tile_shingles: int = 4_000_000,
-) -> DataFrame:
-    """Links a, b between documents with different sets; see ``components``."""
+def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Callable[[np.ndarray], np.ndarray]]:
+    """cluster, node, n and set, a written table of the sets outside of whose clusters nothing links; and what signs a set."""
     bands = Bands(percent)
     # Under 85 % parts would hold but two or three elements each, which unrelated sets share too often.
     shared = docs.sparkSession.sparkContext.broadcast(cell_ranks(docs, width)) if percent < 85 else None
@@ -328,8 +320,25 @@ def representative_links(
 
     nodes = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
     sets = _meet(docs.select("doc_id", "text"), nodes, "inner").mapInArrow(load, "cluster long, node long, n long, set binary")
-    sets = materialize(sets, "sets")
+    return materialize(sets, "sets"), signatures
 
+
+def representative_links(docs: DataFrame, width: int, percent: int, *, every: bool = False, tile_docs: int = 1024, tile_shingles: int = 4_000_000) -> DataFrame:
+    """Links a, b between documents with different sets; see ``components``."""
+    sets, signatures = clustered_sets(docs, width, percent)
+    return links_of(sets, signatures, percent, every=every, tile_docs=tile_docs, tile_shingles=tile_shingles)
+
+
+def links_of(
+    sets: DataFrame,
+    signatures: Callable[[np.ndarray], np.ndarray],
+    percent: int,
+    *,
+    every: bool = False,
+    tile_docs: int = 1024,
+    tile_shingles: int = 4_000_000,
+) -> DataFrame:
+    """Links a, b between the sets of each cluster, enough to join their components, or with ``every`` all."""
     if every:
         return _compare(_dealt(sets, percent, tile_docs, tile_shingles), percent, True)
     found = materialize(_compare(_dealt(sets, percent, tile_docs, tile_shingles, own=True), percent), "tile-links")
@@ -397,7 +406,9 @@ def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
 def _dealt(sets: DataFrame, percent: int, tile_docs: int, tile_shingles: int, own: bool = False) -> DataFrame:
     """tile, node, comp (if given) and set: a cluster that fits is one tile; of a larger one, a tile is a pair of slices of like sizes.
 
-    Slices go by fine size bands and a hash, and bands that may link meet; with ``own`` each slice is a tile of its own.
+    Slices go by fine size bands and a hash, and bands that may link meet; with ``own`` each slice is a tile of its own. Where ``sets``
+    has ``copies`` it comes out too, with ``side``, the set's slice, and ``whole``, whether sets of one slice are to be compared in
+    this tile, so that each pair is compared in one tile only.
     """
     fine = math.log(100 / percent)
     banded = sets.withColumn("band", F.floor(F.log("n") / fine).cast("int"))
@@ -424,8 +435,13 @@ def _dealt(sets: DataFrame, percent: int, tile_docs: int, tile_shingles: int, ow
             F.transform(upto(F.col("below")), lambda s: key(F.col("band") - 1, F.col("band"), s, F.col("mine"))),
         )
     tiles = F.when(F.col("fits"), F.array(key())).otherwise(parts)
+    met = banded.join(plan, ["cluster", "band"]).withColumn("mine", mine)
     also = [c for c in ("comp",) if c in sets.columns]
-    return banded.join(plan, ["cluster", "band"]).withColumn("mine", mine).select(F.explode(tiles).alias("tile"), "node", *also, "set")
+    if "copies" in sets.columns:
+        diagonal = key(F.col("band"), F.col("band"), F.col("mine"), F.col("mine")).alias("diagonal")
+        also = ["copies", F.xxhash64("band", "mine").alias("side"), "fits", diagonal]
+    dealt = met.select(F.explode(tiles).alias("tile"), "node", *also, "set")
+    return dealt.withColumn("whole", F.col("fits") | (F.col("tile") == F.col("diagonal"))).drop("fits", "diagonal") if "copies" in sets.columns else dealt
 
 
 def _compare(dealt: DataFrame, percent: int, every: bool = False) -> DataFrame:
@@ -444,13 +460,94 @@ def _compare(dealt: DataFrame, percent: int, every: bool = False) -> DataFrame:
     return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(compare, "a long, b long")
 
 
-def _meet(docs: DataFrame, ids: DataFrame, how: str, rows: int = 500_000) -> DataFrame:
+def tile_counts(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, whole: bool, percent: int) -> np.ndarray:
+    """For each set of a tile the ``copies`` of all others that it links with; of one side only if the tile is ``whole``.
+
+    As in ``tile_links`` sizes and bitmaps rule pairs out; what is left of a set's partners is intersected at once, by
+    flags over the tile's shingles.
+    """
+    sizes = np.array([len(s) for s in sets])
+    order = np.argsort(sizes, kind="stable")
+    sizes, sets, copies, side = sizes[order], [sets[i] for i in order], copies[order], side[order]
+    bits = 64
+    while bits < min(4 * sizes[-1], 1 << 16):
+        bits *= 2
+    maps = np.zeros((len(sets), bits), np.uint8)
+    for i, s in enumerate(sets):
+        maps[i, (s & U(bits - 1)).astype(np.int64)] = 1
+    maps = np.packbits(maps, axis=1).view(U)
+    distinct, at = np.unique(np.concatenate(sets), return_inverse=True)
+    at = np.split(at.astype(np.int32), np.cumsum(sizes)[:-1])
+    flags = np.zeros(len(distinct), np.uint8)
+    out = np.zeros(len(sets), np.int64)
+    for i in range(len(sets) - 1):
+        end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
+        if end <= i + 1:
+            continue
+        other = maps[i + 1 : end]
+        lost_i = np.bitwise_count(maps[i] & ~other).sum(axis=1, dtype=np.int64)
+        lost_j = np.bitwise_count(other & ~maps[i]).sum(axis=1, dtype=np.int64)
+        bound = np.minimum(sizes[i] - lost_i, sizes[i + 1 : end] - lost_j)
+        open_ = 100 * bound >= percent * (sizes[i] + sizes[i + 1 : end] - bound)
+        if not whole:
+            open_ &= side[i + 1 : end] != side[i]
+        js = np.flatnonzero(open_) + i + 1
+        if not len(js):
+            continue
+        flags[at[i]] = 1
+        starts = np.cumsum(sizes[js]) - sizes[js]
+        common = np.add.reduceat(flags[np.concatenate([at[j] for j in js])], starts, dtype=np.int64)
+        flags[at[i]] = 0
+        js = js[100 * common >= percent * (sizes[i] + sizes[js] - common)]
+        out[i] += copies[js].sum()
+        out[js] += copies[i]
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def link_counts(sets: DataFrame, percent: int, *, tile_docs: int = 1024, tile_shingles: int = 2_000_000) -> DataFrame:
+    """node and links, of each set the ``copies`` of all others that it links with; ``sets`` has cluster, node, n, copies and set.
+
+    A cluster here is a component of links, so what is compared grows as the links themselves do at most, where components are
+    cliques. Pairs are counted in their tile and never written.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in grouped_batches(batches, "tile"):
+            if tile.num_rows > 1:
+                found = tile_counts(
+                    [np.frombuffer(s.as_buffer(), U) for s in tile["set"]], tile["copies"].to_numpy(), tile["side"].to_numpy(), tile["whole"][0].as_py(), percent
+                )
+                yield pa.record_batch([pa.array(tile["node"].to_numpy()), pa.array(found)], ["node", "links"])
+
+    dealt = _dealt(sets, percent, tile_docs, tile_shingles).repartition("tile").sortWithinPartitions("tile")
+    return dealt.mapInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def _class_of(fp: Column) -> Column:
+    """The first 64 bits of a set's fingerprint."""
+    return F.conv(F.hex(F.substring(fp, 1, 8)), 16, -10).cast("long")
+
+
+def _by_class(sets: DataFrame) -> DataFrame:
+    """cluster, n, set and, in place of the document, ``node``, the set's class as in ``_class_of``; one row for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes = [int.from_bytes(xxhash.xxh3_128_digest(memoryview(s.as_buffer()))[:8], "big", signed=True) for s in batch.column("set")]
+            yield pa.record_batch([batch.column("cluster"), pa.array(classes, pa.int64()), batch.column("n"), batch.column("set")], ["cluster", "node", "n", "set"])
+
+    return sets.select("cluster", "n", "set").mapInArrow(run, "cluster long, node long, n long, set binary")
+
+
+def _meet(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id", rows: int = 500_000) -> DataFrame:
     """Joins texts with rows by id; these are broadcast only if they are few (16 bytes each), else both are shuffled."""
-    return docs.join(F.broadcast(ids) if ids.count() <= rows else ids, "doc_id", how)
+    return docs.join(F.broadcast(ids) if ids.count() <= rows else ids, key, how)
 
 
-def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
+def components(docs: DataFrame, *, width: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and, with ``count_links``, n_links of every row of ``docs`` (doc_id, text).
 
     Two documents link when 100 * intersection >= percent * union of their sets of ``width``-word shingles, held as
     64-bit hashes. ``component_id`` is the smallest id that links lead to.
@@ -465,6 +562,10 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFra
     they share, or in pairs of slices if that copies less. So a large group of near copies costs its slices and their representatives, not the square of its size,
     and sets that only share a cluster with it meet it by what they have in common.
 
+    ``n_links`` is how many other rows (with an id) have a set that links with the row's own, its copies among them. It takes all pairs of
+    different sets within a component, which are compared in tiles again and counted there. Different texts that repeat an id
+    count as each other's links only where their cluster has another id.
+
     A null text is empty, and an empty one links with nothing. A null id links with nothing, its component is
     null. Rows that repeat an id are one node with the links of each. An empty table gives no rows.
     """
@@ -479,18 +580,31 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFra
     copies = named.where("rep <> doc_id").select("doc_id").distinct()
     spare = materialize(copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti"), "copies")
     singles = _meet(docs.where("doc_id is not null and text is not null"), spare, "left_anti")
-    links = representative_links(singles, width, percent)
+    sets, signatures = clustered_sets(singles, width, percent)
+    links = links_of(sets, signatures, percent)
+    links = materialize(links, "representative-links") if count_links else links
     # Ids that stand in several classes, as rows may repeat an id with another text, connect them.
     own = named.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links.union(own), "links")
-    return (
-        named.join(found, named["doc_id"] == found["node"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    )
+    out = ["doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")]
+    if count_links:
+        ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends = materialize(ends.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("cluster")).distinct(), "linked-sets")
+        several = materialize(classes.where("copies > 1").select(_class_of(F.col("fp")).alias("node"), "copies"), "several")
+        # Sets stand here once for an id; only ids that rows repeat bring one twice.
+        different = _by_class(_meet(sets.drop("cluster"), ends, "inner", "node")).dropDuplicates(["cluster", "node"])
+        weighed = materialize(_meet(different, several, "left", "node").fillna(1, ["copies"]), "linked-weighed")
+        counts = materialize(link_counts(weighed, percent), "link-counts").withColumnRenamed("node", "class")
+        told = classes.withColumn("class", _class_of(F.col("fp"))).join(counts, "class", "left")
+        told = materialize(told.select("fp", "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "counted-classes")
+        n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links")
+        named = sketched.join(told, "fp", "left").select("doc_id", "n_shingles", rep, n_links)
+        out.append("n_links")
+    return named.join(found, named["doc_id"] == found["node"], "left").select(*out)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return components(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=90)
+    return components(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=90, count_links=True)
 
 
 OP4_SQL = """
@@ -505,6 +619,8 @@ p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.
 l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.c = e.x),
-m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id),
+k AS (SELECT x AS doc_id, count(*) AS n_links FROM e GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, coalesce(k.n_links, 0) AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN k USING (doc_id)
 """

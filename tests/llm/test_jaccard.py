@@ -151,3 +151,50 @@ def test_hot_keys_are_split(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert 0 in found and any("skew=true" in p for p in plans)
+
+
+def _brute_counts(rows: list[tuple[int | None, str | None]], width: int, percent: int) -> list[int]:
+    def of(text: str | None) -> frozenset:
+        ws = (text or "").lower().split()
+        n = min(width, len(ws))
+        return frozenset(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)) if ws else frozenset()
+
+    sets = [of(t) if i is not None else frozenset() for i, t in rows]
+    return [sum(1 for j, b in enumerate(sets) if j != i and a and b and 100 * len(a & b) >= percent * len(a | b)) for i, a in enumerate(sets)]
+
+
+def test_link_counts_are_those_of_brute_force(spark):
+    rng = random.Random(5)
+    base = [[rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(90)) for _ in range(60)] for _ in range(4)]
+    texts: list[str | None] = [None, "", " ", "one two"]
+    for _ in range(120):
+        ws = list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            ws[rng.randrange(60)] = "x" + str(rng.randrange(5))
+        texts.append(" ".join(ws))
+    texts += ["one two", texts[10], texts[10]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[10])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.components(docs, width=3, percent=80, count_links=True).collect()
+    expected = dict(zip([i for i, _ in rows], _brute_counts(rows, 3, 80), strict=True))
+    assert {r["doc_id"]: r["n_links"] for r in got} == expected
+    assert max(expected.values()) > 3 and expected[None] == 0
+    assert J.components(docs.where("false"), width=3, percent=80, count_links=True).count() == 0
+
+
+def test_link_counts_compare_each_pair_of_slices_once(spark):
+    rng = random.Random(6)
+    sets = []
+    for i in range(90):
+        s = set(range(40 + i % 7)) - {rng.randrange(40) for _ in range(rng.randrange(4))}
+        sets.append(np.unique(J.mix(np.array(sorted(s), np.uint64))))
+    copies = [1 + i % 3 for i in range(90)]
+    rows = [(7, i, len(s), c, bytearray(s.tobytes())) for i, (s, c) in enumerate(zip(sets, copies, strict=True))]
+    df = spark.createDataFrame(rows, "cluster long, node long, n long, copies long, set binary")
+    expected = {}
+    for i, a in enumerate(sets):
+        common = [len(np.intersect1d(a, b)) for b in sets]
+        expected[i] = sum(c for j, c in enumerate(copies) if j != i and J.linked(len(a), len(sets[j]), common[j], 90))
+    for docs in (8, 1024):
+        got = {r["node"]: r["links"] for r in J.link_counts(df, 90, tile_docs=docs).collect()}
+        assert {i: got.get(i, 0) for i in expected} == expected
