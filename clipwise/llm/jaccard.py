@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import connected_components, grouped_batches, materialize, table
+from .common import arrow_rows, connected_components, grouped_batches, materialize, table
 
 U = np.uint64
 _A, _B, _C = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
@@ -569,7 +569,11 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80, count_link
     A null text is empty, and an empty one links with nothing. A null id links with nothing, its component is
     null. Rows that repeat an id are one node with the links of each. An empty table gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with arrow_rows(docs.sparkSession, 2_000):  # all that passes through Python is written before this ends
+        return _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width, percent, count_links)
+
+
+def _components(docs: DataFrame, width: int, percent: int, count_links: bool) -> DataFrame:
     sketched = materialize(sketches(docs, width), "sketches")
     classes = materialize(
         sketched.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")),
