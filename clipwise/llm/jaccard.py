@@ -509,8 +509,8 @@ def tile_counts(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, wh
 def link_counts(sets: DataFrame, percent: int, *, tile_docs: int = 1024, tile_shingles: int = 2_000_000) -> DataFrame:
     """node and links, of each set the ``copies`` of all others that it links with; ``sets`` has cluster, node, n, copies and set.
 
-    A cluster here is a component of links, so what is compared grows as the links themselves do at most, where components are
-    cliques. Pairs are counted in their tile and never written.
+    A cluster here is a component of links; pairs that may link by their sizes are compared, at most the square of its sets. They
+    are counted in their tile and never written.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
