@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, licenses, lm, mixing, pii, topk, toxicity, url_rules, warc
+from . import decontaminate, exact_dedup, fill_middle, jaccard, licenses, lm, mixing, periodic, pii, topk, toxicity, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_rules.op1_url_filters,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scores": lm.op8_lm_scores,
     "op9_warc": warc.op9_warc,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
+    "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -28,4 +31,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_source_mix": mixing.OP5_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_decontamination": decontaminate.OP10_SQL,
+    "op11_periodic_runs": periodic.OP11_SQL,
+    "op12_fill_in_middle": fill_middle.OP12_SQL,
+    "op13_exact_dedup": exact_dedup.OP13_SQL,
 }
