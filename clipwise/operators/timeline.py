@@ -8,22 +8,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import greedy
 
-def bins(start: Column, end: Column, width: float) -> Column:
-    """Numbers of the bins that an interval touches, whichever end is first."""
-    low, high = F.least(start, end), F.greatest(start, end)
-    return F.sequence(F.floor(low / width), F.floor(high / width))
+
+#: The dyadic blocks that make up the bins from _lo to below _hi: at each level the ones at the rims that no wider block takes.
+_COVER = """flatten(transform(sequence(0, length(bin(_hi - _lo)) - 1), k -> transform(
+    filter(array(struct(-shiftright(-_lo, k) AS at, -shiftright(-_lo, k) % 2 <> 0 AS own),
+                 struct(shiftright(_hi, k) - 1 AS at, shiftright(_hi, k) % 2 <> 0 AS own)),
+           e -> e.own AND -shiftright(-_lo, k) < shiftright(_hi, k)),
+    e -> struct(k AS level, e.at AS at))))"""
+
+
+def _blocks(spans: DataFrame, low: str, high: str) -> DataFrame:
+    """Rows under the blocks that cover the bins from ``low`` to below ``high``; about two for each doubling of the length."""
+    span = spans.withColumn("_lo", F.col(low)).withColumn("_hi", F.col(high)).where("_hi > _lo")
+    return span.withColumn("_at", F.explode(F.expr(_COVER))).drop("_lo", "_hi")
+
+
+def _points(spans: DataFrame, others: DataFrame, other_low: str, other_high: str) -> DataFrame:
+    """Rows under every block around the bin ``_b0``, up to the size of the widest span of the other side."""
+    widest = others.where(F.col(other_high) > F.col(other_low)).agg(F.max(F.length(F.bin(F.col(other_high) - F.col(other_low)))).alias("m")).scalar()
+    leveled = spans.withColumn("_at", F.explode(F.sequence(F.lit(0), widest - 1)))
+    return leveled.withColumn("_at", F.struct(F.col("_at").alias("level"), F.call_function("shiftright", F.col("_b0"), F.col("_at")).alias("at")))
 
 
 def range_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str], predicate: Column, width: float, keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
     """Pairs of one key whose spans satisfy a predicate that only touching spans can.
 
-    An equi-join on the key and a time bin, instead of a nested loop: both sides are listed under the bins they
-    touch, and a pair counts in the first bin that both have, so it comes once.
+    An equi-join on the key and a dyadic block of time bins, instead of a nested loop. Of two spans that touch, either the
+    right one starts in the left one, or the left one in the right one and in a later bin. So each side is
+    listed under the few blocks that make up its span, and its start under all blocks around it: a start lies in one block
+    of a span at most, and a pair comes once. A span of n bins takes about 2 * log2(n) rows, a start log2 of
+    the other side's longest span, whatever the width of a bin. Nulls in a span or key pair with nothing.
     """
-    l = left.withColumn("_l0", F.floor(F.least(*left_span) / width)).withColumn("_bin", F.explode(bins(F.col(left_span[0]), F.col(left_span[1]), width)))
-    r = right.withColumn("_r0", F.floor(F.least(*right_span) / width)).withColumn("_bin", F.explode(bins(F.col(right_span[0]), F.col(right_span[1]), width)))
-    return l.join(r, [*keys, "_bin"]).where((F.col("_bin") == F.greatest("_l0", "_r0")) & predicate).drop("_bin", "_l0", "_r0")
+
+    def binned(df: DataFrame, span: tuple[str, str]) -> DataFrame:
+        low, high = F.least(*span), F.greatest(*span)
+        known = df.where(F.col(span[0]).isNotNull() & F.col(span[1]).isNotNull())
+        return known.withColumn("_b0", F.floor(low / width)).withColumn("_b1", F.floor(high / width) + 1).withColumn("_b2", F.col("_b0") + 1)
+
+    l, r = binned(left, left_span), binned(right, right_span)
+    ls = _blocks(l, "_b0", "_b1").withColumn("_side", F.lit(0)).unionByName(_points(l, r, "_b2", "_b1").withColumn("_side", F.lit(1)))
+    rs = _points(r, l, "_b0", "_b1").withColumn("_side", F.lit(0)).unionByName(_blocks(r, "_b2", "_b1").withColumn("_side", F.lit(1)))
+    added = ("_b0", "_b1", "_b2")
+    return ls.drop(*added).join(rs.drop(*added), [*keys, "_side", "_at"]).where(predicate).drop("_side", "_at")
 
 
 def merge_gaps(turns: DataFrame, target: str, gap: float, *, veto: bool = True, width: float = 8.0) -> DataFrame:
@@ -82,12 +110,34 @@ def _fold(df: DataFrame, step: Column, keys: tuple[str, ...], fields: tuple[str,
     return df.groupBy(*keys).agg(rows.alias("_rows")).select(*keys, F.explode(step).alias("c")).select(*keys, "c.*")
 
 
-def greedy_clips(words: DataFrame, least: float = 9.0, most: float = 20.0, hard: tuple[float, float] = (4.0, 30.0), keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
+def _by_length(rows: DataFrame, keys: tuple[str, ...], most: int, short, long) -> DataFrame:
+    """``short`` of the groups of at most ``most`` rows and ``long`` of the others, if there are any."""
+    large = rows.groupBy(*keys).count().where(F.col("count") > most).select(*keys)
+    if large.isEmpty():
+        return short(rows)
+    return short(rows.join(large, list(keys), "left_anti")).unionByName(long(rows.join(large, list(keys), "left_semi")))
+
+
+def greedy_clips(words: DataFrame, least: float = 9.0, most: float = 20.0, hard: tuple[float, float] = (4.0, 30.0), keys: tuple[str, ...] = ("lecture",), *, fold_rows: int = 20_000) -> DataFrame:
     """Clips of consecutive words: first, last (from 0), start, end.
 
     A clip is closed when it lasts ``most``, or ``least`` at the end of a sentence, and by the last word; those outside
-    the hard bounds are dropped with their words. ``words`` has ``start``, ``end``, ``id`` and ``stops``.
+    the hard bounds are dropped with their words. ``words`` has ``start`` (0 or later), ``end``, ``id`` and ``stops``. Recordings of
+    at most ``fold_rows`` words are folded, longer ones cut by ``greedy``; both give the same clips.
     """
+    return _by_length(words, keys, fold_rows, lambda w: _folded_clips(w, least, most, hard, keys), lambda w: _chained_clips(w, least, most, hard, keys))
+
+
+def _chained_clips(words: DataFrame, least: float, most: float, hard: tuple[float, float], keys: tuple[str, ...]) -> DataFrame:
+    rows = greedy.numbered(words.select(*keys, "start", "end", "id", "stops"), "start", "end", "id", keys=keys)
+    found = greedy.first_reached(rows, [greedy.Rule(most), greedy.Rule(least, flag="stops")], after=0, keys=keys)
+    ends = found.withColumn("at", F.coalesce("at", F.col("n") - 1)).withColumn("end", F.coalesce("hit_end", "last"))
+    steps = ends.select(*keys, "i", F.when(F.col("at") < F.col("n") - 1, F.col("at") + 1).alias("next"), "at", "start", "end")
+    clips = greedy.chain(steps, keys=keys).where((F.col("end") - F.col("start")).between(*hard))
+    return clips.select(*keys, F.col("i").cast("int").alias("first"), F.col("at").cast("int").alias("last"), "start", "end")
+
+
+def _folded_clips(words: DataFrame, least: float, most: float, hard: tuple[float, float], keys: tuple[str, ...]) -> DataFrame:
     state = "cast(null as int)", "cast(null as double)"
     step = F.expr(
         f"""
@@ -106,11 +156,24 @@ def greedy_clips(words: DataFrame, least: float = 9.0, most: float = 20.0, hard:
     return _fold(words, step, keys, ("start", "end", "id", "stops"))
 
 
-def pack_segments(segments: DataFrame, most: float = 15.0, hard: tuple[float, float] = (3.0, 30.0), keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
+def pack_segments(segments: DataFrame, most: float = 15.0, hard: tuple[float, float] = (3.0, 30.0), keys: tuple[str, ...] = ("lecture",), *, fold_rows: int = 20_000) -> DataFrame:
     """Consecutive segments packed while the end stays within ``most`` of the start: start, end, parts.
 
-    A longer segment stands alone; only packs within the hard bounds are kept.
+    A longer segment stands alone; only packs within the hard bounds are kept. Starts are 0 or later. Recordings of at most
+    ``fold_rows`` segments are folded, longer ones cut by ``greedy``.
     """
+    return _by_length(segments, keys, fold_rows, lambda s: _folded_packs(s, most, hard, keys), lambda s: _chained_packs(s, most, hard, keys))
+
+
+def _chained_packs(segments: DataFrame, most: float, hard: tuple[float, float], keys: tuple[str, ...]) -> DataFrame:
+    rows = greedy.numbered(segments.select(*keys, "start", "end", "id"), "start", "end", "id", keys=keys)
+    found = greedy.first_reached(rows, [greedy.Rule(most, strict=True)], after=1, keys=keys)
+    ends = found.withColumn("end", F.when(F.col("at").isNull(), F.col("last")).otherwise(F.col("hit_before")))
+    steps = ends.select(*keys, "i", F.col("at").alias("next"), (F.coalesce("at", "n") - F.col("i")).cast("int").alias("parts"), "start", "end")
+    return greedy.chain(steps, keys=keys).where((F.col("end") - F.col("start")).between(*hard)).select(*keys, "start", "end", "parts")
+
+
+def _folded_packs(segments: DataFrame, most: float, hard: tuple[float, float], keys: tuple[str, ...]) -> DataFrame:
     step = F.expr(
         f"""
         filter(aggregate(_rows,

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipwise.operators.tables import materialize, scratch
+
+__all__ = ["ORACLE_SQL", "QUERIES", "TURNS_SQL", "hinted", "materialize", "query", "scratch", "table", "turns"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -29,16 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that ``spark.checkpoint.dir`` names; only local mode may do without that setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = f"{tempfile.gettempdir()}/clipwise-checkpoints"
-    return f"{root.rstrip('/')}/clipwise/{name}-{uuid.uuid4().hex}"
-
-
 def hinted(df: DataFrame, rows: int = 10_000) -> DataFrame:
     """``df`` with a broadcast hint if it has at most so many rows, else without."""
     return F.broadcast(df) if df.count() <= rows else df
