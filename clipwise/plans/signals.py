@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwise.functions.signal import clip_features
-from clipwise.streaming.windows import stream_to_table
+from clipwise.streaming import merging
+from clipwise.streaming.windows import EVENTS, as_utc, stream_to_table
 
-from .base import query, scratch, table
+from .base import TURNS_SQL, query, scratch, table
 
 
 @query(
@@ -32,3 +33,24 @@ def windowed_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "stream")
     out = stream_to_table(spark, sf_dir, f"{root}/out", f"{root}/state", names="events.parquet")
     return out.withColumn("total", F.round("total", 4))
+
+
+@query(
+    "gap_merge_stream",
+    f"""WITH {TURNS_SQL},
+w AS (SELECT (epoch_ms(max(ts)) - 3600000 - epoch_ms(TIMESTAMP '2024-01-01')) / 3600000.0 AS reached FROM events),
+t AS (SELECT turns.*, reached FROM turns, w WHERE "start" <= reached),
+own AS (SELECT *, lag("end") OVER (PARTITION BY lecture ORDER BY "start", "end", id) AS g0 FROM t WHERE speaker = 'view'),
+flag AS (SELECT *, CASE WHEN g0 IS NOT NULL AND "start" - g0 <= 6.0 AND NOT EXISTS (SELECT 1 FROM t o WHERE o.lecture = own.lecture AND o.speaker <> 'view' AND o."start" < own."start" AND o."end" > own.g0) THEN 0 ELSE 1 END AS br FROM own),
+grp AS (SELECT *, sum(br) OVER (PARTITION BY lecture ORDER BY "start", "end", id ROWS UNBOUNDED PRECEDING) AS iv FROM flag),
+iv AS (SELECT lecture, iv, min("start") AS s, arg_max("end", row("start", "end", id)) AS e, any_value(reached) AS reached, max(iv) OVER (PARTITION BY lecture) AS final FROM grp GROUP BY lecture, iv)
+SELECT lecture, CAST(iv AS BIGINT) AS iv, round(s, 6) AS s, round(e, 6) AS e FROM iv WHERE iv < final OR reached - e > 6.0""",
+)
+def gap_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intervals that a stream of turns has closed when its files end, an hour behind the last turn."""
+    ts = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)").cast("double") / F.lit(3600000000.0)
+    events = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = events.select(F.col("user_id").alias("lecture"), F.col("event_id").alias("id"), F.col("event_type").alias("speaker"), ts.alias("start"), (ts + F.col("value") / F.lit(5.0)).alias("end"), as_utc(F.col("ts")).alias("ts"))
+    root = scratch(spark, "merging")
+    out = merging.merge_to_table(spark, stream, f"{root}/out", f"{root}/state", "view", 6.0, second=1 / 3600, origin=1704067200.0)
+    return out.select("lecture", "iv", F.round("start", 6).alias("s"), F.round("end", 6).alias("e"))
