@@ -11,25 +11,14 @@ from pyspark.sql import functions as F
 from . import greedy
 
 
-#: The dyadic blocks that make up the bins from _lo to below _hi: at each level the ones at the rims that no wider block takes.
-_COVER = """flatten(transform(sequence(0, length(bin(_hi - _lo)) - 1), k -> transform(
-    filter(array(struct(-shiftright(-_lo, k) AS at, -shiftright(-_lo, k) % 2 <> 0 AS own),
-                 struct(shiftright(_hi, k) - 1 AS at, shiftright(_hi, k) % 2 <> 0 AS own)),
-           e -> e.own AND -shiftright(-_lo, k) < shiftright(_hi, k)),
-    e -> struct(k AS level, e.at AS at))))"""
-
-
-def _blocks(spans: DataFrame, low: str, high: str) -> DataFrame:
-    """Rows under the blocks that cover the bins from ``low`` to below ``high``; about two for each doubling of the length."""
-    span = spans.withColumn("_lo", F.col(low)).withColumn("_hi", F.col(high)).where("_hi > _lo")
-    return span.withColumn("_at", F.explode(F.expr(_COVER))).drop("_lo", "_hi")
-
-
-def _points(spans: DataFrame, others: DataFrame, other_low: str, other_high: str) -> DataFrame:
-    """Rows under every block around the bin ``_b0``, up to the size of the widest span of the other side."""
-    widest = others.where(F.col(other_high) > F.col(other_low)).agg(F.max(F.length(F.bin(F.col(other_high) - F.col(other_low)))).alias("m")).scalar()
-    leveled = spans.withColumn("_at", F.explode(F.sequence(F.lit(0), widest - 1)))
-    return leveled.withColumn("_at", F.struct(F.col("_at").alias("level"), F.call_function("shiftright", F.col("_b0"), F.col("_at")).alias("at")))
+#: The dyadic blocks that make up the bins from {low} to below {high}: at each level the ones at the rims that no wider block takes.
+_COVER = """flatten(transform(sequence(0, length(bin({high} - {low})) - 1), k -> transform(
+    filter(array(struct(-shiftright(-{low}, k) AS at, -shiftright(-{low}, k) % 2 <> 0 AS own),
+                 struct(shiftright({high}, k) - 1 AS at, shiftright({high}, k) % 2 <> 0 AS own)),
+           e -> e.own AND -shiftright(-{low}, k) < shiftright({high}, k)),
+    e -> struct({side} AS side, k AS level, e.at AS at))))"""
+#: All blocks around a bin, up to the widest of a span of so many bins.
+_AROUND = "transform(sequence(0, length(bin({widest})) - 1), k -> struct({side} AS side, k AS level, shiftright({low}, k) AS at))"
 
 
 def range_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str], predicate: Column, width: float, keys: tuple[str, ...] = ("lecture",)) -> DataFrame:
@@ -47,11 +36,15 @@ def range_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], ri
         known = df.where(F.col(span[0]).isNotNull() & F.col(span[1]).isNotNull())
         return known.withColumn("_b0", F.floor(low / width)).withColumn("_b1", F.floor(high / width) + 1).withColumn("_b2", F.col("_b0") + 1)
 
+    def listed(df: DataFrame, other: DataFrame, side: int, low: str) -> DataFrame:
+        widest = other.agg(F.max(F.col("_b1") - F.col("_b0")).alias("w")).scalar()
+        own = F.expr(f"IF(_b1 > {low}, {_COVER.format(low=low, high='_b1', side=side)}, array())")
+        around = F.expr(_AROUND.format(widest="_w", low="_b0", side=1 - side))
+        at = df.withColumn("_w", F.coalesce(widest, F.lit(1).cast("long"))).withColumn("_at", F.explode(F.concat(own, around)))
+        return at.drop("_b0", "_b1", "_b2", "_w")
+
     l, r = binned(left, left_span), binned(right, right_span)
-    ls = _blocks(l, "_b0", "_b1").withColumn("_side", F.lit(0)).unionByName(_points(l, r, "_b2", "_b1").withColumn("_side", F.lit(1)))
-    rs = _points(r, l, "_b0", "_b1").withColumn("_side", F.lit(0)).unionByName(_blocks(r, "_b2", "_b1").withColumn("_side", F.lit(1)))
-    added = ("_b0", "_b1", "_b2")
-    return ls.drop(*added).join(rs.drop(*added), [*keys, "_side", "_at"]).where(predicate).drop("_side", "_at")
+    return listed(l, r, 0, "_b0").join(listed(r, l, 1, "_b2"), [*keys, "_at"]).where(predicate).drop("_at")
 
 
 def merge_gaps(turns: DataFrame, target: str, gap: float, *, veto: bool = True, width: float = 8.0) -> DataFrame:

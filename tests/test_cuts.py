@@ -71,8 +71,11 @@ def test_a_span_of_a_million_bins(spark):
     points = spark.range(2000).select(F.lit(1).alias("lecture"), F.col("id").alias("j"), (F.col("id") * 600.0).alias("c"), (F.col("id") * 600.0 + 1).alias("d"))
     pairs = timeline.range_join(long, points, ("a", "b"), ("c", "d"), (F.col("a") <= F.col("d")) & (F.col("c") <= F.col("b")), 1.0)
     assert sorted((r.i, r.j) for r in pairs.collect()) == [(0, j) for j in range(1667)]
-    span = spark.range(1).select(F.lit(3).cast("long").alias("_b0"), F.lit(10**6).cast("long").alias("_b1"))
-    assert timeline._blocks(span, "_b0", "_b1").count() <= 2 * 20
+    cover = F.expr(timeline._COVER.format(low="a", high="b", side=0))
+    for a, b in ((0, 10**6), (3, 10**6), (-7, 999_983), (5, 6), (-1, 1)):
+        blocks = [(x.level, x["at"]) for x in spark.createDataFrame([(a, b)], "a long, b long").select(cover).first()[0]]
+        assert len(blocks) <= 2 * 20
+        assert sorted((at << k, (at + 1) << k) for k, at in blocks)[0][0] == a and sum(1 << k for k, _ in blocks) == b - a
 
 
 @pytest.mark.parametrize("width", [0.3, 8.0])
