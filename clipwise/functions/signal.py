@@ -20,35 +20,59 @@ RATE = 16_000
 FEATURES = "rms double, peak double, lead double, trail double, duration double"
 
 
+def pcm(raw: bytes, width: int, floating: bool = False) -> np.ndarray:
+    """Samples between -1 and 1 of little-endian PCM: 8 (unsigned), 16, 24 or 32 bits, or floats of 32 or 64."""
+    if floating:
+        return np.frombuffer(raw, {4: "<f4", 8: "<f8"}[width]).astype(np.float32)
+    if width == 1:
+        return (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128
+    if width == 3:
+        wide = np.zeros((len(raw) // 3, 4), np.uint8)
+        wide[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)  # the upper bytes of a 32-bit sample
+        return wide.view("<i4").ravel().astype(np.float32) / float(1 << 31)
+    return np.frombuffer(raw, {2: "<i2", 4: "<i4"}[width]).astype(np.float32) / float(1 << (8 * width - 1))
+
+
 def decode(data: bytes, rate: int = RATE) -> np.ndarray:
-    """Mono float samples of a PCM WAV file at ``rate``: channels are averaged, other rates interpolated."""
+    """Mono float samples of a PCM WAV file at ``rate``: channels are averaged, other rates resampled."""
     with wave.open(io.BytesIO(data)) as w:
         width, channels, own, raw = w.getsampwidth(), w.getnchannels(), w.getframerate(), w.readframes(w.getnframes())
-    if width == 1:
-        y = (np.frombuffer(raw, np.uint8).astype(np.float32) - 128) / 128
-    else:
-        y = np.frombuffer(raw, {2: "<i2", 4: "<i4"}[width]).astype(np.float32) / float(1 << (8 * width - 1))
-    y = y.reshape(-1, channels).mean(axis=1)
-    return resample(y, own, rate)
+    return resample(pcm(raw, width).reshape(-1, channels).mean(axis=1, dtype=np.float32), own, rate)
 
 
 def decode_range(data: bytes, start: float, end: float, rate: int = RATE) -> np.ndarray:
-    """The samples between two times of a 16-bit PCM WAV file; only that part of it is decoded."""
+    """The samples between two times of a PCM WAV file in memory; only that part is decoded. ``audio.read_ranges`` reads files."""
     with wave.open(io.BytesIO(data)) as w:
         own, channels = w.getframerate(), w.getnchannels()
         first, last = max(0, int(start * own)), min(w.getnframes(), int(end * own))
         w.setpos(min(first, w.getnframes()))
-        y = np.frombuffer(w.readframes(max(0, last - first)), "<i2").astype(np.float32) / 32768
-    return resample(y.reshape(-1, channels).mean(axis=1), own, rate)
+        y = pcm(w.readframes(max(0, last - first)), w.getsampwidth())
+    return resample(y.reshape(-1, channels).mean(axis=1, dtype=np.float32), own, rate)
 
 
-def resample(y: np.ndarray, own: int, rate: int) -> np.ndarray:
-    """Linear interpolation in the ratio reduced by its greatest common divisor."""
+def resample(y: np.ndarray, own: int, rate: int, *, lobes: int = 16, block: int = 1 << 15) -> np.ndarray:
+    """Band-limited resampling: a sinc of ``lobes`` lobes a side under a Hann window, cut off at the lower of both rates.
+
+    Frequencies that the new rate can't hold are filtered out, not folded back. Works in blocks of outputs.
+    """
     if own == rate or not len(y):
         return y
     g = math.gcd(own, rate)
     n = max(1, round(len(y) * (rate // g) / (own // g)))
-    return np.interp(np.arange(n) * (own / rate), np.arange(len(y)), y).astype(np.float32)
+    cutoff = min(1.0, rate / own)
+    reach = math.ceil(lobes / cutoff)
+    padded = np.pad(y.astype(np.float64), reach)
+    around = np.arange(-reach, reach + 1)
+    out = np.empty(n, np.float32)
+    for a in range(0, n, block):
+        at = np.arange(a, min(n, a + block)) * (own / rate)
+        near = np.floor(at).astype(int)
+        x = (around[None, :] - (at - near)[:, None]) * cutoff
+        weights = np.sinc(x) * np.where(np.abs(x) < lobes, 0.5 + 0.5 * np.cos(np.pi * x / lobes), 0.0)
+        weights /= weights.sum(axis=1, keepdims=True)
+        taken = np.minimum(near[:, None] + reach + around[None, :], len(padded) - 1)
+        out[a : a + block] = (padded[taken] * weights).sum(axis=1)
+    return out
 
 
 def encode(y: np.ndarray, rate: int = RATE) -> bytes:
@@ -199,11 +223,6 @@ def wav_bytes(samples: pd.Series) -> pd.Series:
     return samples.map(lambda y: None if y is None else encode(np.asarray(y, np.float32)))
 
 
-def write_clips(clips: DataFrame, path: str, name: str = "name", samples: str = "samples") -> None:
-    """Clips as a table of names and WAV files; what was there before goes, so that no stale clip stays."""
-    clips.select(name, wav_bytes(samples).alias("wav")).write.mode("overwrite").parquet(path)
-
-
 @pandas_udf(DoubleType())
 def wav_duration(data: pd.Series) -> pd.Series:
     """Seconds, from the header alone."""

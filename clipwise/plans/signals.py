@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwise.functions.signal import clip_features
+from clipwise.functions.signal import clip_features, wav_bytes
+from clipwise.sources import audio, files
 from clipwise.streaming import merging
 from clipwise.streaming.windows import EVENTS, as_utc, stream_to_table
 
@@ -54,3 +55,36 @@ def gap_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "merging")
     out = merging.merge_to_table(spark, stream, f"{root}/out", f"{root}/state", "view", 6.0, second=1 / 3600, origin=1704067200.0)
     return out.select("lecture", "iv", F.round("start", 6).alias("s"), F.round("end", 6).alias("e"))
+
+
+def _wavs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WAV file for each user, whose samples are the whole parts of its values by event; 16 bits hold them all."""
+    samples = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "value"))), lambda s: ((F.floor(s["value"]) + 0.25) / 32767).cast("float"))
+    clips = table(spark, sf_dir, "events").groupBy("user_id").agg(samples.alias("samples"))
+    return clips.select("user_id", F.concat(F.col("user_id").cast("string"), F.lit(".wav")).alias("name"), wav_bytes("samples").alias("content"))
+
+
+@query(
+    "clip_ranges",
+    """WITH e AS (SELECT user_id, floor(value) AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events)
+SELECT user_id || '.wav' AS file, count(*) AS frames, CAST(sum(v) AS BIGINT) AS total, 2 * count(*) AS bytes FROM e WHERE i >= 16 AND i < 48 GROUP BY 1""",
+)
+def clip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files are written, and 2 ms of each read back by seeking: the bytes read are those of 32 frames."""
+    files.write_files(_wavs(spark, sf_dir), path := scratch(spark, "wavs"))
+    blocks = audio.wav_blocks(spark, path, block_frames=8).where("start >= 0.001 and start < 0.003")
+    total = F.aggregate("samples", F.lit(0.0), lambda a, x: a + x.cast("double") * 32768)
+    return blocks.groupBy("file").agg(F.sum(F.size("samples")).cast("long").alias("frames"), F.round(F.sum(total)).cast("long").alias("total"), F.sum("bytes").alias("bytes"))
+
+
+@query(
+    "clip_files",
+    "SELECT user_id || '.wav' AS name, 44 + 2 * count(*) AS bytes FROM events WHERE user_id % 2 = 0 GROUP BY user_id",
+)
+def clip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and sizes in a folder that held all users' clips before it got those of the even ones."""
+    clips = _wavs(spark, sf_dir)
+    path = scratch(spark, "clips")
+    files.write_files(clips, path)
+    files.write_files(clips.where("user_id % 2 = 0"), path)
+    return files.file_names(spark, path).select("name", "bytes")

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import file_names
+
 MANIFEST = "audio string, text string, duration double, align_mean double, align_min double, ref_audio string"
 LOCAL_REPORT = "clip int, dur double, words int, wps double, lead_sil double, status string, reasons string"
 ASR_REPORT = "clip int, dur double, align_min double, align_mean double, cer_raw double, cer_core double, wer double, sanskrit_load double, lead double, trail double, status string, reasons string"
@@ -91,14 +93,9 @@ def from_name(name: Column, pattern: str, groups: dict[str, str]) -> list[Column
 
 
 def list_files(spark: SparkSession, path: str, pattern: str, groups: dict[str, str]) -> DataFrame:
-    """Files whose names match, empty ones too, with the parts of their names; contents aren't read.
-
-    Names come from Spark's own listing, which the driver holds for any read of files.
-    """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).inputFiles()
-    files = spark.createDataFrame([(f,) for f in sorted(found)], "path string")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.where(name.rlike(pattern)).select("path", *from_name(name, pattern, groups))
+    """Files whose names match, empty ones too, with the parts of their names; tasks list folders, and no file is opened."""
+    files = file_names(spark, path)
+    return files.where(F.col("name").rlike(pattern)).select("path", *from_name(F.col("name"), pattern, groups))
 
 
 def manifests(spark: SparkSession, root: str, schema: str = MANIFEST) -> DataFrame:
