@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,13 +107,11 @@ def stem(c: Column) -> Column:
     return F.regexp_replace(basename(c), r"\.[^.]+$", "")
 
 
-#: Named entities of HTML that transcripts use, the ampersand last.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&deg;", "°"), ("&frac12;", "½"),
-    ("&agrave;", "à"), ("&aacute;", "á"), ("&acirc;", "â"), ("&auml;", "ä"), ("&ccedil;", "ç"), ("&egrave;", "è"), ("&eacute;", "é"), ("&ecirc;", "ê"), ("&iacute;", "í"), ("&ntilde;", "ñ"),
-    ("&oacute;", "ó"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&uacute;", "ú"), ("&szlig;", "ß"), ("&amp;", "&"),
-)
+#: What HTML takes for a character reference, and the characters that end a name.
+MARK = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names that count without a semicolon, and so also before other letters.
+OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+_BETWEEN, _IS = "\x01", "\x02"
 
 
 def character(code: Column) -> Column:
@@ -119,21 +119,41 @@ def character(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
-def _numeric(c: Column, pattern: str, base: int) -> Column:
-    def put(text: Column, mark: Column) -> Column:
-        code = F.conv(F.regexp_extract(mark, pattern, 1), base, 10).cast("bigint")
-        good = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        return F.when(good, F.replace(text, mark, character(code))).otherwise(text)
+def _numbered(code: Column) -> Column:
+    """What a numeric reference stands for: bytes 128 to 159 are those of windows-1252, control characters and non-characters nothing."""
+    bytes_ = {b: bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)}
+    special = F.str_to_map(F.lit(_BETWEEN.join(f"{b}{_IS}{c}" for b, c in bytes_.items())), F.lit(_BETWEEN), F.lit(_IS))
+    none = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code % 0x10000 >= 0xFFFE)
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when(code.between(0x80, 0x9F), F.try_element_at(special, code.cast("string")))
+        .when(none, "")
+        .otherwise(character(code.cast("bigint")))
+    )
+
 
-    return F.aggregate(F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), F.lit(0))), c, put)
+def _named(name: Column) -> Column:
+    """The characters of a name; of one that isn't known, those of the longest known beginning and the rest; else the mark itself."""
+    known = F.str_to_map(F.lit(_BETWEEN.join(f"{n}{_IS}{c}" for n, c in html5.items())), F.lit(_BETWEEN), F.lit(_IS))
+    begin = F.regexp_extract(name, f"^(?:{'|'.join(OPEN_NAMES)})", 0)
+    longest = F.concat(F.try_element_at(known, begin), F.substring(name, F.length(begin) + 1, F.length(name)))
+    return F.coalesce(F.try_element_at(known, name), F.when(begin != "", longest), F.concat(F.lit("&"), name))
 
 
 def unescape(c: Column) -> Column:
-    """Numeric entities of both notations, then the named ones of ``ENTITIES``; texts without an ampersand are left alone."""
-    out = _numeric(_numeric(c, r"&#([0-9]{1,7});", 10), r"&#[xX]([0-9A-Fa-f]{1,6});", 16)
-    for k, v in ENTITIES:
-        out = F.replace(out, F.lit(k), F.lit(v))
-    return F.when(c.contains("&"), out).otherwise(c)
+    """All character references of HTML, in one pass: what a reference gives isn't read again, so ``&amp;lt;`` becomes ``&lt;``.
+
+    The text is cut at its marks, and each mark looked up in the table of names that the language's library has. Texts without an ampersand are left alone.
+    """
+    number = lambda m, pattern, base: F.conv(F.regexp_extract(m, pattern, 1), base, 10).cast("decimal(20,0)")
+    resolved = F.transform(
+        F.regexp_extract_all(c, F.lit(MARK), F.lit(0)),
+        lambda m: F.when(m.rlike("^&#[xX]"), _numbered(number(m, "^&#[xX]0*([0-9a-fA-F]{1,16})", 16)))
+        .when(m.startswith("&#"), _numbered(number(m, "^&#0*([0-9]{1,19})", 10)))
+        .otherwise(_named(F.substring(m, 2, 40))),
+    )
+    joined = F.array_join(F.zip_with(F.split(c, MARK, -1), resolved, lambda text, m: F.concat(text, F.coalesce(m, F.lit("")))), "")
+    return F.when(c.contains("&"), joined).otherwise(c)
 
 
 def strip_tags(c: Column, label: str = "") -> Column:

@@ -12,7 +12,7 @@ from clipwise.functions import edits, signal
 from clipwise.functions import text as T
 from clipwise.functions import vectors as V
 from clipwise.operators import experiments, gates, review, sampling, selection, stages, timeline
-from clipwise.sources import io, web
+from clipwise.sources import files, io, web
 from clipwise.streaming.windows import sessions
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
