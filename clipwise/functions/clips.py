@@ -10,7 +10,7 @@ from pyspark.sql.types import DoubleType, IntegerType, Row, StructType
 
 
 class ClipsOf:
-    """``SELECT * FROM clips_of(TABLE(words) PARTITION BY lecture ORDER BY start, end, id)``.
+    """``SELECT * FROM clips_of(TABLE(words) PARTITION BY lecture ORDER BY (start, end, id))``.
 
     The rows of ``timeline.greedy_clips`` for each partition: ``first``, ``last`` (from 0), ``start``, ``end``, after the columns named in ``keys``
     (a list separated by commas, ``lecture`` unless given), which the partition's rows share. The table has ``start``, ``end`` and ``stops``. A clip

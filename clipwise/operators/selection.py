@@ -145,12 +145,3 @@ def ordered_distinct(df: DataFrame, column: str, *order: str, keys: tuple[str, .
     """Each value of a group once, with ``place``: its turn by first appearance."""
     first = df.groupBy(*keys, column).agg(F.min(F.struct(*order)).alias("_first"))
     return placed(first, "_first", keys=keys).drop("_first")
-
-
-def sentence_kind(share: Column, run: Column, cited: Column) -> Column:
-    """DROP or KEEP by the retired sentence rules: half of the words foreign, a run of seven, or of four with a citation."""
-    return F.when((share >= 0.5) | (run >= 7) | ((run >= 4) & cited), "DROP").otherwise("KEEP")
-
-
-def sentence_reason(share: Column, run: Column, cited: Column) -> Column:
-    return F.when(share >= 0.5, "frac>=0.5").when(run >= 7, "run>=7").when((run >= 4) & cited, "verse(run>=4+cited)").otherwise("")

@@ -11,8 +11,8 @@ NOTE, CITATION = r"\[[^\]]*\]", r"\[(\p{Lu}[^\]]*|verse)\]"
 
 
 def split_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, ``at`` (from 0) and ``sentence``; an end mark before white space ends one. Null texts have none."""
-    return docs.select(key, F.posexplode(F.split(F.col(text), r"[.?!]\s+")).alias("at", "sentence"))
+    """key, ``nr`` (from 0) and ``sentence``; an end mark before white space ends one. Null texts have none."""
+    return docs.select(key, F.posexplode(F.split(F.col(text), r"[.?!][\x09-\x0D\x20]+")).alias("nr", "sentence"))
 
 
 def foreign_runs(sentences: DataFrame, lexicon: DataFrame, *, keys: tuple[str, ...], text: str = "sentence", broadcast_rows: int = 100_000) -> DataFrame:

@@ -150,22 +150,6 @@ def word_list_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("clip", (F.array_contains("ts", "the") & F.array_contains("ts", "of")).alias("both"), F.round(T.share_of(F.col("ts"), LEXICON), 6).alias("english"))
 
 
-_KIND = "CASE WHEN f >= 0.5 THEN 'frac>=0.5' WHEN r >= 7 THEN 'run>=7' WHEN r >= 4 AND cited THEN 'verse(run>=4+cited)' ELSE '' END"
-
-
-@query(
-    "sentence_kinds",
-    f"""WITH s AS (SELECT doc_id, CAST(doc_id * 19 % 100 AS DOUBLE) / 100.0 AS f, doc_id * 5 % 9 AS r, doc_id % 3 = 0 AS cited FROM documents)
-SELECT doc_id, CASE WHEN {_KIND} = '' THEN 'KEEP' ELSE 'DROP' END AS kind, {_KIND} AS reason FROM s""",
-)
-def sentence_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The retired sentence classifier over measured sentences."""
-    i = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents").select("doc_id", ((i * 19 % 100).cast("double") / 100.0).alias("f"), (i * 5 % 9).alias("r"), (i % 3 == 0).alias("cited"))
-    sides = F.col("f"), F.col("r"), F.col("cited")
-    return rows.select("doc_id", selection.sentence_kind(*sides).alias("kind"), selection.sentence_reason(*sides).alias("reason"))
-
-
 _BATTERY = " UNION ALL ".join(
     f"""SELECT '{g}' AS gate, count(*) FILTER (WHERE {p}) AS kept, count(*) FILTER (WHERE ({p}) AND is_cut) AS leak, count(*) FILTER (WHERE coalesce(NOT ({p}), TRUE) AND is_cut) AS caught,
  count(*) FILTER (WHERE coalesce(NOT ({p}), TRUE) AND NOT is_cut) AS suspects, round(count(*) FILTER (WHERE {p}) / CAST(count(*) AS DOUBLE), 6) AS yield FROM lab"""

@@ -4,19 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def done(spark: SparkSession, out: str, schema: str) -> DataFrame:
-    """What batches have written, with the number of each in ``batch``; empty before the first."""
-    try:
-        return spark.read.schema(f"{schema}, batch bigint").parquet(out)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], f"{schema}, batch bigint")
+    """What batches have written, with the number of each in ``batch``."""
+    return spark.read.schema(f"{schema}, batch bigint").parquet(out)
 
 
 def resume(spark: SparkSession, jobs: DataFrame, out: str, checkpoint: str, keys: list[str], work: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
@@ -27,6 +21,8 @@ def resume(spark: SparkSession, jobs: DataFrame, out: str, checkpoint: str, keys
     earlier one, are left out; a batch doesn't look at its own folder, so a repetition does the same jobs. Keys aren't null.
     """
 
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")  # so that there is a table before the first batch
+
     def commit(batch: DataFrame, number: int) -> None:
         before = done(spark, out, schema).where(F.col("batch") < number).select(*keys)
         todo = batch.dropDuplicates(keys).join(before, keys, "left_anti")
