@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
 
+from .tables import materialize
+
 #: Gates over a report's metrics (dur, align_min, align_mean, cer_core, sanskrit_load as ``load``, lead, trail).
 BATTERY = {
     "AUTO-KEEP": "cer_core <= 0.80 AND align_min >= -45.0 AND abs(load) <= 0.40 AND dur BETWEEN 4.0 AND 20.0",
@@ -32,11 +34,10 @@ def _running(counts: DataFrame, group: tuple[str, ...], x: str, sums: list[str],
     """``counts`` (one row for each group and value) with ``up_<c>``: the sum of c over values up to the row's own, and ``all_<c>``.
 
     A prefix sum in two levels: rows are range-partitioned by group and value, so that no task holds more than its range, and
-    each range of a group gets the totals of the ranges before it, from a table of one row a range. The ranges are kept
-    (``persist``), as both uses must see the same ones; a lost one is computed again from the same shuffle.
+    each range of a group gets the totals of the ranges before it, from a table of one row a range. The ranges are
+    written, as both uses must see the same ones.
     """
-    ranged = counts.repartitionByRange(parts, *group, x).withColumn("_r", F.spark_partition_id())
-    ranged = ranged.persist()
+    ranged = materialize(counts.repartitionByRange(parts, *group, x).withColumn("_r", F.spark_partition_id()), "ranges")
     totals = ranged.groupBy(*group, "_r").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     before = Window.partitionBy(*group).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
@@ -162,10 +163,11 @@ def projection(kept: Column, total: Column, wanted: int) -> Column:
 PRODUCTION = {"min_align": -1e9, "max_lead": 0.7, "max_trail": 1.0, "max_cer_core": 0.85}
 
 
-def production_reasons(bounds: Mapping[str, float] = PRODUCTION) -> Column:
+def production_reasons(bounds: Mapping[str, float] = PRODUCTION, *, backbone: bool = False) -> Column:
     """Why a clip fails: ``missing_wav`` alone if it has no audio, else each bound that it breaks, with its value.
 
-    Columns: has_wav, align_min, lead and trail (null for silence throughout), cer_core (null if not measured).
+    Columns: has_wav, align_min, lead and trail (null for silence throughout), cer_core (null if not measured, which ``backbone`` makes
+    a reason of its own: a clip without a word of the dictionary has nothing to compare).
     """
     rules = T.reasons(
         (F.col("align_min") < bounds["min_align"], T.with_value("low_align", F.col("align_min"))),
@@ -173,6 +175,7 @@ def production_reasons(bounds: Mapping[str, float] = PRODUCTION) -> Column:
         (F.col("lead") > bounds["max_lead"], T.with_value("lead_sil", F.col("lead"))),
         (F.col("trail") > bounds["max_trail"], T.with_value("trail_sil", F.col("trail"))),
         (F.col("cer_core") > bounds["max_cer_core"], T.with_value("high_cer_core", F.col("cer_core"))),
+        (F.col("cer_core").isNull() & F.lit(backbone), F.lit("no_backbone")),
     )
     return F.when(~F.coalesce(F.col("has_wav"), F.lit(False)), F.array(F.lit("missing_wav"))).otherwise(rules)
 

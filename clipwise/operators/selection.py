@@ -7,6 +7,8 @@ few, or within a group. Every order ends in a unique key.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
 
+from .tables import materialize
+
 #: The bounds within which a clip may serve as a reference, or as a prompt.
 REFERENCE = (5.0, 12.0, 0.85)
 PROMPT = (6.0, 12.0, 0.9)
@@ -23,18 +27,34 @@ def kept(df: DataFrame) -> DataFrame:
     return df.where(F.col("decision") == "keep")
 
 
-def references(clips: DataFrame, lexicon: list[str], excluded: DataFrame | None = None) -> DataFrame:
+def english(clips: DataFrame, lexicon: list[str] | DataFrame, key: str = "clip", broadcast_rows: int = 100_000) -> DataFrame:
+    """Adds ``english``, the share of a clip's tokens that are in a lexicon, 0 without tokens.
+
+    A few words are compared in place. A table of ``word`` meets the tokens, by a broadcast only if it is small, and the shares
+    the clips by their ``key``, which is unique and not null.
+    """
+    tokens = T.tokens(F.col("text"))
+    if not isinstance(lexicon, DataFrame):
+        return clips.withColumn("english", T.share_of(tokens, lexicon))
+    known = lexicon.select("word").distinct().withColumn("_known", F.lit(1))
+    known = F.broadcast(known) if known.count() <= broadcast_rows else known
+    met = clips.select(key, F.explode(tokens).alias("word")).join(known, "word", "left")
+    shares = met.groupBy(key).agg((F.count("_known") / F.count("*")).alias("english"))
+    return clips.join(shares, key, "left").withColumn("english", F.coalesce("english", F.lit(0.0)))
+
+
+def references(clips: DataFrame, lexicon: list[str] | DataFrame, excluded: DataFrame | None = None) -> DataFrame:
     """Clips of 5 to 12 s whose words are English enough, but for the stems in ``excluded`` (column ``stem``)."""
     low, high, share = REFERENCE
-    found = clips.where(F.col("dur").between(low, high) & (T.share_of(T.tokens(F.col("text")), lexicon) >= share))
+    found = english(clips.where(F.col("dur").between(low, high)), lexicon).where(F.col("english") >= share).drop("english")
     return found if excluded is None else found.withColumn("stem", T.stem(F.col("audio"))).join(excluded.select("stem"), "stem", "left_anti").drop("stem")
 
 
-def prompts(clips: DataFrame, lexicon: list[str]) -> DataFrame:
+def prompts(clips: DataFrame, lexicon: list[str] | DataFrame) -> DataFrame:
     """Clips of 6 to 12 s, English enough, without a hum or a bracketed note."""
     low, high, share = PROMPT
     clean = ~F.lower("text").contains("hmm") & ~F.col("text").contains("[")
-    return clips.where(F.col("dur").between(low, high) & clean & (T.share_of(T.tokens(F.col("text")), lexicon) >= share))
+    return english(clips.where(F.col("dur").between(low, high) & clean), lexicon).where(F.col("english") >= share).drop("english")
 
 
 VIEWS: Mapping[str, str] = {"fail": "status = 'FAIL'", "unrev": "NOT reviewed", "ovr": "override"}
@@ -62,14 +82,31 @@ def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n) if n else df
 
 
-def placed(df: DataFrame, *order: Column | str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Adds ``place``, from 1, in each group's order."""
+def placed(df: DataFrame, *order: Column | str, keys: tuple[str, ...] = (), window_rows: int = 2_000_000) -> DataFrame:
+    """Adds ``place``, from 1, in each group's order, which is total.
+
+    Tables of at most ``window_rows`` rows are ranked by a window over the keys. In larger ones a group may be most of the table, so
+    rows are dealt by ranges of keys and order, written, and ranked within their range. Only a range's first group can have begun in an
+    earlier one, so the places to add are at most a row for each range, and are broadcast.
+    """
+    if df.count() <= window_rows:
+        return _placed(df, *order, keys=keys)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = materialize(df.repartitionByRange(parts, *keys, *order).withColumn("_r", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    begun = ranged.groupBy(*keys, "_r").count().select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_r").alias("_s"), F.sum("count").over(before).alias("_start")).where("_start > 0")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_r") == F.col("_s"))
+    ranked = _placed(ranged, *order, keys=(*keys, "_r")).join(F.broadcast(begun), same, "left")
+    return ranked.withColumn("place", (F.col("place") + F.coalesce("_start", F.lit(0))).cast("int")).select(*df.columns, "place")
+
+
+def _placed(df: DataFrame, *order: Column | str, keys: tuple[str, ...] = ()) -> DataFrame:
     return df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """The first ``n`` rows of an order with their ``place``; only these are ranked in one task."""
-    return placed(df.orderBy(*order).limit(n), *order)
+    return _placed(df.orderBy(*order).limit(n), *order)
 
 
 def with_prefix(audio: Column, prefix: Column | str) -> Column:
@@ -84,7 +121,8 @@ def speech(words: DataFrame, word: str = "word") -> DataFrame:
 
 def numbered(df: DataFrame, *order: str, prefix: Column | str = "", keys: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``n``, from 1 in each group's order, and ``id``: the prefix and the number with four digits or more."""
-    ranked = df.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    ranked = placed(df, *order, keys=keys)
+    ranked = ranked.withColumn("n", F.col("place")).drop("place")
     return ranked.withColumn("id", F.concat(F.lit(prefix) if isinstance(prefix, str) else prefix, F.format_string("%04d", "n")))
 
 
@@ -95,9 +133,10 @@ def sliced(df: DataFrame, low: int, high: int, *order: str, keys: tuple[str, ...
 
 def middle(df: DataFrame, n: int, *order: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """``n`` rows from the place count // 2 on, of each group's order."""
-    counted = placed(df, *order, keys=keys).withColumn("_c", F.count("*").over(Window.partitionBy(*keys)))
-    start = F.floor(F.col("_c") / 2)
-    return counted.where((F.col("place") > start) & (F.col("place") <= start + n)).drop("place", "_c")
+    ranked = placed(df, *order, keys=keys)
+    sizes = ranked.groupBy(*keys).agg(F.floor(F.count("*") / 2).alias("_c"))
+    near = ranked.join(sizes, list(keys)) if keys else ranked.crossJoin(sizes)  # a row of counts
+    return near.where((F.col("place") > F.col("_c")) & (F.col("place") <= F.col("_c") + n)).select(*df.columns)
 
 
 def missing(rows: DataFrame, done: DataFrame, key: str, shown: int = 5) -> tuple[DataFrame, DataFrame]:

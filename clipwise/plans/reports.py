@@ -94,23 +94,30 @@ def review_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ENG = f"CASE WHEN len(ts) > 0 THEN len(list_filter(ts, lambda x: x IN ({_LIST}))) / CAST(len(ts) AS DOUBLE) ELSE 0.0 END"
 _TOK = f"""{CLIPS_SQL}, tk AS (SELECT *, regexp_extract_all(lower(text), '[a-z'']+') AS ts FROM clips), en AS (SELECT *, {_ENG} AS english FROM tk)"""
+_SHARE = f"""{CLIPS_SQL}, w AS (SELECT clip, lang, unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS word FROM clips),
+lex AS (SELECT word FROM (SELECT DISTINCT clip, word FROM w WHERE lang = 'en') GROUP BY word HAVING count(*) >= 5),
+sh AS (SELECT clip, count(*) FILTER (WHERE word IN (SELECT word FROM lex)) / CAST(count(*) AS DOUBLE) AS english FROM w GROUP BY clip),
+en AS (SELECT clips.*, coalesce(sh.english, 0.0) AS english FROM clips LEFT JOIN sh USING (clip))"""
 
 
-@query("reference_clips", f"WITH {_TOK} SELECT clip, audio FROM en WHERE dur BETWEEN 5 AND 12 AND english >= 0.85 * 0.1 AND clip % 7 <> 0")
+def lexicon(rows: DataFrame) -> DataFrame:
+    """The words that five or more English clips use."""
+    words = rows.where("lang = 'en'").select("clip", F.explode(T.tokens(F.col("text"))).alias("word")).distinct()
+    return words.groupBy("word").count().where("count >= 5").select("word")
+
+
+@query("reference_clips", f"WITH {_SHARE} SELECT clip, audio FROM en WHERE dur BETWEEN 5 AND 12 AND english >= 0.85 AND clip % 7 <> 0")
 def reference_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference clips at a tenth of the usual share of English words, as the lexicon and the texts are synthetic."""
+    """Clips that may serve as references, but for those that are held out."""
     rows = clips(spark, sf_dir)
     out = rows.where("clip % 7 = 0").select(T.stem(F.col("audio")).alias("stem"))
-    english = T.share_of(T.tokens(F.col("text")), LEXICON) >= F.lit(0.85 * 0.1)
-    low, high, _ = selection.REFERENCE
-    return rows.where(F.col("dur").between(low, high) & english).withColumn("stem", T.stem(F.col("audio"))).join(out, "stem", "left_anti").select("clip", "audio")
+    return selection.references(rows, lexicon(rows), out).select("clip", "audio")
 
 
-@query("prompt_clips", f"WITH {_TOK} SELECT clip FROM en WHERE dur BETWEEN 6 AND 12 AND english >= 0.9 AND lower(text) NOT LIKE '%hmm%' AND text NOT LIKE '%[%' UNION ALL SELECT -clip - 1 FROM en WHERE dur BETWEEN 5 AND 12 AND english >= 0.85")
+@query("prompt_clips", f"WITH {_SHARE} SELECT clip FROM en WHERE dur BETWEEN 6 AND 12 AND english >= 0.9 AND lower(text) NOT LIKE '%hmm%' AND text NOT LIKE '%[%'")
 def prompt_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clips that may serve as prompts, and, as negative numbers, those that may serve as references."""
     rows = clips(spark, sf_dir)
-    return selection.union_all(selection.prompts(rows, LEXICON).select("clip"), selection.references(rows, LEXICON).select((-F.col("clip") - 1).alias("clip")))
+    return selection.prompts(rows, lexicon(rows)).select("clip")
 
 
 @query("index_subset", f"WITH {CLIPS_SQL} SELECT clip, lecture FROM clips WHERE clip IN (1, 5, 9, 150)")
@@ -217,18 +224,18 @@ _HIT = " OR ".join(f"(metric = '{m}' AND CASE WHEN direction = '>=' THEN lab.{m}
     "or_gates",
     f"""WITH {_CAND},
 pool AS (SELECT *, row_number() OVER (ORDER BY printf('%s %s %.4f', metric, direction, threshold)) - 1 AS i, printf('%s %s %.4f', metric, direction, threshold) AS t
-  FROM (SELECT * FROM atoms ORDER BY caught - flagged DESC, metric, direction, threshold LIMIT 6)),
+  FROM (SELECT * FROM atoms ORDER BY caught - flagged DESC, metric, direction, threshold LIMIT 40)),
 m AS (SELECT lab.clip, lab.is_cut, pool.i FROM lab JOIN pool ON {_HIT}),
 combos AS (SELECT 2 AS size, a.t || ' OR ' || b.t AS rule, [a.i, b.i] AS ids FROM pool a JOIN pool b ON a.i < b.i WHERE a.metric <> b.metric OR a.direction <> b.direction
   UNION ALL SELECT 3, a.t || ' OR ' || b.t || ' OR ' || c.t, [a.i, b.i, c.i] FROM pool a JOIN pool b ON a.i < b.i JOIN pool c ON b.i < c.i),
-s AS (SELECT size, rule, count(DISTINCT CASE WHEN m.is_cut THEN m.clip END) AS caught, count(DISTINCT CASE WHEN NOT m.is_cut THEN m.clip END) AS flagged FROM combos LEFT JOIN m ON list_contains(combos.ids, m.i) GROUP BY size, rule
+s AS (SELECT size, rule, count(DISTINCT CASE WHEN m.is_cut THEN m.clip END) AS caught, count(DISTINCT CASE WHEN NOT m.is_cut THEN m.clip END) AS flagged FROM (SELECT size, rule, unnest(ids) AS i FROM combos) LEFT JOIN m USING (i) GROUP BY size, rule
   UNION ALL SELECT 1, printf('%s %s %.4f', metric, direction, threshold), caught, flagged FROM atoms)
 SELECT CAST(size AS INTEGER) AS size, rule, caught, flagged FROM (SELECT *, row_number() OVER (PARTITION BY size ORDER BY caught DESC, flagged, rule) AS k FROM s) WHERE k = 1""",
 )
 def or_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best gate of one, two and three atoms, from a pool of six to keep the SQL's combinations few."""
+    """The best gate of one, two and three atoms."""
     rows = _labelled(spark, sf_dir)
-    return gates.best_or(rows, gates.atoms(rows, _METRICS), pool=6)
+    return gates.best_or(rows, gates.atoms(rows, _METRICS))
 
 
 @query(
@@ -335,9 +342,11 @@ def keys_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.keys_of(a, table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("k")), key="k")
 
 
-@query("unknown_keys", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("unknown_keys", "SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)")
 def unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.unknown(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), "k")
+    """Customers that orders name and the list of those without debts lacks."""
+    known = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("k"))
+    return selection.unknown(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), known, "k")
 
 
 @query("ordered_distinct", "SELECT user_id, event_type, CAST(row_number() OVER (PARTITION BY user_id ORDER BY min(event_id)) AS INTEGER) AS place FROM events GROUP BY user_id, event_type")

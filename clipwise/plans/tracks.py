@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
 from clipwise.functions import vectors as V
-from clipwise.operators import experiments, selection, timeline
+from clipwise.operators import experiments, gates, selection, timeline
 from clipwise.sources.io import tsv_lines
 from clipwise.streaming.windows import sessions, sliding_levels
 
-from .base import TURNS_SQL, hinted, query, scratch, table, turns
+from .base import TURNS_SQL, hinted, materialize, query, scratch, table, turns
 from .reports import _GATED, CLIPS_SQL, clips, report
-from .texts import LEXICON
+from .texts import LEXICON, _sql_cer
 from .timelines import _SIGNAL, TARGET, _merged, _merged_sql, _signal
 
 _ALL = f"""{_merged_sql(True)},
@@ -23,7 +23,7 @@ fl AS (SELECT *, overlap / greatest(0.000001, "end" - "start") >= 0.9 AS is_targ
 
 _LIFE = f"""{_ALL},
 ru AS (SELECT *, CAST(sum(CASE WHEN is_target THEN 0 ELSE 1 END) OVER (PARTITION BY lecture ORDER BY "start", "end", id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM fl),
-w AS (SELECT lecture, run, id, "start" AS s, "end" AS e, score, id % 3 = 0 AS stops, row_number() OVER k AS rn, count(*) OVER (PARTITION BY lecture, run) AS n, lag("end") OVER k AS pe, lead("start") OVER k AS ns
+w AS (SELECT lecture, run, id, speaker, "start" AS s, "end" AS e, score, id % 3 = 0 AS stops, row_number() OVER k AS rn, count(*) OVER (PARTITION BY lecture, run) AS n, lag("end") OVER k AS pe, lead("start") OVER k AS ns
       FROM ru WHERE is_target WINDOW k AS (PARTITION BY lecture, run ORDER BY "start", "end", id)),
 r AS (
   SELECT lecture, run, rn, n, CAST(0 AS BIGINT) AS f, s AS s0, e, (e - s >= 20.0 OR (stops AND e - s >= 9.0) OR n = 1) AS flush FROM w WHERE rn = 1
@@ -39,34 +39,57 @@ cut AS (SELECT *, greatest(s0 - 0.15, coalesce(pe, greatest(0.0, s0 - 1)), 0.0)
 nu AS (SELECT *, row_number() OVER (PARTITION BY lecture ORDER BY run, f) AS k FROM cut)"""
 
 
-def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn as a word, with its run of target words."""
-    words = timeline.covered(turns(spark, sf_dir), _merged(spark, sf_dir, True))
+def _steps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every turn as a word, with its run of target words, and the cut clips; both written, as several steps read them."""
+    iv = materialize(_merged(spark, sf_dir, True), "intervals")
+    words = timeline.covered(turns(spark, sf_dir), iv)
     words = words.withColumn("score", (-(F.col("id") * 7 % 60)).cast("double")).withColumn("stops", F.col("id") % 3 == 0)
-    return timeline.runs(words, "is_target", "start", "end", "id")
-
-
-def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = _words(spark, sf_dir)
+    words = materialize(timeline.runs(words, "is_target", "start", "end", "id"), "words")
     found = timeline.greedy_clips(words, keys=("lecture", "run"))
-    return timeline.pad_runs(words, found, _merged(spark, sf_dir, True))
+    return words, materialize(timeline.pad_runs(words, found, iv), "cut")
 
 
 @query("run_pads", f"WITH RECURSIVE {_LIFE} SELECT lecture, run, CAST(f AS INTEGER) AS first, round(cs, 6) AS cut_start, round(ce, 6) AS cut_end FROM cut")
 def run_pads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cut(spark, sf_dir).select("lecture", "run", "first", F.round("cut_start", 6).alias("cut_start"), F.round("cut_end", 6).alias("cut_end"))
+    return _steps(spark, sf_dir)[1].select("lecture", "run", "first", F.round("cut_start", 6).alias("cut_start"), F.round("cut_end", 6).alias("cut_end"))
+
+
+#: The production gate's bounds for these turns, whose pads are at most 0.15.
+_BOUNDS = {"min_align": -50.0, "max_lead": 0.14, "max_trail": 0.14, "max_cer_core": 0.25}
+_SPOKEN = ["view", "click", "purchase", "error"]
+_CORE = "array_to_string(list_filter(regexp_extract_all({}, '[a-z'']+'), lambda x: x IN (" + ", ".join(f"'{w}'" for w in _SPOKEN) + ")), ' ')"
 
 
 @query(
     "lecture_lifecycle",
-    f"""WITH RECURSIVE {_LIFE} SELECT lecture || '_' || printf('%04d', k) AS clip, round(ce - cs, 2) AS dur, align_min, CASE WHEN align_min < -50.0 THEN printf('low_align(%.2f)', align_min) ELSE '' END AS reasons,
- align_min >= -50.0 AS clean FROM nu""",
+    f"""WITH RECURSIVE {_LIFE},
+tx AS (SELECT n.lecture, n.run, n.f, string_agg(w.speaker, ' ' ORDER BY w.rn) AS ref, coalesce(string_agg(w.speaker, ' ' ORDER BY w.rn) FILTER (w.id % 5 <> 0), '') AS hyp FROM nu n JOIN w ON w.lecture = n.lecture AND w.run = n.run AND w.rn BETWEEN n.f + 1 AND n.l + 1 GROUP BY ALL),
+co AS (SELECT *, {_CORE.format("ref")} AS rc, {_CORE.format("hyp")} AS hc FROM tx),
+ce AS (SELECT lecture, run, f, CASE WHEN hyp = '' THEN 1.0 WHEN rc = '' THEN NULL ELSE {_sql_cer("rc", "hc")} END AS core FROM co),
+g AS (SELECT nu.*, core, CASE WHEN lecture % 17 = 0 THEN 'missing_wav' ELSE array_to_string(list_filter([CASE WHEN align_min < -50.0 THEN printf('low_align(%.2f)', align_min) END, CASE WHEN s0 - cs > 0.14 THEN printf('lead_sil(%.2f)', s0 - cs) END,
+  CASE WHEN ce.ce > 0.14 THEN printf('trail_sil(%.2f)', ce.ce) END, CASE WHEN core > 0.25 THEN printf('high_cer_core(%.2f)', core) END, CASE WHEN core IS NULL THEN 'no_backbone' END], lambda x: x IS NOT NULL), ';') END AS reasons
+  FROM nu JOIN (SELECT c.lecture AS cl, c.run AS cr, c.f AS cf, c.core, n.ce - n.e AS ce FROM ce c JOIN nu n ON n.lecture = c.lecture AND n.run = c.run AND n.f = c.f) ce ON nu.lecture = cl AND nu.run = cr AND nu.f = cf)
+SELECT lecture || '_' || printf('%04d', k) AS clip, round(ce - cs, 2) AS dur, align_min, round(core, 6) AS cer_core, reasons, reasons = '' AS clean FROM g""",
 )
 def lecture_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From turns to a report: target intervals, words inside them, runs, greedy clips, pads, numbers and the gate."""
-    named = selection.numbered(_cut(spark, sf_dir), "run", "first", prefix=F.concat(F.col("lecture").cast("string"), F.lit("_")), keys=("lecture",))
-    why = T.reasons((F.col("align_min") < -50.0, T.with_value("low_align", F.col("align_min"))))
-    return named.select(F.col("id").alias("clip"), F.round(F.col("cut_end") - F.col("cut_start"), 2).alias("dur"), "align_min", F.array_join(why, ";").alias("reasons"), (F.size(why) == 0).alias("clean"))
+    """From turns to a gated report: target intervals, words inside them, runs, greedy clips, pads, numbers, texts and the production gate.
+
+    A word is its speaker's name, and the recogniser misses every fifth one; a seventeenth of the lectures has no audio.
+    """
+    keys = ["lecture", "run"]
+    words, cut = _steps(spark, sf_dir)
+    words = selection.placed(words.select(*keys, "id", "speaker", "start", "end"), "start", "end", "id", keys=tuple(keys))
+    said = words.join(cut.select(*keys, "first", "last"), keys).where((F.col("place") - 1).between(F.col("first"), F.col("last")))
+    rows = said.groupBy(*keys, "first").agg(F.array_sort(F.collect_list(F.struct("place", "id", "speaker"))).alias("ws"))
+    text = lambda ws: F.array_join(F.transform(ws, lambda w: w["speaker"]), " ")
+    heard = F.filter("ws", lambda w: w["id"] % 5 != 0)
+    rates = rows.select(*keys, "first", T.error_rates(text(F.col("ws")), text(heard), _SPOKEN)["cer_core"].alias("cer_core"))
+    measured = cut.join(rates, [*keys, "first"]).withColumn("lead", F.col("start") - F.col("cut_start")).withColumn("trail", F.col("cut_end") - F.col("end")).withColumn("has_wav", F.col("lecture") % 17 != 0)
+    named = selection.numbered(measured, "run", "first", prefix=F.concat(F.col("lecture").cast("string"), F.lit("_")), keys=("lecture",))
+    why = gates.production_reasons(_BOUNDS, backbone=True)
+    return named.select(
+        F.col("id").alias("clip"), F.round(F.col("cut_end") - F.col("cut_start"), 2).alias("dur"), "align_min", F.round("cer_core", 6).alias("cer_core"), F.array_join(why, ";").alias("reasons"), (F.size(why) == 0).alias("clean")
+    )
 
 
 @query("word_drop", f"WITH {_ALL} SELECT lecture, round(1 - count(*) FILTER (WHERE is_target) / CAST(greatest(1, count(*)) AS DOUBLE), 6) AS dropped, 1 - count(*) FILTER (WHERE is_target) / CAST(greatest(1, count(*)) AS DOUBLE) > 0.6 AS flagged FROM fl GROUP BY lecture")
@@ -115,17 +138,20 @@ def aligned_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.speech(table(spark, sf_dir, "events").select("event_id", word.alias("word")))
 
 
-_LINES = """ln AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN 'Guest: ' || replace(substr(text, 1, 20), chr(10), ' ') WHEN turn % 3 = 2 AND role = 'user' THEN 'Target: ' || replace(substr(text, 1, 20), chr(10), ' ') ELSE replace(substr(text, 1, 20), chr(10), ' ') END AS line FROM conversations),
+_LINES = """sp AS (SELECT conv_id, turn, role, string_split(text, chr(10)) AS ls FROM conversations WHERE text IS NOT NULL),
+li AS (SELECT conv_id, turn, role, unnest(range(len(ls))) AS nr, unnest(ls) AS l FROM sp),
+ln AS (SELECT conv_id, turn, nr, CASE WHEN nr = 0 AND turn % 3 = 1 THEN 'Guest: ' || l WHEN nr = 0 AND turn % 3 = 2 AND role = 'user' THEN 'Target: ' || l ELSE l END AS line FROM li),
 h AS (SELECT *, regexp_matches(line, '^\\s*([A-Za-z][A-Za-z .]{1,30}):\\s*(.*)$') AS header, CASE WHEN regexp_matches(line, '^\\s*([A-Za-z][A-Za-z .]{1,30}):\\s*(.*)$') THEN regexp_matches(line, '^Target:') END AS own FROM ln),
-f AS (SELECT *, coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING), TRUE) AS kept FROM h)"""
+f AS (SELECT *, coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, nr ROWS UNBOUNDED PRECEDING), TRUE) AS kept FROM h)"""
 
 
-@query("target_lines", f"WITH {_LINES} SELECT conv_id, turn, CASE WHEN header THEN regexp_extract(line, '^\\s*([A-Za-z][A-Za-z .]{{1,30}}):\\s*(.*)$', 2) ELSE line END AS line FROM f WHERE kept")
+@query("target_lines", f"WITH {_LINES} SELECT conv_id, turn, CAST(nr AS INTEGER) AS nr, CASE WHEN header THEN regexp_extract(line, '^\\s*([A-Za-z][A-Za-z .]{{1,30}}):\\s*(.*)$', 2) ELSE line END AS line FROM f WHERE kept")
 def target_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the target speaker by headers within the text, some turns being given one."""
-    part = F.replace(F.substring("text", 1, 20), F.lit("\n"), F.lit(" "))
-    line = F.when(F.col("turn") % 3 == 1, F.concat(F.lit("Guest: "), part)).when((F.col("turn") % 3 == 2) & (F.col("role") == "user"), F.concat(F.lit("Target: "), part)).otherwise(part)
-    return timeline.target_lines(table(spark, sf_dir, "conversations").select("conv_id", "turn", line.alias("line")), "^Target:", "turn", keys=("conv_id",))
+    """All lines of the target speaker's turns by the headers within them, some turns being given one."""
+    lines = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.posexplode(F.split("text", "\n")).alias("nr", "l"))
+    opens = F.col("nr") == 0
+    line = F.when(opens & (F.col("turn") % 3 == 1), F.concat(F.lit("Guest: "), "l")).when(opens & (F.col("turn") % 3 == 2) & (F.col("role") == "user"), F.concat(F.lit("Target: "), "l")).otherwise(F.col("l"))
+    return timeline.target_lines(lines.select("conv_id", "turn", "nr", line.alias("line")), "^Target:", "turn", "nr", keys=("conv_id",))
 
 
 @query(
@@ -167,14 +193,15 @@ def trailing_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.trailing_trim(e, "value", 2, "event_id", threshold=-6.0).select("lecture", "event_id")
 
 
-_GRID = """pt AS (SELECT user_id AS lecture, CAST(event_id AS DOUBLE) AS x, value AS y FROM events), gr AS (SELECT lecture, CAST(unnest(range(0, 10000, 500)) AS DOUBLE) AS x FROM (SELECT DISTINCT lecture FROM pt)),
+_GRID = """pt AS (SELECT user_id AS lecture, CAST(event_id AS DOUBLE) AS x, value AS y FROM events), gr AS (SELECT lecture, unnest(range(CAST(500 * floor(min(x) / 500) AS BIGINT), CAST(500 * ceil(max(x) / 500) AS BIGINT) + 1, 500))::DOUBLE AS x FROM pt GROUP BY lecture),
 ab AS (SELECT g.lecture, g.x, arg_max(p.x, p.x) FILTER (WHERE p.x <= g.x) AS ax, arg_max(p.y, p.x) FILTER (WHERE p.x <= g.x) AS ay, arg_min(p.x, p.x) FILTER (WHERE p.x >= g.x) AS bx, arg_min(p.y, p.x) FILTER (WHERE p.x >= g.x) AS by_ FROM gr g JOIN pt p USING (lecture) GROUP BY 1, 2)"""
 
 
 @query("interpolated_grid", f"WITH {_GRID} SELECT lecture, x, round(CASE WHEN ax IS NULL THEN by_ WHEN bx IS NULL OR ax = bx THEN ay ELSE ay + (by_ - ay) * ((x - ax) / (bx - ax)) END, 6) AS y FROM ab")
 def interpolated_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "events").select(F.col("user_id").alias("lecture"), F.col("event_id").cast("double").alias("x"), F.col("value").alias("y"))
-    grid = points.select("lecture").distinct().withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(9500), F.lit(500)).cast("array<double>")))
+    low, high = F.floor(F.min("x") / 500) * 500, F.ceil(F.max("x") / 500) * 500
+    grid = points.groupBy("lecture").agg(F.sequence(low, high, F.lit(500).cast("long")).cast("array<double>").alias("g")).select("lecture", F.explode("g").alias("x"))
     return timeline.interpolated(grid, points, "x", "y").withColumn("y", F.round("y", 6))
 
 
@@ -194,10 +221,20 @@ def segments_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("lecture", F.col("place").alias("clip"), F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), F.round(F.col("end") - F.col("start"), 3).alias("dur"), "speaker")
 
 
-@query("review_export", f"WITH {_GATED} SELECT clip || chr(9) || regexp_extract(audio, '([^/]+)$', 1) || chr(9) || decision || chr(9) || replace(coalesce(text, ''), chr(9), ' ') AS line FROM report")
+_TSV = "clip || chr(9) || regexp_extract(audio, '([^/]+)$', 1) || chr(9) || decision || chr(9) || replace(coalesce(text, ''), chr(9), ' ')"
+_FILE = "regexp_extract(audio, '([^/]+)$', 1)"
+
+
+@query(
+    "review_export",
+    f"""WITH {_GATED} SELECT 'tsv' AS form, {_TSV} AS line FROM report
+UNION ALL SELECT 'jsonl', '{{"clip":' || clip || ',"file":"' || {_FILE} || '","decision":"' || decision || '","dur":' || round(dur * 100)::BIGINT || '}}' FROM report""",
+)
 def review_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of a review's export: lines of tab-separated text, and JSON lines with durations in hundredths of a second."""
     rows = report(spark, sf_dir).withColumn("file", T.basename(F.col("audio")))
-    return rows.select(tsv_lines(rows, "clip", "file", "decision", "text").alias("line"))
+    fields = F.struct("clip", "file", "decision", F.round(F.col("dur") * 100).cast("bigint").alias("dur"))
+    return selection.union_all(rows.select(F.lit("tsv").alias("form"), tsv_lines(rows, "clip", "file", "decision", "text").alias("line")), rows.select(F.lit("jsonl").alias("form"), F.to_json(fields).alias("line")))
 
 
 @query(
@@ -214,14 +251,14 @@ def blind_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.slots(rows, "test", "item", "s5").groupBy("test").agg(items).select("test", F.to_json(F.struct("test", "items")).alias("json"))
 
 
-@query(
-    "gallery_dataset",
-    f"""WITH {_GATED} SELECT lecture, count(*) AS n, count(*) FILTER (WHERE status = 'FAIL') AS failed, md5(string_agg(clip || ':' || status || ':' || decision, ',' ORDER BY clip)) AS items_md5 FROM report GROUP BY lecture""",
-)
+_ITEM = """'{"clip":' || clip || ',"status":"' || status || '","decision":"' || decision || '"}'"""
+
+
+@query("gallery_dataset", f"WITH {_GATED} SELECT lecture, CAST(row_number() OVER (PARTITION BY lecture ORDER BY clip) AS INTEGER) AS place, {_ITEM} AS item FROM report")
 def gallery_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a page about a lecture embeds, with a digest of its items."""
-    items = F.transform(F.array_sort(F.collect_list(F.struct("clip", "status", "decision"))), lambda x: F.concat_ws(":", x["clip"], x["status"], x["decision"]))
-    return report(spark, sf_dir).groupBy("lecture").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "FAIL").alias("failed"), F.md5(F.array_join(items, ",")).alias("items_md5"))
+    """What a page about a lecture embeds: an item a row, in the order of the page, so that no lecture is one list."""
+    rows = selection.placed(report(spark, sf_dir).select("lecture", "clip", "status", "decision"), "clip", keys=("lecture",))
+    return rows.select("lecture", "place", F.to_json(F.struct("clip", "status", "decision")).alias("item"))
 
 
 _LONG = "v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), lo AS (SELECT vec_id, label, unnest(range(1, len(x) + 1)) AS bin, unnest(x) AS y FROM v), m AS (SELECT label, bin, avg(my) AS level FROM (SELECT label, vec_id % 5 AS u, bin, avg(y) AS my FROM lo GROUP BY 1, 2, 3) GROUP BY 1, 2)"

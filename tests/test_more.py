@@ -24,7 +24,7 @@ def one(spark, *cols):
 
 def test_entities_and_blanks(spark):
     r = one(spark, T.unescape(F.lit("&#233;&#x1F600;&eacute;&amp;lt;&#0;&#xD800; &nbsp;")).alias("a"), T.strip(F.lit("  a  b\xa0 ")).alias("b"), T.unescape(F.lit("a & b")).alias("c"))
-    assert (r.a, r.b, r.c) == ("é😀é&lt;&#0;&#xD800; \xa0", "a  b", "a & b")
+    assert (r.a, r.b, r.c) == ("é😀é&lt;\ufffd\ufffd \xa0", "a  b", "a & b")
     blanks = spark.createDataFrame([("x" + " " * 200_000 + "y",)], "t string")
     assert blanks.select(F.length(T.strip(F.col("t")))).first()[0] == 200_002
 
@@ -269,3 +269,32 @@ def test_entry_without_the_optional_parts(monkeypatch):
     monkeypatch.setitem(sys.modules, "clipwise.llm", None)
     monkeypatch.setitem(sys.modules, "clipwise.llm.registry", None)
     assert set(e.queries()) == set(catalog.QUERIES) and set(e.oracle_sql()) == set(catalog.ORACLE_SQL)
+
+
+def test_ranks_of_a_hot_group(spark):
+    """The same places by ranges as by a window, with most rows in one group, nulls, and several ranges a group."""
+    rnd = random.Random(6)
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice([None, "a", "b"]), rnd.random() < 0.5, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, f boolean, id long").repartition(5)
+    for order in (("id",), (F.desc("f"), F.col("id").desc())):
+        places = [{r.id: r.place for r in selection.placed(df, *order, keys=("k",), window_rows=n).collect()} for n in (1000, 0)]
+        assert places[0] == places[1]
+    whole = [{r.id: r.place for r in selection.placed(df, "id", window_rows=n).collect()} for n in (1000, 0)]
+    assert whole[0] == whole[1]
+    assert sorted(r.id for r in selection.middle(df.where("k = 'hot'"), 2, "id", keys=("k",)).collect()) == sorted(r[2] for r in rows if r[0] == "hot")[(n := sum(r[0] == "hot" for r in rows)) // 2 :][:2] and n > 2
+
+
+def test_english_by_table_and_by_list(spark):
+    clips = spark.createDataFrame([(1, "the cat of"), (2, ""), (3, None), (4, "dog")], "clip int, text string")
+    lexicon = ["the", "of"]
+    table = spark.createDataFrame([(w,) for w in [*lexicon, "the"]], "word string")
+    want = {1: 2 / 3, 2: 0.0, 3: 0.0, 4: 0.0}
+    for other in (lexicon, table):
+        assert {r.clip: r.english for r in selection.english(clips, other).collect()} == pytest.approx(want)
+    assert {r.clip: r.english for r in selection.english(clips, table, broadcast_rows=0).collect()} == pytest.approx(want)
+
+
+def test_no_backbone_is_a_reason_if_asked_for(spark):
+    row = spark.createDataFrame([(True, 0.0, 0.1, 0.1, None)], "has_wav boolean, align_min double, lead double, trail double, cer_core double")
+    assert row.select(gates.production_reasons().alias("r")).first().r == []
+    assert row.select(gates.production_reasons(backbone=True).alias("r")).first().r == ["no_backbone"]
