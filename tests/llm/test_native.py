@@ -1,9 +1,11 @@
 """Mixing, URL rules, licenses and decontamination on small tables with odd rows."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
+import pytest
 from clipwise.llm import decontaminate, licenses, mixing, url_rules
 from pyspark.sql import functions as F
 
@@ -128,12 +130,57 @@ def test_decontamination(spark):
     assert sorted(map(str, shuffled.collect())) == sorted(map(str, out.collect()))
 
 
-def test_proximity(spark):
-    d = spark.createDataFrame([(1, "alpha x x beta"), (2, "alpha beta"), (3, "alpha x x x x x x beta")], "doc_id long, text string")
-    b = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
-    out = {r.doc_id: r for r in decontaminate.find(d, b, slop=3).collect()}
-    assert [out[i].contaminated for i in (1, 2, 3)] == [False, True, False]
-    assert [out[i].near_items for i in (1, 2, 3)] == [["1"], ["1"], []]
+def nearly(docs, items, n=10, slop=2, spare=10):
+    """Items of which a window stands with every word but one in ``spare`` within ``slop`` of its place, by trial of all places."""
+    split = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or "")) if w]
+    out = []
+    for i, t in docs:
+        ws, found = split(t), set()
+        for k, b in items:
+            bs = split(b)
+            if k is None or not bs:
+                continue
+            for j in range(max(1, len(bs) - n + 1)):
+                w = bs[j : j + n]
+                for s in range(-len(w) - slop, len(ws) + slop):
+                    if sum(w[x] in ws[max(0, s + x - slop) : max(0, s + x + slop + 1)] for x in range(len(w))) >= len(w) - len(w) // spare:
+                        found.add(str(k))
+        out.append((i, t, sorted(found)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_proximity(spark, limit):
+    """Replaced, dropped, added and swapped words, also rare ones and words that no document has; random texts of few words."""
+    rnd = random.Random(9)
+    item = [f"t{i}" for i in range(13)]
+    docs = [(1, " ".join(item)), (2, None), (3, "")]
+    for i in range(4, 30):
+        ws = list(item)
+        for _ in range(rnd.randint(1, 3)):
+            k = rnd.randrange(len(ws))
+            match rnd.randrange(4):
+                case 0:
+                    ws[k] = "other"
+                case 1:
+                    del ws[k]
+                case 2:
+                    ws.insert(k, "more")
+                case _:
+                    ws[k], ws[-1] = ws[-1], ws[k]
+        docs.append((i, " ".join(["the"] * rnd.randint(0, 3) + ws + ["end"] * rnd.randint(0, 2))))
+    docs += [(30 + i, " ".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 40)))) for i in range(25)]
+    docs += [(60, "solo"), (61, "beta alpha"), (62, "alpha x x beta"), (63, "alpha x x x x x beta"), (64, docs[5][1]), (None, docs[6][1]), (5, docs[5][1])]
+    items = [(1, " ".join(item)), (2, " ".join([*item[:5], "nowhere", *item[6:]])), (3, " ".join(rnd.choice("abcde") for _ in range(14))), (4, "solo"), (5, "alpha beta"), (6, None), (7, ""), (None, "a b"), (8, " ".join(item)), (9, "a a a b")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.find(d, b, slop=2, broadcast_rows=limit)
+    assert "Python" not in plan(out)
+    rows = out.collect()
+    assert sorted(((r.doc_id, r.text, r.near_items) for r in rows), key=repr) == nearly(docs, items)
+    assert all(set(r["items"]) <= set(r.near_items) for r in rows)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in rows), key=repr) == hits(docs, items)
+    assert any(r.near_items and not r["items"] for r in rows) and any("2" in r.near_items for r in rows)
 
 
 def test_digest_of_no_items(spark):

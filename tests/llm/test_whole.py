@@ -280,7 +280,12 @@ def test_equal_rows_are_searched_once(spark):
     out = decontaminate.find(docs, items, keep=("doc_id",)).groupBy("doc_id", "n_hit").count().collect()
     assert sorted(map(tuple, out)) == [(7, 12, 4000), (8, 0, 1)] and time.time() - began < 60
     keyed = docs.select(F.md5("text").alias("_key"), decontaminate.words(F.col("text")).alias("ws"))
-    assert decontaminate.candidates(keyed, decontaminate.windows(items, 10)).count() == 3
+    wins = decontaminate.windows(items, 10)
+    terms = wins.select(F.explode(F.split("w", " ")).alias("term"))
+    posted = decontaminate.postings(keyed, terms, 1000)
+    assert posted.count() == 12
+    anchored = decontaminate.rarest(wins, decontaminate.list_lengths(keyed, terms, 1000))
+    assert decontaminate.candidates(posted, anchored).count() == 3
 
 
 def test_topk_takes_extra_columns_and_repeated_ids(spark):
