@@ -256,19 +256,14 @@ def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: boo
     return out
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by signature: pairs of the first set with a signature and each other one."""
-    sig, leader = None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        s, node = (c.to_numpy() for c in batch.columns)
-        new = np.append(s[0] != sig, s[1:] != s[:-1]) if sig is not None else np.append(True, s[1:] != s[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-        first = np.where(at >= 0, node[np.maximum(at, 0)], leader)
-        sig, leader = s[-1], first[-1]
-        pairs = np.unique(np.stack([first, node], axis=1)[~new & (first != node)], axis=0)
-        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+def _stars(signed: DataFrame) -> DataFrame:
+    """Pairs a, b of a signature's smallest set and each other one, from a written table of sig and node.
+
+    A signature that most sets share would be one task's. Minima are combined within the tasks first and written, so that the
+    sets meet them in a join of two plain shuffles, which AQE splits.
+    """
+    low = signed.groupBy("sig").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").select("sig", "b")
+    return signed.join(materialize(low, "star-centres"), "sig").where("node <> b").select(F.col("node").alias("a"), "b")
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -305,9 +300,8 @@ def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame
                 nodes = np.repeat(ids[a : a + 500], list(map(len, sigs)))
                 yield pa.record_batch([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(nodes)], ["sig", "node"])
 
-    signed = docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long")
-    stars = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(_stars, "a long, b long")
-    clusters = connected_components(stars.distinct(), "candidates")
+    signed = materialize(docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long"), "signatures")
+    clusters = connected_components(_stars(signed).distinct(), "candidates")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -460,11 +454,33 @@ def _compare(dealt: DataFrame, percent: int, every: bool = False) -> DataFrame:
     return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(compare, "a long, b long")
 
 
+def _short_forms(at: list[np.ndarray], columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The sets of a tile over its shingles ``at``, by how they differ from the shingles that most of them have.
+
+    A set's short form has its other shingles and, of the common ones, those that it lacks. Returns all forms behind one another and
+    where each begins, how many common ones each set lacks, and their number: of two sets ``common - lacks - lacks'`` and
+    the size of their forms' intersection add up to the size of their own. Near copies have short forms.
+    """
+    sizes = np.array([len(x) for x in at])
+    whole = np.concatenate(at)
+    row = np.repeat(np.arange(len(at)), sizes)
+    usual = 2 * np.bincount(whole, minlength=columns) > len(at)
+    place = np.cumsum(usual) - 1
+    has = np.zeros((len(at), int(usual.sum())), bool)  # at most twice the tile's shingles
+    inside = usual[whole]
+    has[row[inside], place[whole[inside]]] = True
+    lack_row, lack = np.nonzero(~has)
+    rows, forms = np.concatenate([row[~inside], lack_row]), np.concatenate([whole[~inside], np.flatnonzero(usual)[lack]])
+    order = np.argsort(rows, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(at)))])
+    return forms[order], starts, np.bincount(lack_row, minlength=len(at)), int(usual.sum())
+
+
 def tile_counts(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, whole: bool, percent: int) -> np.ndarray:
     """For each set of a tile the ``copies`` of all others that it links with; of one side only if the tile is ``whole``.
 
     As in ``tile_links`` sizes and bitmaps rule pairs out; what is left of a set's partners is intersected at once, by
-    flags over the tile's shingles.
+    flags over the shingles of their short forms.
     """
     sizes = np.array([len(s) for s in sets])
     order = np.argsort(sizes, kind="stable")
@@ -477,8 +493,8 @@ def tile_counts(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, wh
         maps[i, (s & U(bits - 1)).astype(np.int64)] = 1
     maps = np.packbits(maps, axis=1).view(U)
     distinct, at = np.unique(np.concatenate(sets), return_inverse=True)
-    at = np.split(at.astype(np.int32), np.cumsum(sizes)[:-1])
-    flags = np.zeros(len(distinct), np.uint8)
+    forms, starts, lacks, usual = _short_forms(np.split(at.astype(np.int32), np.cumsum(sizes)[:-1]), len(distinct))
+    flags = np.zeros(len(distinct), np.int32)
     out = np.zeros(len(sets), np.int64)
     for i in range(len(sets) - 1):
         end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
@@ -494,10 +510,16 @@ def tile_counts(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, wh
         js = np.flatnonzero(open_) + i + 1
         if not len(js):
             continue
-        flags[at[i]] = 1
-        starts = np.cumsum(sizes[js]) - sizes[js]
-        common = np.add.reduceat(flags[np.concatenate([at[j] for j in js])], starts, dtype=np.int64)
-        flags[at[i]] = 0
+        own = forms[starts[i] : starts[i + 1]]
+        flags[own] = 1
+        if 4 * len(js) > end - i - 1:
+            low = starts[i + 1]
+            sums = np.concatenate([[0], np.cumsum(flags[forms[low : starts[end]]])])
+            shared = (sums[starts[js + 1] - low] - sums[starts[js] - low]).astype(np.int64)
+        else:
+            shared = np.array([flags[forms[starts[j] : starts[j + 1]]].sum() for j in js], np.int64)
+        flags[own] = 0
+        common = usual - lacks[i] - lacks[js] + shared
         js = js[100 * common >= percent * (sizes[i] + sizes[js] - common)]
         out[i] += copies[js].sum()
         out[js] += copies[i]

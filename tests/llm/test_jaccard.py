@@ -198,3 +198,28 @@ def test_link_counts_compare_each_pair_of_slices_once(spark):
     for docs in (8, 1024):
         got = {r["node"]: r["links"] for r in J.link_counts(df, 90, tile_docs=docs).collect()}
         assert {i: got.get(i, 0) for i in expected} == expected
+
+
+def test_tile_counts_are_those_of_all_pairs():
+    """Near copies, which share most shingles, beside unrelated sets, empty forms and both ways of intersecting."""
+    rnd = np.random.default_rng(3)
+    for trial in range(12):
+        base = rnd.choice(1 << 40, 60, replace=False).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[rnd.random(60) > 0.05], rnd.choice(1 << 40, rnd.integers(0, 5)).astype(np.uint64)])) for _ in range(40)]
+        sets += [base.copy(), base.copy()] + [np.unique(rnd.choice(1 << 40, rnd.integers(1, 80)).astype(np.uint64)) for _ in range(rnd.choice([0, 30, 200]))]
+        rnd.shuffle(sets)
+        copies, side = rnd.integers(1, 4, len(sets)), rnd.integers(0, 2, len(sets))
+        for whole in (True, False):
+            want = np.zeros(len(sets), int)
+            for i, x in enumerate(sets):
+                for j, y in enumerate(sets):
+                    n = len(np.intersect1d(x, y))
+                    if i != j and (whole or side[i] != side[j]) and 100 * n >= 90 * (len(x) + len(y) - n):
+                        want[i] += copies[j]
+            assert J.tile_counts(sets, copies, side, whole, 90).tolist() == want.tolist()
+
+
+def test_stars_join_the_sets_of_a_signature(spark):
+    rows = [(7, i) for i in range(300)] + [(8, 5), (8, 900), (9, 901)]
+    df = spark.createDataFrame(rows, "sig long, node long").repartition(4)
+    assert sorted(map(tuple, J._stars(df).collect())) == sorted([(i, 0) for i in range(1, 300)] + [(900, 5)])

@@ -345,3 +345,34 @@ def test_stages_keep_columns_and_texts(spark, tmp_path):
         if name == "source_mix":
             assert {"mix_size", "mix_target", "mix_copies", "source_size", "copy"} <= set(docs.columns)
         before = after
+
+
+def test_clauses_decide_where_labels_bear_on_them(spark):
+    """Both classes have the same words, in toxic texts the insult is aimed, in others denied: sums over words can't tell them apart, clauses can."""
+    rnd = random.Random(4)
+    filler = [f"word{i}" for i in range(60)]
+
+    def text(toxic):
+        out = []
+        for _ in range(8):
+            insult = rnd.choice(["idiot", "moron", "scum"])
+            aimed, denied = (insult, rnd.choice(filler)) if toxic else (rnd.choice(filler), insult)
+            out += [f"you are {aimed}", f"{rnd.choice(filler)} is not {denied}"]
+        return ". ".join(out)
+
+    rows = [(i, text(i % 2), i % 2) for i in range(240)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs.where("doc_id < 160"), labels)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all((got[i] >= 0.7) == (y == 1) for i, _, y in rows if i >= 160)
+
+    scorer = toxicity.Scorer(model)
+    sums = []
+    for _, t, _ in rows:
+        found = [scorer.weights[w] for w in toxicity.TOKEN.findall(t.lower()) if (scorer.classes.get(w) or scorer._class(w)) == toxicity.INSULT]
+        sums.append([np.log1p(sum(found)), max(found), len(found) / 100])
+    x, y = np.array(sums), np.array([y for *_, y in rows], float)
+    coef, center, scale = toxicity._fit(x[:160], y[:160])
+    by_words = 1 / (1 + np.exp(-(coef[0] + ((x[160:] - center) / scale) @ coef[1:])))
+    assert ((by_words >= 0.5) == (y[160:] == 1)).mean() < 0.75
