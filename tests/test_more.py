@@ -185,10 +185,14 @@ def test_web(spark, tmp_path):
     threading.Thread(target=server.serve_forever, daemon=True).start()
     url = f"http://127.0.0.1:{server.server_port}"
     try:
-        assert web.fetch(f"{url}/a").startswith("café �x")
-        assert web.download(f"{url}/a", str(tmp_path / "f")) == 100_007 == (tmp_path / "f").stat().st_size
-        rows = web.fetch_pages(spark.createDataFrame([(f"{url}/a",), (f"{url}/b",), (None,)], "url string")).collect()
-        assert sorted((r.html is not None, r.error is not None) for r in rows) == [(False, True), (False, True), (True, False)]
+        asked = spark.createDataFrame([(f"{url}/a",), (f"{url}/a",), (f"{url}/b",), ("no address",), (None,)], "url string")
+        parts = web.answers(asked, part_bytes=30_000, hosts=2).cache()
+        assert sorted((r.part, len(r.body)) for r in parts.where(F.col("url").endswith("/a")).collect()) == [(0, 30_000), (1, 30_000), (2, 30_000), (3, 10_007)]
+        assert sorted((r.url[-2:], r.status, r.body is None) for r in parts.where("error is not null").collect()) == [("/b", 404, True), ("ss", None, True)]
+        html = {r.url[-2:]: r.html for r in web.pages(parts).collect()}
+        assert html["/a"].startswith("café \ufffdx") and html["/b"] is None and html["ss"] is None
+        files.write_files(web.files(parts), str(tmp_path / "landed"))
+        assert [f.stat().st_size for f in (tmp_path / "landed").iterdir()] == [100_007]
     finally:
         server.shutdown()
 
