@@ -215,7 +215,7 @@ def test_packed_numbers_hold_every_id(spark):
     df = spark.createDataFrame([(c, i) for c in (0, 5, 2**31 - 1) for i in ids], "chars int, doc_id long")
     rows = df.withColumn("p", exact_dedup.packed(F.col("chars"), F.col("doc_id"))).withColumn("i", exact_dedup.packed_id(F.col("p"))).collect()
     assert all(r.i == r.doc_id for r in rows)
-    order = [(r.chars, r.doc_id) for r in sorted(rows, key=lambda r: -r.p)]
+    order = [(r.chars, r.doc_id) for r in sorted(rows, key=lambda r: r.p, reverse=True)]
     assert order == sorted(order, key=lambda x: (-x[0], x[1] is None, x[1] or 0))
 
 
