@@ -589,7 +589,8 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80, count_link
     count as each other's links only where their cluster has another id.
 
     A null text is empty, and an empty one links with nothing. A null id links with nothing, its component is
-    null. Rows that repeat an id are one node with the links of each. An empty table gives no rows.
+    null. Rows that repeat an id are one node with the links of each. Very long texts are compared whole, an empty table gives no rows, and
+    columns besides doc_id and text are left out, whatever their names.
     """
     with arrow_rows(docs.sparkSession, 2_000):  # all that passes through Python is written before this ends
         return _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width, percent, count_links)

@@ -93,7 +93,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, *, containme
 
     Everything happens within the row: no shuffle, whatever a source or a line's share of the rows. The
     templates are a parameter, and become literals. A null text has no licenses; templates need
-    five words. Repeated rows get equal results; a column named ``licenses`` is replaced.
+    five words. Texts are read whole, very long ones too; an empty table gives no rows. Repeated rows get equal results; a column
+    named ``licenses`` is replaced.
     """
     bands = index(docs.sparkSession, templates)
     tokens = {k: _template_shingles(v) for k, v in templates.items()}

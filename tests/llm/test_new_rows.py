@@ -227,3 +227,30 @@ def test_contents_are_combined_before_any_shuffle(spark):
     assert [(r["size"],) for r in found.collect()] == [(1000,)]
     winners = found.inputFiles()
     assert 1 <= spark.read.parquet(*winners).count() <= 2
+
+
+def test_repeated_and_very_long_rows_of_the_earlier_operators(spark):
+    """Repeated rows come out alike and as often as they went in, very long ones whole."""
+    from clipwise.llm import licenses, lm, mixing, pii, url_rules
+
+    notice = licenses.TEMPLATES["GPL-3.0"]
+    long = "word " * 60_000 + notice + " a@b.de"
+    docs = spark.createDataFrame([(1, notice), (1, notice), (1, notice), (2, long), (3, None)], "doc_id long, text string")
+    found = licenses.scan(docs).collect()
+    assert [r.doc_id for r in found].count(1) == 3 and len({str(r) for r in found if r.doc_id == 1}) == 1
+    assert [x.license for r in found if r.doc_id == 2 for x in r.licenses] == [x.license for r in found if r.doc_id == 1 for x in r.licenses][:1]
+
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert [tuple(s) for s in spans[2]][-1] == ("email", len(long) - 6, len(long)) and spans[3] == []
+
+    scored = lm.score_texts(docs, F.lit(False)).collect()
+    by_id = {i: {(r.n_tokens, r.n_known, r.base_score, r.score) for r in scored if r.doc_id == i} for i in (1, 2, 3)}
+    assert len(scored) == 5 and len(by_id[1]) == 1 and next(iter(by_id[2]))[:2] == (len(long.split()) + 1,) * 2 and next(iter(by_id[3]))[0] == 1
+
+    mixed = mixing.mix(docs.withColumn("source", F.lit("s"))).collect()
+    assert sorted(r["size"] for r in mixed) == sorted([len(notice.split())] * 3 + [len(long.split()), 0])
+
+    far = "http://a.Example.com/en/" + "x/" * 50_000
+    pages = spark.createDataFrame([(1, far), (1, far), (2, "http://b.net/fr/" + "y" * 100_000)], "page_id long, url string")
+    judged = url_rules.judge(pages, spark.createDataFrame([], "page_id long, label string")).collect()
+    assert sorted((r.page_id, r.host, r.rule, r.verdict) for r in judged) == [(1, "a.example.com", "example.com/en/", "block")] * 2 + [(2, "b.net", "net/fr/", "block")]
