@@ -256,14 +256,36 @@ def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: boo
     return out
 
 
-def _stars(signed: DataFrame) -> DataFrame:
-    """Pairs a, b of a signature's smallest set and each other one, from a written table of sig and node.
+def _combined(sigs: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    """Rows sig, node and lead of a batch's signatures: its first set with each one (lead null), and once each other set with that first one as its lead.
 
-    A signature that most sets share would be one task's. Minima are combined within the tasks first and written, so that the
-    sets meet them in a join of two plain shuffles, which AQE splits.
+    Only firsts have to meet across batches; the others are dealt by their own number, so a signature that most sets share isn't one task's.
     """
-    low = signed.groupBy("sig").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top").select("sig", "b")
-    return signed.join(materialize(low, "star-centres"), "sig").where("node <> b").select(F.col("node").alias("a"), "b")
+    _, first, of = np.unique(sigs, return_index=True, return_inverse=True)
+    leads = nodes[first][of]
+    pairs = np.unique(np.stack([nodes, leads], axis=1)[nodes != leads], axis=0) if len(nodes) else np.empty((0, 2), np.int64)
+    known = np.concatenate([np.zeros(len(first), bool), np.ones(len(pairs), bool)])
+    lead = pa.array(np.concatenate([nodes[first], pairs[:, 1]]), mask=~known)
+    return pa.record_batch([pa.array(np.concatenate([sigs[first], pairs[:, 0]])), pa.array(np.concatenate([nodes[first], pairs[:, 0]])), lead], ["sig", "node", "lead"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by signature: pairs of the first set with a signature and each other one, and of sets with the leads that they have."""
+    sig, leader = None, 0
+    for batch in batches:
+        led = batch.filter(batch.column("lead").is_valid())
+        if led.num_rows:
+            yield pa.record_batch([led.column("lead"), led.column("node")], ["a", "b"])
+        batch = batch.filter(batch.column("lead").is_null())
+        if not batch.num_rows:
+            continue
+        s, node = batch.column("sig").to_numpy(), batch.column("node").to_numpy()
+        new = np.append(s[0] != sig, s[1:] != s[:-1]) if sig is not None else np.append(True, s[1:] != s[:-1])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
+        first = np.where(at >= 0, node[np.maximum(at, 0)], leader)
+        sig, leader = s[-1], first[-1]
+        pairs = np.unique(np.stack([first, node], axis=1)[~new & (first != node)], axis=0)
+        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -294,14 +316,14 @@ def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            for a in range(0, len(ids), 500):
-                sigs = [signatures(shingles(t.as_py(), width, hashes)) for t in batch.column("text")[a : a + 500]]
-                nodes = np.repeat(ids[a : a + 500], list(map(len, sigs)))
-                yield pa.record_batch([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(nodes)], ["sig", "node"])
-
-    signed = materialize(docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long"), "signatures")
-    clusters = connected_components(_stars(signed).distinct(), "candidates")
+            if batch.num_rows:
+                sigs = [signatures(shingles(t.as_py(), width, hashes)) for t in batch.column("text")]
+                nodes = np.repeat(batch.column("doc_id").to_numpy(), list(map(len, sigs)))
+                yield _combined(np.concatenate(sigs).view(np.int64), nodes)
+
+    signed = docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long, lead long")
+    stars = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(_stars, "a long, b long")
+    clusters = connected_components(stars.distinct(), "candidates")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()

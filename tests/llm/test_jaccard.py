@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from clipwise.llm import jaccard as J
 
 SCHEMA = "doc_id long, text string, component_id string"
@@ -219,7 +220,24 @@ def test_tile_counts_are_those_of_all_pairs():
             assert J.tile_counts(sets, copies, side, whole, 90).tolist() == want.tolist()
 
 
-def test_stars_join_the_sets_of_a_signature(spark):
-    rows = [(7, i) for i in range(300)] + [(8, 5), (8, 900), (9, 901)]
-    df = spark.createDataFrame(rows, "sig long, node long").repartition(4)
-    assert sorted(map(tuple, J._stars(df).collect())) == sorted([(i, 0) for i in range(1, 300)] + [(900, 5)])
+def test_stars_join_the_sets_of_a_signature():
+    """Sets of one signature are connected, few of them meet across batches, and nothing else is connected."""
+    rnd = random.Random(8)
+    rows = [(7, i) for i in range(300)] + [(8, 5), (8, 900), (9, 901), (901, 902), (901, 903)]
+    rnd.shuffle(rows)
+    parts = [rows[a : a + 100] for a in range(0, len(rows), 100)]
+    batches = [J._combined(np.array([s for s, _ in p]), np.array([n for _, n in p])) for p in parts]
+    whole = pa.Table.from_batches(batches).sort_by("sig")
+    assert sum(1 for r in whole.to_pylist() if r["sig"] == 7 and r["lead"] is None) <= len(parts)
+    edges = [(r["a"], r["b"]) for b in J._stars(iter(whole.to_batches(max_chunksize=37))) for r in b.to_pylist()]
+    root = {n: n for _, n in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    groups = {}
+    for n in root:
+        groups.setdefault(find(n), set()).add(n)
+    assert sorted(map(sorted, groups.values())) == sorted([sorted({*range(300), 900}), [901], [902, 903]])
