@@ -7,6 +7,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import written
+
 #: Diacritics of transliterated Sanskrit and typographic marks, with the ASCII they become.
 ASCII_OF = {
     "ā": "a", "Ā": "A", "ī": "i", "Ī": "I", "ū": "u", "Ū": "U", "ē": "e", "Ē": "E", "ō": "o", "Ō": "O",
@@ -200,7 +202,7 @@ def reasons(*rules: tuple[Column, Column]) -> Column:
 
 def with_value(code: str, value: Column, places: int = 2) -> Column:
     """``code(value)``, as reports write it."""
-    return F.format_string(f"{code}(%.{places}f)", value.cast("double"))
+    return written(f"{code}(%s)", value, places)
 
 
 def status(reasons_: Column) -> Column:

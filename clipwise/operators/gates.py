@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
+from clipwise.functions.numbers import rounded, written
 
 from .tables import materialize
 
@@ -183,10 +184,10 @@ def production_reasons(bounds: Mapping[str, float] = PRODUCTION, *, backbone: bo
 def borderline() -> Column:
     """Which conditions of the AUTO-KEEP gate a clip breaks, with their values."""
     return T.reasons(
-        (F.col("cer_core") > 0.80, F.format_string("cer_core=%.2f", "cer_core")),
-        (F.col("align_min") < -45.0, F.format_string("align_min=%.1f", "align_min")),
-        (F.abs("load") > 0.40, F.format_string("sload=%.2f", "load")),
-        (~F.col("dur").between(4.0, 20.0), F.format_string("dur=%.1f", "dur")),
+        (F.col("cer_core") > 0.80, written("cer_core=%s", "cer_core")),
+        (F.col("align_min") < -45.0, written("align_min=%s", "align_min", 1)),
+        (F.abs("load") > 0.40, written("sload=%s", "load")),
+        (~F.col("dur").between(4.0, 20.0), written("dur=%s", "dur", 1)),
     )
 
 
@@ -214,7 +215,7 @@ def candidates(df: DataFrame, metrics: list[str], shares: tuple[float, ...] = SH
     long = unpivoted(df, metrics, cut)
     wide = floor_percentile(long, "x", shares, "metric")
     each = F.explode(F.array(*[c for c in wide.columns if c != "metric"])).alias("x")
-    return wide.select("metric", each).select("metric", F.round("x", 4).alias("threshold")).distinct()
+    return wide.select("metric", each).select("metric", rounded("x", 4).alias("threshold")).distinct()
 
 
 def atoms(df: DataFrame, metrics: list[str], least: int = 3, most: int = 70, cut: str = "is_cut") -> DataFrame:

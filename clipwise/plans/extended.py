@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwise.functions import clips
+from clipwise.functions.numbers import rounded
 from clipwise.operators import factors, quarantine, selection, sentences
 from clipwise.streaming.resumable import resume
 from clipwise.streaming.windows import EVENTS
@@ -47,7 +48,7 @@ def sentence_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = docs.where("lang = 'en'").select("doc_id", F.explode(words).alias("word")).distinct().groupBy("word").count().where("count >= 5")
     found = sentences.foreign_runs(sentences.split_sentences(docs), lexicon, keys=("doc_id", "nr"))
     sides = F.col("f"), F.col("r"), F.col("cited")
-    return found.select("doc_id", "nr", F.round("f", 6).alias("f"), "r", sentences.kind(*sides).alias("kind"), sentences.reason(*sides).alias("reason"))
+    return found.select("doc_id", "nr", rounded("f", 6).alias("f"), "r", sentences.kind(*sides).alias("kind"), sentences.reason(*sides).alias("reason"))
 
 
 def _talk(lecture: pd.DataFrame) -> pd.DataFrame:
@@ -68,7 +69,7 @@ def lecture_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each lecture's talk, or why it was set aside."""
     done = quarantine.isolated(turns(spark, sf_dir), ["lecture"], _talk, "n bigint, talk double")
     out = selection.union_all(done.results, done.flagged.select("lecture", "reason"))
-    return out.select("lecture", "n", F.round("talk", 4).alias("talk"), "reason")
+    return out.select("lecture", "n", rounded("talk", 4).alias("talk"), "reason")
 
 
 def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,7 @@ def factor_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, ratings, ridge in (("parts", _ratings(spark, sf_dir), 1.0), ("vectors", cells, 0.05)):
         held = F.pmod(F.xxhash64("user", "item"), F.lit(10)) == 0
         model = factors.fit(ratings.where(~held), ridge=ridge)
-        out.append(factors.errors(ratings.where(held), model).select(F.lit(name).alias("table"), "n", F.round("bias_rmse", 3).alias("bias_rmse"), F.round("factor_rmse", 3).alias("factor_rmse")))
+        out.append(factors.errors(ratings.where(held), model).select(F.lit(name).alias("table"), "n", rounded("bias_rmse", 3).alias("bias_rmse"), rounded("factor_rmse", 3).alias("factor_rmse")))
     return selection.union_all(*out)
 
 
@@ -96,7 +97,7 @@ b AS (SELECT l_partkey AS item, round(sum(rating - (SELECT avg(rating) FROM r))
 @query("part_biases", f"{_BIAS} (SELECT 'top' AS side, item, bias FROM b ORDER BY bias DESC, item LIMIT 5) UNION ALL (SELECT 'bottom', item, bias FROM b ORDER BY bias, item LIMIT 5)")
 def part_biases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts with the five highest and lowest biases of the fitted model."""
-    items = factors.fit(_ratings(spark, sf_dir), rank=2, rounds=2).items.select("item", F.round("bi", 6).alias("bias"))
+    items = factors.fit(_ratings(spark, sf_dir), rank=2, rounds=2).items.select("item", rounded("bi", 6).alias("bias"))
     side = lambda name, *order: selection.top(items, 5, *order).select(F.lit(name).alias("side"), "item", "bias")
     return selection.union_all(side("top", F.desc("bias"), "item"), side("bottom", "bias", "item"))
 

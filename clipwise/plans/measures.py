@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
 from clipwise.functions import vectors as V
+from clipwise.functions.numbers import rounded
 from clipwise.operators import experiments, gates, review, sampling
 
 from .base import hinted, query, table
@@ -26,7 +27,7 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def centroid_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)
     own = V.centroid(vectors, "x", "label")
-    return vectors.join(hinted(own), "label").select("vec_id", "label", F.round(V.cosine(F.col("x"), F.col("centroid")), 6).alias("cos"))
+    return vectors.join(hinted(own), "label").select("vec_id", "label", rounded(V.cosine(F.col("x"), F.col("centroid")), 6).alias("cos"))
 
 
 @query(
@@ -50,7 +51,7 @@ def cluster_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     c1, c2 = F.col("r")[0]["cos"], F.coalesce(F.get("r", F.lit(1))["cos"], F.lit(0.0))
     winner = -F.col("r")[0]["neg"]
     flags = T.reasons((c1 < 0.4, F.lit("low_cosine")), (c1 - c2 < 0.1, F.lit("low_margin")), (winner != F.col("label"), F.lit("cosine!=label")))
-    return ranked.select("label", winner.alias("winner"), F.round(c1, 6).alias("cos"), F.round(c1 - c2, 6).alias("margin"), F.array_join(flags, ";").alias("flags"))
+    return ranked.select("label", winner.alias("winner"), rounded(c1, 6).alias("cos"), rounded(c1 - c2, 6).alias("margin"), F.array_join(flags, ";").alias("flags"))
 
 
 @query(
@@ -63,7 +64,7 @@ def nearest_neighbour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest other vector of every vector whose id is divisible by 20, over all rows."""
     v = _vectors(spark, sf_dir).select("vec_id", "x")
     found = V.nearest(v, v.where("vec_id % 20 = 0"), "vec_id", "x")
-    return found.select(F.col("query").alias("vec_id"), "neighbour", F.round("cos", 6).alias("cos"))
+    return found.select(F.col("query").alias("vec_id"), "neighbour", rounded("cos", 6).alias("cos"))
 
 
 _LABELLED = """l AS (SELECT d.doc_id, d.source, d.lang, CAST(d.n_chars AS DOUBLE) AS chars, CAST(length(d.text) AS DOUBLE) AS n, CAST(len(regexp_extract_all(d.text, '[.?!]')) AS DOUBLE) AS stops,
@@ -81,7 +82,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").cast("double").alias("chars"),
         n.cast("double").alias("n"),
         F.size(F.regexp_extract_all("text", F.lit("[.?!]"), F.lit(0))).cast("double").alias("stops"),
-        F.round(F.length(F.regexp_replace("text", "[^ ]", "")) / F.greatest(n, F.lit(1)).cast("double"), 6).alias("blanks"),
+        rounded(F.length(F.regexp_replace("text", "[^ ]", "")) / F.greatest(n, F.lit(1)).cast("double"), 6).alias("blanks"),
     )
     return measured.join(table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).alias("is_cut")), "doc_id")
 
@@ -95,7 +96,7 @@ SELECT is_cut, round(quantile_cont(n, 0.1), 6) AS lin10, round(median(n), 6) AS
 def metric_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = _labelled(spark, sf_dir)
     linear = gates.linear_percentile(l, "n", {"lin10": 0.1, "mid": 0.5, "lin90": 0.9}, "is_cut")
-    linear = linear.withColumns({c: F.round(c, 6) for c in ("lin10", "mid", "lin90")})
+    linear = linear.withColumns({c: rounded(c, 6) for c in ("lin10", "mid", "lin90")})
     return linear.join(gates.floor_percentile(l, "n", (0.1, 0.5), "is_cut"), "is_cut")
 
 
@@ -150,7 +151,7 @@ _CONF = " UNION ALL ".join(
 
 @query("gate_confusion", f"WITH {_LABELLED} {_CONF}")
 def gate_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.confusion(_labelled(spark, sf_dir), _GATES).withColumn("yield", F.round("yield", 6))
+    return gates.confusion(_labelled(spark, sf_dir), _GATES).withColumn("yield", rounded("yield", 6))
 
 
 @query("class_gap", f"WITH {_LABELLED} SELECT max(CASE WHEN NOT is_cut THEN blanks END) AS max_keep, min(CASE WHEN is_cut THEN blanks END) AS min_cut FROM l")
@@ -161,19 +162,19 @@ def class_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("yield_projection", f"WITH {_LABELLED}, c AS (SELECT count(*) FILTER (WHERE blanks >= 0.12) AS k, count(*) AS n FROM l) SELECT round(k / CAST(n AS DOUBLE), 6) AS share, CAST(ceil(10000 / (k / CAST(n AS DOUBLE))) AS BIGINT) AS needed FROM c")
 def yield_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = _labelled(spark, sf_dir).agg(F.count_if(F.col("blanks") >= 0.12).alias("k"), F.count("*").alias("n"))
-    return one.select(gates.projection(F.col("k"), F.col("n"), 10000).alias("p")).select(F.round("p.share", 6).alias("share"), "p.needed")
+    return one.select(gates.projection(F.col("k"), F.col("n"), 10000).alias("p")).select(rounded("p.share", 6).alias("share"), "p.needed")
 
 
 @query("ckpt_summary", "SELECT o_orderpriority AS ckpt, o_orderstatus AS cond, round(avg(o_totalprice), 4) AS mean, round(stddev_pop(o_totalprice), 4) AS std, count(o_totalprice) AS n FROM orders GROUP BY 1, 2")
 def ckpt_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("ckpt"), F.col("o_orderstatus").alias("cond"), "o_totalprice")
-    return experiments.summary(facts, "o_totalprice", "ckpt", "cond").withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
+    return experiments.summary(facts, "o_totalprice", "ckpt", "cond").withColumns({"mean": rounded("mean", 4), "std": rounded("std", 4)})
 
 
 @query("ckpt_pivot", """SELECT o_orderpriority AS ckpt, round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 4) AS "F", round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 4) AS "O", round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 4) AS "P" FROM orders GROUP BY 1""")
 def ckpt_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = experiments.pivoted(table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "ckpt"), "o_totalprice", "ckpt", "o_orderstatus", ["F", "O", "P"])
-    return wide.select("ckpt", *[F.round(c, 4).alias(c) for c in ("F", "O", "P")])
+    return wide.select("ckpt", *[rounded(c, 4).alias(c) for c in ("F", "O", "P")])
 
 
 _CELL = "c AS (SELECT l_returnflag AS grp, l_linenumber AS step, avg(l_extendedprice) AS mean FROM lineitem GROUP BY 1, 2)"
@@ -185,13 +186,13 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("best_per_group", f"WITH {_CELL} SELECT grp, step, round(mean, 4) AS mean FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY mean DESC, step) AS k FROM c) WHERE k = 1")
 def best_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return experiments.best_per_group(_cells(spark, sf_dir), "grp", "mean", "step").withColumn("mean", F.round("mean", 4))
+    return experiments.best_per_group(_cells(spark, sf_dir), "grp", "mean", "step").withColumn("mean", rounded("mean", 4))
 
 
 @query("curve_slope", f"WITH {_CELL}, d AS (SELECT *, mean - lag(mean) OVER (PARTITION BY grp ORDER BY step) AS delta FROM c) SELECT grp, step, round(mean, 4) AS mean, round(delta, 4) AS delta, coalesce(delta > 0.01, FALSE) AS rising FROM d")
 def curve_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = experiments.slopes(_cells(spark, sf_dir), "mean", "step", keys=("grp",))
-    return found.withColumns({"mean": F.round("mean", 4), "delta": F.round("delta", 4)})
+    return found.withColumns({"mean": rounded("mean", 4), "delta": rounded("delta", 4)})
 
 
 _PAIRED = "p AS (SELECT a.l_returnflag AS grp, b.l_discount - a.l_discount AS d FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1)"
@@ -205,7 +206,7 @@ def _paired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("paired_delta_buckets", f"WITH {_PAIRED} SELECT grp, count(*) FILTER (WHERE d < -0.05) AS worse, count(*) FILTER (WHERE d >= -0.05 AND d < -0.02) AS slightly_worse, count(*) FILTER (WHERE d >= -0.02) AS kept, count(*) FILTER (WHERE d >= 0) AS better, round(avg(d), 8) AS mean_delta FROM p GROUP BY grp")
 def paired_delta_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return experiments.delta_buckets(_paired(spark, sf_dir), "d", "grp").withColumn("mean_delta", F.round("mean_delta", 8))
+    return experiments.delta_buckets(_paired(spark, sf_dir), "d", "grp").withColumn("mean_delta", rounded("mean_delta", 8))
 
 
 @query("favoured_side", f"WITH {_PAIRED} SELECT CASE WHEN d > 0.01 THEN 'a' WHEN d < -0.01 THEN 'b' ELSE 'tie' END AS side, count(*) AS n FROM p GROUP BY 1")
@@ -291,19 +292,19 @@ def review_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("blind_ratings", "SELECT event_type AS identity, round(avg(CASE WHEN k > 0 THEN k END), 6) AS mean_rating, count(CASE WHEN k > 0 THEN 1 END) AS n_rated FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) % 6 AS k FROM events) GROUP BY 1")
 def blind_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = table(spark, sf_dir, "events").select(F.col("event_type").alias("identity"), (F.get_json_object("props", "$.k").cast("bigint") % 6).alias("rating"))
-    return review.ratings(rated, "identity").withColumn("mean_rating", F.round("mean_rating", 6))
+    return review.ratings(rated, "identity").withColumn("mean_rating", rounded("mean_rating", 6))
 
 
 @query("abx_accuracy", "SELECT user_id % 10 AS listener, round(avg(CASE WHEN event_type <> 'error' THEN CAST(value > 30 AS INTEGER) END), 6) AS accuracy, count(CASE WHEN event_type <> 'error' THEN 1 END) AS n_answered, coalesce(avg(CASE WHEN event_type <> 'error' THEN CAST(value > 30 AS INTEGER) END) < 0.65, TRUE) AS at_chance FROM events GROUP BY 1")
 def abx_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = table(spark, sf_dir, "events").select((F.col("user_id") % 10).alias("listener"), F.when(F.col("event_type") != "error", F.col("value") > 30).alias("correct"))
-    return review.abx(answered, "listener").withColumn("accuracy", F.round("accuracy", 6))
+    return review.abx(answered, "listener").withColumn("accuracy", rounded("accuracy", 6))
 
 
 @query("recommended_identity", "WITH m AS (SELECT o_orderpriority AS identity, avg(o_totalprice) AS r FROM orders GROUP BY 1), b AS (SELECT arg_max(identity, row(r, identity)) AS identity, max(r) AS r FROM m WHERE identity <> '1-URGENT') SELECT b.identity, round(b.r, 4) AS mean_rating, coalesce((SELECT r FROM m WHERE identity = '1-URGENT') >= b.r - 0.25, FALSE) AS warn FROM b")
 def recommended_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("identity")).agg(F.avg("o_totalprice").alias("mean_rating"))
-    return review.recommended(means, "1-URGENT").withColumn("mean_rating", F.round("mean_rating", 4))
+    return review.recommended(means, "1-URGENT").withColumn("mean_rating", rounded("mean_rating", 4))
 
 
 @query("answer_key", "SELECT r_regionkey AS test, slot, r_name || '-' || slot AS identity FROM region, (SELECT unnest(['a', 'b', 'c']) AS slot)")
@@ -315,14 +316,14 @@ def answer_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("top_customers", "SELECT o_custkey, n, total FROM (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total, row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS k FROM orders GROUP BY 1) WHERE k <= 1000")
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    counts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), rounded(F.sum("o_totalprice"), 2).alias("total"))
     return counts.orderBy(F.desc("n"), "o_custkey").limit(1000)
 
 
 @query("crosstab", """SELECT n_name, count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS automobile, count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS building, round(avg(c_acctbal), 4) AS balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
 def crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "customer").join(hinted(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.groupBy("n_name").agg(F.count_if(F.col("c_mktsegment") == "AUTOMOBILE").alias("automobile"), F.count_if(F.col("c_mktsegment") == "BUILDING").alias("building"), F.round(F.avg("c_acctbal"), 4).alias("balance"))
+    return joined.groupBy("n_name").agg(F.count_if(F.col("c_mktsegment") == "AUTOMOBILE").alias("automobile"), F.count_if(F.col("c_mktsegment") == "BUILDING").alias("building"), rounded(F.avg("c_acctbal"), 4).alias("balance"))
 
 
 @query("confusion_matrix", "SELECT quality AS actual, CAST(n_chars >= 1000 AS INTEGER) AS predicted, count(*) AS n FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
+from clipwise.functions.numbers import rounded
 from clipwise.operators import experiments, gates, review, sampling, selection
 
 from .base import query, table
@@ -154,7 +155,7 @@ def borderline_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_list_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = T.tokens(F.col("text"))
     rows = clips(spark, sf_dir).select("clip", ts.alias("ts"))
-    return rows.select("clip", (F.array_contains("ts", "the") & F.array_contains("ts", "of")).alias("both"), F.round(T.share_of(F.col("ts"), LEXICON), 6).alias("english"))
+    return rows.select("clip", (F.array_contains("ts", "the") & F.array_contains("ts", "of")).alias("both"), rounded(T.share_of(F.col("ts"), LEXICON), 6).alias("english"))
 
 
 _BATTERY = " UNION ALL ".join(
@@ -168,7 +169,7 @@ _LAB = f"{CLIPS_SQL}, lab AS (SELECT * FROM clips WHERE is_cut IS NOT NULL)"
 @query("gate_battery", f"WITH {_LAB} {_BATTERY}")
 def gate_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixed gates, recommended and strict ones among them, in one pass over a report."""
-    return gates.confusion(_labelled(spark, sf_dir), gates.BATTERY).withColumn("yield", F.round("yield", 6))
+    return gates.confusion(_labelled(spark, sf_dir), gates.BATTERY).withColumn("yield", rounded("yield", 6))
 
 
 _IDS = " UNION ALL ".join(
@@ -265,7 +266,7 @@ def fail_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("worst_rate", f"WITH {CLIPS_SQL}, t AS (SELECT clip, CASE WHEN dur > 0 THEN length(text) / dur ELSE 0.0 END AS rate FROM clips ORDER BY rate, clip LIMIT 6) SELECT clip, round(rate, 6) AS rate, CAST(row_number() OVER (ORDER BY rate, clip) AS INTEGER) AS place FROM t")
 def worst_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clips(spark, sf_dir).select("clip", F.coalesce(F.try_divide(F.length("text"), F.col("dur")), F.lit(0.0)).alias("rate"))
-    return selection.top(rows, 6, "rate", "clip").withColumn("rate", F.round("rate", 6))
+    return selection.top(rows, 6, "rate", "clip").withColumn("rate", rounded("rate", 6))
 
 
 @query("longest_prompt", f"WITH {CLIPS_SQL} SELECT clip, length(text) AS n FROM clips ORDER BY n DESC, audio LIMIT 1")
@@ -293,7 +294,7 @@ def positional_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("paired_by_name", f"WITH {CLIPS_SQL}, a AS (SELECT regexp_extract(audio, '([^/]+)$', 1) AS name, cer_core FROM clips WHERE clip % 2 = 0), b AS (SELECT regexp_extract(audio, '([^/]+)$', 1) AS name, load FROM clips WHERE clip % 3 = 0) SELECT name, round(load - cer_core, 6) AS delta FROM a JOIN b USING (name)")
 def paired_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clips(spark, sf_dir).withColumn("name", T.basename(F.col("audio")))
-    return rows.where("clip % 2 = 0").select("name", "cer_core").join(rows.where("clip % 3 = 0").select("name", "load"), "name").select("name", F.round(F.col("load") - F.col("cer_core"), 6).alias("delta"))
+    return rows.where("clip % 2 = 0").select("name", "cer_core").join(rows.where("clip % 3 = 0").select("name", "load"), "name").select("name", rounded(F.col("load") - F.col("cer_core"), 6).alias("delta"))
 
 
 @query("sentence_registry", f"WITH {CLIPS_SQL} SELECT c.clip, coalesce(l.quality = 1, FALSE) AS seen, l.toxic AS real FROM clips c LEFT JOIN labels l ON l.doc_id = c.clip")
@@ -425,19 +426,19 @@ def score_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three variants of a score side by side by checkpoint and condition."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("ckpt"), F.col("o_orderstatus").alias("cond"), "o_totalprice", (F.col("o_orderkey") % 3).alias("k"))
     wide = experiments.side_by_side({"orig": o.where("k = 0"), "dn": o.where("k = 1"), "own": o.where("k = 2 and cond <> 'P'")}, "o_totalprice", "ckpt", "cond")
-    return wide.withColumns({c: F.round(c, 4) for c in wide.columns if c.endswith(("_mean", "_std"))})
+    return wide.withColumns({c: rounded(c, 4) for c in wide.columns if c.endswith(("_mean", "_std"))})
 
 
 @query("paired_means", "SELECT l_returnflag AS grp, round(avg(l_discount), 6) AS mean_a, round(avg(l_tax), 6) AS mean_b, round(avg(l_tax - l_discount), 6) AS mean_delta, count(*) AS n FROM lineitem GROUP BY 1")
 def paired_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = experiments.paired_means(table(spark, sf_dir, "lineitem").withColumnRenamed("l_returnflag", "grp"), "l_discount", "l_tax", "grp")
-    return found.withColumns({c: F.round(c, 6) for c in ("mean_a", "mean_b", "mean_delta")})
+    return found.withColumns({c: rounded(c, 6) for c in ("mean_a", "mean_b", "mean_delta")})
 
 
 @query("most_negative", "WITH t AS (SELECT l_orderkey, l_linenumber, l_tax - l_discount AS delta FROM lineitem ORDER BY delta, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20) SELECT l_orderkey, l_linenumber, round(delta, 6) AS delta FROM t")
 def most_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").withColumn("delta", F.col("l_tax") - F.col("l_discount"))
-    return selection.first_rows(rows, 20, "delta", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select("l_orderkey", "l_linenumber", F.round("delta", 6).alias("delta"))
+    return selection.first_rows(rows, 20, "delta", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select("l_orderkey", "l_linenumber", rounded("delta", 6).alias("delta"))
 
 
 _MEANS = "m AS (SELECT o_custkey % 40 AS k, avg(CASE WHEN o_custkey % 40 <> 7 THEN o_totalprice END) AS mean, CASE WHEN o_custkey % 40 % 5 = 0 THEN 'dn' ELSE CAST(o_custkey % 40 AS VARCHAR) END AS ckpt FROM orders GROUP BY 1, 3)"
@@ -447,7 +448,7 @@ _MEANS = "m AS (SELECT o_custkey % 40 AS k, avg(CASE WHEN o_custkey % 40 <> 7 TH
 def ranked_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups by mean, best first and unmeasured ones last: a table of one row a group."""
     m = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 40).alias("k")).agg(F.avg(F.when(F.col("o_custkey") % 40 != 7, F.col("o_totalprice"))).alias("mean"))
-    return selection.placed(m, F.desc_nulls_last("mean"), "k").withColumn("mean", F.round("mean", 4))
+    return selection.placed(m, F.desc_nulls_last("mean"), "k").withColumn("mean", rounded("mean", 4))
 
 
 @query("numeric_order", f"WITH {_MEANS} SELECT k, ckpt, CAST(row_number() OVER (ORDER BY coalesce(TRY_CAST(ckpt AS INTEGER), 999), k) AS INTEGER) AS place FROM m")
@@ -482,13 +483,13 @@ _SWEEP = [round(0.05 + 0.9 * i / 28, 6) for i in range(29)]
 def multilabel_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy at 29 thresholds in one pass."""
     rows = table(spark, sf_dir, "lineitem").select((F.col("l_discount") * 10).alias("score"), (F.col("l_returnflag") == "R").alias("truth"))
-    return experiments.accuracy_sweep(rows, "score", "truth", _SWEEP).withColumn("accuracy", F.round("accuracy", 8))
+    return experiments.accuracy_sweep(rows, "score", "truth", _SWEEP).withColumn("accuracy", rounded("accuracy", 8))
 
 
 @query("normalised_values", "SELECT l_orderkey, l_linenumber, l_partkey, round((l_quantity - avg(l_quantity) OVER w) / stddev_pop(l_quantity) OVER w, 6) AS z FROM lineitem WINDOW w AS (PARTITION BY l_returnflag)")
 def normalised_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity")
-    return experiments.normalised(rows, "l_quantity", "l_returnflag").select("l_orderkey", "l_linenumber", "l_partkey", F.round("z", 6).alias("z"))
+    return experiments.normalised(rows, "l_quantity", "l_returnflag").select("l_orderkey", "l_linenumber", "l_partkey", rounded("z", 6).alias("z"))
 
 
 @query(
@@ -501,4 +502,4 @@ def softmax_nll(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_discount") * 10).alias("a"), (F.col("l_tax") * 10).alias("b"), (F.col("l_quantity") / 50.0).alias("c"), (F.col("l_linenumber") % 3).alias("y")
     )
     scored = experiments.class_scores(rows, ["a", "b", "c"], "y")
-    return scored.select("l_orderkey", "l_linenumber", "l_partkey", F.round("nll", 6).alias("nll"), F.round(F.get("probabilities", F.lit(0)), 6).alias("p0"))
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", rounded("nll", 6).alias("nll"), rounded(F.get("probabilities", F.lit(0)), 6).alias("p0"))

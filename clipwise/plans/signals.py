@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipwise.functions.numbers import rounded
 from clipwise.functions.signal import clip_features, wav_bytes
 from clipwise.sources import audio, files
 from clipwise.streaming import merging
@@ -21,7 +22,7 @@ def clip_loudness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of clips, the values of a user standing for the samples of one."""
     samples = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "value"))), lambda s: s["value"] / 500)
     clips = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("clip")).agg(samples.alias("samples"))
-    return clip_features(clips).select("clip", *[F.round(c, 6).alias(c) for c in ("rms", "peak", "duration")])
+    return clip_features(clips).select("clip", *[rounded(c, 6).alias(c) for c in ("rms", "peak", "duration")])
 
 
 @query(
@@ -33,7 +34,7 @@ def windowed_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The closed windows of a stream over the table's files."""
     root = scratch(spark, "stream")
     out = stream_to_table(spark, sf_dir, f"{root}/out", f"{root}/state", names="events.parquet")
-    return out.withColumn("total", F.round("total", 4))
+    return out.withColumn("total", rounded("total", 4))
 
 
 @query(
@@ -54,7 +55,7 @@ def gap_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = events.select(F.col("user_id").alias("lecture"), F.col("event_id").alias("id"), F.col("event_type").alias("speaker"), ts.alias("start"), (ts + F.col("value") / F.lit(5.0)).alias("end"), as_utc(F.col("ts")).alias("ts"))
     root = scratch(spark, "merging")
     out = merging.merge_to_table(spark, stream, f"{root}/out", f"{root}/state", "view", 6.0, second=1 / 3600, origin=1704067200.0)
-    return out.select("lecture", "iv", F.round("start", 6).alias("s"), F.round("end", 6).alias("e"))
+    return out.select("lecture", "iv", rounded("start", 6).alias("s"), rounded("end", 6).alias("e"))
 
 
 def _wavs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipwise.functions.numbers import rounded
 from clipwise.operators import spectra
 
 from .base import query, table
@@ -35,12 +36,12 @@ _SMALL = {"size": 16, "hop": 8}
 def clip_spectrogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spectra.spectrogram(_clips(spark, sf_dir), 16, 8, top=8000.0)
     bins = found.select("clip", "frame", F.posexplode("power").alias("bin", "db")).where("bin <= 5")
-    return bins.withColumn("db", F.round("db", 3) + 0.0)
+    return bins.withColumn("db", rounded("db", 3) + 0.0)
 
 
 @query("clip_mel", f"WITH {_FRAMES}, {_MEL} SELECT clip, CAST(frame AS INTEGER) AS frame, CAST(band AS INTEGER) AS band, round(db, 3) + 0.0 AS db FROM md")
 def clip_mel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spectra.mel(_clips(spark, sf_dir), 4, **_SMALL).select("clip", "frame", F.posexplode("mel").alias("band", "db")).withColumn("db", F.round("db", 3) + 0.0)
+    return spectra.mel(_clips(spark, sf_dir), 4, **_SMALL).select("clip", "frame", F.posexplode("mel").alias("band", "db")).withColumn("db", rounded("db", 3) + 0.0)
 
 
 @query(
@@ -49,7 +50,7 @@ def clip_mel(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def clip_cepstra(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spectra.cepstra(_clips(spark, sf_dir), 4, 4, **_SMALL).select("clip", "frame", F.posexplode("c").alias("c", "v"))
-    return found.select("clip", "frame", (F.col("c") + 1).alias("c"), (F.round("v", 3) + 0.0).alias("v"))
+    return found.select("clip", "frame", (F.col("c") + 1).alias("c"), (rounded("v", 3) + 0.0).alias("v"))
 
 
 @query(
@@ -60,7 +61,7 @@ SELECT voice, CAST(k AS INTEGER) AS bin, round(level - max(level) OVER (PARTITIO
 def voice_spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
     clips = _clips(spark, sf_dir)
     voices = table(spark, sf_dir, "events").select(F.col("user_id").alias("clip"), (F.col("user_id") % 5).alias("voice")).distinct()
-    return spectra.pooled(clips, voices, **_SMALL).withColumn("level", F.round("level", 4) + 0.0)
+    return spectra.pooled(clips, voices, **_SMALL).withColumn("level", rounded("level", 4) + 0.0)
 
 
 @query("cepstral_distances")
@@ -68,7 +69,7 @@ def cepstral_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each clip against the next; tested against plain loops."""
     clips = _clips(spark, sf_dir)
     pairs = clips.select(F.col("clip").alias("a"), (F.col("clip") + 1).alias("b")).join(clips.select(F.col("clip").alias("b")), "b", "left_semi")
-    return spectra.cepstral_distance(pairs, clips, n=8, mels=16, size=64, hop=16).select("a", "b", F.round("mcd", 4).alias("mcd"))
+    return spectra.cepstral_distance(pairs, clips, n=8, mels=16, size=64, hop=16).select("a", "b", rounded("mcd", 4).alias("mcd"))
 
 
 @query("pitch_distances")
@@ -77,7 +78,7 @@ def pitch_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     track = lambda kind: F.array_sort(F.collect_list(F.when(F.col("event_type") == kind, F.struct("event_id", F.when(F.col("value") >= 20, F.col("value")).alias("f")))))
     tracks = table(spark, sf_dir, "events").groupBy("user_id").agg(track("click").alias("a"), track("view").alias("b"))
     pitches = tracks.select("user_id", *[F.transform(c, lambda x: x["f"]).alias(c) for c in "ab"])
-    return spectra.pitch_distance(pitches).select("user_id", F.round("f0_rmse", 4).alias("f0_rmse"))
+    return spectra.pitch_distance(pitches).select("user_id", rounded("f0_rmse", 4).alias("f0_rmse"))
 
 
 @query(
@@ -90,7 +91,7 @@ SELECT clip, coalesce(c.n, 0) AS cut_n, c.total AS cut_total, least(q.b + 1 + 3,
 def cut_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two milliseconds of each clip, and how much of it is left without silence at its ends."""
     clips = _clips(spark, sf_dir).withColumn("c", spectra.cut(F.col("samples"), F.lit(0.0005), F.lit(0.0025)))
-    total = F.when(F.size("c") > 0, F.round(F.aggregate("c", F.lit(0.0), lambda a, x: a + x), 6))
+    total = F.when(F.size("c") > 0, rounded(F.aggregate("c", F.lit(0.0), lambda a, x: a + x), 6))
     trimmed = F.size(spectra.without_silence(F.col("samples"), threshold=-6.0, keep=3 / 16000))
     return clips.select("clip", F.size("c").cast("long").alias("cut_n"), total.alias("cut_total"), trimmed.cast("long").alias("trimmed_n"))
 
@@ -100,7 +101,7 @@ def joined_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with a pause after each: users by their number's last two digits, modulo 20."""
     parts = _clips(spark, sf_dir).select((F.col("clip") % 20).alias("to"), F.col("clip").alias("at"), "samples")
     files = spectra.joined(parts, "at", key="to")
-    return files.select(F.col("to").alias("clip"), F.size("samples").cast("long").alias("n"), F.round(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+    return files.select(F.col("to").alias("clip"), F.size("samples").cast("long").alias("n"), rounded(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 
 _REGIONS = [("low", 0.0, 60.0, 0.0, 60.0), ("mid", 40.0, 150.0, 0.0, 150.0), ("high", 100.0, 600.0, 0.0, 600.0)]
@@ -119,4 +120,4 @@ def vowel_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.lag("value").over(Window.partitionBy("user_id").orderBy("event_id"))
     frames = table(spark, sf_dir, "events").select(F.col("event_type").alias("voice"), F.col("value").alias("f1"), before.alias("f2"))
     regions = spark.createDataFrame(_REGIONS, "vowel string, f1_low double, f1_high double, f2_low double, f2_high double")
-    return spectra.vowel_space(frames, regions).select("voice", "vowel", "n", F.round("f1", 6).alias("f1"), F.round("f2", 6).alias("f2"))
+    return spectra.vowel_space(frames, regions).select("voice", "vowel", "n", rounded("f1", 6).alias("f1"), rounded("f2", 6).alias("f2"))

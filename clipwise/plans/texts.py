@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
+from clipwise.functions.numbers import rounded
 from clipwise.operators import gates, timeline
 from clipwise.sources.io import looks_like_header
 
@@ -65,7 +66,7 @@ def document_report(docs: DataFrame) -> DataFrame:
 
 @query("doc_gate_report", f"WITH {_REPORT_SQL} SELECT doc_id, words, round(wps, 4) AS wps, CASE WHEN reasons = '' THEN 'PASS' ELSE 'FAIL' END AS status, reasons FROM r")
 def doc_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_report(table(spark, sf_dir, "documents")).select("doc_id", "words", F.round("wps", 4).alias("wps"), "status", "reasons")
+    return document_report(table(spark, sf_dir, "documents")).select("doc_id", "words", rounded("wps", 4).alias("wps"), "status", "reasons")
 
 
 @query("gate_reason_histogram", f"WITH {_REPORT_SQL} SELECT split_part(x, '(', 1) AS reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ';')) AS x FROM r) WHERE x <> '' GROUP BY 1")
@@ -99,7 +100,7 @@ SELECT doc_id, len(ts) AS n_tokens, round(CASE WHEN len(ts) > 0 THEN len(list_fi
 )
 def english_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("ts"))
-    return docs.select("doc_id", F.size("ts").cast("long").alias("n_tokens"), F.round(T.share_of(F.col("ts"), LEXICON), 6).alias("english"))
+    return docs.select("doc_id", F.size("ts").cast("long").alias("n_tokens"), rounded(T.share_of(F.col("ts"), LEXICON), 6).alias("english"))
 
 
 @query(
@@ -112,8 +113,8 @@ def token_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("text")
     return table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.round(T.pattern_ratio(c, "[A-Za-z]+", "[A-Za-z]+'[A-Za-z]+"), 6).alias("apostrophes"),
-        F.round(T.pattern_ratio(c, "[A-Za-z]+", "[A-Za-z]+-[A-Za-z]+"), 6).alias("hyphens"),
+        rounded(T.pattern_ratio(c, "[A-Za-z]+", "[A-Za-z]+'[A-Za-z]+"), 6).alias("apostrophes"),
+        rounded(T.pattern_ratio(c, "[A-Za-z]+", "[A-Za-z]+-[A-Za-z]+"), 6).alias("hyphens"),
     )
 
 
@@ -227,7 +228,7 @@ _PAIRS_SQL = "p AS (SELECT a.item_id, a.text AS r, b.text AS h FROM benchmark a
 
 @query("cer_pairs", f"WITH {_PAIRS_SQL} SELECT item_id, round({_sql_cer('r', 'h')}, 6) AS cer FROM p")
 def cer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).select("item_id", F.round(T.cer(F.col("ref"), F.col("hyp")), 6).alias("cer"))
+    return _pairs(spark, sf_dir).select("item_id", rounded(T.cer(F.col("ref"), F.col("hyp")), 6).alias("cer"))
 
 
 @query(
@@ -245,7 +246,7 @@ SELECT s.item_id, round(CASE WHEN len(s.r) = 0 OR len(s.h) = 0 THEN 1.0 ELSE d.l
 def wer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clipwise.functions.edits import wer
 
-    return _pairs(spark, sf_dir).select("item_id", F.round(wer(F.col("ref"), F.col("hyp")), 6).alias("wer"))
+    return _pairs(spark, sf_dir).select("item_id", rounded(wer(F.col("ref"), F.col("hyp")), 6).alias("wer"))
 
 
 @query(
@@ -257,7 +258,7 @@ SELECT item_id, round(CASE WHEN blank THEN 1.0 ELSE raw END, 6) AS cer_raw, roun
 )
 def core_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = T.error_rates(F.col("ref"), F.col("hyp"), LEXICON)
-    return _pairs(spark, sf_dir).select("item_id", rates.alias("e")).select("item_id", *[F.round(f"e.{c}", 6).alias(c) for c in ("cer_raw", "cer_core", "load")])
+    return _pairs(spark, sf_dir).select("item_id", rates.alias("e")).select("item_id", *[rounded(f"e.{c}", 6).alias(c) for c in ("cer_raw", "cer_core", "load")])
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clipwise.functions.numbers import rounded
 from clipwise.operators import experiments, sampling, timeline
 
 from .base import TURNS_SQL, query, table, turns
@@ -30,7 +31,7 @@ _IV = "SELECT lecture, iv, round(s, 6) AS s, round(e, 6) AS e FROM iv"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select("lecture", "iv", F.round("start", 6).alias("s"), F.round("end", 6).alias("e"))
+    return df.select("lecture", "iv", rounded("start", 6).alias("s"), rounded("end", 6).alias("e"))
 
 
 @query("gap_merge", f"WITH {_merged_sql(False)} {_IV}")
@@ -53,7 +54,7 @@ SELECT lecture, id, round(overlap, 6) AS overlap, overlap / greatest(0.000001, d
 )
 def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = turns(spark, sf_dir).where("speaker = 'click'")
-    return timeline.covered(words, _merged(spark, sf_dir, True)).select("lecture", "id", F.round("overlap", 6).alias("overlap"), "is_target")
+    return timeline.covered(words, _merged(spark, sf_dir, True)).select("lecture", "id", rounded("overlap", 6).alias("overlap"), "is_target")
 
 
 @query(
@@ -65,7 +66,7 @@ FROM p LEFT JOIN iv ON iv.lecture = p.lecture AND iv.s - 0.001 <= p.t AND p.t <=
 )
 def interval_end_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = turns(spark, sf_dir).where("speaker = 'error'").select("lecture", "id", F.col("end").alias("t"))
-    return timeline.end_asof(points, _merged(spark, sf_dir, True)).select("lecture", "id", F.round("iv_end", 6).alias("iv_end"))
+    return timeline.end_asof(points, _merged(spark, sf_dir, True)).select("lecture", "id", rounded("iv_end", 6).alias("iv_end"))
 
 
 @query(
@@ -76,7 +77,7 @@ SELECT lecture, CAST(run AS BIGINT) AS run, count(*) AS n, round(max("end") - mi
 def target_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = turns(spark, sf_dir).withColumn("is_target", F.col("speaker").isin("view", "click", "signup"))
     found = timeline.runs(flagged, "is_target", "start", "id")
-    return found.groupBy("lecture", "run").agg(F.count("*").alias("n"), F.round(F.max("end") - F.min("start"), 6).alias("span"))
+    return found.groupBy("lecture", "run").agg(F.count("*").alias("n"), rounded(F.max("end") - F.min("start"), 6).alias("span"))
 
 
 @query(
@@ -93,7 +94,7 @@ SELECT lecture, CAST(f AS INTEGER) AS first, CAST(rn - 1 AS INTEGER) AS last, ro
 )
 def greedy_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = turns(spark, sf_dir).withColumn("stops", F.col("id") % 3 == 0)
-    return timeline.greedy_clips(words).select("lecture", "first", "last", F.round(F.col("end") - F.col("start"), 6).alias("dur"))
+    return timeline.greedy_clips(words).select("lecture", "first", "last", rounded(F.col("end") - F.col("start"), 6).alias("dur"))
 
 
 @query(
@@ -110,7 +111,7 @@ l AS (SELECT lecture, p, s0, arg_max(e, rn) AS e, CAST(max(parts) AS INTEGER) AS
 SELECT lecture, round(s0, 6) AS s, round(e, 6) AS e, parts FROM l WHERE e - s0 BETWEEN 3.0 AND 30.0""",
 )
 def pack_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.pack_segments(turns(spark, sf_dir)).select("lecture", F.round("start", 6).alias("s"), F.round("end", 6).alias("e"), "parts")
+    return timeline.pack_segments(turns(spark, sf_dir)).select("lecture", rounded("start", 6).alias("s"), rounded("end", 6).alias("e"), "parts")
 
 
 @query(
@@ -119,7 +120,7 @@ def pack_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT lecture, id, round(greatest("start" - 0.15, p, 0.0), 6) AS cut_start, round("end" + least(0.15, greatest(0.0, nx - "end")), 6) AS cut_end FROM w""",
 )
 def pad_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.pad(turns(spark, sf_dir)).select("lecture", "id", F.round("cut_start", 6).alias("cut_start"), F.round("cut_end", 6).alias("cut_end"))
+    return timeline.pad(turns(spark, sf_dir)).select("lecture", "id", rounded("cut_start", 6).alias("cut_start"), rounded("cut_end", 6).alias("cut_end"))
 
 
 @query(
@@ -129,7 +130,7 @@ SELECT lecture, arg_max(speaker, row(talk, speaker)) AS top_speaker, round(max(t
 )
 def talk_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = turns(spark, sf_dir).groupBy("lecture", "speaker").agg(F.sum(F.col("end") - F.col("start")).alias("talk"), F.count("*").alias("n"))
-    return each.groupBy("lecture").agg(F.max_by("speaker", F.struct("talk", "speaker")).alias("top_speaker"), F.round(F.max("talk"), 6).alias("top_talk"), F.sum("n").alias("turns"))
+    return each.groupBy("lecture").agg(F.max_by("speaker", F.struct("talk", "speaker")).alias("top_speaker"), rounded(F.max("talk"), 6).alias("top_talk"), F.sum("n").alias("turns"))
 
 
 @query(
@@ -140,7 +141,7 @@ def talk_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("end") - F.col("start")
     return turns(spark, sf_dir).groupBy("speaker").agg(
-        F.count("*").alias("n"), F.round(F.sum(d) / 60, 6).alias("total"), F.round(F.min(d), 6).alias("least"), F.round(F.avg(d), 6).alias("mean"), F.round(F.max(d), 6).alias("most"), F.count_if(d.between(4, 30)).alias("within")
+        F.count("*").alias("n"), rounded(F.sum(d) / 60, 6).alias("total"), rounded(F.min(d), 6).alias("least"), rounded(F.avg(d), 6).alias("mean"), rounded(F.max(d), 6).alias("most"), F.count_if(d.between(4, 30)).alias("within")
     )
 
 
@@ -160,7 +161,7 @@ SELECT lecture, frame, round(CASE WHEN edge THEN f0 ELSE m END, 6) AS f0 FROM w"
 )
 def smooth_median3(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _signal(spark, sf_dir)
-    return s.select("lecture", "frame", F.round(timeline.median3(s, "f0", "frame"), 6).alias("f0"))
+    return s.select("lecture", "frame", rounded(timeline.median3(s, "f0", "frame"), 6).alias("f0"))
 
 
 @query(
@@ -172,7 +173,7 @@ def octave_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mids = _signal(spark, sf_dir).groupBy("lecture").agg(F.median("f0").alias("mid"), F.count("f0").alias("n"))
     s = _signal(spark, sf_dir).where("f0 is not null").join(mids, "lecture")
     fixed = F.when(F.col("n") >= 5, timeline.octave_fix(F.col("f0"), F.col("mid"))).otherwise(F.col("f0"))
-    return s.select("lecture", "frame", F.round(fixed, 6).alias("f0"))
+    return s.select("lecture", "frame", rounded(fixed, 6).alias("f0"))
 
 
 _STABLE = f"""{_SIGNAL},
@@ -193,7 +194,7 @@ def _stable_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stable_runs", f"WITH {_STABLE} SELECT lecture, run, length, CAST(t0 AS INTEGER) AS t0, CAST(t1 AS INTEGER) AS t1, round(f1, 6) AS f1 FROM runs")
 def stable_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stable_runs(spark, sf_dir).withColumn("f1", F.round("f1", 6))
+    return _stable_runs(spark, sf_dir).withColumn("f1", rounded("f1", 6))
 
 
 @query(
@@ -219,7 +220,7 @@ def spaced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_type, bin, n, round(n / CAST(max(n) OVER (PARTITION BY event_type) AS DOUBLE), 6) AS scaled FROM h""",
 )
 def histogram_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return experiments.histogram(table(spark, sf_dir, "events"), "value", 0, 10, 19, "event_type").withColumn("scaled", F.round("scaled", 6))
+    return experiments.histogram(table(spark, sf_dir, "events"), "value", 0, 10, 19, "event_type").withColumn("scaled", rounded("scaled", 6))
 
 
 @query(
@@ -232,7 +233,7 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("user_id")
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("lecture"), "value", (F.row_number().over(w.orderBy("event_id")) - 1).alias("i"), F.count("*").over(w).alias("l"))
     b = e.groupBy("lecture", F.floor(F.col("i") * 20 / F.col("l")).alias("bucket")).agg(F.max("value").alias("top"))
-    return b.select("lecture", "bucket", F.round(F.col("top") / F.max("top").over(Window.partitionBy("lecture")), 6).alias("level"))
+    return b.select("lecture", "bucket", rounded(F.col("top") / F.max("top").over(Window.partitionBy("lecture")), 6).alias("level"))
 
 
 @query(
@@ -264,4 +265,4 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling days over the batch; the stream in ``clipwise.streaming`` uses the same transformation."""
     events = table(spark, sf_dir, "events")
     day = F.date_trunc("day", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
-    return events.groupBy(day.alias("start"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return events.groupBy(day.alias("start"), "event_type").agg(F.count("*").alias("n"), rounded(F.sum("value"), 4).alias("total"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwise.functions import text as T
 from clipwise.functions import vectors as V
+from clipwise.functions.numbers import rounded
 from clipwise.operators import experiments, gates, selection, timeline
 from clipwise.sources.io import tsv_lines
 from clipwise.streaming.windows import sessions, sliding_levels
@@ -51,7 +52,7 @@ def _steps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query("run_pads", f"WITH RECURSIVE {_LIFE} SELECT lecture, run, CAST(f AS INTEGER) AS first, round(cs, 6) AS cut_start, round(ce, 6) AS cut_end FROM cut")
 def run_pads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _steps(spark, sf_dir)[1].select("lecture", "run", "first", F.round("cut_start", 6).alias("cut_start"), F.round("cut_end", 6).alias("cut_end"))
+    return _steps(spark, sf_dir)[1].select("lecture", "run", "first", rounded("cut_start", 6).alias("cut_start"), rounded("cut_end", 6).alias("cut_end"))
 
 
 #: The production gate's bounds for these turns, whose pads are at most 0.15.
@@ -88,7 +89,7 @@ def lecture_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = selection.numbered(measured, "run", "first", prefix=F.concat(F.col("lecture").cast("string"), F.lit("_")), keys=("lecture",))
     why = gates.production_reasons(_BOUNDS, backbone=True)
     return named.select(
-        F.col("id").alias("clip"), F.round(F.col("cut_end") - F.col("cut_start"), 2).alias("dur"), "align_min", F.round("cer_core", 6).alias("cer_core"), F.array_join(why, ";").alias("reasons"), (F.size(why) == 0).alias("clean")
+        F.col("id").alias("clip"), rounded(F.col("cut_end") - F.col("cut_start"), 2).alias("dur"), "align_min", rounded("cer_core", 6).alias("cer_core"), F.array_join(why, ";").alias("reasons"), (F.size(why) == 0).alias("clean")
     )
 
 
@@ -96,7 +97,7 @@ def lecture_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = timeline.covered(turns(spark, sf_dir), _merged(spark, sf_dir, True))
     share = 1 - F.count_if("is_target") / F.greatest(F.lit(1), F.count("*")).cast("double")
-    return words.groupBy("lecture").agg(F.round(share, 6).alias("dropped"), (share > 0.6).alias("flagged"))
+    return words.groupBy("lecture").agg(rounded(share, 6).alias("dropped"), (share > 0.6).alias("flagged"))
 
 
 _VOTE = f"""{TURNS_SQL},
@@ -123,13 +124,13 @@ def lecture_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     c1, c2 = -F.col("r")[0]["v"], -F.get("r", F.lit(1))["v"]
     winner = F.col("r")[0]["speaker"]
     flags = T.reasons((c1 < 0.5, T.with_value("low_cosine", c1, 3)), (c1 - c2 < 0.05, T.with_value("low_margin", c1 - c2, 3)), (winner != F.col("loudest"), F.lit("cosine!=talktime")))
-    return ranked.select("lecture", winner.alias("winner"), F.round(c1, 6).alias("cos"), F.array_join(flags, ";").alias("flags"))
+    return ranked.select("lecture", winner.alias("winner"), rounded(c1, 6).alias("cos"), F.array_join(flags, ";").alias("flags"))
 
 
 @query("long_words", f'WITH {TURNS_SQL} SELECT lecture, count(*) AS n, round(max("end" - "start"), 6) AS longest FROM turns WHERE "end" - "start" > 3.0 GROUP BY lecture')
 def long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     dur = F.col("end") - F.col("start")
-    return turns(spark, sf_dir).where(dur > 3.0).groupBy("lecture").agg(F.count("*").alias("n"), F.round(F.max(dur), 6).alias("longest"))
+    return turns(spark, sf_dir).where(dur > 3.0).groupBy("lecture").agg(F.count("*").alias("n"), rounded(F.max(dur), 6).alias("longest"))
 
 
 @query("aligned_words", "WITH w AS (SELECT event_id, CASE event_type WHEN 'error' THEN '<star>' WHEN 'signup' THEN ' ' ELSE event_type END AS word FROM events) SELECT event_id, word FROM w WHERE trim(word) NOT IN ('<star>', '')")
@@ -173,7 +174,7 @@ SELECT lecture, CAST(i // 2 AS BIGINT) AS frame, round(20 * log10(greatest(e / m
 )
 def frame_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("lecture"), "event_id", "value")
-    return timeline.frame_energy(e, "value", 4, 2, "event_id").select("lecture", "frame", F.round("db", 6).alias("db"))
+    return timeline.frame_energy(e, "value", 4, 2, "event_id").select("lecture", "frame", rounded("db", 6).alias("db"))
 
 
 @query("stride_frames", "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events) WHERE i % 4 = 0")
@@ -202,7 +203,7 @@ def interpolated_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "events").select(F.col("user_id").alias("lecture"), F.col("event_id").cast("double").alias("x"), F.col("value").alias("y"))
     low, high = F.floor(F.min("x") / 500) * 500, F.ceil(F.max("x") / 500) * 500
     grid = points.groupBy("lecture").agg(F.sequence(low, high, F.lit(500).cast("long")).cast("array<double>").alias("g")).select("lecture", F.explode("g").alias("x"))
-    return timeline.interpolated(grid, points, "x", "y").withColumn("y", F.round("y", 6))
+    return timeline.interpolated(grid, points, "x", "y").withColumn("y", rounded("y", 6))
 
 
 @query("ordered_turns", f'WITH {TURNS_SQL} SELECT lecture, id, CAST(row_number() OVER (PARTITION BY lecture ORDER BY "start", "end", id) AS INTEGER) AS place FROM turns')
@@ -218,7 +219,7 @@ SELECT lecture, CAST(clip AS INTEGER) AS clip, round("start", 3) AS "start", rou
 def segments_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments in the order of their start, numbered anew, times to the millisecond."""
     t = selection.placed(turns(spark, sf_dir), "start", "end", "id", keys=("lecture",))
-    return t.select("lecture", F.col("place").alias("clip"), F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), F.round(F.col("end") - F.col("start"), 3).alias("dur"), "speaker")
+    return t.select("lecture", F.col("place").alias("clip"), rounded("start", 3).alias("start"), rounded("end", 3).alias("end"), rounded(F.col("end") - F.col("start"), 3).alias("dur"), "speaker")
 
 
 _TSV = "clip || chr(9) || regexp_extract(audio, '([^/]+)$', 1) || chr(9) || decision || chr(9) || replace(coalesce(text, ''), chr(9), ' ')"
@@ -271,20 +272,20 @@ def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mean_spectrum", f"WITH {_LONG} SELECT label, bin, round(level, 8) AS level FROM m")
 def mean_spectrum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _spectra(spark, sf_dir).withColumn("level", F.round("level", 8))
+    return _spectra(spark, sf_dir).withColumn("level", rounded("level", 8))
 
 
 @query("spectrum_distance", f"WITH {_LONG} SELECT a.label, round(1 - corr(a.level, b.level), 6) AS distance FROM m a JOIN m b ON b.bin = a.bin AND b.label = 0 GROUP BY a.label")
 def spectrum_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _spectra(spark, sf_dir)
     both = m.join(hinted(m.where("label = 0").select("bin", F.col("level").alias("other"))), "bin")
-    return experiments.correlation_distance(both, "level", "other", "label").withColumn("distance", F.round("distance", 6))
+    return experiments.correlation_distance(both, "level", "other", "label").withColumn("distance", rounded("distance", 6))
 
 
 @query("pitch_summary", f"WITH {_SIGNAL} SELECT lecture, round(median(f0), 6) AS mid, round(quantile_cont(f0, 0.1), 6) AS p10, round(quantile_cont(f0, 0.9), 6) AS p90, round(median(f1), 6) AS formant, round(stddev_pop(f1), 6) AS spread FROM s GROUP BY lecture")
 def pitch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = experiments.pitch_summary(_signal(spark, sf_dir), "f0", "f1", "lecture")
-    return found.withColumns({c: F.round(c, 6) for c in found.columns if c != "lecture"})
+    return found.withColumns({c: rounded(c, 6) for c in found.columns if c != "lecture"})
 
 
 _SUM = f"{_SIGNAL}, q AS (SELECT lecture, median(f0) AS mid, median(f1) AS formant, stddev_pop(f1) AS spread FROM s GROUP BY lecture)"
@@ -296,13 +297,13 @@ def voice_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = experiments.pitch_summary(_signal(spark, sf_dir), "f0", "f1", "lecture")
     ref = q.orderBy("lecture").limit(1).select(F.col("mid").alias("m0"), F.col("formant").alias("f0"), F.col("spread").alias("s0"))
     d = experiments.composite_distance(F.col("formant") - F.col("f0"), F.col("mid") - F.col("m0"), F.col("spread") - F.col("s0"), F.col("mid") - F.col("m0"))
-    return q.crossJoin(F.broadcast(ref)).select("lecture", F.round(d, 6).alias("distance"))
+    return q.crossJoin(F.broadcast(ref)).select("lecture", rounded(d, 6).alias("distance"))
 
 
 @query("semitone_rmse", "SELECT user_id AS lecture, round(CASE WHEN count(*) >= 5 THEN sqrt(avg(pow(12 * log2((80 + value) / (100 + event_id % 50)), 2))) END, 6) AS rmse, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1")
 def semitone_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").where("event_type <> 'error'").select(F.col("user_id").alias("lecture"), (80 + F.col("value")).alias("a"), (100 + F.col("event_id") % 50).alias("b"))
-    return experiments.semitone_rmse(e, "a", "b", "lecture").withColumn("rmse", F.round("rmse", 6))
+    return experiments.semitone_rmse(e, "a", "b", "lecture").withColumn("rmse", rounded("rmse", 6))
 
 
 @query("rounded_even", "SELECT event_id, round_even(CAST(event_id AS DECIMAL(18, 3)) / 8, 2)::DOUBLE AS r FROM events")
@@ -322,7 +323,7 @@ def _latent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("latent_scores", f"WITH {_LATENT} SELECT vec_id, round(score, 6) AS score FROM sc")
 def latent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latent(spark, sf_dir).withColumn("score", F.round("score", 6))
+    return _latent(spark, sf_dir).withColumn("score", rounded("score", 6))
 
 
 @query("top_bottom", f"WITH {_LATENT} (SELECT 'top' AS side, vec_id FROM sc ORDER BY score DESC, vec_id LIMIT 5) UNION ALL (SELECT 'bottom', vec_id FROM sc ORDER BY score, vec_id LIMIT 5)")
@@ -337,7 +338,7 @@ def principal_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinates on the three main axes of all vectors; tested against a decomposition in memory."""
     v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("x"))
     done = V.projected(v, "x", *V.principal(v, "x", 3))
-    return done.select("vec_id", *[F.round(F.get("projection", F.lit(i)), 6).alias(f"pc{i + 1}") for i in range(3)])
+    return done.select("vec_id", *[rounded(F.get("projection", F.lit(i)), 6).alias(f"pc{i + 1}") for i in range(3)])
 
 
 @query(
@@ -348,7 +349,7 @@ SELECT user_id, min(ts) AS "start", max(ts) AS last, count(*) AS n, round(sum(va
 )
 def session_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of a user's events less than a day apart; the same transformation serves a stream."""
-    return sessions(table(spark, sf_dir, "events"), "1 day").withColumn("total", F.round("total", 4))
+    return sessions(table(spark, sf_dir, "events"), "1 day").withColumn("total", rounded("total", 4))
 
 
 @query(
@@ -357,7 +358,7 @@ def session_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT *, unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 1 DAY]) AS w FROM events) GROUP BY 1, 2""",
 )
 def sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sliding_levels(table(spark, sf_dir, "events"), "2 days", "1 day").withColumn("level", F.round("level", 6))
+    return sliding_levels(table(spark, sf_dir, "events"), "2 days", "1 day").withColumn("level", rounded("level", 6))
 
 
 _DIA = "".join(k for k, v in T.ASCII_OF.items() if v and k.isalpha()).lower()
@@ -370,7 +371,7 @@ _DIA = "".join(dict.fromkeys(c for c in _DIA if c.isalpha()))
 SELECT doc_id, round(CASE WHEN n > 0 THEN k / CAST(n AS DOUBLE) ELSE 0.0 END, 6) AS ratio FROM c""",
 )
 def diacritic_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.round(T.diacritic_ratio(F.col("text")), 6).alias("ratio"))
+    return table(spark, sf_dir, "documents").select("doc_id", rounded(T.diacritic_ratio(F.col("text")), 6).alias("ratio"))
 
 
 @query("ascii_rows", "SELECT doc_id, NOT regexp_matches(text, '[^\\x00-\\x7F]') AS ascii FROM documents")
