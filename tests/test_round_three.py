@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import duckdb
 from clipwise.functions.numbers import rounded, written
+from clipwise.operators import gates
 from pyspark.sql import functions as F
 
 
@@ -29,3 +30,9 @@ def test_doc_gate_report_of_ties(spark, tmp_path):
     texts = [" ".join(["ab"] * 6 + ["é" * 2]), " ".join(["a" * 7] * 12 + ["b" * 24]), "x" * 37 + " é é é"]
     docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in enumerate(texts)] + [(9, " ".join(["abcd"] * 682) + " " + "e" * 590, "en", "src0", 4000)], "doc_id long, text string, lang string, source string, n_chars long")
     same_as_sql(spark, tmp_path, "doc_gate_report", documents=docs)
+
+
+def test_gate_reasons_of_ties(spark):
+    row = spark.range(1).select(F.lit(True).alias("has_wav"), F.lit(-60.125).alias("align_min"), F.lit(0.875).alias("lead"), F.lit(1.125).alias("trail"), F.lit(0.90625).alias("cer_core"))
+    reasons = row.select(gates.production_reasons({**gates.PRODUCTION, "min_align": -50.0})).first()[0]
+    assert reasons == ["low_align(-60.12)", "lead_sil(0.88)", "trail_sil(1.12)", "high_cer_core(0.91)"]
