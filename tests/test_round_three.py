@@ -32,6 +32,21 @@ def test_doc_gate_report_of_ties(spark, tmp_path):
     same_as_sql(spark, tmp_path, "doc_gate_report", documents=docs)
 
 
+def events(spark, n, lectures):
+    ts = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)")
+    kind = F.element_at(F.array(*map(F.lit, ["view", "click", "purchase", "error", "signup"])), (F.pmod(F.xxhash64("id"), F.lit(5)) + 1).cast("int"))
+    rows = spark.range(n, numPartitions=1).select(F.col("id").alias("event_id"), ts.alias("ts"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(lectures)).alias("user_id"), kind.alias("event_type"))
+    return rows.withColumn("value", F.pmod(F.xxhash64("event_id", F.lit(2)), F.lit(49000)).cast("double") / 100)
+
+
+def test_lecture_flags_add_up_in_order(spark, tmp_path):
+    rows = events(spark, 100_000, 3000)
+    same_as_sql(spark, tmp_path / "one", "lecture_flags", events=rows)
+    rows.repartition(7).write.parquet(f"{tmp_path}/many/events.parquet")
+    flags = [sorted(map(tuple, entry.queries()["lecture_flags"](spark, f"{tmp_path}/{d}").collect())) for d in ("one", "many")]
+    assert flags[0] == flags[1]
+
+
 def test_gate_reasons_of_ties(spark):
     row = spark.range(1).select(F.lit(True).alias("has_wav"), F.lit(-60.125).alias("align_min"), F.lit(0.875).alias("lead"), F.lit(1.125).alias("trail"), F.lit(0.90625).alias("cer_core"))
     reasons = row.select(gates.production_reasons({**gates.PRODUCTION, "min_align": -50.0})).first()[0]
