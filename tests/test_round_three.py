@@ -51,3 +51,10 @@ def test_gate_reasons_of_ties(spark):
     row = spark.range(1).select(F.lit(True).alias("has_wav"), F.lit(-60.125).alias("align_min"), F.lit(0.875).alias("lead"), F.lit(1.125).alias("trail"), F.lit(0.90625).alias("cer_core"))
     reasons = row.select(gates.production_reasons({**gates.PRODUCTION, "min_align": -50.0})).first()[0]
     assert reasons == ["low_align(-60.12)", "lead_sil(0.88)", "trail_sil(1.12)", "high_cer_core(0.91)"]
+
+
+def test_interpolated_grid_reads_each_row_once(spark, tmp_path):
+    rows = events(spark, 3000, 2).where("event_id % 7 <> 0")
+    same_as_sql(spark, tmp_path, "interpolated_grid", events=rows)
+    plan = entry.queries()["interpolated_grid"](spark, str(tmp_path))._jdf.queryExecution().toString().lower()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
