@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import materialize
+
 
 def summary(df: DataFrame, metric: str, *keys: str) -> DataFrame:
     """mean, population std and n of each cell; nulls are left out."""
@@ -135,9 +137,13 @@ def accuracy_sweep(df: DataFrame, score: str, truth: str, thresholds: list[float
     return one.select(F.explode(F.array(*one.columns)).alias("t")).select("t.*")
 
 
-def normalised(df: DataFrame, value: str, *keys: str) -> DataFrame:
-    """Adds ``z``: the value less its group's mean, over its population deviation. Statistics are aggregated, then joined."""
-    stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s"))
+def normalised(df: DataFrame, value: str, *keys: str, few: int = 10_000) -> DataFrame:
+    """Adds ``z``: the value less its group's mean, over its population deviation. Statistics are aggregated and written, then joined.
+
+    Those of at most ``few`` groups go to all rows, which stay where they are: a few classes of a large table would be a task each.
+    """
+    stats = materialize(df.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s")), "statistics")
+    stats = F.broadcast(stats) if stats.count() <= few else stats
     return df.join(stats, list(keys)).withColumn("z", F.try_divide(F.col(value) - F.col("_m"), F.col("_s"))).drop("_m", "_s")
 
 

@@ -3,7 +3,7 @@
 import __spark_entry__ as entry
 import duckdb
 from clipwise.functions.numbers import rounded, written
-from clipwise.operators import gates
+from clipwise.operators import experiments, gates
 from pyspark.sql import functions as F
 
 
@@ -58,3 +58,17 @@ def test_interpolated_grid_reads_each_row_once(spark, tmp_path):
     same_as_sql(spark, tmp_path, "interpolated_grid", events=rows)
     plan = entry.queries()["interpolated_grid"](spark, str(tmp_path))._jdf.queryExecution().toString().lower()
     assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
+
+
+def test_normalised_values_stay_where_they_are(spark, tmp_path):
+    rows = spark.range(4000).select((F.col("id") / 4).cast("long").alias("l_orderkey"), (F.col("id") % 4).cast("int").alias("l_linenumber"), (F.col("id") % 97).alias("l_partkey"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"), (F.col("id") % 50 + 1).cast("double").alias("l_quantity"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        same_as_sql(spark, tmp_path, "normalised_values", lineitem=rows)
+        plan = entry.queries()["normalised_values"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(l_returnflag" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    many = experiments.normalised(rows, "l_quantity", "l_returnflag", few=1)
+    assert many.count() == 4000
