@@ -116,6 +116,7 @@ class Bands:
         return np.concatenate(out) if out else np.zeros(0, U)
 
 
+PAIRED = 16  # sets with one signature up to which all their pairs are tested
 CELLS, SLICES = 22, 64  # bits of a hash by which shingles share a counter; slices in which counters are added up
 
 
@@ -256,36 +257,134 @@ def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: boo
     return out
 
 
-def _combined(sigs: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-    """Rows sig, node and lead of a batch's signatures: its first set with each one (lead null), and once each other set with that first one as its lead.
+def _combined(sigs: np.ndarray, nodes: np.ndarray, most: int = 1) -> pa.RecordBatch:
+    """Rows sig, node, lead and heavy of a batch's signatures. Of one that more than ``most`` sets have, the first set comes as heavy (lead null), and once each other set with that first one as its lead.
 
     Only firsts have to meet across batches; the others are dealt by their own number, so a signature that most sets share isn't one task's.
     """
-    _, first, of = np.unique(sigs, return_index=True, return_inverse=True)
+    _, first, of, many = np.unique(sigs, return_index=True, return_inverse=True, return_counts=True)
+    heavy = many > most
+    rows = np.concatenate([first[heavy], np.flatnonzero(~heavy[of])])
+    led = heavy[of]
     leads = nodes[first][of]
-    pairs = np.unique(np.stack([nodes, leads], axis=1)[nodes != leads], axis=0) if len(nodes) else np.empty((0, 2), np.int64)
-    known = np.concatenate([np.zeros(len(first), bool), np.ones(len(pairs), bool)])
-    lead = pa.array(np.concatenate([nodes[first], pairs[:, 1]]), mask=~known)
-    return pa.record_batch([pa.array(np.concatenate([sigs[first], pairs[:, 0]])), pa.array(np.concatenate([nodes[first], pairs[:, 0]])), lead], ["sig", "node", "lead"])
-
-
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by signature: pairs of the first set with a signature and each other one, and of sets with the leads that they have."""
-    sig, leader = None, 0
+    led &= nodes != leads
+    pairs = np.unique(np.stack([nodes[led], leads[led]], axis=1), axis=0) if len(nodes) else np.empty((0, 2), np.int64)
+    known = np.concatenate([np.zeros(len(rows), bool), np.ones(len(pairs), bool)])
+    lead = pa.array(np.concatenate([nodes[rows], pairs[:, 1]]), mask=~known)
+    marks = pa.array(np.concatenate([np.arange(len(rows)) < heavy.sum(), np.zeros(len(pairs), bool)]))
+    return pa.record_batch([pa.array(np.concatenate([sigs[rows], pairs[:, 0]])), pa.array(np.concatenate([nodes[rows], pairs[:, 0]])), lead, marks], ["sig", "node", "lead", "heavy"])
+
+
+def _pairs(sig: np.ndarray, node: np.ndarray, heavy: np.ndarray, most: int) -> pa.RecordBatch:
+    """Pairs a, b of whole groups: all of one with up to ``most`` rows, of others (sure) the first row with each other."""
+    starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+    sizes = np.diff(np.append(starts, len(sig)))
+    large = np.repeat((sizes > most) | np.logical_or.reduceat(heavy, starts), sizes)
+    group = np.repeat(np.arange(len(starts)), sizes)
+    firsts = node[starts][group]
+    out = [np.stack([firsts, node, large], axis=1)[large]]
+    for step in range(1, min(most, int(sizes.max()))):
+        met = np.flatnonzero((group[step:] == group[:-step]) & ~large[step:])
+        out.append(np.stack([node[met], node[met + step], np.zeros(len(met), np.int64)], axis=1))
+    every = np.concatenate(out)
+    every = every[every[:, 0] != every[:, 1]]
+    every[:, :2].sort(axis=1)
+    every = np.unique(every, axis=0)
+    return pa.record_batch([pa.array(every[:, 0]), pa.array(every[:, 1]), pa.array(every[:, 2] > 0)], ["a", "b", "sure"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch], most: int = 1) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by signature: pairs a, b of sets with the same one, and of sets with the leads that they have.
+
+    Of a signature that more than ``most`` sets have (or with a heavy row) the first set meets each other one, which is ``sure`` to be
+    wanted, as those may link with each other; of others all pairs come, and one that can't link is none of a cluster's.
+    """
+    held = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
     for batch in batches:
         led = batch.filter(batch.column("lead").is_valid())
         if led.num_rows:
-            yield pa.record_batch([led.column("lead"), led.column("node")], ["a", "b"])
+            yield pa.record_batch([led.column("lead"), led.column("node"), pa.array(np.ones(led.num_rows, bool))], ["a", "b", "sure"])
         batch = batch.filter(batch.column("lead").is_null())
         if not batch.num_rows:
             continue
-        s, node = batch.column("sig").to_numpy(), batch.column("node").to_numpy()
-        new = np.append(s[0] != sig, s[1:] != s[:-1]) if sig is not None else np.append(True, s[1:] != s[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-        first = np.where(at >= 0, node[np.maximum(at, 0)], leader)
-        sig, leader = s[-1], first[-1]
-        pairs = np.unique(np.stack([first, node], axis=1)[~new & (first != node)], axis=0)
-        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "node", "heavy")]
+        sig, node, heavy = (np.concatenate(x) for x in zip(held, now, strict=True))
+        last = int(np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))[-1])
+        if len(sig) - last > most:  # already large: its first row stands for what came
+            yield _pairs(sig, node, heavy, most)
+            held = sig[last : last + 1], node[last : last + 1], np.ones(1, bool)
+        else:
+            if last:
+                yield _pairs(sig[:last], node[:last], heavy[:last], most)
+            held = sig[last:], node[last:], heavy[last:]
+    if len(held[0]):
+        yield _pairs(*held, most)
+
+
+def bitmap(h: np.ndarray) -> bytes:
+    """A set's bits by the low bits of its hashes, at least one for each element."""
+    bits = 64
+    while bits < len(h):
+        bits *= 2
+    flags = np.zeros(bits, np.uint8)
+    flags[(h & U(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).tobytes()
+
+
+def may_link(na: np.ndarray, maps_a: list[bytes], nb: np.ndarray, maps_b: list[bytes], percent: int) -> np.ndarray:
+    """Which pairs of sets their sizes and bitmaps don't rule out; the longer map of a pair is folded to the length of the other."""
+    wide = [np.array(list(map(len, maps))) for maps in (maps_a, maps_b)]
+    width = np.minimum(*wide)
+    out = np.zeros(len(na), bool)
+    for w in np.unique(width):
+        at = np.flatnonzero((width == w) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)))
+        if not len(at):
+            continue
+        sides = []
+        for maps, long in zip((maps_a, maps_b), wide, strict=True):
+            side = np.empty((len(at), w // 8), U)
+            for x in np.unique(long[at]):
+                own = np.flatnonzero(long[at] == x)
+                side[own] = np.bitwise_or.reduce(np.frombuffer(b"".join(maps[i] for i in at[own]), U).reshape(len(own), x // w, w // 8), axis=1)
+            sides.append(side)
+        a, b = sides
+        lost_a = np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64)
+        lost_b = np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64)
+        bound = np.minimum(na[at] - lost_a, nb[at] - lost_b)
+        out[at] = 100 * bound >= percent * (na[at] + nb[at] - bound)
+    return out
+
+
+def _likely(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The sure ones of ``pairs`` (a, b, sure) and those whose sets' bitmaps, an eighth of a byte to a quarter for each element, let them link."""
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")), "candidate-pairs")
+    open_ = pairs.where("not sure").select("a", "b")
+    ends = materialize(open_.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidate-ends")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            sizes, maps = [], []
+            for t in batch.column("text"):
+                h = shingles(t.as_py(), width, hashes)
+                sizes.append(len(h))
+                maps.append(bitmap(h))
+            yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())], ["node", "n", "map"])
+
+    maps = materialize(_meet(docs.select("doc_id", "text"), ends, "inner").mapInArrow(draw, "node long, n long, map binary"), "bitmaps")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n = [batch.column(c).to_numpy() for c in ("na", "nb")]
+                keep = may_link(n[0], batch.column("ma").to_pylist(), n[1], batch.column("mb").to_pylist(), percent)
+                yield pa.record_batch([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
+
+    side = lambda to: maps.select(F.col("node").alias(to), F.col("n").alias(f"n{to}"), F.col("map").alias(f"m{to}"))
+    sized = maps.select(F.col("node").alias("b"), F.col("n").alias("_n"))
+    near = open_.join(sized, "b").join(side("a"), "a").where(100 * F.least("_n", "na") >= percent * F.greatest("_n", "na")).drop("_n")
+    met = near.distinct().join(side("b"), "b").select("a", "na", "ma", "b", "nb", "mb")
+    return pairs.where("sure").select("a", "b").union(met.mapInArrow(test, "a long, b long"))
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -319,11 +418,14 @@ def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame
             if batch.num_rows:
                 sigs = [signatures(shingles(t.as_py(), width, hashes)) for t in batch.column("text")]
                 nodes = np.repeat(batch.column("doc_id").to_numpy(), list(map(len, sigs)))
-                yield _combined(np.concatenate(sigs).view(np.int64), nodes)
+                yield _combined(np.concatenate(sigs).view(np.int64), nodes, most)
 
-    signed = docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long, lead long")
-    stars = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(_stars, "a long, b long")
-    clusters = connected_components(stars.distinct(), "candidates")
+    # Rarest elements are also shared by chance, the more the larger the corpus: unless pairs are tested, all sets end up in one cluster.
+    most = 1 if shared is None else PAIRED
+    signed = docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long, lead long, heavy boolean")
+    stars = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(lambda batches: _stars(batches, most), "a long, b long, sure boolean")
+    likely = stars.select("a", "b") if shared is None else _likely(stars, docs, width, percent)
+    clusters = connected_components(likely.distinct(), "candidates")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -599,8 +701,8 @@ def components(docs: DataFrame, *, width: int = 5, percent: int = 80, count_link
     Documents with equal sets are one class, and only its smallest id goes on. Representatives
     are cut into parts by the band of their sizes (see ``Bands``), or under 85 % give their rarest elements (see
     ``prefix``); any two that link share a signature. Each
-    signature's first representative is paired with the others, as a star, and the components
-    of these pairs are clusters, outside of which nothing can link. A cluster that fits one task is a tile, within which all
+    signature's first representative is paired with the others, as a star (of rarest elements that few share all pairs are taken, and those that
+    sizes and bitmaps rule out dropped), and the components of these pairs are clusters, outside of which nothing can link. A cluster that fits one task is a tile, within which all
     pairs that bitmaps can't rule out are compared. A larger one is cut into slices, by fine size bands and a hash; then one set
     of each slice's components meets the others' ones; then sets of components that are still apart meet by the signatures that
     they share, or in pairs of slices if that copies less. So a large group of near copies costs its slices and their representatives, not the square of its size,

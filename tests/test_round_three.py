@@ -2,7 +2,11 @@
 
 import __spark_entry__ as entry
 import duckdb
+import numpy as np
+import pyarrow as pa
 from clipwise.functions.numbers import rounded, written
+from clipwise.llm import jaccard
+from clipwise.llm.common import arrow_rows
 from clipwise.operators import experiments, gates
 from pyspark.sql import functions as F
 
@@ -72,3 +76,46 @@ def test_normalised_values_stay_where_they_are(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     many = experiments.normalised(rows, "l_quantity", "l_returnflag", few=1)
     assert many.count() == 4000
+
+
+def test_chance_overlaps_make_no_cluster(spark):
+    """Each text shares one passage with the next one, and only the last two link; all were one cluster before."""
+    word = lambda i, j: f"w{i}x{j}"
+    shared = lambda i: [f"s{i}y{j}" for j in range(5)]
+    texts = [" ".join(shared(i) + [word(i, j) for j in range(40)] + shared(i + 1)) for i in range(60)]
+    texts += [" ".join(f"z{j}" for j in range(60)), " ".join(f"z{j}" for j in range(58))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with arrow_rows(spark, 2_000):
+        sets, _ = jaccard.clustered_sets(docs, 5, 80)
+        assert sorted(r.node for r in sets.collect()) == [60, 61]
+    found = {r.doc_id: r.component_id for r in jaccard.components(docs, width=5, percent=80).collect()}
+    assert found == {i: min(i, 60) for i in range(62)}
+
+
+def test_pairs_of_signatures(spark):
+    rng = np.random.default_rng(3)
+    for most in (1, 2, 5):
+        for n in (1, 7, 60, 200):
+            sig, node, heavy = np.sort(rng.integers(0, 20, n)), rng.integers(0, 50, n), rng.random(n) < 0.05
+            whole = pa.record_batch([pa.array(sig), pa.array(node), pa.nulls(n, pa.int64()), pa.array(heavy)], ["sig", "node", "lead", "heavy"])
+            found = {(r["a"], r["b"], r["sure"]) for b in jaccard._stars(iter([whole.slice(k, 9) for k in range(0, n, 9)]), most) for r in b.to_pylist()}
+            want = set()
+            for s in set(sig.tolist()):
+                own, sure = node[sig == s].tolist(), bool((sig == s).sum() > most or heavy[sig == s].any())
+                want |= {(min(x, y), max(x, y), sure) for x in (own[:1] if sure else own) for y in own if x != y}
+            assert found == want
+
+
+def test_bitmaps_lose_no_link():
+    rng = np.random.default_rng(5)
+    kept = linked = 0
+    for size in (1, 5, 63, 64, 65, 500, 1100):
+        for lost in (0, 1, size // 12, size // 8, size // 5, size // 2):
+            a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            b = np.unique(np.concatenate([a[: len(a) - lost], rng.integers(0, 2**63, lost // 3 + 1).astype(np.uint64)]))
+            for x, y in ((a, b), (b, a)):
+                fits = jaccard.linked(len(x), len(y), len(np.intersect1d(x, y)), 80)
+                may = jaccard.may_link(np.array([len(x)]), [jaccard.bitmap(x)], np.array([len(y)]), [jaccard.bitmap(y)], 80)[0]
+                assert may or not fits
+                kept, linked = kept + may, linked + fits
+    assert linked <= kept < 70
