@@ -45,8 +45,11 @@ def sentence_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retired classifier over every sentence; the lexicon is what five English documents use."""
     docs = table(spark, sf_dir, "documents")
     words = F.regexp_extract_all(F.lower(F.regexp_replace("text", sentences.NOTE, " ")), F.lit(sentences.WORD), F.lit(0))
-    lexicon = docs.where("lang = 'en'").select("doc_id", F.explode(words).alias("word")).distinct().groupBy("word").count().where("count >= 5")
-    found = sentences.foreign_runs(sentences.split_sentences(docs), lexicon, keys=("doc_id", "nr"))
+    unique = docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+    # Of rows with an id of their own each counts a word once, so words are counted before they are shuffled.
+    used = docs.where("lang = 'en'").select("doc_id", F.explode(F.array_distinct(words)).alias("word"))
+    lexicon = (used if unique else used.distinct()).groupBy("word").count().where("count >= 5")
+    found = sentences.foreign_runs(sentences.split_sentences(docs), lexicon, keys=("doc_id", "nr"), unique=unique)
     sides = F.col("f"), F.col("r"), F.col("cited")
     return found.select("doc_id", "nr", rounded("f", 6).alias("f"), "r", sentences.kind(*sides).alias("kind"), sentences.reason(*sides).alias("reason"))
 

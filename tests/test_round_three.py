@@ -119,3 +119,13 @@ def test_bitmaps_lose_no_link():
                 assert may or not fits
                 kept, linked = kept + may, linked + fits
     assert linked <= kept < 70
+
+
+def test_sentences_are_judged_in_their_rows(spark, tmp_path):
+    texts = ["The cat sat. It's on the [Gita 2] mat? Zzz yyy xxx www vvv uuu ttt sss!", "The cat sat on the mat. [verse] qqq aaa bbb ccc the the the the the", None, "", "the cat 12. é-é ’x"]
+    rows = [(i, texts[i % 5], "fr" if i == 4 else "en", "src0", 0) for i in range(35)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    same_as_sql(spark, tmp_path / "unique", "sentence_kinds", documents=spark.createDataFrame(rows, schema))
+    plan = entry.queries()["sentence_kinds"](spark, f"{tmp_path}/unique")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    same_as_sql(spark, tmp_path / "repeated", "sentence_kinds", documents=spark.createDataFrame([*rows, (1, "the cat zzz. dog the", "en", "src0", 0)], schema))
