@@ -40,8 +40,10 @@ def range_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], ri
         widest = other.agg(F.max(F.col("_b1") - F.col("_b0")).alias("w")).scalar()
         own = F.expr(f"IF(_b1 > {low}, {_COVER.format(low=low, high='_b1', side=side)}, array())")
         around = F.expr(_AROUND.format(widest="_w", low="_b0", side=1 - side))
-        at = df.withColumn("_w", F.coalesce(widest, F.lit(1).cast("long"))).withColumn("_at", F.explode(F.concat(own, around)))
-        return at.drop("_b0", "_b1", "_b2", "_w")
+        at = df.withColumn("_w", F.coalesce(widest, F.lit(1).cast("long"))).withColumn("_e", F.explode(F.concat(own, around)))
+        # A block as one number: half the size of the struct in each of the rows that are shuffled.
+        at = at.withColumn("_at", F.shiftleft("_e.at", 7) + F.col("_e.level") * 2 + F.col("_e.side"))
+        return at.drop("_b0", "_b1", "_b2", "_w", "_e")
 
     l, r = binned(left, left_span), binned(right, right_span)
     return listed(l, r, 0, "_b0").join(listed(r, l, 1, "_b2"), [*keys, "_at"]).where(predicate).drop("_at")

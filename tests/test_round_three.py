@@ -7,7 +7,7 @@ import pyarrow as pa
 from clipwise.functions.numbers import rounded, written
 from clipwise.llm import jaccard
 from clipwise.llm.common import arrow_rows
-from clipwise.operators import experiments, gates
+from clipwise.operators import experiments, gates, timeline
 from pyspark.sql import functions as F
 
 
@@ -129,3 +129,13 @@ def test_sentences_are_judged_in_their_rows(spark, tmp_path):
     plan = entry.queries()["sentence_kinds"](spark, f"{tmp_path}/unique")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
     same_as_sql(spark, tmp_path / "repeated", "sentence_kinds", documents=spark.createDataFrame([*rows, (1, "the cat zzz. dog the", "en", "src0", 0)], schema))
+
+
+def test_blocks_of_spans_are_numbers(spark):
+    rng = np.random.default_rng(7)
+    spans = [[(1, i, float(a), float(a + d)) for i, (a, d) in enumerate(zip(rng.integers(-300, 300, 80), rng.integers(0, 90, 80), strict=True))] for _ in range(2)]
+    l, r = (spark.createDataFrame(s, f"lecture long, {n} long, {n}0 double, {n}1 double") for s, n in zip(spans, "lr", strict=True))
+    met = timeline.range_join(l, r, ("l0", "l1"), ("r0", "r1"), (F.col("l0") <= F.col("r1")) & (F.col("r0") <= F.col("l1")), 8.0)
+    assert "shiftleft" in met._jdf.queryExecution().optimizedPlan().toString().lower()
+    want = sorted((i, j) for _, i, a, b in spans[0] for _, j, c, d in spans[1] if a <= d and c <= b)
+    assert sorted((x.l, x.r) for x in met.collect()) == want
