@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 
 def rounded(c: Column | str, places: int) -> Column:
-    """``c`` times a power of ten, rounded half away from zero and divided again; what the power takes out of range stays as it is."""
+    """``c`` times a power of ten, rounded half away from zero and divided again; what the power takes out of range stays as it is.
+
+    What rounds to zero keeps its sign, as in SQL: -0.001 gives -0.0.
+    """
     c = F.col(c) if isinstance(c, str) else c
     scale = F.lit(10.0**places)
-    return F.transform(F.array(c.cast("double")), lambda x: F.when(F.abs(x) < 1e290, F.round(x * scale) / scale).otherwise(x))[0]
+    return F.transform(F.array(c.cast("double")), lambda x: F.when(F.abs(x) * scale < 0.5, x * 0.0).when(F.abs(x) < 1e290, F.round(x * scale) / scale).otherwise(x))[0]
 
 
 def _half_even(x: Column, scale: Column) -> Column:

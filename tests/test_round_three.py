@@ -139,3 +139,11 @@ def test_blocks_of_spans_are_numbers(spark):
     assert "shiftleft" in met._jdf.queryExecution().optimizedPlan().toString().lower()
     want = sorted((i, j) for _, i, a, b in spans[0] for _, j, c, d in spans[1] if a <= d and c <= b)
     assert sorted((x.l, x.r) for x in met.collect()) == want
+
+
+def test_zeros_keep_their_sign_as_in_sql(spark):
+    xs = [-0.001, -1e-15, -0.0, 0.0, 0.004, -0.005, 0.005, -0.25, -1e300, None]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").select("i", rounded("x", 2).alias("r")).collect()
+    db = duckdb.connect()
+    want = [db.execute("SELECT round(?::DOUBLE, 2)", [x]).fetchone()[0] for x in xs]
+    assert [str(r.r) for r in sorted(rows)] == [str(x) for x in want]
