@@ -9,19 +9,19 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
 
-CHUNK = 1_500_000  # tokens that a task holds at a time
+CHUNK = 10_000_000  # bytes of texts that a task holds at a time, or one longer text
 LONGEST = 32  # bytes of a word that stand for themselves; a longer one is counted by its sha256
 
 
@@ -29,9 +29,40 @@ def key(word: bytes) -> bytes:
     return word if len(word) <= LONGEST else hashlib.sha256(word).digest()
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words in UTF-8 with A-Z lower-cased: both methods of bytes go by ASCII alone."""
-    return (text or "").encode().lower().split()
+def encoded(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of texts in UTF-8 with A-Z lower-cased, and all tokens as their numbers, each text closed by -1."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = split.flatten().dictionary_encode()
+    found, ids = flat.dictionary.cast(pa.binary()).to_pylist(), flat.indices.to_numpy()
+    of = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    if b"" in found:  # stands where a text begins or ends with white space
+        empty = found.index(b"")
+        del found[empty]
+        some = ids != empty
+        ids, of = ids[some] - (ids[some] > empty), of[some]
+    out = np.full(len(ids) + len(texts), -1, np.int32)
+    out[np.arange(len(ids)) + of] = ids
+    return found, out
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """``encoded`` texts of about ``CHUNK`` bytes at a time, however batches are cut."""
+    held: list[pa.Array] = []
+    size = 0
+    for batch in batches:
+        texts = batch.column("text")
+        ends = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64))
+        a = 0
+        while a < len(texts):
+            b = min(len(texts), max(a + 1, int(np.searchsorted(ends, ends[a] + CHUNK - size, "right")) - 1))
+            held.append(texts.slice(a, b - a))
+            size += int(ends[b] - ends[a])
+            a = b
+            if a < len(texts) or size >= CHUNK:
+                yield encoded(pa.concat_arrays(held))
+                held, size = [], 0
+    if held:
+        yield encoded(pa.concat_arrays(held))
 
 
 def suffix_class(word_key: bytes, classes: int) -> int:
@@ -43,14 +74,6 @@ def name(word_key: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word_key)
 
 
-class Ids(dict):
-    """Numbers of words in the order in which they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = out = len(self)
-        return out
-
-
 class Classes(dict):
     """Class of a word: its rank among the head words (by name), else one of ``rest`` by its last three bytes.
 
@@ -142,26 +165,13 @@ def _pair_counts(head: dict[int, int], rest: int):
         classes = Classes(head, rest)
         n = len(head) + rest + 1
         end = n - 1
-        counts, held, size = np.zeros(n * n, np.int64), [], 0
-
-        def add() -> None:
-            nonlocal held, size
-            if held:
-                c = np.concatenate(held)
-                counts[:] += np.bincount(c[:-1].astype(np.int64) * n + c[1:], minlength=n * n) if len(c) > 1 else 0
-                held, size = [c[-1:]], 0  # documents are chained: each ends in the class that begins the next
-
-        stop = np.array([end], np.int32)
-        held.append(stop)
-        for batch in batches:
-            for text in batch.column("text"):
-                ws = words(text.as_py())
-                held.append(np.fromiter(map(classes.__getitem__, ws), np.int32, len(ws)))
-                held.append(stop)
-                size += len(ws)
-                if size > CHUNK:
-                    add()
-        add()
+        counts = np.zeros(n * n, np.int64)
+        last = np.array([end])  # documents are chained: each ends in the class that begins the next
+        for found, ids in chunks(batches):
+            cls = np.array([*map(classes.__getitem__, found), end])
+            c = np.concatenate([last, cls[ids]])
+            counts += np.bincount(c[:-1] * n + c[1:], minlength=n * n)
+            last = c[-1:]
         pairs = np.flatnonzero(counts)
         for a in range(0, len(pairs), 100_000):
             part = pairs[a : a + 100_000]
@@ -248,18 +258,8 @@ def _word_pairs(head: dict[int, int], rest: int, parts: int):
         yield pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["bucket", "words", "bytes", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stop = np.array([-1], np.int32)
-        seen, held, size = Ids(), [stop], 0
-        for batch in batches:
-            for text in batch.column("text"):
-                ws = words(text.as_py())
-                held.append(np.fromiter(map(seen.__getitem__, ws), np.int32, len(ws)))
-                held.append(stop)
-                size += len(ws)
-                if size > CHUNK:
-                    yield from pack(list(seen), np.concatenate(held))
-                    seen, held, size = Ids(), [stop], 0
-        yield from pack(list(seen), np.concatenate(held))
+        for found, ids in chunks(batches):
+            yield from pack(found, np.append(np.int32(-1), ids))
 
     return run, kind
 
@@ -350,16 +350,12 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def count(block: pa.Table) -> pa.Table:
-        trained: Counter = Counter()
-        others: set[bytes] = set()
-        for text, out in zip(block["text"], block["held_out"], strict=True):
-            ws = words(text.as_py())
-            others.update(ws) if out.as_py() else trained.update(ws)
-        others -= trained.keys()
-        ks = [key(w) for w in trained] + [key(w) for w in others]
+        found, ids = encoded(block["text"].combine_chunks())
+        ks = list(map(key, found))
         names = np.array(list(map(name, ks)), np.uint64).view(np.int64)
         classes = np.array([suffix_class(k, settings.rest) for k in ks], np.int32)
-        ns = np.concatenate([np.fromiter(trained.values(), np.int64, len(trained)), np.zeros(len(others), np.int64)])
+        learned = np.repeat(~block["held_out"].to_numpy(), np.diff(np.append(-1, np.flatnonzero(ids < 0))))
+        ns = np.bincount(ids[learned & (ids >= 0)], minlength=len(ks))
         number = block["block"][0].as_py()
         return pa.table({"name": names, "class": classes, "block": pa.array(np.full(len(ks), number, np.int32)), "n": ns})
 
@@ -398,17 +394,10 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
         table_, head_, size_, follow, precede = shared.value
         end, first = len(table_) - 1, len(head_)
-        # Tokens as numbers of the block's words, each text closed by -1.
-        ids, held, ends_at = Ids(), [], []
-        total_, stop = 0, np.array([-1], np.int32)
-        for text in block["text"]:
-            ws = words(text.as_py())
-            held += [np.fromiter(map(ids.__getitem__, ws), np.int32, len(ws)), stop]
-            total_ += len(ws) + 1
-            ends_at.append(total_)
-        i, ends_at = np.concatenate(held), np.array(ends_at)
-        ks = list(map(key, ids))
-        del ids, held
+        found, i = encoded(block["text"].combine_chunks())
+        ends_at = np.flatnonzero(i < 0) + 1
+        ks = list(map(key, found))
+        del found
         names = np.array(list(map(name, ks)), np.uint64)
         rank = map(head_.get, names.tolist())
         cls = np.fromiter((c if c is not None else first + suffix_class(k, len(size_)) for c, k in zip(rank, ks, strict=True)), np.int32, len(ks))

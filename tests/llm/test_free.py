@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from clipwise.llm import lm, pii, topk, toxicity, warc
 from pyspark.sql import functions as F
 
@@ -163,3 +164,13 @@ def test_held_out_remainders(spark):
     for f, mod, rest in ((toxicity.held_out, 3, 1), (lm.held_out, 7, 2)):
         for r in df.withColumn("h", f()).collect():
             assert r.h == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % mod == rest)
+
+
+def test_lm_tokens_come_from_arrow_as_numbers(monkeypatch):
+    texts = [None, "", " \t", "  aé B\tb\x0bc\xa0d ", "x", "\x1c y\x1f", "É a B É"]
+    want = [w for t in texts for w in [*(t or "").encode().lower().split(), None]]
+    monkeypatch.setattr(lm, "CHUNK", 12)
+    for cuts in ([0, 7], [0, 2, 2, 5, 7]):
+        batches = [pa.record_batch([pa.array(texts[a:b], pa.string())], ["text"]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        got = [found[i] if i >= 0 else None for found, ids in lm.chunks(iter(batches)) for i in ids]
+        assert got == want
