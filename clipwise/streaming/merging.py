@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: What a stream of turns has: ``ts`` is the instant of ``start``, both rise together.
 TURNS = "lecture bigint, id bigint, speaker string, start double, end double, ts timestamp"
+#: Turns as they are kept in a state: those of a batch are one value, as a store takes each value by itself. ``own`` marks the target's.
+PACKED = np.dtype([("micros", "i8"), ("id", "i8"), ("own", "?"), ("start", "f8"), ("end", "f8")])
 MERGED = "lecture bigint, iv bigint, start double, end double"
 #: Transformations with state and timers need this store.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,34 +33,38 @@ class GapMerge(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "micros bigint, id bigint, speaker string, start double, end double")
+        self.waiting = handle.getListState("waiting", "turns binary")
         self.open = handle.getValueState("open", "iv bigint, start double, end double")
-        self.others = handle.getListState("others", "start double, end double")
+        self.others = handle.getValueState("others", "spans binary")
         self.taken = handle.getValueState("taken", "iv bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new, least = [], None
+        new = []
         for batch in rows:
-            micros = batch["ts"].astype("datetime64[us]").astype("int64")
-            new += list(zip(micros.tolist(), batch["id"].tolist(), batch["speaker"].tolist(), batch["start"].tolist(), batch["end"].tolist(), strict=True))
-            least = min([micros.min(), *([least] if least is not None else [])])
-        if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(int(least // 1000) + 1)
+            own = batch["speaker"].to_numpy() == self.target
+            columns = batch["ts"].astype("datetime64[us]").astype("int64"), batch["id"], own, batch["start"], batch["end"]
+            new.append(np.empty(len(batch), PACKED))
+            for to, values in zip(PACKED.names, columns, strict=True):
+                new[-1][to] = values
+        if new and len(turns := np.concatenate(new)):
+            self.waiting.appendValue((turns.tobytes(),))
+            self.handle.registerTimer(int(turns["micros"].min()) // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Takes what the watermark has passed, and asks to be called again for what it hasn't."""
         reached = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = [tuple(r) for r in self.waiting.get()]
-        ready = sorted((r for r in waiting if r[0] <= reached), key=lambda r: (r[3], r[4], r[1]))
-        later = [r for r in waiting if r[0] > reached]
-        if len(later) < len(waiting):
+        held = [bytes(r[0]) for r in self.waiting.get()]
+        waiting = np.frombuffer(b"".join(held), PACKED)
+        final = waiting["micros"] <= reached
+        ready, later = waiting[final], waiting[~final]
+        ready = ready[np.lexsort((ready["id"], ready["end"], ready["start"]))].tolist()
+        if len(ready):
             self.waiting.clear()
-            if later:
-                self.waiting.put(later)
+            if len(later):
+                self.waiting.appendValue((later.tobytes(),))
         closed = self._take(ready, reached)
-        wake = [min(r[0] for r in later) // 1000 + 1] if later else []
+        wake = [int(later["micros"].min()) // 1000 + 1] if len(later) else []
         if self.open.exists():
             wake.append(int(((self.open.get()[2] + self.gap) / self.second + self.origin) * 1000) + 2)
         if wake:
@@ -68,13 +75,13 @@ class GapMerge(StatefulProcessor):
     def _take(self, ready: list[tuple], reached: int) -> list[tuple]:
         open_ = tuple(self.open.get()) if self.open.exists() else None
         count = self.taken.get()[0] if self.taken.exists() else 0
-        others = [tuple(r) for r in self.others.get()]
+        others = np.frombuffer(bytes(self.others.get()[0])).reshape(-1, 2).tolist() if self.others.exists() else []
         before, closed = list(others), []
-        for _, _, speaker, start, end in ready:
-            if speaker != self.target:
-                others.append((start, end))
-        for _, _, speaker, start, end in ready:
-            if speaker != self.target:
+        for _, _, own, start, end in ready:
+            if not own:
+                others.append([start, end])
+        for _, _, own, start, end in ready:
+            if not own:
                 continue
             joins = open_ is not None and start - open_[2] <= self.gap
             if joins and self.veto:
@@ -95,7 +102,7 @@ class GapMerge(StatefulProcessor):
         if others != before:
             self.others.clear()
             if others:
-                self.others.put(others)
+                self.others.update((np.array(others).tobytes(),))
         if count:
             self.taken.update((count,))
         if open_ is not None:

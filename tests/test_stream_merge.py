@@ -1,7 +1,10 @@
 """The streaming gap merge against the batch, over random micro-batches with restarts between them."""
 
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from clipwise.operators import timeline
 from pyspark.sql import functions as F
@@ -47,3 +50,16 @@ def test_late_rows_and_odd_rows(spark, tmp_path):
     first = [(1, 0, "t", 10.0, 11.0), (1, 1, "t", 11.2, 12.0), (1, 2, "t", 200.0, 201.0), (None, 3, "t", 1.0, 2.0), (1, 4, "t", 100.0, None)]
     second = [(1, 5, "t", 12.1, 13.0), (1, 6, "t", 201.1, 202.0), (0, 7, "o", 9000.0, 9000.0)]
     assert streamed(spark, tmp_path, [first, second], delay="10 seconds") == [(1, 1, 10.0, 12.0), (1, 2, 200.0, 202.0)]
+
+
+def test_turns_of_a_batch_are_one_value_of_the_state():
+    """A store takes each value by itself: a lecture's turns cost one call and one value, however many they are."""
+    kept, timers = [], []
+    state = SimpleNamespace(appendValue=kept.append, appendList=kept.extend)
+    processor = merging.GapMerge("t", 6.0, True, 1.0, 0.0)
+    processor.init(SimpleNamespace(getListState=lambda *_: state, getValueState=lambda *_: state, registerTimer=timers.append))
+    rows = pd.DataFrame({"ts": pd.to_datetime(range(100), unit="s"), "id": range(100), "speaker": ["t", "o"] * 50, "start": [float(i) for i in range(100)], "end": [i + 0.5 for i in range(100)]})
+    assert list(processor.handleInputRows((1,), iter([rows[:60], rows[60:]]), None)) == []
+    assert len(kept) == 1 and timers == [1]
+    turns = np.frombuffer(kept[0][0], merging.PACKED)
+    assert turns["start"].tolist() == list(range(100)) and turns["own"].tolist() == [True, False] * 50 and turns["micros"].tolist() == [i * 1_000_000 for i in range(100)]
