@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -68,6 +69,35 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs run meanwhile pass at most about ``size`` bytes to Python at once; both sides of the pipe hold a few such batches a task."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Returns what Arrow's pool and the C library keep for later; workers are reused, and each would keep its largest task's memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, whose memory goes back to the system when a partition ends."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def grouped_batches(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Splits a stream that is sorted by ``key`` into one table for each key.
 

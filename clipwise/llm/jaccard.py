@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, connected_components, grouped_batches, materialize, table
+from .common import arrow_rows, connected_components, grouped_batches, materialize, table, trimmed
 
 U = np.uint64
 _A, _B, _C = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
@@ -169,9 +169,9 @@ def cell_ranks(docs: DataFrame, width: int) -> np.ndarray:
         for i, own in sums.items():
             yield pa.record_batch([pa.array([i], pa.int32()), pa.array([np.minimum(own, 2**32 - 1).astype(np.uint32).tobytes()])], ["slice", "n"])
 
-    packs = docs.select("text").mapInArrow(count, "slice int, small binary, large binary")
+    packs = docs.select("text").mapInArrow(trimmed(count), "slice int, small binary, large binary")
     out = np.zeros(cells, np.uint32)
-    for r in packs.repartition("slice").mapInArrow(total, "slice int, n binary").collect():
+    for r in packs.repartition("slice").mapInArrow(trimmed(total), "slice int, n binary").collect():
         out[r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(r["n"], np.uint32)
     return np.minimum(255, 8 * np.log2(out + 1.0)).astype(np.uint8)
 
@@ -205,6 +205,19 @@ def linked(a: int, b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (a + b - common)
 
 
+def bitmaps(sets: list[np.ndarray], bits: int, most: int = 4 << 20) -> np.ndarray:
+    """A row of ``bits`` bits for each set, with those of its elements set; some sets at a time, as a bit takes a byte until it is packed."""
+    step = max(1, most // bits)
+    out = np.zeros((len(sets), bits // 64), U)
+    for a in range(0, len(sets), step):
+        part = sets[a : a + step]
+        flags = np.zeros((len(part), bits), np.uint8)
+        for i, s in enumerate(part):
+            flags[i, (s & U(bits - 1)).astype(np.int64)] = 1
+        out[a : a + step] = np.packbits(flags, axis=1).view(U)
+    return out
+
+
 def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: bool = False, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links between the sets of one tile; only as many as join its components, unless ``every``.
 
@@ -221,10 +234,7 @@ def tile_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, every: boo
     bits = 64
     while bits < min(4 * sizes[-1], 1 << 16):
         bits *= 2
-    maps = np.zeros((m, bits), np.uint8)
-    for i, s in enumerate(sets):
-        maps[i, (s & U(bits - 1)).astype(np.int64)] = 1
-    maps = np.packbits(maps, axis=1).view(U)
+    maps = bitmaps(sets, bits)
     root = list(range(m))
     if known is not None:
         _, first, which = np.unique(known[order], return_index=True, return_inverse=True)
@@ -371,7 +381,7 @@ def _likely(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
                 maps.append(bitmap(h))
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())], ["node", "n", "map"])
 
-    maps = materialize(_meet(docs.select("doc_id", "text"), ends, "inner").mapInArrow(draw, "node long, n long, map binary"), "bitmaps")
+    maps = materialize(_meet(docs.select("doc_id", "text"), ends, "inner").mapInArrow(trimmed(draw), "node long, n long, map binary"), "bitmaps")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -384,7 +394,7 @@ def _likely(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     sized = maps.select(F.col("node").alias("b"), F.col("n").alias("_n"))
     near = open_.join(sized, "b").join(side("a"), "a").where(100 * F.least("_n", "na") >= percent * F.greatest("_n", "na")).drop("_n")
     met = near.distinct().join(side("b"), "b").select("a", "na", "ma", "b", "nb", "mb")
-    return pairs.where("sure").select("a", "b").union(met.mapInArrow(test, "a long, b long"))
+    return pairs.where("sure").select("a", "b").union(met.mapInArrow(trimmed(test), "a long, b long"))
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -400,7 +410,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 fps.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             yield pa.record_batch([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary())], ["doc_id", "n_shingles", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, fp binary")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, n_shingles long, fp binary")
 
 
 def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Callable[[np.ndarray], np.ndarray]]:
@@ -422,8 +432,8 @@ def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame
 
     # Rarest elements are also shared by chance, the more the larger the corpus: unless pairs are tested, all sets end up in one cluster.
     most = 1 if shared is None else PAIRED
-    signed = docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long, lead long, heavy boolean")
-    stars = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(lambda batches: _stars(batches, most), "a long, b long, sure boolean")
+    signed = docs.select("doc_id", "text").mapInArrow(trimmed(sign), "sig long, node long, lead long, heavy boolean")
+    stars = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(trimmed(lambda batches: _stars(batches, most)), "a long, b long, sure boolean")
     likely = stars.select("a", "b") if shared is None else _likely(stars, docs, width, percent)
     clusters = connected_components(likely.distinct(), "candidates")
 
@@ -437,7 +447,7 @@ def clustered_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame
                 yield pa.record_batch(cols, ["cluster", "node", "n", "set"])
 
     nodes = clusters.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-    sets = _meet(docs.select("doc_id", "text"), nodes, "inner").mapInArrow(load, "cluster long, node long, n long, set binary")
+    sets = _meet(docs.select("doc_id", "text"), nodes, "inner").mapInArrow(trimmed(load), "cluster long, node long, n long, set binary")
     return materialize(sets, "sets"), signatures
 
 
@@ -485,7 +495,7 @@ def links_of(
                 cols = [pa.array(np.concatenate(sigs).view(np.int64)), *(part.column(c).take(pa.array(at)) for c in ("node", "comp", "n"))]
                 yield pa.record_batch(cols, ["sig", "node", "comp", "n"])
 
-    signed = materialize(rest.mapInArrow(resign, "sig long, node long, comp long, n long"), "open-signatures")
+    signed = materialize(rest.mapInArrow(trimmed(resign), "sig long, node long, comp long, n long"), "open-signatures")
     members = F.struct(F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.shiftrightunsigned(F.xxhash64("node"), 24)).alias("s"))
     groups = signed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("docs"), F.sum("n").alias("shingles"), members.alias("members"))
     # The shingles of one passage are shared by the same sets: of groups with equal members one is compared.
@@ -575,7 +585,7 @@ def _compare(dealt: DataFrame, percent: int, every: bool = False) -> DataFrame:
                     a, b = zip(*found, strict=True)
                     yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(compare, "a long, b long")
+    return dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(trimmed(compare), "a long, b long")
 
 
 def _short_forms(at: list[np.ndarray], columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -612,10 +622,7 @@ def tile_counts(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, wh
     bits = 64
     while bits < min(4 * sizes[-1], 1 << 16):
         bits *= 2
-    maps = np.zeros((len(sets), bits), np.uint8)
-    for i, s in enumerate(sets):
-        maps[i, (s & U(bits - 1)).astype(np.int64)] = 1
-    maps = np.packbits(maps, axis=1).view(U)
+    maps = bitmaps(sets, bits)
     distinct, at = np.unique(np.concatenate(sets), return_inverse=True)
     forms, starts, lacks, usual = _short_forms(np.split(at.astype(np.int32), np.cumsum(sizes)[:-1]), len(distinct))
     flags = np.zeros(len(distinct), np.int32)
@@ -668,7 +675,7 @@ def link_counts(sets: DataFrame, percent: int, *, tile_docs: int = 1024, tile_sh
                 yield pa.record_batch([pa.array(tile["node"].to_numpy()), pa.array(found)], ["node", "links"])
 
     dealt = _dealt(sets, percent, tile_docs, tile_shingles).repartition("tile").sortWithinPartitions("tile")
-    return dealt.mapInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    return dealt.mapInArrow(trimmed(count), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def _class_of(fp: Column) -> Column:
@@ -684,7 +691,7 @@ def _by_class(sets: DataFrame) -> DataFrame:
             classes = [int.from_bytes(xxhash.xxh3_128_digest(memoryview(s.as_buffer()))[:8], "big", signed=True) for s in batch.column("set")]
             yield pa.record_batch([batch.column("cluster"), pa.array(classes, pa.int64()), batch.column("n"), batch.column("set")], ["cluster", "node", "n", "set"])
 
-    return sets.select("cluster", "n", "set").mapInArrow(run, "cluster long, node long, n long, set binary")
+    return sets.select("cluster", "n", "set").mapInArrow(trimmed(run), "cluster long, node long, n long, set binary")
 
 
 def _meet(docs: DataFrame, ids: DataFrame, how: str, key: str = "doc_id", rows: int = 500_000) -> DataFrame:

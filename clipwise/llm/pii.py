@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import table
+from .common import table, trimmed
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -458,7 +458,7 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 named = [[[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in x] for x in part] for part in zip(*both, strict=True)]
                 yield batch.append_column("base", pa.array(named[0], kind)).append_column("spans", pa.array(named[1], kind))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -478,7 +478,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 clean = [t if t is None else _replace(t, s) for t, (_, s) in zip(texts, all_spans([t or "" for t in texts], model), strict=True)]
                 yield batch.set_column(batch.schema.get_field_index(text_col), text_col, pa.array(clean, pa.string()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def _replace(text: str, spans: list[Span]) -> str:
@@ -509,4 +509,4 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
     found = find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "base", "spans")
-    return found.mapInArrow(run, schema)
+    return found.mapInArrow(trimmed(run), schema)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import materialize, table
+from .common import materialize, table, trimmed
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 
@@ -188,7 +188,7 @@ def learn_insults(labelled: DataFrame, *, min_docs: int = 3, min_gain: float = 2
     if not n1 or not n0:
         return {}
     schema = "stem string, toxic_docs long, clean_docs long, toxic double, clean double"
-    counted = labelled.mapInArrow(_stem_counts, schema).groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("toxic_docs", "clean_docs", "toxic", "clean")])
+    counted = labelled.mapInArrow(trimmed(_stem_counts), schema).groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("toxic_docs", "clean_docs", "toxic", "clean")])
     counted = materialize(counted.where(f"toxic_docs >= {min_docs} or stem = ''"), "stems")
     totals = counted.where("stem = ''").first()
     t1, t0 = (totals["toxic"] + 1, totals["clean"] + 1) if totals else (1.0, 1.0)
@@ -250,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, seed:
             rows = [scorer.features(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic")], ["x", "y"])
 
-    rows = labelled.mapInArrow(extract, "x array<double>, y int").toArrow()
+    rows = labelled.mapInArrow(trimmed(extract), "x array<double>, y int").toArrow()
     y = rows["y"].to_numpy().astype(float)
     if 0 < y.sum() < len(y):
         order = np.lexsort(np.array(rows["x"].to_pylist()).T)  # the fit doesn't depend on the rows' order
@@ -271,11 +271,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            if batch.num_rows:
-                x = np.array([scorer.features(t.as_py()) for t in batch.column(text_col)])
-                yield batch.append_column("score", pa.array(scorer.probability(x)))
+            for a in range(0, batch.num_rows, 256):  # rows go back as they are scored, not a whole batch at once
+                part = batch.slice(a, 256)
+                x = np.array([scorer.features(t.as_py()) for t in part.column(text_col)])
+                yield part.append_column("score", pa.array(scorer.probability(x)))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def held_out() -> Column:
