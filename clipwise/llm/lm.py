@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import arrow_bytes, give_back, materialize, table, trimmed
 
+BATCH = 2 << 20  # bytes of rows that pass to Python at once
 CHUNK = 10_000_000  # bytes of texts that a task holds at a time, or one longer text
 LONGEST = 32  # bytes of a word that stand for themselves; a longer one is counted by its sha256
 
@@ -313,11 +314,13 @@ def word_factors(texts: DataFrame, head: dict[int, int], size: np.ndarray, model
             share = (count[often[a:b]] + 1) / sizes_[label]
             z += share @ np.expm1((d / np.float32(32) @ precede.T).astype(np.float64))
             fs += [x.tobytes() + y.tobytes() + w.tobytes() for x, y, w in zip(u, d, log_z, strict=True)]
+        del named, ns, after, before, which, of, order, got
+        give_back()
         names = [*distinct[often].view(np.int64).tolist(), None]
         rows = len(names)
         return pa.table({"name": pa.array(names, pa.int64()), "f": pa.array([*fs, None], pa.binary()), "class": pa.array([None] * (rows - 1) + [label], pa.int32()), "z": pa.array([None] * (rows - 1) + [z.tolist()], pa.list_(pa.float64()))})
 
-    packed = texts.select("text").mapInArrow(run, "bucket int, words int, bytes int, packed binary")
+    packed = texts.select("text").mapInArrow(trimmed(run), "bucket int, words int, bytes int, packed binary")
     return materialize(packed.groupBy("bucket").applyInArrow(fit, "name long, f binary, class int, z array<double>"), "word-factors")
 
 
@@ -343,6 +346,11 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     share id and text lie in one block. Very long texts are read whole, each by one task. Other columns take no part. An
     empty table gives no rows; without training rows every count is 0.
     """
+    with arrow_bytes(docs.sparkSession, BATCH):  # all that passes through Python is written before this ends
+        return materialize(_score_texts(docs, held, settings), "lm-scores")
+
+
+def _score_texts(docs: DataFrame, held: Column, settings: Settings) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held_out"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -352,12 +360,16 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
     def count(block: pa.Table) -> pa.Table:
         found, ids = encoded(block["text"].combine_chunks())
         ks = list(map(key, found))
-        names = np.array(list(map(name, ks)), np.uint64).view(np.int64)
-        classes = np.array([suffix_class(k, settings.rest) for k in ks], np.int32)
+        names = np.fromiter(map(name, ks), np.uint64, len(ks)).view(np.int64)
+        classes = np.fromiter((suffix_class(k, settings.rest) for k in ks), np.int32, len(ks))
+        words = len(ks)
+        del found, ks
         learned = np.repeat(~block["held_out"].to_numpy(), np.diff(np.append(-1, np.flatnonzero(ids < 0))))
-        ns = np.bincount(ids[learned & (ids >= 0)], minlength=len(ks))
+        ns = np.bincount(ids[learned & (ids >= 0)], minlength=words)
         number = block["block"][0].as_py()
-        return pa.table({"name": names, "class": classes, "block": pa.array(np.full(len(ks), number, np.int32)), "n": ns})
+        del ids, learned
+        give_back()
+        return pa.table({"name": names, "class": classes, "block": pa.array(np.full(words, number, np.int32)), "n": ns})
 
     listed = materialize(blocked.groupBy("block").applyInArrow(count, "name long, class int, block int, n long"), "block-words")
     counts = materialize(listed.groupBy("name").agg(F.sum("n").alias("c"), F.first("class").alias("class")), "word-counts")
@@ -375,7 +387,7 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
         size[r["class"]] -= r["c"] + 1
 
     n = len(head) + settings.rest + 1
-    found = rows.where(~F.col("held_out")).select("text").mapInArrow(_pair_counts(head, settings.rest), "pair long, n long")
+    found = rows.where(~F.col("held_out")).select("text").mapInArrow(trimmed(_pair_counts(head, settings.rest)), "pair long, n long")
     got = found.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = np.zeros(n * n)
     pairs[got["pair"].to_numpy()] = got["n"].to_numpy()
@@ -398,7 +410,7 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
         ends_at = np.flatnonzero(i < 0) + 1
         ks = list(map(key, found))
         del found
-        names = np.array(list(map(name, ks)), np.uint64)
+        names = np.fromiter(map(name, ks), np.uint64, len(ks))
         rank = map(head_.get, names.tolist())
         cls = np.fromiter((c if c is not None else first + suffix_class(k, len(size_)) for c, k in zip(rank, ks, strict=True)), np.int32, len(ks))
         del ks
@@ -442,6 +454,8 @@ def score_texts(docs: DataFrame, held: Column, settings: Settings = Settings())
             for to, values in zip(out, ((cs[own] > 0).astype(np.int64), base[own], each), strict=True):
                 to.append(np.add.reduceat(values, cuts))
         out = [np.diff(np.append(0, ends_at)), *map(np.concatenate, out)]
+        del i, cls, within, base, cs, slot, raw, log_z
+        give_back()
         cols = {"n_tokens": out[0], "n_known": out[1], "train_tokens": np.full(len(out[0]), tokens, np.int64), "base_score": out[2], "score": out[3]}
         return pa.table({"doc_id": block["doc_id"], "held_out": block["held_out"], **cols})
 
