@@ -39,14 +39,16 @@ def fit(ratings: DataFrame, *, rank: int = 8, ridge: float = 0.1, rounds: int =
     def bias(rest: Column, df: DataFrame, side: str, name: str) -> DataFrame:
         return df.groupBy(side).agg((F.sum(rest) / (F.count("*") + shrink)).alias(name))
 
-    items = bias(F.col("rating") - mean, known, "item", "bi")
-    users = bias(F.col("rating") - mean - F.col("bi"), known.join(items, "item"), "user", "bu")
-    rest = materialize(known.join(items, "item").join(users, "user").select("user", "item", (F.col("rating") - mean - F.col("bi") - F.col("bu")).alias("rating")), "residuals")
-    users, items = materialize(users, "user-biases"), materialize(items, "item-biases")
+    # Each table is written once and the next reads it; users' biases are taken from the residuals, where they stand in each row.
+    items = materialize(bias(F.col("rating") - mean, known, "item", "bi"), "item-biases")
+    less = known.join(items, "item")
+    users = bias(F.col("rating") - mean - F.col("bi"), less, "user", "bu")
+    rest = materialize(less.join(users, "user").select("user", "item", (F.col("rating") - mean - F.col("bi") - F.col("bu")).alias("rating"), "bu"), "residuals")
+    users = materialize(rest.groupBy("user").agg(F.first("bu").alias("bu")), "user-biases")
     if rest.isEmpty():
         return Factors(mean, users.withColumn("fu", F.lit(None).cast("array<float>")), items.withColumn("fi", F.lit(None).cast("array<float>")))
     spark.sparkContext.setCheckpointDir(scratch_root(spark))
-    model = ALS(rank=rank, regParam=ridge, maxIter=rounds, seed=seed, userCol="user", itemCol="item", ratingCol="rating", numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=4).fit(rest)
+    model = ALS(rank=rank, regParam=ridge, maxIter=rounds, seed=seed, userCol="user", itemCol="item", ratingCol="rating", numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=4).fit(rest.select("user", "item", "rating"))
     side = lambda vectors, name, to: vectors.select(F.col("id").alias(name), F.col("features").alias(to))
     return Factors(mean, materialize(users.join(side(model.userFactors, "user", "fu"), "user", "left"), "users"), materialize(items.join(side(model.itemFactors, "item", "fi"), "item", "left"), "items"))
 
