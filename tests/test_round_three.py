@@ -4,7 +4,7 @@ import __spark_entry__ as entry
 import duckdb
 import numpy as np
 import pyarrow as pa
-from clipwise.functions.numbers import rounded, written
+from clipwise.functions.numbers import rounded, rounded_column, written
 from clipwise.llm import jaccard
 from clipwise.llm.common import arrow_rows
 from clipwise.operators import experiments, gates, timeline
@@ -64,6 +64,34 @@ def test_interpolated_grid_reads_each_row_once(spark, tmp_path):
     assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
 
 
+def test_interpolated_grid_is_not_dealt(spark, tmp_path):
+    rows = events(spark, 300, 4).withColumn("event_id", F.col("event_id") * 1900 + F.col("event_id") % 3 * 50).withColumn("user_id", F.when(F.col("user_id") < 3, F.col("user_id")))
+    same_as_sql(spark, tmp_path, "interpolated_grid", events=rows)
+    out = entry.queries()["interpolated_grid"](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")
+    assert out.count() > 5 * rows.where("user_id IS NOT NULL").count() / 2
+
+
+def test_interpolated_every_is_interpolated(spark):
+    xs = {"a": [(-12.0, 1.5), (-10.0, None), (3.0, -4.0), (20.0, 7.0), (21.0, None), (25.0, 2.0), (57.0, None)], "b": [(-31.0, None), (4.0, None), (5.0, 8.0)], "c": [(7.0, None), (40.0, None)], "d": [(30.0, 3.25)], "e": [(None, 1.0)]}
+    points = spark.createDataFrame([(k, x, y) for k, ps in xs.items() for x, y in ps], "lecture string, x double, y double")
+    grid = spark.createDataFrame([(k, float(g)) for k, lo, hi in (("a", -20, 60), ("b", -40, 10), ("c", 0, 40), ("d", 30, 30)) for g in range(lo, hi + 1, 10)], "lecture string, x double")
+    expected, found = (sorted(map(tuple, df.collect())) for df in (timeline.interpolated(grid, points.where("x IS NOT NULL"), "x", "y"), timeline.interpolated_every(points, 10, "x", "y")))
+    assert found == expected and len(found) == 21
+
+
+def test_rounded_columns_are_rounded(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    whole = rng.integers(-(10**9), 10**9, 20_000) / 2e6
+    xs = [0.0, -0.0, 5e-7, -5e-7, 4.9999999999999993e-7, 0.4999999999999999e-6, 1.0000005, 2251799813.6852475, 4503599627.370496, 4503599627.3704965, 9007199254.740993, 1e15, -1e22, 1e283, 1e290, -1e300, float("inf"), float("-inf"), float("nan"), None]
+    xs += [*map(float, whole), *map(float, np.nextafter(whole, 1e9)), *map(float, np.nextafter(whole, -1e9)), *map(float, rng.normal(size=20_000) * 10.0 ** rng.integers(-12, 20, 20_000))]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select(rounded("x", 6).alias("r"), rounded_column("x", 6).alias("c"))
+    assert all(repr(r) == repr(c) for r, c in df.collect())
+    same_as_sql(spark, tmp_path, "interpolated_grid", events=events(spark, 3000, 2).withColumn("value", -F.col("value") / 7))
+    assert "transform(" not in entry.queries()["interpolated_grid"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_normalised_values_stay_where_they_are(spark, tmp_path):
     rows = spark.range(4000).select((F.col("id") / 4).cast("long").alias("l_orderkey"), (F.col("id") % 4).cast("int").alias("l_linenumber"), (F.col("id") % 97).alias("l_partkey"), F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"), (F.col("id") % 50 + 1).cast("double").alias("l_quantity"))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
